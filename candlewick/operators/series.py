@@ -138,6 +138,22 @@ def full(value: Column, x: Column | str, w: WindowSpec, n: int) -> Column:
     return F.when(F.count(x).over(trailing(w, n)) == n, value)
 
 
+def over_time(
+    df: DataFrame, axis: Axis, seconds: int, steps: Callable[[WindowSpec], Mapping[str, Column]]
+) -> DataFrame:
+    """Add columns whose frame is the last ``seconds`` of time, open on the left: (t - seconds, t].
+
+    Rows are copied to the next time buckets they are visible from, so frames never leave a bucket.
+    """
+    axis = axis.by(span=max(axis.span, 4 * seconds))
+    rows = axis.bucketed(df).withColumn("_us", F.unix_micros(F.col(axis.order[0]).cast("timestamp")))
+    last = F.floor((F.col("_us") / 1e6 + seconds) / F.lit(axis.span))
+    rows = rows.withColumn(BLK, F.explode(F.sequence(F.col(BUCKET), F.greatest(last, F.col(BUCKET)))))
+    w = Window.partitionBy(*axis.key, BLK).orderBy("_us").rangeBetween(-seconds * 1_000_000 + 1, 0)
+    out = rows.withColumns(dict(steps(w)))
+    return out.filter(F.col(BLK) == F.col(BUCKET)).drop(BLK, BUCKET, "_us")
+
+
 # --- prefixes -----------------------------------------------------------------------------------------------
 
 Running = tuple[str, "Column | str"]
@@ -147,57 +163,60 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def prefix(df: DataFrame, axis: Axis, specs: Mapping[str, Running], exclusive: bool = False) -> DataFrame:
-    """Running values from the start of each series.
+def prefix(
+    df: DataFrame,
+    axis: Axis,
+    specs: Mapping[str, Running],
+    exclusive: bool = False,
+    backward: bool = False,
+) -> DataFrame:
+    """Running values from the start of each series (from its end with ``backward``).
 
     ``specs`` maps an output name to ``(kind, input)`` with kind ``sum``, ``max``, ``min``, ``count``, ``last``
-    (last non-null value) or ``first`` (first non-null value).  ``exclusive`` leaves the current row out.
+    (nearest non-null value) or ``first`` (first non-null value).  ``exclusive`` leaves the current row out.
     """
     keys = [*axis.key, BUCKET]
     rows = axis.bucketed(df)
-    inputs = {f"_i_{n}": _column(c) for n, (_, c) in specs.items()}
-    rows = rows.withColumns(inputs)
+    rows = rows.withColumns({f"_i_{n}": _column(c) for n, (_, c) in specs.items()})
     rank = F.struct(*axis.order)
+    way = F.desc if backward else F.asc
 
     def total(kind: str, c: str) -> Column:
-        if kind == "last":
-            return F.max_by(c, F.when(F.col(c).isNotNull(), rank))
-        if kind == "first":
-            return F.min_by(c, F.when(F.col(c).isNotNull(), rank))
+        if kind in ("last", "first"):
+            newest = (kind == "last") != backward
+            return (F.max_by if newest else F.min_by)(c, F.when(F.col(c).isNotNull(), rank))
         return getattr(F, kind)(c)
 
     def running(kind: str, c: str, w: WindowSpec) -> Column:
         if kind in ("last", "first"):
             return getattr(F, kind)(c, ignorenulls=True).over(w)
-        return F.sum(c).over(w) if kind == "count" else getattr(F, kind)(c).over(w)
+        return getattr(F, kind)(c).over(w)
 
     def merge(kind: str, old: Column, new: Column) -> Column:
         if kind in ("sum", "count"):
-            return F.when(old.isNull() & new.isNull(), None).otherwise(
-                F.coalesce(old, F.lit(0)) + F.coalesce(new, F.lit(0))
-            )
+            both = F.coalesce(old, F.lit(0)) + F.coalesce(new, F.lit(0))
+            return both if kind == "count" else F.when(old.isNotNull() | new.isNotNull(), both)
         if kind == "max":
             return F.greatest(old, new)
         if kind == "min":
             return F.least(old, new)
         return F.coalesce(new, old) if kind == "last" else F.coalesce(old, new)
 
-    upto = Window.partitionBy(*axis.key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(*keys).agg(*[total(k, f"_i_{n}").alias(f"_t_{n}") for n, (k, _) in specs.items()])
-    carry = totals.select(*keys, *[running(k, f"_t_{n}", upto).alias(f"_c_{n}") for n, (k, _) in specs.items()])
-    inside = Window.partitionBy(*keys).orderBy(*axis.order).rowsBetween(
-        Window.unboundedPreceding, -1 if exclusive else 0
+    upto = Window.partitionBy(*axis.key).orderBy(way(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(
+        *keys,
+        *[running("sum" if k == "count" else k, f"_t_{n}", upto).alias(f"_c_{n}") for n, (k, _) in specs.items()],
     )
-
-    def local(kind: str, c: str) -> Column:
-        if kind in ("last", "first"):
-            return getattr(F, kind)(c, ignorenulls=True).over(inside)
-        return getattr(F, kind)(c).over(inside)
-
-    out = rows.withColumns({f"_l_{n}": local(k, f"_i_{n}") for n, (k, _) in specs.items()}).join(carry, keys)
+    inside = (
+        Window.partitionBy(*keys)
+        .orderBy(*[way(c) for c in axis.order])
+        .rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    )
+    out = rows.withColumns({f"_l_{n}": running(k, f"_i_{n}", inside) for n, (k, _) in specs.items()})
+    out = out.join(carry, keys)
     out = out.withColumns({n: merge(k, F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, (k, _) in specs.items()})
-    drop = [p + n for n in specs for p in ("_i_", "_l_", "_c_")]
-    return out.drop(BUCKET, *drop)
+    return out.drop(BUCKET, *[p + n for n in specs for p in ("_i_", "_l_", "_c_")])
 
 
 def whole(df: DataFrame, axis: Axis, specs: Mapping[str, Column]) -> DataFrame:
@@ -229,28 +248,60 @@ def span_alpha(n: float) -> float:
     return 2.0 / (n + 1.0)
 
 
-Smoothing = tuple[str, str, float]
+Smoothing = tuple  # (out, input, alpha) or (out, input, alpha, "std")
 
 
 def smooth(blocks: DataFrame, axis: Axis, chain: Iterable[Smoothing], min_periods: int = 1) -> DataFrame:
     """Add exponential averages ``(out, input, alpha)`` to rows made by :func:`blocked`.
 
     The recurrence starts at the first value: y = alpha * x + (1 - alpha) * y.  A chain may feed one output
-    into the next.  The caller passes ``back`` = sum of :func:`memory` along the longest chain.
+    into the next.  The caller passes ``back`` = sum of :func:`memory` along the longest chain.  A fourth item
+    "std" asks for the bias-corrected deviation with weights (1 - alpha)^age instead.
     """
-    chain = list(chain)
-    names = [n for n, _, _ in chain]
+    chain = [(*c, "mean") if len(c) == 3 else tuple(c) for c in chain]
+    names = [c[0] for c in chain]
     schema = T.StructType(blocks.schema.fields + [T.StructField(n, T.DoubleType()) for n in names])
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(POS)
-        for out, source, alpha in chain:
-            part[out] = part[source].astype("float64").ewm(alpha=alpha, adjust=False, min_periods=min_periods).mean()
+        for out, source, alpha, kind in chain:
+            x = part[source].astype("float64")
+            if kind == "std":
+                part[out] = x.ewm(alpha=alpha).std()
+            else:
+                part[out] = x.ewm(alpha=alpha, adjust=False, min_periods=min_periods).mean()
         return part
 
     return blocks.groupBy(*axis.key, BLK).applyInPandas(run, schema)
 
 
+def smoothed(
+    df: DataFrame,
+    axis: Axis,
+    chain: Iterable[Smoothing],
+    before: Callable[[WindowSpec], Mapping[str, Column]] | None = None,
+    after: Callable[[WindowSpec], Mapping[str, Column]] | None = None,
+    reach: int = 0,
+    min_periods: int = 1,
+) -> DataFrame:
+    """Window columns, exponential averages on them, window columns on those: one cut into blocks.
+
+    ``reach`` is the number of rows the frames of ``before`` and ``after`` look back together.
+    """
+    chain = list(chain)
+    depth: dict[str, int] = {}
+    for c in chain:
+        depth[c[0]] = depth.get(c[1], 0) + memory(c[2])
+    out = blocked(df, axis, back=reach + max(depth.values()))
+    w = span_of(axis)
+    if before:
+        out = out.withColumns(dict(before(w)))
+    out = smooth(out, axis, chain, min_periods)
+    if after:
+        out = out.withColumns(dict(after(w)))
+    return core(out)
+
+
 # --- linear recurrences with a coefficient per row ----------------------------------------------------------
 
 
