@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.operators.ranking import quantiles, with_quantiles
+from candlewick.operators.series import Axis, full, over_blocks, trailing, whole_by
+
 PRICES = ("open", "high", "low", "close")
 
 
@@ -59,8 +62,8 @@ def blank_counts(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def key_rule_mismatches(df: DataFrame, expected: Column, actual: str, examples: Sequence[str], n: int = 20) -> DataFrame:
-    """Count of rows whose ``actual`` differs from the value implied by the key, and the first ``n`` of them."""
-    bad = df.filter(~F.col(actual).eqNullSafe(expected))
+    """Count of rows whose non-empty ``actual`` differs from the value implied by the key, and the first ``n``."""
+    bad = df.filter((F.coalesce(F.col(actual), F.lit("")) != "") & (F.col(actual) != expected))
     count = bad.agg(F.count(F.lit(1)).alias("n_mismatch"))
     first = bad.select(*examples, actual, expected.alias("expected")).orderBy(*examples).limit(n)
     return first.crossJoin(F.broadcast(count))  # one row
@@ -102,9 +105,9 @@ REQUIRED = {
     "OHLCV": ("symbol", "timestamp", "open", "high", "low", "close", "volume"),
     "QUOTE": ("symbol", "timestamp", "price"),
     "TICK": ("symbol", "timestamp", "price", "quantity"),
-    "ORDER": ("order_id", "symbol", "side", "quantity", "price"),
-    "POSITION": ("symbol", "quantity", "average_price"),
-    "PORTFOLIO": ("total_value", "cash"),
+    "ORDER": ("orderId", "symbol", "side", "type", "quantity", "status"),
+    "POSITION": ("symbol", "quantity", "averagePrice"),
+    "PORTFOLIO": ("totalValue", "timestamp"),
     "INSTRUMENT": ("symbol", "name", "exchange"),
 }
 
@@ -128,40 +131,218 @@ def missing_share(df: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: Sequence[str], z: float = 3.0) -> DataFrame:
-    """Per numeric column: missing share, mean, std, extremes, values beyond ``z`` deviations (two passes)."""
-    from functools import reduce
-
-    stats = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[
-            f(F.col(c).cast("double")).alias(f"{p}_{c}")
-            for c in columns
-            for p, f in (("cnt", F.count), ("avg", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
-        ],
+    """Per numeric column: missing share, moments, extremes, and outliers by z-score and by 1.5 IQR."""
+    long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in columns], "column", "value")
+    x = F.col("value")
+    stats = long.groupBy("column").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.avg(x).alias("mean"),
+        F.stddev_samp(x).alias("std"),
+        F.stddev_pop(x).alias("_sd"),
+        F.min(x).alias("min"),
+        F.max(x).alias("max"),
+        ((F.count(F.lit(1)) - F.count(x)) / F.count(F.lit(1))).alias("missing_ratio"),
+    )
+    edges = quantiles(long, ["column"], "value", {"_q1": 0.25, "_q3": 0.75})
+    limits = stats.join(edges, "column", "left")  # one row per column name
+    iqr = F.col("_q3") - F.col("_q1")
+    flags = long.join(F.broadcast(limits), "column")
+    outliers = flags.groupBy("column").agg(
+        F.count_if(F.abs(x - F.col("mean")) > z * F.col("_sd")).alias("outliers_zscore"),
+        F.count_if((x < F.col("_q1") - 1.5 * iqr) | (x > F.col("_q3") + 1.5 * iqr)).alias("outliers_iqr"),
+    )
+    return stats.join(outliers, "column").drop("_n", "_sd")
+
+
+def duplicate_rows(df: DataFrame) -> DataFrame:
+    """Rows beyond the first of each set of equal rows."""
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(F.sum(F.col("_n") - 1).alias("duplicates"))
+
+
+def price_rules(bars: DataFrame, axis: Axis, value: str = "close") -> DataFrame:
+    """Per symbol: non-positive prices, jumps beyond 50 %, likely splits, share of zero returns, flat stretches."""
+    rows = over_blocks(bars, axis, lambda w: {"_r": F.col(value) / F.when(F.lag(value).over(w) != 0, F.lag(value).over(w)) - 1}, back=1)
+    rows = over_blocks(rows, axis, lambda w: {"_s": full(F.stddev_samp("_r").over(trailing(w, 5)), "_r", w, 5)}, back=4)
+    r = F.col("_r")
+    return rows.groupBy(*axis.key).agg(
+        F.count_if(F.col(value) <= 0).alias("non_positive"),
+        F.count_if(F.abs(r) > 0.5).alias("large_jumps"),
+        F.count_if(((r > -0.55) & (r < -0.45)) | ((r > 0.95) & (r < 1.05))).alias("likely_splits"),
+        F.count_if(F.abs(r) > 1.0).alias("extreme_returns"),
+        (F.count_if(r == 0) / F.count(r)).alias("zero_return_share"),
+        F.count_if(F.col("_s") < 0.001).alias("flat_windows"),
     )
-    both = df.select(*columns).crossJoin(F.broadcast(stats))  # one row
-    out = both.agg(
-        F.max("n").alias("n"),
-        *[
-            F.max(f"{p}_{c}").alias(f"{p}_{c}")
-            for c in columns
-            for p in ("cnt", "avg", "std", "min", "max")
-        ],
-        *[
-            F.count_if(F.abs(F.col(c) - F.col(f"avg_{c}")) > z * F.col(f"std_{c}")).alias(f"out_{c}")
-            for c in columns
-        ],
+
+
+def remove_outliers(df: DataFrame, group: Sequence[str], value: str, method: str = "iqr", threshold: float = 1.5) -> DataFrame:
+    """Drop rows outside the IQR fence or beyond a z-score."""
+    x = F.col(value)
+    if method == "iqr":
+        rows = with_quantiles(df, group, value, {"_q1": 0.25, "_q3": 0.75})
+        width = (F.col("_q3") - F.col("_q1")) * threshold
+        return rows.filter((x >= F.col("_q1") - width) & (x <= F.col("_q3") + width)).drop("_q1", "_q3")
+    rows = whole_by(df, list(group), {"_m": F.avg(value), "_s": F.stddev_samp(value)})
+    return rows.filter(F.abs((x - F.col("_m")) / F.col("_s")) <= threshold).drop("_m", "_s")
+
+
+COMPARE = {
+    "gt": lambda a, b: a > b,
+    "lt": lambda a, b: a < b,
+    "ge": lambda a, b: a >= b,
+    "le": lambda a, b: a <= b,
+    "eq": lambda a, b: a == b,
+    "ne": lambda a, b: a != b,
+}
+
+
+def threshold_filter(df: DataFrame, value: str, operator: str, threshold: float) -> DataFrame:
+    return df.filter(COMPARE[operator](F.col(value), F.lit(threshold)))
+
+
+def date_range(df: DataFrame, ts: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Inclusive date range; a bare end date covers the whole day."""
+    if start is not None:
+        df = df.filter(F.col(ts) >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        df = df.filter(F.col(ts) < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp"))
+    return df
+
+
+def replace_infinite(df: DataFrame, columns: Sequence[str], value: float | None = None) -> DataFrame:
+    """±infinity becomes null, or ±``value``."""
+    inf = float("inf")
+
+    def fix(c: str) -> Column:
+        x = F.col(c)
+        if value is None:
+            return F.when((x == inf) | (x == -inf), None).otherwise(x)
+        return F.when(x == inf, value).when(x == -inf, -value).otherwise(x)
+
+    return df.withColumns({c: fix(c) for c in columns})
+
+
+# Trading sessions in UTC as hour * 100 + minute (open, close, pre-market open).
+SESSIONS = {
+    "NYSE": (1430, 2100, 900),
+    "NASDAQ": (1430, 2100, 900),
+    "LSE": (800, 1630, 700),
+    "TSE": (0, 600, 2300),
+    "NSE": (345, 1000, 300),
+    "BSE": (345, 1000, 300),
+}
+
+
+def trading_session(ts: Column, exchange: Column | str) -> Column:
+    """"regular", "pre_market" or "closed" for a UTC time; sessions are half-open, weekends closed."""
+    exchange = F.lit(exchange) if isinstance(exchange, str) else exchange
+    clock = F.hour(ts) * 100 + F.minute(ts)
+    out = F.lit("closed")
+    for name, (start, end, early) in SESSIONS.items():
+        kind = F.when((clock >= start) & (clock < end), "regular").when((clock >= early) & (clock < start), "pre_market")
+        out = F.when(exchange == name, F.coalesce(kind, F.lit("closed"))).otherwise(out)
+    return F.when(F.weekday(ts) < 5, out).otherwise(F.lit("closed"))
+
+
+def market_minutes(ts: Column, start: str = "09:30", end: str = "16:00") -> Column:
+    """Weekday and local clock within [start, end], both ends included."""
+    h0, m0 = map(int, start.split(":"))
+    h1, m1 = map(int, end.split(":"))
+    minute = F.hour(ts) * 60 + F.minute(ts)
+    return (F.weekday(ts) < 5) & minute.between(h0 * 60 + m0, h1 * 60 + m1)
+
+
+def branch(value: Column, operator: str | None = None, other: float | None = None) -> Column:
+    """"true" / "false" for a comparison (a missing number counts as 0) or the truthiness of a value."""
+    if operator is None:
+        text = value.cast("string")
+        number = F.try_to_number(text, F.lit("S999999999999999999.999999"))
+        truth = value.isNotNull() & (text != "") & (text != "false") & F.coalesce(number != 0, F.lit(True))
+    else:
+        symbols = {">": "gt", "<": "lt", ">=": "ge", "<=": "le", "==": "eq", "!=": "ne"}
+        truth = COMPARE[symbols[operator]](F.coalesce(value.cast("double"), F.lit(0.0)), F.lit(float(other)))
+    return F.when(truth, "true").otherwise("false")
+
+
+def route(value: Column, case1: str, case2: str) -> Column:
+    """0, 1 or 2 (default) by the text of a field; empty cases never match."""
+    text = value.cast("string")
+    first = (text == case1) if case1 else F.lit(False)
+    second = (text == case2) if case2 else F.lit(False)
+    return F.when(first, 0).when(second, 1).otherwise(2)
+
+
+def search(
+    df: DataFrame,
+    text: str | None = None,
+    text_columns: Sequence[str] = (),
+    equals: dict | None = None,
+    at_least: dict | None = None,
+    at_most: dict | None = None,
+    newest: str | None = None,
+) -> DataFrame:
+    """Only the given filters apply; the text is matched case-insensitively in any of the columns."""
+    if text:
+        hit = F.lit(False)
+        for c in text_columns:
+            hit = hit | F.coalesce(F.contains(F.lower(F.col(c).cast("string")), F.lit(text.lower())), F.lit(False))
+        df = df.filter(hit)
+    for c, v in (equals or {}).items():
+        df = df.filter(F.col(c) == v)
+    for c, v in (at_least or {}).items():
+        df = df.filter(F.col(c) >= v)
+    for c, v in (at_most or {}).items():
+        df = df.filter(F.col(c) <= v)
+    return df.orderBy(F.desc(newest)) if newest else df
+
+
+def search_instruments(df: DataFrame, text: str, exchange: str = "", limit: int = 20) -> DataFrame:
+    """Substring of symbol, broker symbol or name; equities first, then indexes, futures, the rest."""
+    pattern = text.upper()
+    hit = F.lit(False)
+    for c in ("symbol", "brsymbol", "name"):
+        hit = hit | F.coalesce(F.contains(F.upper(c), F.lit(pattern)), F.lit(False))
+    out = df.filter(hit)
+    if exchange:
+        out = out.filter(F.col("exchange") == exchange)
+    kind = F.col("instrument_type")
+    order = F.when(kind == "EQ", 0).when(kind == "INDEX", 1).when(kind == "FUT", 2).otherwise(3)
+    return out.orderBy(order, "symbol").limit(limit)
+
+
+def screen(
+    df: DataFrame,
+    limits: dict[str, tuple[float | None, float | None]],
+    equals: dict | None = None,
+    order: str | None = None,
+    limit: int | None = None,
+) -> DataFrame:
+    """Rows with every column inside its inclusive range; the first ``limit`` by ``order``."""
+    for c, (low, high) in limits.items():
+        if low is not None:
+            df = df.filter(F.col(c) >= low)
+        if high is not None:
+            df = df.filter(F.col(c) <= high)
+    for c, v in (equals or {}).items():
+        df = df.filter(F.col(c) == v)
+    if order:
+        df = df.orderBy(F.desc(order), *[c for c in df.columns if c != order][:1])
+    return df.limit(limit) if limit else df
+
+
+def screen_comparables(peers: DataFrame, targets: DataFrame, max_size_ratio: float = 10.0, min_roe: float = -0.5) -> DataFrame:
+    """Peers of each target: same sector, market cap within a ratio, return on equity above a floor.
+
+    Log-size bands make the join an equi-join: caps within the ratio lie in the same or a neighbouring band.
+    """
+    import math
+
+    band = F.floor(F.log("market_cap") / math.log(max_size_ratio))
+    near = F.explode(F.array(band - 1, band, band + 1))
+    left = targets.select(
+        F.col("symbol").alias("target"), "sector", F.col("market_cap").alias("_cap"), near.alias("_band")
     )
-    parts = [
-        out.select(
-            F.lit(c).alias("column"),
-            ((F.col("n") - F.col(f"cnt_{c}")) / F.col("n")).alias("missing_ratio"),
-            F.col(f"avg_{c}").alias("mean"),
-            F.col(f"std_{c}").alias("std"),
-            F.col(f"min_{c}").alias("min"),
-            F.col(f"max_{c}").alias("max"),
-            F.col(f"out_{c}").alias("outliers"),
-        )
-        for c in columns
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    roe = F.when(F.col("book_value") > 0, F.col("net_income") / F.col("book_value")).otherwise(-1.0)
+    right = peers.withColumns({"_band": band, "roe": roe}).filter(F.col("roe") >= min_roe)
+    ratio = F.greatest("market_cap", "_cap") / F.least("market_cap", "_cap")
+    return right.join(left, ["sector", "_band"]).filter(ratio <= max_size_ratio).drop("_band", "_cap")
