@@ -111,3 +111,18 @@ def quantile_bucket(value: Column, n: int, prefix: str = "_e") -> Column:
     for i in range(1, n):
         bucket = bucket + F.when(value > F.col(f"{prefix}{i}"), 1).otherwise(0)
     return F.when(value.isNotNull() & F.col(f"{prefix}0").isNotNull(), bucket)
+
+
+def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, salts: int = 32) -> DataFrame:
+    """The first ``n`` rows per key by ``order`` with their rank.
+
+    Each key is split by row hash; every piece keeps its first ``n``, the rest is ranked once more.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    piece = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    first = salted.withColumn("rank", F.row_number().over(piece)).filter(F.col("rank") <= n).drop("_salt", "rank")
+    if not keys:
+        first = first.withColumn("_all", F.lit(1))
+    whole = Window.partitionBy(*(keys or ["_all"])).orderBy(*order)
+    out = first.withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= n)
+    return out if keys else out.drop("_all")
