@@ -248,7 +248,7 @@ def span_alpha(n: float) -> float:
     return 2.0 / (n + 1.0)
 
 
-Smoothing = tuple  # (out, input, alpha) or (out, input, alpha, "std")
+Smoothing = tuple  # (out, input, alpha) or (out, input, alpha, "mean" | "adjusted" | "std")
 
 
 def smooth(blocks: DataFrame, axis: Axis, chain: Iterable[Smoothing], min_periods: int = 1) -> DataFrame:
@@ -256,7 +256,7 @@ def smooth(blocks: DataFrame, axis: Axis, chain: Iterable[Smoothing], min_period
 
     The recurrence starts at the first value: y = alpha * x + (1 - alpha) * y.  A chain may feed one output
     into the next.  The caller passes ``back`` = sum of :func:`memory` along the longest chain.  A fourth item
-    "std" asks for the bias-corrected deviation with weights (1 - alpha)^age instead.
+    "adjusted" asks for the mean with weights (1 - alpha)^age, "std" for its bias-corrected deviation.
     """
     chain = [(*c, "mean") if len(c) == 3 else tuple(c) for c in chain]
     names = [c[0] for c in chain]
@@ -268,6 +268,8 @@ def smooth(blocks: DataFrame, axis: Axis, chain: Iterable[Smoothing], min_period
             x = part[source].astype("float64")
             if kind == "std":
                 part[out] = x.ewm(alpha=alpha).std()
+            elif kind == "adjusted":
+                part[out] = x.ewm(alpha=alpha).mean()
             else:
                 part[out] = x.ewm(alpha=alpha, adjust=False, min_periods=min_periods).mean()
         return part
