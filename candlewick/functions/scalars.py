@@ -112,8 +112,10 @@ def floor_divide(a: Column, b: Column) -> Column:
     return F.when(b != 0, F.floor(a / b))
 
 
-def clamp(x: Column, low: float, high: float) -> Column:
-    return F.greatest(F.least(x, F.lit(high)), F.lit(low))
+def clamp(x: Column, low: Column | float, high: Column | float) -> Column:
+    """Value moved into [low, high]; null stays null."""
+    low, high = (b if isinstance(b, Column) else F.lit(b) for b in (low, high))
+    return F.when(x.isNotNull(), F.greatest(F.least(x, high), low))
 
 
 def format_currency(x: Column, currency: str = "USD") -> Column:
@@ -174,7 +176,7 @@ def bucketize_width(df: DataFrame, value: str, bins: int, out: str = "bin") -> D
     rows = df.crossJoin(F.broadcast(ends))  # one row
     width = (F.col("_hi") - F.col("_lo")) / bins
     edge = F.ceil((F.col(value) - F.col("_lo")) / width) - 1
-    return rows.withColumn(out, F.greatest(F.least(edge, F.lit(bins - 1)), F.lit(0)).cast("int")).drop("_lo", "_hi")
+    return rows.withColumn(out, clamp(edge, 0, bins - 1).cast("int")).drop("_lo", "_hi")
 
 
 # --- arrays ------------------------------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewick.functions.scalars import clamp
 from candlewick.functions.stats import t_p_value
 from candlewick.operators import ranking
 from candlewick.operators.series import Axis, full, over_blocks, whole_by
@@ -85,7 +86,7 @@ def downside(df: DataFrame, keys: Sequence[str], value: str, threshold: float =
 
 def winsorize(df: DataFrame, keys: Sequence[str], value: str, lower: float = 0.01, upper: float = 0.99) -> DataFrame:
     rows = ranking.with_quantiles(df, keys, value, {"_lo": lower, "_hi": upper})
-    x = F.greatest(F.least(F.col(value), F.col("_hi")), F.col("_lo"))
+    x = clamp(F.col(value), F.col("_lo"), F.col("_hi"))
     return rows.withColumn("winsorized", x).drop("_lo", "_hi")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewick.functions.scalars import clamp
 from candlewick.operators.series import (
     HOURLY,
     POS,
@@ -704,7 +705,7 @@ def _vwap_rolling(b, period=14):
 def _vfi(b, period=130, smoothing=3, coef=0.2, vol_coef=2.5):
     def second(w):
         cut = coef * full(F.stddev_samp(b["i"]).over(trailing(w, 30)), b["i"], w, 30) * C()
-        capped = F.least(V(), b["av"] * vol_coef)
+        capped = F.when(b["av"].isNotNull(), F.least(V(), b["av"] * vol_coef))
         return {"x": F.when(b["d"] > cut, capped).when(b["d"] < -cut, -capped).when(cut.isNotNull() & capped.isNotNull(), 0.0)}
 
     b.cols(lambda w: {"a0": avg_n(w, "volume", period)}, period - 1)
@@ -916,7 +917,7 @@ def frama(bars: DataFrame, axis: Axis = HOURLY, batch: int = 10, out: str = "fra
     def second(w):
         both = F.col("_n1") + F.lag("_n1", batch).over(w)
         dim = (F.log(positive(both)) - F.log(positive(F.col("_n3")))) / math.log(2)
-        return {"_al": F.greatest(F.least(F.exp(-4.6 * (dim - 1)), F.lit(1.0)), F.lit(0.01))}
+        return {"_al": clamp(F.exp(-4.6 * (dim - 1)), 0.01, 1.0)}
 
     rows = over_blocks(bars, axis, [first, second], back=3 * batch)
     return _recur(rows.drop("_n1", "_n3"), axis, out, "_al", C())

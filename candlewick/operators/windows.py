@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from candlewick.functions.scalars import clamp
 from candlewick.functions.stats import normal_cdf
 from candlewick.operators import ranking
 from candlewick.operators.series import (
@@ -429,10 +430,10 @@ def cross_normalise(
     cols = {
         "demeaned": x - F.col("_m"),
         "cs_zscore": (x - F.col("_m")) / (positive(s) if epsilon == 0 else s + F.lit(epsilon)),
-        "winsorised": F.greatest(F.least(x, F.col("_hi")), F.col("_lo")),
+        "winsorised": clamp(x, F.col("_lo"), F.col("_hi")),
     }
     if clip:
-        cols["clipped"] = F.greatest(F.least(x, F.lit(clip[1])), F.lit(clip[0]))
+        cols["clipped"] = clamp(x, *clip)
     return rows.withColumns(cols).drop("_m", "_s", "_lo", "_hi")
 
 
@@ -514,7 +515,7 @@ class RobustZScore(Normaliser):
     def expr(self, c):
         mad = F.col(f"_mad_{c}")
         z = (F.col(c) - F.col(f"_med_{c}")) / (1.4826 * F.when(mad == 0, 1.0).otherwise(mad))
-        return z if self.clip is None else F.greatest(F.least(z, F.lit(self.clip)), F.lit(-self.clip))
+        return z if self.clip is None else clamp(z, -self.clip, self.clip)
 
 
 class Tanh(Normaliser):
@@ -536,7 +537,7 @@ class Winsorize(Normaliser):
         return self
 
     def expr(self, c):
-        return F.greatest(F.least(F.col(c), F.col(f"_hi_{c}")), F.col(f"_lo_{c}"))
+        return clamp(F.col(c), F.col(f"_lo_{c}"), F.col(f"_hi_{c}"))
 
 
 class Processors:
@@ -760,7 +761,7 @@ def smooth_spikes(df: DataFrame, axis: Axis, value: str, threshold: float = 3.0,
     rows = whole(df, axis, {"_m": F.avg(value), "_s": F.stddev_samp(value)})
     x, m, s = F.col(value), F.col("_m"), F.col("_s")
     if method == "clip":
-        out = F.greatest(F.least(x, m + threshold * s), m - threshold * s)
+        out = clamp(x, m - threshold * s, m + threshold * s)
         return rows.withColumn("smoothed", out).drop("_m", "_s")
     rows = rows.withColumn("_kept", F.when((s == 0) | (F.abs(x - m) <= threshold * s), x)).drop("_m", "_s")
     return interpolate(rows, axis, "_kept", "smoothed", fill_tail=True).drop("_kept")

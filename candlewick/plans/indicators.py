@@ -438,7 +438,7 @@ register(
     [
         f"s0 AS (SELECT *, ln(tp) - ln(ptp) AS it, tp - ptp AS dt, {avg('volume', 60)} AS a0 FROM b)",
         f"s1 AS (SELECT *, 0.2 * ({roll('stddev_samp', 'it', 30)}) * close AS cut, lag(a0) OVER ({W}) AS av FROM s0)",
-        "s2 AS (SELECT *, CASE WHEN dt > cut THEN least(volume, av * 2.5) WHEN dt < -cut THEN -least(volume, av * 2.5) WHEN cut IS NOT NULL AND volume IS NOT NULL THEN 0 END AS x FROM s1)",
+        "s2 AS (SELECT *, CASE WHEN dt > cut THEN least(volume, av * 2.5) WHEN dt < -cut THEN -least(volume, av * 2.5) WHEN cut IS NOT NULL THEN 0 END AS x FROM (SELECT * FROM s1 WHERE av IS NOT NULL) UNION ALL BY NAME SELECT * FROM s1 WHERE av IS NULL)",
         f"s3 AS (SELECT *, ({ssum('x', 60)}) / nullif(av, 0) AS q FROM s2)",
     ],
     {"vfi": E("q", 3)},
