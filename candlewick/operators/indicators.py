@@ -101,7 +101,9 @@ def outputs_of(alias: str, name: str) -> dict[str, str]:
     return {f: alias if fields == ("value",) else f"{alias}_{f}" for f in fields}
 
 
-def compute(bars: DataFrame, wanted: Mapping[str, tuple[str, dict]] | Sequence[str], axis: Axis = HOURLY) -> DataFrame:
+def compute(
+    bars: DataFrame, wanted: Mapping[str, tuple[str, dict]] | Sequence[str], axis: Axis = HOURLY, keep_pos: bool = False
+) -> DataFrame:
     """Add indicators ``{alias: (name, parameters)}`` (or names with default parameters) to the bars."""
     if not isinstance(wanted, Mapping):
         wanted = {n: (n, {}) for n in wanted}
@@ -111,8 +113,8 @@ def compute(bars: DataFrame, wanted: Mapping[str, tuple[str, dict]] | Sequence[s
         REGISTRY[name][0](b, **params)
         builds.append(b)
         results.update({out: b.name(f) for f, out in outputs_of(alias, name).items()})
-    keep = bars.columns
-    rows = number(bars, axis)
+    keep = bars.columns + ([POS] if keep_pos and POS not in bars.columns else [])
+    rows = bars if POS in bars.columns else number(bars, axis)
     before = [x for b in builds for x in b.before]
     if before:
         merged = lambda w: {n: c for fn, _ in before for n, c in fn(w).items()}
@@ -131,7 +133,7 @@ def compute(bars: DataFrame, wanted: Mapping[str, tuple[str, dict]] | Sequence[s
         chain = [c for kind, ch, _ in level if kind == "ewm" for c in ch]
         if chain:
             rows = smooth(rows, axis, chain)
-    rows = core(rows)
+    rows = core(rows, keep_pos=True)
     return rows.select(*keep, *[F.col(src).alias(out) for out, src in results.items()])
 
 
