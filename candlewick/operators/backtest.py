@@ -13,12 +13,12 @@ from collections.abc import Mapping, Sequence
 from itertools import product
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.operators.indicators import compute
-from candlewick.operators.series import HOURLY, POS, Axis, fold, number, over_blocks, prefix, whole_by
+from candlewick.operators.series import HOURLY, POS, Axis, fold, number, over_blocks, prefix
 from candlewick.operators.signals import clean_signals, evaluate_groups, strategy
 from candlewick.operators.windows import pct_change, positive
 
@@ -41,8 +41,7 @@ def rule_backtest(
     Rules are evaluated once over the whole history.  At most one action per bar: stop loss, then take profit, then
     the exit rules; an open position is closed at the last bar.
     """
-    rows = evaluate_groups(bars, {"enter": entry_rules, "leave": exit_rules}, axis)
-    rows = whole_by(rows, list(axis.key), {"_n": F.count(F.lit(1))})
+    rows = evaluate_groups(number(bars, axis, length="_n"), {"enter": entry_rules, "leave": exit_rules}, axis)
     rows = rows.filter(F.col(POS) > warmup)
     return invest(rows, axis, "enter", "leave", stop_loss_pct, take_profit_pct, capital)
 
@@ -129,15 +128,18 @@ def run_metrics(run: DataFrame, axis: Axis, capital: float = 100_000.0, bars_per
 # --- invested-bar backtests, sweeps ---------------------------------------------------------------------------------
 
 
-def hold_backtest(rows: DataFrame, axis: Axis, capital: float = 1.0) -> DataFrame:
-    """Bars with entry and exit flags → strategy return of each bar (invested since an earlier close) and equity."""
-    rows = clean_signals(rows, axis)
-
-    def cols(w):
-        held = F.coalesce(F.lag("in_position").over(w), F.lit(False))
-        return {"strategy_return": F.when(held, F.coalesce(pct_change(w), F.lit(0.0))).otherwise(0.0)}
+def hold_backtest(rows: DataFrame, axis: Axis, capital: float = 1.0, equity: bool = True) -> DataFrame:
+    """Bars with entry and exit flags → strategy return of each bar (invested since an earlier close) and equity.
 
-    rows = over_blocks(rows, axis, cols, back=1)
+    A column ``ret`` with the bar's return is used when there is one.
+    """
+    if "ret" not in rows.columns:
+        rows = over_blocks(rows, axis, lambda w: {"ret": pct_change(w)}, back=1)
+    rows = clean_signals(rows, axis)
+    gain = F.when(F.col("was_in"), F.coalesce(F.col("ret"), F.lit(0.0))).otherwise(0.0)
+    rows = rows.withColumn("strategy_return", gain).drop("was_in", "ret")
+    if not equity:
+        return rows
     rows = prefix(rows, axis, {"_log": ("sum", F.log1p("strategy_return"))})
     return rows.withColumn("equity", capital * F.exp("_log")).drop("_log")
 
@@ -178,19 +180,19 @@ def sweep_runs(bars: DataFrame, name: str, combos: Sequence[dict], axis: Axis =
         more, make = strategy(name, prefix=f"c{i}_", **params)
         wanted.update(more)
         makers.append(make)
-    rows = compute(bars, wanted, axis, keep_pos=True)
 
     def flags(w):
-        return {f"c{i}:{k}": c for i, make in enumerate(makers) for k, c in make(w).items()}
+        out = {f"c{i}:{k}": c for i, make in enumerate(makers) for k, c in make(w).items()}
+        return {"ret": pct_change(w), **out}
 
-    rows = over_blocks(rows, axis, flags, back=1)
+    rows = compute(bars, wanted, axis, after=[flags], after_reach=1)
     each = [
         F.struct(F.lit(i).alias("combo"), F.col(f"`c{i}:entry`").alias("entry"), F.col(f"`c{i}:exit`").alias("exit"))
         for i in range(len(combos))
     ]
-    rows = rows.withColumn("_s", F.explode(F.array(*each))).select(*axis.key, *axis.order, "close", "_s.*")
+    rows = rows.withColumn("_s", F.explode(F.array(*each))).select(*axis.key, *axis.order, "close", "ret", "_s.*")
     wide = axis.by(key=(*axis.key, "combo"))
-    return hold_backtest(rows, wide), wide
+    return hold_backtest(rows, wide, equity=False), wide
 
 
 def with_parameters(df: DataFrame, combos: Sequence[dict]) -> DataFrame:
@@ -231,7 +233,7 @@ def walk_forward(
     or with fewer than 30 train / 10 test bars are left out.
     """
     combos = grid(ranges)[:limit]
-    rows = whole_by(number(bars, axis), list(axis.key), {"_n": F.count(F.lit(1))})
+    rows = number(bars, axis, length="_n")
     size = F.floor(F.col("_n") / splits)
     at = F.col(POS) - 1
     rows = rows.withColumns({"window_no": F.floor(at / size), "_at": at % size, "_cut": F.floor(size * train_ratio + 1e-9), "_size": size})
@@ -318,29 +320,28 @@ def all_passed(checked: DataFrame, keys: Sequence[str]) -> DataFrame:
 # --- baskets and positions ------------------------------------------------------------------------------------------
 
 
-def basket(returns: DataFrame, weights: DataFrame, ts: str = "ts", rebalance: str = "daily", ret: str = "ret", initial: float = 100.0, axis: Axis = HOURLY) -> DataFrame:
+def basket(
+    returns: DataFrame, weights: DataFrame, ts: str = "ts", rebalance: str = "daily", ret: str = "ret", initial: float = 100.0, axis: Axis = HOURLY
+) -> DataFrame:
     """Return, value and drawdown of a weighted basket.
 
     ``daily`` keeps the weights constant; ``none`` lets them drift from the first row; "month" (or another date_trunc
-    unit) resets them at the start of each period.
+    unit) resets them at the start of each period.  After the sum over symbols there is one row per time, so the
+    running value is a window over the calendar.
     """
-    rows = returns.join(weights, "symbol").withColumn("_k", F.lit(0))
-    whole = Axis(key=("_k",), order=(ts,), span=axis.span, rows=axis.rows)
+    rows = returns.join(weights, "symbol")
     if rebalance == "daily":
-        out = rows.groupBy("_k", ts).agg(F.sum(F.col("weight") * F.col(ret)).alias("basket_return"))
+        out = rows.groupBy(ts).agg(F.sum(F.col("weight") * F.col(ret)).alias("basket_return"))
     else:
-        period = F.lit(0) if rebalance == "none" else F.date_trunc(rebalance, ts)
-        rows = rows.withColumn("_p", period)
+        rows = rows.withColumn("_p", F.lit(0) if rebalance == "none" else F.date_trunc(rebalance, ts))
         rows = prefix(rows, axis.by(key=("symbol", "_p"), order=(ts,)), {"_log": ("sum", F.log1p(ret))})
-        value = rows.groupBy("_k", "_p", ts).agg(F.sum(F.col("weight") * F.exp("_log")).alias("_v"), F.sum("weight").alias("_w"))
-        line = whole.by(key=("_k", "_p"))
+        value = rows.groupBy("_p", ts).agg(F.sum(F.col("weight") * F.exp("_log")).alias("_v"), F.sum("weight").alias("_w"))
         first = F.lit(None).cast("double") if rebalance == "none" else F.col("_v") / F.col("_w") - 1
-        cols = lambda w: {"basket_return": F.coalesce(F.col("_v") / F.lag("_v").over(w) - 1, first)}
-        out = over_blocks(value, line, cols, back=1).select("_k", ts, "basket_return").filter(F.col("basket_return").isNotNull())
-    out = prefix(out, whole, {"_log": ("sum", F.log1p("basket_return"))})
-    out = out.withColumn("basket_value", initial * F.exp("_log"))
-    out = prefix(out, whole, {"_peak": ("max", "basket_value")})
-    return out.withColumn("drawdown", F.col("basket_value") / F.col("_peak") - 1).drop("_k", "_log", "_peak")
+        prev = F.lag("_v").over(Window.partitionBy("_p").orderBy(ts))
+        out = value.select(ts, F.coalesce(F.col("_v") / prev - 1, first).alias("basket_return")).filter("basket_return IS NOT NULL")
+    line = Window.partitionBy(F.lit(0)).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    out = out.withColumn("basket_value", initial * F.exp(F.sum(F.log1p("basket_return")).over(line)))
+    return out.withColumn("drawdown", F.col("basket_value") / F.max("basket_value").over(line) - 1)
 
 
 def position_action(entry: Column, price: Column, side: Column, max_gain_pct: Column, stop: float | None, profit: float | None, trail: float | None) -> Column:

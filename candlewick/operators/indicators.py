@@ -102,9 +102,18 @@ def outputs_of(alias: str, name: str) -> dict[str, str]:
 
 
 def compute(
-    bars: DataFrame, wanted: Mapping[str, tuple[str, dict]] | Sequence[str], axis: Axis = HOURLY, keep_pos: bool = False
+    bars: DataFrame,
+    wanted: Mapping[str, tuple[str, dict]] | Sequence[str],
+    axis: Axis = HOURLY,
+    keep_pos: bool = False,
+    after: Sequence[Cols] = (),
+    after_reach: int = 0,
 ) -> DataFrame:
-    """Add indicators ``{alias: (name, parameters)}`` (or names with default parameters) to the bars."""
+    """Add indicators ``{alias: (name, parameters)}`` (or names with default parameters) to the bars.
+
+    ``after`` adds window columns that use the indicators, in the same blocks; their frames look back
+    ``after_reach`` rows together.
+    """
     if not isinstance(wanted, Mapping):
         wanted = {n: (n, {}) for n in wanted}
     builds, results = [], {}
@@ -122,7 +131,7 @@ def compute(
     running = {n: s for b in builds for n, s in b.running.items()}
     if running:
         rows = prefix(rows, axis, running)
-    back = max((sum(s[2] for s in b.stages) for b in builds), default=0)
+    back = max((sum(s[2] for s in b.stages) for b in builds), default=0) + after_reach
     rows = blocked(rows, axis, back=back, ahead=max((b.ahead for b in builds), default=0))
     w = span_of(axis)
     for i in range(max((len(b.stages) for b in builds), default=0)):
@@ -133,8 +142,13 @@ def compute(
         chain = [c for kind, ch, _ in level if kind == "ewm" for c in ch]
         if chain:
             rows = smooth(rows, axis, chain)
-    rows = core(rows, keep_pos=True)
-    return rows.select(*keep, *[F.col(src).alias(out) for out, src in results.items()])
+    rows = rows.withColumns({out: F.col(src) for out, src in results.items()})
+    added: list[str] = []
+    for step in after:
+        cols = dict(step(w))
+        rows = rows.withColumns(cols)
+        added += [c for c in cols if c not in added]
+    return core(rows, keep_pos=True).select(*keep, *results, *[F.col(f"`{c}`") for c in added if c not in results])
 
 
 # --- building blocks ------------------------------------------------------------------------------------------------

@@ -105,7 +105,7 @@ def severity_rank(c: Column) -> Column:
 
 def down_sample(df: DataFrame, axis: Axis, points: int = 500) -> DataFrame:
     """Every n-th row so that about ``points`` remain; the last row is kept."""
-    rows = whole_by(number(df, axis), list(axis.key), {"_n": F.count(F.lit(1))})
+    rows = number(df, axis, length="_n")
     step = F.when(F.col("_n") > points, F.floor(F.col("_n") / points)).otherwise(1)
     keep = ((F.col(POS) - 1) % step == 0) | (F.col(POS) == F.col("_n"))
     return rows.filter(keep).drop(POS, "_n")

@@ -16,6 +16,7 @@ share of the table, so nothing here groups by the key alone except tables of one
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
@@ -67,16 +68,36 @@ MINUTE = Axis(span=60 * 32768)
 TICK = Axis(order=("ts", "seq"), span=86400)
 
 
+# --- shared shuffles ----------------------------------------------------------------------------------------
+
+_SERIAL = itertools.count()
+
+
+def shared(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """Shuffle by ``keys`` once for all branches of a self-join.
+
+    Branches that need fewer columns would otherwise get a narrower copy of everything below the shuffle, that is,
+    compute the input again.  An observed metric that touches every column keeps them equal, so Spark reuses the
+    exchange: the input is computed once and its shuffle files are read by each branch.
+    """
+    rows = df.repartition(*keys)
+    return rows.observe(f"shared_{next(_SERIAL)}", F.max(F.hash(*rows.columns)).alias("rows"))
+
+
 # --- blocks -------------------------------------------------------------------------------------------------
 
 
-def number(df: DataFrame, axis: Axis, out: str = POS) -> DataFrame:
-    """1-based position of each row in its series."""
+def number(df: DataFrame, axis: Axis, out: str = POS, length: str | None = None) -> DataFrame:
+    """1-based position of each row in its series and, if named, the number of rows of the series."""
     keys = [*axis.key, BUCKET]
-    rows = axis.bucketed(df)
+    rows = shared(axis.bucketed(df), *keys)
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*axis.key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    starts = sizes.select(
+        *keys,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+        *([F.sum("_n").over(Window.partitionBy(*axis.key)).alias(length)] if length else []),
+    )
     local = Window.partitionBy(*keys).orderBy(*axis.order)
     return (
         rows.withColumn("_local", F.row_number().over(local))
@@ -176,8 +197,8 @@ def prefix(
     (nearest non-null value) or ``first`` (first non-null value).  ``exclusive`` leaves the current row out.
     """
     keys = [*axis.key, BUCKET]
-    rows = axis.bucketed(df)
-    rows = rows.withColumns({f"_i_{n}": _column(c) for n, (_, c) in specs.items()})
+    rows = axis.bucketed(df).withColumns({f"_i_{n}": _column(c) for n, (_, c) in specs.items()})
+    rows = shared(rows, *keys)
     rank = F.struct(*axis.order)
     way = F.desc if backward else F.asc
 
@@ -327,7 +348,7 @@ def linear_scan(df: DataFrame, axis: Axis, out: str, a: Column, b: Column) -> Da
         part["_pa"], part["_pb"] = gains, levels
         return part
 
-    local = rows.groupBy(*keys).applyInPandas(compose, schema)
+    local = shared(rows.groupBy(*keys).applyInPandas(compose, schema), *keys)
     rank = F.struct(*axis.order)
     ends = local.groupBy(*keys).agg(F.max_by("_pa", rank).alias("_ea"), F.max_by("_pb", rank).alias("_eb"))
     carried = T.StructType([*[rows.schema[k] for k in keys], T.StructField("_in", T.DoubleType())])

@@ -7,13 +7,13 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.operators import ranking
 from candlewick.operators.indicators import compute, outputs_of
-from candlewick.operators.series import HOURLY, POS, Axis, fold, number, over_blocks, prefix, trailing, whole_by
+from candlewick.operators.series import BUCKET, HOURLY, POS, Axis, fold, number, over_blocks, prefix, shared, trailing
 from candlewick.operators.windows import positive
 
 # --- conditions -----------------------------------------------------------------------------------------------------
@@ -112,12 +112,12 @@ def evaluate_groups(bars: DataFrame, groups: Mapping[str, Sequence], axis: Axis
     items = [(g, i, r) for g, (rules, _) in parsed.items() for i, r in enumerate(rules)]
     wanted = {k: v for g, (rules, _) in parsed.items() for k, v in _wanted(rules, f"{g}_").items()}
     keep = bars.columns
-    rows = compute(bars, wanted, axis, keep_pos=True)
     alias = lambda g, i: f"_{g}_{i}"
     steps = lambda w: {n: c for g, i, r in items for n, c in _steps(w, r, alias(g, i)).items()}
     hits = lambda w: {n: c for g, i, r in items for n, c in _hits(w, r, alias(g, i)).items()}
     met = lambda w: {f"{g}_{i}": _met(w, r, alias(g, i)) for g, i, r in items}
-    rows = over_blocks(rows, axis, [steps, hits, met], back=max((_reach(r) for *_, r in items), default=0) + 1, keep_pos=True)
+    reach = max((_reach(r) for *_, r in items), default=0) + 1
+    rows = compute(bars, wanted, axis, keep_pos=True, after=[steps, hits, met], after_reach=reach)
     for g, (rules, logic) in parsed.items():
         parts = [F.col(f"{g}_{i}") for i in range(len(rules))]
         joined = functools.reduce((lambda a, b: a & b) if logic == "AND" else (lambda a, b: a | b), parts) if parts else F.lit(False)
@@ -180,22 +180,43 @@ def filtered_entry(entry: Column, x: Column, threshold: float, above: bool = Tru
 
 
 def clean_signals(df: DataFrame, axis: Axis, entry: str = "entry", exit: str = "exit") -> DataFrame:
-    """Alternate entries and exits; adds clean_entry, clean_exit and in_position (after the bar).
+    """Alternate entries and exits; adds clean_entry, clean_exit, was_in (before the bar) and in_position (after it).
 
     The state before a bar is set by the last bar with one flag only, turned over once for every bar with both
-    flags since.  That needs two prefix passes and no state machine.
+    flags since.  Both are kept per time bucket and handed over between buckets in one shared shuffle; no state
+    machine is needed.
     """
+    keys = [*axis.key, BUCKET]
     e, x = _flag(F.col(entry)), _flag(F.col(exit))
-    rows = df.withColumns({"_both": (e & x).cast("int"), "_one": F.when(e != x, e.cast("int"))})
-    rows = prefix(rows, axis, {"_toggles": ("sum", "_both")})
-    event = F.when(F.col("_one").isNotNull(), F.struct(F.col("_one").alias("s"), F.col("_toggles").alias("t")))
-    rows = prefix(rows, axis, {"_last": ("last", event)}, exclusive=True)
-    start = F.coalesce(F.col("_last.s"), F.lit(0))
-    since = F.col("_toggles") - F.col("_both") - F.coalesce(F.col("_last.t"), F.lit(0))
-    inside = (start + since) % 2 == 1
-    rows = rows.withColumns({"clean_entry": e & ~inside, "clean_exit": x & inside})
-    after = (inside & ~F.col("clean_exit")) | F.col("clean_entry")
-    return rows.withColumn("in_position", after).drop("_both", "_one", "_toggles", "_last")
+    rows = axis.bucketed(df).withColumns({"_both": (e & x).cast("long"), "_one": F.when(e != x, e.cast("int"))})
+    rows = shared(rows, *keys)
+    at = F.struct(*axis.order)
+    upto = Window.partitionBy(*keys).orderBy(*axis.order).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*keys).orderBy(*axis.order).rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumn("_t", F.sum("_both").over(upto))
+    local = local.withColumn("_event", F.when(F.col("_one").isNotNull(), F.struct(F.col("_one").alias("s"), F.col("_t").alias("t"))))
+    local = local.withColumn("_last", F.last("_event", ignorenulls=True).over(earlier))
+    # per bucket: state after its last single flag (null without one) and the turns since (all of them without one)
+    ends = local.groupBy(*keys).agg(
+        F.max_by("_event", F.when(F.col("_one").isNotNull(), at)).alias("_end"), F.sum("_both").alias("_turns")
+    )
+    line = Window.partitionBy(*axis.key).orderBy(BUCKET)
+    ends = ends.withColumn("_run", F.sum("_turns").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    mark = F.when(
+        F.col("_end").isNotNull(),
+        F.struct(F.col("_end.s").alias("s"), (F.col("_run") - F.col("_turns") + F.col("_end.t")).alias("t")),
+    )
+    known = F.last(mark, ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.withColumn("_k", known).select(
+        *keys,
+        ((F.coalesce(F.col("_k.s"), F.lit(0)) + F.col("_run") - F.col("_turns") - F.coalesce(F.col("_k.t"), F.lit(0))) % 2).alias("_start"),
+    )
+    turns = F.col("_t") - F.col("_both")
+    state = F.when(F.col("_last").isNull(), F.col("_start") + turns).otherwise(F.col("_last.s") + turns - F.col("_last.t"))
+    out = local.join(ends, keys).withColumn("was_in", state % 2 == 1)
+    out = out.withColumns({"clean_entry": e & ~F.col("was_in"), "clean_exit": x & F.col("was_in")})
+    after = (F.col("was_in") & ~F.col("clean_exit")) | F.col("clean_entry")
+    return out.withColumn("in_position", after).drop(BUCKET, "_both", "_one", "_t", "_event", "_last", "_start")
 
 
 def stop_exits(
@@ -272,7 +293,7 @@ def random_trades(
         }
     )
     if not cooldown:
-        return clean_signals(rows, axis).drop("entry", "exit", POS)
+        return clean_signals(rows, axis).drop("entry", "exit", "was_in", POS)
     cols = df.columns
     schema = T.StructType(df.schema.fields + [T.StructField(c, T.BooleanType()) for c in ("clean_entry", "clean_exit", "in_position")])
 
@@ -372,7 +393,7 @@ def split_ranges(df: DataFrame, ts: str, ranges: Sequence[tuple[str, str, str, s
 
 
 def _numbered(df: DataFrame, axis: Axis) -> DataFrame:
-    return whole_by(number(df, axis), list(axis.key), {"_n": F.count(F.lit(1))}).withColumn("_i", F.col(POS) - 1)
+    return number(df, axis, length="_n").withColumn("_i", F.col(POS) - 1)
 
 
 def _splits(rows: DataFrame, first: Column, last: Column) -> DataFrame:
@@ -526,8 +547,7 @@ def strategy_signals(bars: DataFrame, name: str, axis: Axis = HOURLY, **params)
     """Bars with the entry and exit flags of a named strategy."""
     wanted, columns = strategy(name, **params)
     keep = bars.columns
-    rows = compute(bars, wanted, axis, keep_pos=True)
-    return over_blocks(rows, axis, columns, back=1).select(*keep, "entry", "exit")
+    return compute(bars, wanted, axis, after=[columns], after_reach=1).select(*keep, "entry", "exit")
 
 
 def all_strategy_signals(bars: DataFrame, names: Sequence[str] = STRATEGIES, axis: Axis = HOURLY) -> DataFrame:
@@ -541,6 +561,6 @@ def all_strategy_signals(bars: DataFrame, names: Sequence[str] = STRATEGIES, axi
     def flags(w):
         return {f"{n}:{k}": c for n, make in makers.items() for k, c in make(w).items()}
 
-    rows = over_blocks(compute(bars, wanted, axis, keep_pos=True), axis, flags, back=1)
+    rows = compute(bars, wanted, axis, after=[flags], after_reach=1)
     each = [F.struct(F.lit(n).alias("strategy"), F.col(f"`{n}:entry`").alias("entry"), F.col(f"`{n}:exit`").alias("exit")) for n in names]
     return rows.withColumn("_s", F.explode(F.array(*each))).select(*keep, "_s.*")

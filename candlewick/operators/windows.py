@@ -621,8 +621,7 @@ def impute(df: DataFrame, axis: Axis, value: str, method: str, out: str = "fille
 
 def with_length(df: DataFrame, axis: Axis, out: str = "n_rows") -> DataFrame:
     """Position and number of rows of the series."""
-    rows = number(df, axis)
-    return whole_by(rows, list(axis.key), {out: F.count(F.lit(1))})
+    return number(df, axis, length=out)
 
 
 def head(df: DataFrame, axis: Axis, n: int) -> DataFrame:

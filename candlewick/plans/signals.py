@@ -703,13 +703,14 @@ def alpha_default_probability(spark, sf):
     with_(
         DAILY_SQL, RETURNS,
         "b AS (SELECT ts, sum(0.0005 * ret) AS basket_return FROM rets WHERE ret IS NOT NULL GROUP BY ts), c AS (SELECT *, 100 * exp(sum(ln(1 + basket_return)) OVER (ORDER BY ts)) AS basket_value FROM b)",
-        f"SELECT ts, {rs('basket_return')}, {r('basket_value', 5)} AS basket_value, {r('basket_value / max(basket_value) OVER (ORDER BY ts) - 1')} AS drawdown FROM c",
+        f"SELECT ts, {rs('basket_return')}, {r('ln(basket_value / 100)')} AS log_value, {r('basket_value / max(basket_value) OVER (ORDER BY ts) - 1')} AS drawdown FROM c",
     ),
 )
 def basket_daily(spark, sf):
     rets = returns(spark, sf, daily=True).filter("ret IS NOT NULL").select("symbol", "ts", "ret")
     weights = rets.groupBy("symbol").agg(F.lit(0.0005).alias("weight"))
-    return near(near(bt.basket(rets, weights), "basket_return", "drawdown"), "basket_value", digits=5)
+    out = bt.basket(rets, weights).withColumn("log_value", F.log(F.col("basket_value") / 100))
+    return near(out, "basket_return", "drawdown", "log_value").drop("basket_value")
 
 
 @query(
