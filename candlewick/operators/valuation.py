@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions import accounts as acc
@@ -338,34 +339,63 @@ def bond_price(ytm: Column, face: Column, coupon: Column, years: Column, frequen
     return F.when(F.abs(y) > 1e-14, c * (1 - down) / y).otherwise(c * n) + face * down
 
 
+def _halve(f, low: float, high: float, n: int, steps: int) -> np.ndarray:
+    """Root of a falling function per row by halving an interval; nan where the interval holds none."""
+    lo, hi = np.full(n, low), np.full(n, high)
+    with np.errstate(all="ignore"):
+        inside = (f(lo) >= 0) & (f(hi) <= 0)
+        for _ in range(steps):
+            mid = (lo + hi) / 2
+            above = f(mid) > 0
+            lo, hi = np.where(above, mid, lo), np.where(above, hi, mid)
+    return np.where(inside, (lo + hi) / 2, np.nan)
+
+
 def bond_yield(price: Column, face: Column, coupon: Column, years: Column, frequency: int = 2, steps: int = 60) -> Column:
     """Yield to maturity by ``steps`` halvings of [-0.99, 2]; null where the price is not reached inside."""
-    f = lambda y: bond_price(y, face, coupon, years, frequency)
-    start = F.struct(F.lit(-0.99).alias("lo"), F.lit(2.0).alias("hi"))
 
-    def halve(s, _):
-        mid = (s["lo"] + s["hi"]) / 2
-        above = f(mid) > price
-        return F.struct(F.when(above, mid).otherwise(s["lo"]).alias("lo"), F.when(above, s["hi"]).otherwise(mid).alias("hi"))
+    @F.pandas_udf("double")
+    def solve(p: pd.Series, f: pd.Series, c: pd.Series, t: pd.Series) -> pd.Series:
+        p, f, c, t = (x.to_numpy(float) for x in (p, f, c, t))
+        n, pay = np.floor(t * frequency), c * f / max(frequency, 1)
+
+        def gap(y):
+            if frequency == 0:
+                return f / (1 + y) ** t - p
+            q = y / frequency
+            down = (1 + q) ** -n
+            return np.where(np.abs(q) > 1e-14, pay * (1 - down) / np.where(q == 0, 1, q), pay * n) + f * down - p
+
+        return pd.Series(_halve(gap, -0.99, 2.0, len(p), steps))
 
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)
-    return F.when((price <= f(F.lit(-0.99))) & (price >= f(F.lit(2.0))), (end["lo"] + end["hi"]) / 2)
+    out = solve(price.cast("double"), face.cast("double"), coupon.cast("double"), years.cast("double"))
+    return F.when(~F.isnan(out), out)
 
 
 def bond_duration(ytm: Column, face: Column, coupon: Column, years: Column, frequency: int = 2) -> dict[str, Column]:
-    """Price, Macaulay and modified duration, convexity from one pass over the cash flows of the row."""
+    """Price, Macaulay and modified duration, convexity of the cash flows.
+
+    The weighted sums of the discount factors are geometric; near a zero rate, where the closed form cancels, they
+    are added up flow by flow.
+    """
     if frequency == 0:
         p = bond_price(ytm, face, coupon, years, 0)
         return {"price": p, "macaulay": years.cast("double"), "modified": years / (1 + ytm), "convexity": years * (years + 1) / F.pow(1 + ytm, 2)}
     n, y, c = F.floor(years * frequency), ytm / frequency, coupon * face / frequency
-    start = F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("d"), F.lit(0.0).alias("x"))
-
-    def add(s, t):
-        pv = F.when(t < n, c).otherwise(c + face) / F.pow(1 + y, t)
-        return F.struct((s["p"] + pv).alias("p"), (s["d"] + t / frequency * pv).alias("d"), (s["x"] + t * (t + 1) * pv).alias("x"))
-
-    s = F.when(n >= 1, F.aggregate(F.sequence(F.lit(1).cast("long"), n), start, add))
-    return {"price": s["p"], "macaulay": s["d"] / s["p"], "modified": s["d"] / s["p"] / (1 + y), "convexity": s["x"] / (s["p"] * F.pow(1 + y, 2) * frequency**2)}
+    v = 1 / (1 + y)
+    vn = F.pow(v, n)
+    s1 = v * (1 - (n + 1) * vn + n * vn * v) / F.pow(1 - v, 2)
+    s2 = v * (1 + v - F.pow(n + 1, 2) * vn + (2 * n * n + 2 * n - 1) * vn * v - n * n * vn * v * v) / F.pow(1 - v, 3)
+    flows = F.sequence(F.lit(1).cast("long"), n)
+    add = lambda g: F.aggregate(flows, F.lit(0.0), lambda s, t: s + g(t) * F.pow(v, t))
+    small = F.abs(y) < 1e-2
+    s1 = F.when(small, add(lambda t: t)).otherwise(s1)
+    s2 = F.when(small, add(lambda t: t * t)).otherwise(s2)
+    price = bond_price(ytm, face, coupon, years, frequency)
+    macaulay = (c * s1 + n * face * vn) / frequency / price
+    convexity = (c * (s1 + s2) + n * (n + 1) * face * vn) / (price * F.pow(1 + y, 2) * frequency**2)
+    live = lambda x: F.when(n >= 1, x)
+    return {"price": live(price), "macaulay": live(macaulay), "modified": live(macaulay / (1 + y)), "convexity": live(convexity)}
 
 
 def bond_portfolio(holdings: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -442,14 +472,6 @@ def _cdf(x: Column) -> Column:
     return F.get(F.transform(F.array(x), stats.normal_cdf), F.lit(0))
 
 
-def _option_value(spot: Column, strike: Column, years: Column, rate: Column, vol: Column, call: Column) -> Column:
-    """Black–Scholes value with the option side as a sign, so that both kinds share one formula."""
-    sign = F.when(call, 1.0).otherwise(-1.0)
-    root = vol * F.sqrt(years)
-    d1 = (F.log(spot / strike) + (rate + vol * vol / 2) * years) / root
-    return F.get(F.transform(F.array(d1), lambda d: sign * (spot * _cdf(sign * d) - strike * F.exp(-rate * years) * _cdf(sign * (d - root)))), F.lit(0))
-
-
 def black_scholes(df: DataFrame, spot: str, strike: str, years: str, rate: str, vol: str, kind: str) -> DataFrame:
     """Price, Greeks, intrinsic and time value of an option table; vega and rho per one percent, theta per day."""
     s, k, t, r, v = (F.col(c) for c in (spot, strike, years, rate, vol))
@@ -469,17 +491,20 @@ def black_scholes(df: DataFrame, spot: str, strike: str, years: str, rate: str,
 
 def implied_volatility(price: Column, spot: Column, strike: Column, years: Column, rate: Column, kind: Column, steps: int = 50) -> Column:
     """Volatility in (0, 5] by halving; null where no volatility in the range gives the price."""
-    call = F.lower(kind) == "call"
-    start = F.struct(F.lit(1e-6).alias("lo"), F.lit(5.0).alias("hi"))
 
-    def halve(s, _):
-        mid = (s["lo"] + s["hi"]) / 2
-        low = _option_value(spot, strike, years, rate, mid, call) < price
-        return F.struct(F.when(low, mid).otherwise(s["lo"]).alias("lo"), F.when(low, s["hi"]).otherwise(mid).alias("hi"))
+    @F.pandas_udf("double")
+    def solve(p: pd.Series, s: pd.Series, k: pd.Series, t: pd.Series, r: pd.Series, call: pd.Series) -> pd.Series:
+        p, s, k, t, r = (x.to_numpy(float) for x in (p, s, k, t, r))
+        sign, root, disc = np.where(call.to_numpy(bool), 1.0, -1.0), np.sqrt(t), k * np.exp(-r * t)
+
+        def gap(v):
+            d1 = (np.log(s / k) + (r + v * v / 2) * t) / (v * root)
+            return p - sign * (s * stats.normal_cdf_array(sign * d1) - disc * stats.normal_cdf_array(sign * (d1 - v * root)))
+
+        return pd.Series(_halve(gap, 1e-6, 5.0, len(p), steps))
 
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)
-    reached = (price >= _option_value(spot, strike, years, rate, F.lit(1e-6), call)) & (price <= _option_value(spot, strike, years, rate, F.lit(5.0), call))
-    return F.when(reached, (end["lo"] + end["hi"]) / 2)
+    out = solve(*[x.cast("double") for x in (price, spot, strike, years, rate)], F.coalesce(F.lower(kind) == "call", F.lit(False)))
+    return F.when(~F.isnan(out), out)
 
 
 # ------------------------------------------------------------------------------------------------ currencies
