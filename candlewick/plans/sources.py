@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from candlewick import fixtures as fx
+from candlewick.operators import bars
 from candlewick.plans.registry import near, query, r
 from candlewick.plans.risk import _gauss_sql
 from candlewick.plans.signals import _u
@@ -193,3 +194,52 @@ def synthetic_minutes(spark, sf):
     assets = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("symbol"), (F.lit(50.0) + F.col("s_suppkey") % 100).alias("base_price"))
     m = synthetic.minute_bars(assets, "2024-03-01", "2024-03-05", seed=3)
     return m.select("symbol", "timestamp", F.col("close"), "volume").transform(lambda d: near(d, "close", digits=1))
+
+
+def _folder(spark, name):
+    """Fresh folder for a sink below the shared folder of the session."""
+    import os
+    import uuid
+
+    from candlewick.session import checkpoint_folder
+
+    return os.path.join(checkpoint_folder(spark), "sinks", f"{name}-{uuid.uuid4().hex}")
+
+
+_DAILY = """d AS (SELECT symbol, "timestamp"::DATE AS date, arg_min(open, {'a': "timestamp", 'b': seq})::DOUBLE AS open, max(high)::DOUBLE AS high, min(low)::DOUBLE AS low, arg_max(close, {'a': "timestamp", 'b': seq})::DOUBLE AS close, sum(volume)::BIGINT AS volume FROM minute GROUP BY 1, 2)"""
+
+
+@query("silver_parquet", "S5", with_(MINUTE, f"SELECT {_BAR} FROM minute"))
+def silver_parquet(spark, sf):
+    path = _folder(spark, "silver")
+    files.write_parquet(fx.minute_like(spark, sf).select(*BAR), path)
+    return doubles(tables.read_table(spark, path))
+
+
+@query("gold_partitions", "S6", with_(MINUTE, _DAILY, "SELECT * FROM d WHERE symbol IN ('click', 'error')"))
+def gold_partitions(spark, sf):
+    path = _folder(spark, "gold")
+    files.write_parquet(_summary(spark, sf), path, by=["symbol"], files_per_part=2)
+    return spark.read.parquet(path).filter(F.col("symbol").isin("click", "error"))
+
+
+def _summary(spark, sf):
+    d = bars.daily_summary(fx.minute_like(spark, sf)).select("symbol", "date", "open", "high", "low", "close", "volume")
+    return d.withColumns({c: F.col(c).cast("double") for c in ("open", "high", "low", "close")})
+
+
+@query("gold_fan_out", "S8", with_(MINUTE, _DAILY, "SELECT 'columns' AS sink, * FROM d UNION ALL SELECT 'lines', * FROM d"))
+def gold_fan_out(spark, sf):
+    one, two = _folder(spark, "columns"), _folder(spark, "lines")
+    daily = _summary(spark, sf)
+    tables.fan_out(daily, {"columns": lambda d: files.write_parquet(d, one), "lines": lambda d: files.export(d, two, "json")})
+    back = [spark.read.parquet(one).withColumn("sink", F.lit("columns")), spark.read.schema(daily.schema).json(two).withColumn("sink", F.lit("lines"))]
+    return back[0].unionByName(back[1])
+
+
+@query("exported_table", "S19", with_(MINUTE, _DAILY, "SELECT * FROM d"))
+def exported_table(spark, sf):
+    path = _folder(spark, "export")
+    daily = _summary(spark, sf)
+    files.export(daily, path)
+    return spark.read.schema(daily.schema).option("header", True).csv(path)
