@@ -14,6 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table for row work that is heavy on the processor: one unsplittable file is spread over the tasks first.
+
+    A table of many files is already spread and is read as it is.
+    """
+    df = table(spark, sf_dir, name)
+    single = os.path.isfile(os.path.join(sf_dir, f"{name}.parquet"))
+    return df.repartition(spark.sparkContext.defaultParallelism) if single else df
+
+
 def ticks(spark: SparkSession, sf_dir: str, symbol: str = "event_type") -> DataFrame:
     """Trades: symbol, ts, seq, price, size."""
     return table(spark, sf_dir, "events").select(

@@ -11,7 +11,7 @@ from candlewick.plans.sql import with_
 
 def articles(spark, sf):
     """documents as articles: id, text, source, category, region, ts, lat, lon, tier."""
-    d = fx.table(spark, sf, "documents")
+    d = fx.spread_table(spark, sf, "documents")
     i = F.col("doc_id")
     return d.select(
         i.alias("id"), "text", "source", F.col("lang").alias("category"), F.concat(F.lit("R"), i % 7).alias("region"),
@@ -43,7 +43,7 @@ HEADLINES = f"""headlines AS (SELECT o_orderkey AS id, {HEADLINE} AS text, 'S' |
 
 
 def headlines(spark, sf):
-    return fx.table(spark, sf, "orders").select(
+    return fx.spread_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"), F.expr(HEADLINE.replace("VARCHAR(20)", "STRING")).alias("text"),
         F.concat(F.lit("S"), F.col("o_custkey") % 5).alias("source"), F.col("o_orderpriority").alias("category"), F.col("o_orderdate").cast("timestamp").alias("ts"),
         F.when(F.col("o_orderkey") % 5 == 0, "").otherwise(F.concat(F.lit("R"), F.col("o_custkey") % 9)).alias("region"),
@@ -331,7 +331,7 @@ FILINGS = f"filings AS (SELECT o_orderkey AS id, {FILING} AS text, {FORM} AS for
 
 
 def filings(spark, sf):
-    return fx.table(spark, sf, "orders").select(
+    return fx.spread_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"), F.expr(FILING.replace("VARCHAR(20)", "STRING")).alias("text"), F.expr(FORM).alias("form"), F.to_date("o_orderdate").alias("filed"),
     )
 

@@ -324,7 +324,7 @@ BONDS = """bonds AS (SELECT l_orderkey AS "order", l_linenumber AS line, l_suppk
 
 
 def bonds(spark, sf):
-    return fx.table(spark, sf, "lineitem").select(
+    return fx.spread_table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order"), F.col("l_linenumber").alias("line"), F.col("l_suppkey").alias("book"), F.lit(1000.0).alias("face"), (F.col("l_discount") + 0.01).alias("coupon"),
         (F.col("l_linenumber") + F.col("l_quantity").cast("int") % 20 + 0.5).alias("years"), (F.col("l_tax") + 0.005).alias("y"), F.col("l_extendedprice").alias("mv"),
     )
@@ -451,7 +451,7 @@ o4 AS (SELECT *, CASE kind WHEN 'call' THEN s * n1 - dk * n2 ELSE dk * (1 - n2)
 
 
 def options(spark, sf):
-    l, p = fx.table(spark, sf, "lineitem"), fx.table(spark, sf, "part").select("p_partkey", "p_retailprice")
+    l, p = fx.spread_table(spark, sf, "lineitem"), fx.table(spark, sf, "part").select("p_partkey", "p_retailprice")
     return l.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("order"), F.col("l_linenumber").alias("line"), F.col("l_suppkey").alias("sup"), F.col("p_retailprice").alias("s"), (F.col("p_retailprice") * (0.85 + 0.05 * F.col("l_linenumber"))).alias("k"),
         (F.col("l_quantity") / 25).alias("t"), F.lit(0.03).alias("rf"), (0.15 + F.col("l_discount") * 3).alias("v"), F.when(F.col("l_linenumber") % 2 == 0, "put").otherwise("call").alias("kind"),
