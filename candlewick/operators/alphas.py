@@ -107,8 +107,8 @@ def intraday_reversal(bars: DataFrame, axis: Axis = HOURLY, n: int = 5, start: i
     return insight(_on_change(rows, axis, "_side"), F.col("_side"), F.lit(None).cast("double"))
 
 
-def rate_volatility(rate: DataFrame, symbols: DataFrame, axis: Axis, n: int = 15, deviations: float = 2.0, magnitude: float = 0.005) -> DataFrame:
-    """When a rate leaves its band, one insight per symbol: the half band (up) overrides the full band (down)."""
+def rate_volatility(rate: DataFrame, symbols: Sequence[str], axis: Axis, n: int = 15, deviations: float = 2.0, magnitude: float = 0.005) -> DataFrame:
+    """When a rate leaves its band, one insight per listed symbol: the half band (up) overrides the full band (down)."""
 
     def cols(w):
         f = trailing(w, n)
@@ -118,7 +118,7 @@ def rate_volatility(rate: DataFrame, symbols: DataFrame, axis: Axis, n: int = 15
     off = F.abs(F.col("value") - F.col("_m"))
     side = F.when(off > F.col("_d") / 2, UP).when(off > F.col("_d"), DOWN)
     rows = rows.withColumn("_side", side).filter(F.col("_side").isNotNull()).select(axis.order[0], "_side")
-    out = rows.crossJoin(F.broadcast(symbols.select("symbol").distinct()))  # the output itself: every symbol at these times
+    out = rows.withColumn("symbol", F.explode(F.array(*[F.lit(s) for s in symbols])))
     return insight(out, F.col("_side"), F.lit(magnitude), ts=axis.order[0])
 
 
@@ -189,7 +189,7 @@ def lead_follow_pair(bars: DataFrame, leading: Sequence[str], following: Sequenc
 def lead_follow(bars: DataFrame, pair: DataFrame, axis: Axis = HOURLY, lookback: int = 5, trigger: float = 0.75) -> DataFrame:
     """Follow the leader's percent change of ``lookback`` bars beyond a trigger; ``pair`` has one row."""
     rows = over_blocks(bars, axis, lambda w: {"_roc": pct_change(w, "close", lookback) * 100}, back=lookback)
-    rows = rows.join(F.broadcast(pair.select(F.col("leader").alias("symbol"), "follower")), "symbol")
+    rows = rows.join(pair.select(F.col("leader").alias("symbol"), "follower"), "symbol")
     side = F.when(F.col("_roc") > trigger, UP).when(F.col("_roc") < -trigger, DOWN)
     return insight(rows, side, F.round(F.col("_roc") / 100, 6), symbol="follower")
 
@@ -219,7 +219,7 @@ def leveraged_rebalance(bars: DataFrame, groups: DataFrame, at: str = "14:15", m
     ``groups``: underlying, ultra_long, ultra_short.  Uses the last bar known at that time of the day.
     """
     h, m = map(int, at.split(":"))
-    rows = bars.join(F.broadcast(groups), F.col("symbol") == F.col("underlying"))
+    rows = bars.join(groups, F.col("symbol") == F.col("underlying"))
     day = F.to_date("ts")
     clock = F.hour("ts") * 60 + F.minute("ts")
     daily = rows.groupBy("underlying", "ultra_long", "ultra_short", day.alias("day")).agg(
@@ -236,7 +236,7 @@ def leveraged_rebalance(bars: DataFrame, groups: DataFrame, at: str = "14:15", m
 
 def decay_pair(bars: DataFrame, groups: DataFrame, magnitude: float = 0.001) -> DataFrame:
     """Short both leveraged funds of every group on every day the underlying trades."""
-    days = bars.join(F.broadcast(groups), F.col("symbol") == F.col("underlying")).select("ultra_long", "ultra_short", F.to_date("ts").alias("ts")).distinct()
+    days = bars.join(groups, F.col("symbol") == F.col("underlying")).select("ultra_long", "ultra_short", F.to_date("ts").alias("ts")).distinct()
     legs = days.withColumn("symbol", F.explode(F.array("ultra_long", "ultra_short")))
     return legs.select("symbol", "ts", F.lit(DOWN).alias("direction"), F.lit(magnitude).alias("magnitude"))
 

@@ -299,12 +299,9 @@ def market_comparison(run: DataFrame, keys: Sequence[str], ts: str = "ts") -> Da
 
 
 def evaluate_rules(metrics: DataFrame, rules: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Assert rules (metric, op, threshold) against the metrics of each run: one row per run and rule.
-
-    The rule table is small by nature (written by hand) and is broadcast.
-    """
+    """Assert rules (metric, op, threshold) against the metrics of each run: one row per run and rule."""
     long = metrics.unpivot(list(keys), [F.col(n).cast("double").alias(n) for n in names], "metric", "value")
-    rows = long.join(F.broadcast(rules), "metric")
+    rows = long.join(rules, "metric")
     v, t, op = F.col("value"), F.col("threshold"), F.col("op")
     hit = (
         F.when(op == ">", v > t).when(op == "<", v < t).when(op == ">=", v >= t).when(op == "<=", v <= t)

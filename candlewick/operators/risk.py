@@ -601,32 +601,22 @@ def random_frontier(cov: DataFrame, means: DataFrame, n: int = 1000, seed: int =
 def limit_weights(weights: DataFrame, limit: float, keys: Sequence[str] = ("portfolio",)) -> DataFrame:
     """Cap weights and give the excess to the uncapped ones in proportion, until nothing exceeds the cap.
 
-    At most 1 / limit names can be capped and each round caps one more, so that many rounds are enough.  A portfolio
-    is an array of its members; portfolios with fewer than 1 / limit members keep null weights.
+    The uncapped weights keep their proportions, so the result is ``least(limit, w * c)`` with one factor c per
+    portfolio. At most 1 / limit names can be capped: c follows from the total and the largest 1 / limit + 1 weights,
+    a bounded list however large the portfolio is. Portfolios with fewer than 1 / limit members get null weights.
     """
-    book = weights.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("symbol", F.col("weight").alias("w")))).alias("_b"))
-
-    def cap(a: Column, _: Column) -> Column:
-        sums = F.aggregate(
-            a,
-            F.struct(F.lit(0.0).alias("over"), F.lit(0.0).alias("room")),
-            lambda s, x: F.struct(
-                (s["over"] + F.greatest(x["w"] - limit, F.lit(0.0))).alias("over"),
-                (s["room"] + F.when(x["w"] < limit, x["w"]).otherwise(0.0)).alias("room"),
-            ),
-            lambda s: F.when(s["room"] > 0, s["over"] / s["room"]).otherwise(0.0),
-        )
-
-        def spread(share: Column) -> Column:
-            w = lambda x: F.when(x["w"] > limit, F.lit(limit)).when(x["w"] < limit, x["w"] * (1 + share)).otherwise(x["w"])
-            return F.transform(a, lambda x: F.struct(x["symbol"].alias("symbol"), w(x).alias("w")))
-
-        return F.get(F.transform(F.array(sums), spread), 0)  # binds the share once per round
-
-    rounds = math.ceil(1 / limit) + 1
-    done = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.col("_b"), cap)
-    rows = book.withColumn("_x", F.explode(done))
-    return rows.select(*keys, F.col("_x.symbol").alias("symbol"), F.when(F.size("_b") * limit >= 1 - 1e-12, F.col("_x.w")).alias("weight"))
+    most = math.ceil(1 / limit) + 1
+    totals = weights.groupBy(*keys).agg(F.sum("weight").alias("_t"), F.count(F.lit(1)).alias("_n"))
+    top = ranking.top_n(weights.select(*keys, "symbol", "weight"), list(keys), [F.desc("weight"), F.asc("symbol")], most)
+    top = top.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "weight"))), lambda x: x["weight"]).alias("_w"))
+    first = lambda k: F.aggregate(F.slice("_w", 1, k), F.lit(0.0), lambda s, x: s + x)
+    factor = lambda k: (F.col("_t") - k * limit) / (F.col("_t") - first(k))
+    fits = lambda k: F.coalesce(F.get("_w", k) * factor(k), F.lit(0.0)) <= limit + 1e-15
+    capped = F.get(F.filter(F.sequence(F.lit(0), F.lit(most)), fits), F.lit(0))
+    scale = totals.join(top, list(keys)).withColumn("_k", capped).withColumn("_c", F.when(F.col("_t") - first(F.col("_k")) > 1e-15, factor(F.col("_k"))))
+    rows = weights.join(scale.select(*keys, "_n", "_c"), list(keys))
+    cut = F.when(F.col("_c").isNull(), limit).otherwise(F.least(F.lit(float(limit)), F.col("weight") * F.col("_c")))
+    return rows.select(*keys, "symbol", F.when(F.col("_n") * limit >= 1 - 1e-12, cut).alias("weight"))
 
 
 def rebalance_cost(weights: DataFrame, axis: Axis, cost: float = 0.001) -> DataFrame:

@@ -8,7 +8,7 @@ from candlewick.operators import risk as ops
 from candlewick.operators import windows as win
 from candlewick.operators.series import DAILY, HOURLY
 from candlewick.plans.indicators import _recursive, recursive
-from candlewick.plans.joins import BENCH, benchmark, holdings
+from candlewick.plans.joins import HOLDINGS_SQL, BENCH, benchmark, holdings
 from candlewick.plans.quality import COMPANIES_SQL, companies
 from candlewick.plans.registry import near, query, r, rs
 from candlewick.plans.signals import _u
@@ -475,7 +475,18 @@ def random_frontier(spark, sf):
     return near(near(near(out, "sharpe"), "volatility", digits=4), "return", digits=3)
 
 
-@query("limited_weights", "R20")
+@query(
+    "limited_weights",
+    "R20",
+    with_(
+        HOLDINGS_SQL,
+        "v AS (SELECT portfolio, symbol, quantity * avg_price AS v FROM holdings), w AS (SELECT portfolio, symbol, v / sum(v) OVER (PARTITION BY portfolio) AS weight FROM v)",
+        """s AS (SELECT *, row_number() OVER o AS rn, sum(weight) OVER (PARTITION BY portfolio) AS t, count(*) OVER (PARTITION BY portfolio) AS n, coalesce(sum(weight) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above
+  FROM w WINDOW o AS (PARTITION BY portfolio ORDER BY weight DESC, symbol)), f AS (SELECT *, (t - (rn - 1) * 0.25) / (t - above) AS c FROM s),
+g AS (SELECT portfolio, arg_min(c, rn) AS c FROM f WHERE weight * c <= 0.25 + 1e-15 GROUP BY portfolio)""",
+        f"SELECT portfolio, symbol, {r('CASE WHEN n * 0.25 >= 1 - 1e-12 THEN least(0.25, weight * g.c) END')} AS weight FROM f LEFT JOIN g USING (portfolio)",
+    ),
+)
 def limited_weights(spark, sf):
     """Position weights of every customer capped at a quarter."""
     h = holdings(spark, sf).withColumn("v", F.col("quantity") * F.col("avg_price"))

@@ -597,7 +597,7 @@ def alpha_intraday_reversal(spark, sf):
 def alpha_rate_volatility(spark, sf):
     h = fx.hourly(spark, sf)
     rate = h.groupBy("ts").agg(F.avg("close").alias("value")).withColumn("symbol", F.lit("m"))
-    return alphas.rate_volatility(rate, h, HOURLY)
+    return alphas.rate_volatility(rate, ["click", "error", "purchase", "signup", "view"], HOURLY)
 
 
 PAIRS_SQL = "pr AS (SELECT a.ts, a.close AS x, b.close AS y FROM bars a JOIN bars b ON a.ts = b.ts WHERE a.symbol = 'view' AND b.symbol = 'click')"
