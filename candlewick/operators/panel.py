@@ -19,6 +19,7 @@ from candlewick.operators.series import (
 )
 from candlewick.operators.signals import uniform
 from candlewick.operators.windows import interpolated, positive
+from candlewick.session import checkpoint_folder
 
 PANEL = Axis(key=("entity_id",), order=("time",))
 
@@ -118,46 +119,87 @@ def _lag_vectors(y: DataFrame, axis: Axis, lags: int) -> DataFrame:
     return over_blocks(y, axis, cols, back=lags, keep_pos=True)
 
 
-def local_outliers(y: DataFrame, neighbours: int = 20, contamination: float = 0.05, lags: int = 5, axis: Axis = PANEL, block: int = 4096) -> DataFrame:
-    """Local outlier factor on lag vectors; entities with fewer than neighbours + lags values get no score.
+SLABS = 1024  # most slabs an entity is cut into
+
 
-    Exact nearest neighbours in pieces: every pair of row blocks of an entity is one task that keeps the nearest
-    ``neighbours`` per row; the pieces are merged, then densities are joined back.  No task holds a whole entity.
+def _slabs(known: DataFrame, key: list[str], block: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their slab (a range of the projection ``_p``) and block, and the slabs of each entity as one array.
+
+    Slab borders are approximate quantiles, rows equal to a border are spread over the slabs that meet there, and a
+    slab of more than ``block`` rows is cut by hash: no block grows with a common value.
     """
-    key = list(axis.key)
-    rows = shared(_lag_vectors(y, axis, lags), *key, POS)
-    known = rows.filter(F.col("_x").isNotNull()).select(*key, POS, "_x")
-    sizes = known.groupBy(*key).agg(F.max(POS).alias("_n")).filter(F.col("_n") >= neighbours + lags)
-    known = known.join(sizes, key).withColumns({"_b": F.floor((F.col(POS) - 1) / block), "_last": F.floor((F.col("_n") - 1) / block)})
-    all_blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last")))
-    asks = known.withColumn("_c", all_blocks).select(*key, F.col("_b"), F.col("_c"), POS, "_x")
-    data = known.withColumn("_c", F.col("_b")).withColumn("_b", all_blocks).select(*key, "_b", "_c", POS, "_x")
-    schema = T.StructType([*[y.schema[k] for k in key], T.StructField(POS, T.LongType()), T.StructField("_o", T.LongType()), T.StructField("_d", T.DoubleType())])
+    edges = known.groupBy(*key).agg(
+        F.percentile_approx("_p", [i / SLABS for i in range(1, SLABS)], 10 * SLABS).alias("_e"), F.count(F.lit(1)).alias("_n")
+    )
+    parts = F.least(F.lit(float(SLABS)), F.pow(2.0, F.floor(F.log2(F.greatest(F.col("_n") / block, F.lit(1.0))))))
+    edges = edges.withColumn("_step", (SLABS / parts).cast("int"))
+    edges = edges.select(*key, F.filter("_e", lambda e, i: (i + 1) % F.col("_step") == 0).alias("_cuts"))
+    low, high = F.size(F.filter("_cuts", lambda c: c < F.col("_p"))), F.size(F.filter("_cuts", lambda c: c <= F.col("_p")))
+    rows = known.join(edges, key).withColumn("_s", (low + F.pmod(F.xxhash64(POS, F.lit(1)), high - low + 1)).cast("int")).drop("_cuts")
+    found = rows.groupBy(*key, "_s").agg(F.min("_p").alias("lo"), F.max("_p").alias("hi"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    rows = rows.join(found.select(*key, "_s", "parts"), [*key, "_s"]).withColumn("_b", F.pmod(F.xxhash64(POS), F.col("parts")).cast("int")).drop("parts")
+    return rows, found.groupBy(*key).agg(F.collect_list(F.struct("_s", "lo", "hi", "parts")).alias("_all"))  # at most SLABS entries
+
+
+def nearest_rows(known: DataFrame, key: list[str], neighbours: int, block: int) -> DataFrame:
+    """The ``neighbours`` nearest other rows ``_o, _d`` of each row by vector ``_x``, exactly.
 
-    def nearest(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
+    First the neighbours inside the own block; their distance bounds the search. The projection on the diagonal never
+    exceeds the distance, so only the slabs within that bound of the row are searched, block pair by block pair.
+    """
+    size = F.size("_x")
+    vectors = known.select(*key, POS, "_x", (F.aggregate("_x", F.lit(0.0), lambda t, v: t + v) / F.sqrt(size)).alias("_p"))
+    checkpoint_folder(known.sparkSession)
+    rows, slabs = _slabs(vectors, key, block)
+    rows = rows.checkpoint()  # read by every step below
+    schema = T.StructType([*[known.schema[k] for k in key], T.StructField(POS, T.LongType()), T.StructField("_o", T.LongType()), T.StructField("_d", T.DoubleType())])
+
+    def search(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         if ask.empty or have.empty:
             return pd.DataFrame({f.name: [] for f in schema.fields})
         have = have.sort_values(POS)
         a, b = np.stack(ask["_x"].to_numpy()), np.stack(have["_x"].to_numpy())
         pos, other = ask[POS].to_numpy(), have[POS].to_numpy()
+        k = min(neighbours + 1, len(b))
         out = []
-        for lo in range(0, len(a), 512):
-            part = a[lo : lo + 512]
-            d = np.sqrt(np.maximum(((part[:, None, :] - b[None, :, :]) ** 2).sum(-1), 0))
-            d[pos[lo : lo + 512, None] == other[None, :]] = np.inf
-            k = min(neighbours, len(b))
+        for lo in range(0, len(a), 256):
+            d = np.sqrt(((a[lo : lo + 256, None, :] - b[None, :, :]) ** 2).sum(-1))
+            d[pos[lo : lo + 256, None] == other[None, :]] = np.inf
             best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            dist = np.take_along_axis(d, best, 1)
+            dist = np.take_along_axis(d, best, 1).ravel()
             keep = np.isfinite(dist)
-            out.append(pd.DataFrame({POS: np.repeat(pos[lo : lo + 512], k)[keep.ravel()], "_o": other[best].ravel()[keep.ravel()], "_d": dist.ravel()[keep.ravel()]}))
-        res = pd.concat(out)
-        for k_ in key:
-            res[k_] = ask[k_].iloc[0]
-        return res[schema.names]
-
-    pairs = asks.groupBy(*key, "_b", "_c").cogroup(data.toDF(*data.columns).groupBy(*key, "_b", "_c")).applyInPandas(nearest, schema)
-    order = Window.partitionBy(*key, POS).orderBy("_d", "_o")  # neighbours x blocks rows
-    near = shared(pairs.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= neighbours), *key, POS)
+            out.append(pd.DataFrame({POS: np.repeat(pos[lo : lo + 256], k)[keep], "_o": other[best].ravel()[keep], "_d": dist[keep]}))
+        return pd.concat(out).assign(**{k_: ask[k_].iloc[0] for k_ in key})[schema.names]
+
+    own = rows.groupBy(*key, "_s", "_b").applyInPandas(lambda part: search(part, part), schema)
+    order = Window.partitionBy(*key, POS).orderBy("_d", "_o")  # neighbours x searched blocks rows
+    own = own.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= neighbours).drop("_r").checkpoint()
+    reach = own.groupBy(*key, POS).agg(F.when(F.count(F.lit(1)) == neighbours, F.max("_d")).alias("_u"))
+    asks = rows.join(reach, [*key, POS], "left").join(slabs, key)
+    far = F.col("_u") * (1 + 1e-12)
+    met = F.filter("_all", lambda z: F.col("_u").isNull() | ((z["lo"] <= F.col("_p") + far) & (z["hi"] >= F.col("_p") - far)))
+    asks = asks.withColumn("_z", F.explode(met)).withColumn("_c", F.explode(F.sequence(F.lit(0), F.col("_z.parts") - 1))).withColumn("_t", F.col("_z._s"))
+    asks = asks.filter((F.col("_t") != F.col("_s")) | (F.col("_c") != F.col("_b"))).select(*key, "_s", "_b", "_t", "_c", POS, "_x")
+    asks = shared(asks, *key, "_s", "_b", "_t", "_c")
+    wanted = asks.select(*key, "_s", "_b", "_t", "_c").distinct()
+    data = rows.select(*key, F.col("_s").alias("_t"), F.col("_b").alias("_c"), F.col(POS), F.col("_x")).join(wanted, [*key, "_t", "_c"])
+    data = data.toDF(*data.columns)
+    by = [*key, "_s", "_b", "_t", "_c"]
+    return own.unionByName(asks.groupBy(*by).cogroup(data.groupBy(*by)).applyInPandas(search, schema))
+
+
+def local_outliers(y: DataFrame, neighbours: int = 20, contamination: float = 0.05, lags: int = 5, axis: Axis = PANEL, block: int = 4096) -> DataFrame:
+    """Local outlier factor on lag vectors; entities with fewer than neighbours + lags values get no score.
+
+    Exact nearest neighbours by :func:`nearest_rows`, then densities are joined back. No task holds a whole entity.
+    """
+    key = list(axis.key)
+    rows = shared(_lag_vectors(y, axis, lags), *key, POS)
+    known = rows.filter(F.col("_x").isNotNull()).select(*key, POS, "_x")
+    sizes = known.groupBy(*key).agg(F.max(POS).alias("_n")).filter(F.col("_n") >= neighbours + lags)
+    pairs = nearest_rows(known.join(sizes.select(*key), key), key, neighbours, block)
+    order = Window.partitionBy(*key, POS).orderBy("_d", "_o")  # neighbours x searched blocks rows
+    near = pairs.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= neighbours).checkpoint()
     kdist = near.groupBy(*key, POS).agg(F.max("_d").alias("_k"))
     reach = near.join(kdist.withColumnRenamed(POS, "_o"), [*key, "_o"]).withColumn("_reach", F.greatest("_d", "_k"))
     density = reach.groupBy(*key, POS).agg((1 / (F.avg("_reach") + 1e-10)).alias("_lrd"), F.collect_list("_o").alias("_os"))  # ≤ neighbours
