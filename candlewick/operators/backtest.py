@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from itertools import product
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -323,8 +323,8 @@ def basket(
     """Return, value and drawdown of a weighted basket.
 
     ``daily`` keeps the weights constant; ``none`` lets them drift from the first row; "month" (or another date_trunc
-    unit) resets them at the start of each period.  After the sum over symbols there is one row per time, so the
-    running value is a window over the calendar.
+    unit) resets them at the start of each period.  After the sum over symbols there is one row per time; the running
+    value goes over time buckets.
     """
     rows = returns.join(weights, "symbol")
     if rebalance == "daily":
@@ -334,11 +334,12 @@ def basket(
         rows = prefix(rows, axis.by(key=("symbol", "_p"), order=(ts,)), {"_log": ("sum", F.log1p(ret))})
         value = rows.groupBy("_p", ts).agg(F.sum(F.col("weight") * F.exp("_log")).alias("_v"), F.sum("weight").alias("_w"))
         first = F.lit(None).cast("double") if rebalance == "none" else F.col("_v") / F.col("_w") - 1
-        prev = F.lag("_v").over(Window.partitionBy("_p").orderBy(ts))
-        out = value.select(ts, F.coalesce(F.col("_v") / prev - 1, first).alias("basket_return")).filter("basket_return IS NOT NULL")
-    line = Window.partitionBy(F.lit(0)).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    out = out.withColumn("basket_value", initial * F.exp(F.sum(F.log1p("basket_return")).over(line)))
-    return out.withColumn("drawdown", F.col("basket_value") / F.max("basket_value").over(line) - 1)
+        value = over_blocks(value, axis.by(key=("_p",), order=(ts,)), lambda w: {"_before": F.lag("_v").over(w)}, back=1)
+        out = value.select(ts, F.coalesce(F.col("_v") / F.col("_before") - 1, first).alias("basket_return")).filter("basket_return IS NOT NULL")
+    line = axis.by(key=("_all",), order=(ts,))
+    out = prefix(out.withColumn("_all", F.lit(0)), line, {"_log": ("sum", F.log1p("basket_return"))})
+    out = prefix(out.withColumn("basket_value", initial * F.exp("_log")), line, {"_peak": ("max", "basket_value")})
+    return out.withColumn("drawdown", F.col("basket_value") / F.col("_peak") - 1).select(ts, "basket_return", "basket_value", "drawdown")
 
 
 def position_action(entry: Column, price: Column, side: Column, max_gain_pct: Column, stop: float | None, profit: float | None, trail: float | None) -> Column:

@@ -635,8 +635,9 @@ def topk_dropout(scores: DataFrame, topk: int, drop: int, ts: str = "ts", score:
     keep = ranking.top_n(scores.select(ts, "symbol", score), [ts], [F.desc(score), F.asc("symbol")], topk + drop).select("symbol").distinct()
     rows = scores.select(ts, "symbol", score).join(keep, "symbol", "left_semi").withColumn("_k", F.lit(0))
     axis = Axis(key=("_k",), order=(ts, "symbol"), span=span)
-    line = Window.partitionBy(F.lit(0)).orderBy("symbol")  # one row per name
-    rows = rows.join(keep.withColumn("_id", F.row_number().over(line).cast("double")), "symbol")
+    names = keep.withColumns({"_k": F.lit(0), "_h": F.pmod(F.xxhash64("symbol"), F.lit(2**20))})
+    names = number(names, Axis(key=("_k",), order=("_h", "symbol"), span=1024), "_id").select("symbol", F.col("_id").cast("double").alias("_id"))
+    rows = rows.join(names, "symbol")
     schema = T.StructType([scores.schema[ts], T.StructField("symbol", T.StringType()), T.StructField("action", T.StringType())])
 
     def run(part: pd.DataFrame, state):

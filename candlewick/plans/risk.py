@@ -513,7 +513,7 @@ def rebalance_cost(spark, sf):
 @query("topk_dropout", "R21")
 def topk_dropout(spark, sf):
     m = fx.daily(spark, sf).groupBy("symbol", F.date_trunc("month", "ts").alias("ts")).agg(F.sum("volume").cast("double").alias("score"))
-    return ops.topk_dropout(m, 10, 2, span=86400 * 36600)  # monthly rows
+    return ops.topk_dropout(m, 10, 2)
 
 
 @query(
