@@ -132,10 +132,11 @@ def sentiment_summary(scored: DataFrame) -> DataFrame:
 
 def tokenise(text: Column, synonyms: Sequence[tuple[str, str]] | None = None, stop: Sequence[str] | None = None) -> Column:
     """Lower-case words of at least three letters without stop words, variants replaced by one form."""
-    same = F.create_map(*[F.lit(x) for pair in (synonyms or voc.entries(voc.SYNONYMS)) for x in pair])
+    pairs = synonyms or voc.entries(voc.SYNONYMS)
+    same = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
     found = F.regexp_extract_all(F.lower(text), F.lit("[a-z]{3,}"), F.lit(0))
     kept = F.filter(found, lambda w: ~w.isin(list(stop or voc.STOP_WORDS)))
-    return F.transform(kept, lambda w: F.coalesce(F.element_at(same, w), w))
+    return F.transform(kept, lambda w: F.when(w.isin([p for p, _ in pairs]), F.element_at(same, w)).otherwise(w))
 
 
 def tf_idf(df: DataFrame, key: str, tokens: str) -> DataFrame:
