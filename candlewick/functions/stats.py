@@ -40,6 +40,11 @@ def normal_cdf(x: Column) -> Column:
     return F.when(x > 0, 1 - upper).otherwise(upper)
 
 
+def normal_cdf_once(x: Column) -> Column:
+    """The same function for a long argument, which is computed once and not wherever the formula names it."""
+    return F.get(F.transform(F.array(x), normal_cdf), F.lit(0))
+
+
 def normal_cdf_array(x: np.ndarray) -> np.ndarray:
     """The same function over an array."""
     a = np.minimum(np.abs(x), 37.0)

@@ -512,14 +512,18 @@ def geocode(df: DataFrame, text: str, most: int = 5, cities=None, countries=None
 
 def filing_score(text: Column, form: Column) -> Column:
     """Confidence 0–1 that a filing announces a merger or acquisition."""
-    low = F.lower(text)
-    count = lambda tests: sum((F.when(t, 1).otherwise(0) for t in tests), F.lit(0))
+    words_ = _strings([w.strip() for w in voc.DEAL_WORDS.split(",")])
+    patterns = "|".join(f"(?:{p})" for p in voc.DEAL_PATTERNS)
+
+    def by_text(low: Column) -> Column:
+        by_word = F.least(F.size(F.filter(words_, lambda w: low.contains(w))) * 0.07, F.lit(0.35))
+        by_pattern = sum((F.when(low.rlike(p), 1).otherwise(0) for p in voc.DEAL_PATTERNS), F.lit(0)) * 0.10
+        return by_word + F.when(low.rlike(patterns), by_pattern).otherwise(0.0)
+
     by_form = F.when(form.isin(list(voc.SURE_FORMS)), 0.45).when(form.isin(list(voc.LIKELY_FORMS)), 0.15).otherwise(0.0)
-    by_word = F.least(count(low.contains(w.strip()) for w in voc.DEAL_WORDS.split(",")) * 0.07, F.lit(0.35))
-    by_pattern = count(low.rlike(p) for p in voc.DEAL_PATTERNS) * 0.10
     items = F.regexp_extract_all(text, F.lit(r"Item\s+(\d+\.\d+)"), F.lit(1))
     by_item = F.when((form == "8-K") & F.arrays_overlap(items, _strings(voc.EVENT_ITEMS)), 0.20).otherwise(0.0)
-    return F.least(by_form + by_word + by_pattern + by_item, F.lit(1.0))
+    return F.least(by_form + _once(F.lower(text), by_text) + by_item, F.lit(1.0))
 
 
 def scan_filings(df: DataFrame, text: str, form: str, least: float = 0.75) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.functions.stats import normal_cdf, normal_ppf
+from candlewick.functions.stats import normal_cdf_once, normal_ppf
 from candlewick.operators import ranking
 from candlewick.operators.joins import pair_statistics, pair_sums
 from candlewick.operators.series import DAILY, Axis, fold, number, over_blocks, prefix
@@ -355,8 +355,8 @@ def sharpe_significance(rows: DataFrame, keys: Sequence[str], ret: str = "ret",
     out = out.withColumn("_zd", (a - best) / F.sqrt(F.when(F.col("_d") > 0, F.col("_d"))))
     return out.withColumns(
         {
-            "probabilistic_sharpe": normal_cdf(F.col("_z")),
-            "deflated_sharpe": F.when(n < 10, 0.0).when(F.col("_d") <= 0, a).otherwise(normal_cdf(F.col("_zd"))),
+            "probabilistic_sharpe": normal_cdf_once(F.col("_z")),
+            "deflated_sharpe": F.when(n < 10, 0.0).when(F.col("_d") <= 0, a).otherwise(normal_cdf_once(F.col("_zd"))),
         }
     ).drop("_m", "_s", "_g", "_k", "_sr", "_z", "_d", "_zd")
 

@@ -468,17 +468,13 @@ def curve_shape(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------------------------------------ options
 
 
-def _cdf(x: Column) -> Column:
-    return F.get(F.transform(F.array(x), stats.normal_cdf), F.lit(0))
-
-
 def black_scholes(df: DataFrame, spot: str, strike: str, years: str, rate: str, vol: str, kind: str) -> DataFrame:
     """Price, Greeks, intrinsic and time value of an option table; vega and rho per one percent, theta per day."""
     s, k, t, r, v = (F.col(c) for c in (spot, strike, years, rate, vol))
     call = F.lower(kind) == "call"
     d = df.withColumn("_root", v * F.sqrt(t)).withColumn("d1", (F.log(s / k) + (r + v * v / 2) * t) / F.col("_root"))
     d = d.withColumns({"d2": F.col("d1") - F.col("_root"), "_sign": F.when(call, 1.0).otherwise(-1.0), "_disc": k * F.exp(-r * t), "_pdf": stats.normal_pdf(F.col("d1"))})
-    d = d.withColumns({"_n1": _cdf(F.col("_sign") * F.col("d1")), "_n2": _cdf(F.col("_sign") * F.col("d2"))})
+    d = d.withColumns({"_n1": stats.normal_cdf_once(F.col("_sign") * F.col("d1")), "_n2": stats.normal_cdf_once(F.col("_sign") * F.col("d2"))})
     sign, n1, n2, pdf, disc = (F.col(c) for c in ("_sign", "_n1", "_n2", "_pdf", "_disc"))
     price = sign * (s * n1 - disc * n2)
     intrinsic = F.greatest(sign * (s - k), F.lit(0.0))
