@@ -1,5 +1,7 @@
 """Performance, risk, simulation and weight queries."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from candlewick import fixtures as fx
@@ -532,7 +534,20 @@ def sharpe_significance(spark, sf):
     return near(near(out, "sharpe"), "probabilistic_sharpe", digits=5).drop("deflated_sharpe")
 
 
-@query("deflated_sharpe", "R22")
+_BEST = math.sqrt(2 * math.log(20)) * (1 - 0.5772156649015329 / (2 * math.log(20)))
+
+
+@query(
+    "deflated_sharpe",
+    "R22",
+    with_(
+        DAILY_SQL, RETURNS, RF,
+        "m AS (SELECT symbol, avg(ret) AS m, stddev_samp(ret) AS s, stddev_pop(ret) AS sp, kurtosis_pop(ret) AS k, count(*) AS n FROM rf GROUP BY symbol), g AS (SELECT m.symbol, any_value(m / s) * sqrt(252) AS sharpe, any_value(k) AS k, any_value(n) AS n, avg(power((ret - m) / sp, 3)) AS g FROM m JOIN rf ON m.symbol = rf.symbol GROUP BY m.symbol)",
+        "d AS (SELECT *, (1 - g * power((n - 1) / n, 1.5) * sharpe + ((k + 3) * power((n - 1) / n, 2) - 1) / 4 * sharpe * sharpe) / n AS d FROM g)",
+        f"z AS (SELECT *, CASE WHEN d > 0 THEN (sharpe - {_BEST!r}) / sqrt(d) END AS z FROM d)",
+        f"SELECT symbol, {rs('sharpe')}, {r('CASE WHEN n < 10 THEN 0 WHEN d <= 0 THEN sharpe WHEN z >= 7 THEN 1 WHEN z <= -7 THEN 0 ELSE ' + normal_cdf_sql('z') + ' END')} AS deflated_sharpe FROM z",
+    ),
+)
 def deflated_sharpe(spark, sf):
     rows = returns(spark, sf, daily=True).filter("ret IS NOT NULL")
     return near(ops.sharpe_significance(rows, ["symbol"], trials=20), "sharpe", "deflated_sharpe").select("symbol", "sharpe", "deflated_sharpe")
