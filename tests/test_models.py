@@ -105,3 +105,18 @@ def test_drifting_basket(spark):
     assert value == pytest.approx([(50 * 1.1 * 1.2 + 50 * 0.9)])  # holdings are bought at the first row
     value = [r.basket_value for r in backtest.basket(df, w).orderBy("ts").collect()]
     assert value == pytest.approx([100.0, 110.0])
+
+
+def test_principal_components(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 5)) @ rng.normal(size=(5, 5))
+    cov, corr = np.cov(x.T), np.corrcoef(x.T)
+    pairs = spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"('s{i}', 's{j}', {float(cov[i, j])!r}D, {float(corr[i, j])!r}D)" for i in range(5) for j in range(i, 5)
+    ) + " AS t(a, b, cov, corr)")
+    got = panel.principal_components(pairs, 3).collect()
+    values = {r.component: r.eigenvalue for r in got}
+    assert sorted(values.values(), reverse=True) == pytest.approx(np.sort(np.linalg.eigvalsh(corr))[::-1][:3])
+    for c, v in values.items():
+        load = np.array([r.loading for r in sorted(got, key=lambda r: r.symbol) if r.component == c])
+        assert corr @ load == pytest.approx(v * load, abs=1e-9)
