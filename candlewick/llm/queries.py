@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, chat_format, mixing, pii
+from candlewick.llm import bpe, chat_format, language_id, mixing, pii, pivot_dedup, ppm, threshold_topk
+from candlewick.llm.common import bucket_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,28 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_pivot_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate groups among all vectors of a label."""
+    return pivot_dedup.pivot_dedup(table(spark, sf, "embeddings"))
+
+
+@query
+def op2_threshold_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten best partners of every hundredth vector."""
+    return threshold_topk.top_k(table(spark, sf, "embeddings"))
+
+
+ORACLES["op2_threshold_topk"] = """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS w FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 @query
 def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     """Every conversation formatted; digests of what is read back from the output."""
@@ -51,6 +74,14 @@ def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document; every fifth one is held out of the training."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", (bucket_of(F.col("doc_id"), 5) == 0).alias("held_out"))
+    net = language_id.train(docs.where(~F.col("held_out")))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), net).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Words that a mix by weights 5, 2, 1 takes of each document."""
@@ -66,3 +97,11 @@ def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
     shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
     return done.select("doc_id", *counts, F.sha2(shown(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
+
+
+@query
+def op10_ppm(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of every text; every tenth document is held out of the training."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    done = ppm.score_texts(docs, bucket_of(F.col("doc_id"), 10) != 0)
+    return done.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
