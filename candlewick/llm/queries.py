@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, chat_format, language_id, mixing, pii, pivot_dedup, ppm, threshold_topk
+from candlewick.llm import bpe, chat_format, language_id, mixing, ngram_join, pii, pivot_dedup, ppm, threshold_topk
 from candlewick.llm.common import bucket_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,12 @@ def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of near copies among all documents."""
+    return ngram_join.ngram_join(table(spark, sf, "documents"))
+
+
 @query
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every text and the text of the ids, as digests."""
