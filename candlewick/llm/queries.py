@@ -101,7 +101,8 @@ def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
     done = pii.find_pii(table(spark, sf, "documents"))
     base = [k.name for k in pii.BASE]
     shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    of_kind = lambda k: F.filter("spans", lambda s: s["kind"] == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in base]
     return done.select("doc_id", *counts, F.sha2(shown(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
 
 
