@@ -8,6 +8,7 @@ entry and is therefore bounded by the tokenizer file.
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -21,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.words import put_back, text_rows, word_rows
+from candlewick.llm.words import lane_rows, pack, put_back, text_rows, unpack, words_of
 
 #: White space as the tokenizer's patterns know it (fixed values: code points).
 SPACES = (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+SPECIAL = " "  # before a special string, so that it is no ordinary word
+LANES = 2048  # of distinct words
 SHORT = 48  # symbols up to which scanning for the best pair beats a heap
 
 
@@ -57,17 +60,21 @@ class WordBpe:
         return WordBpe(model["vocab"], {m: i for i, m in enumerate(merges)}, model["end_of_word_suffix"], special, pattern)
 
     def splitter(self):
-        """Function from a text to its words: special strings, and what stands between white space."""
-        word = regex.compile(f"[^{''.join(map(chr, SPACES))}]+").findall
-        if not self.special:
-            return word
+        """Function from a text to its words: special strings, and what stands between white space, composed and in lower case."""
+        find = regex.compile(f"[^{''.join(map(chr, SPACES))}]+").findall
         starts = {s[0] for s in self.special}
-        cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
+        cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
+
+        def words(text: str) -> list[str]:
+            # lower-casing goes letter by letter: no final form of sigma
+            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+            # str.split also cuts at these four
+            return find(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
         def split(text: str) -> list[str]:
             if not any(s in text for s in starts) or not cut.search(text):
-                return word(text)
-            return [w for i, part in enumerate(cut.split(text)) for w in ([part] if i % 2 else word(part))]
+                return words(text)
+            return [w for i, part in enumerate(cut.split(text)) for w in ([SPECIAL + part] if i % 2 else words(part))]
 
         return split
 
@@ -77,11 +84,10 @@ class WordBpe:
         letters = self.letters
 
         def encode(word: str) -> list[int]:
-            if word in special:
-                return [special[word]]
+            if word[0] == SPECIAL:
+                return [special[word[1:]]]
             ids: list[int] = []
-            # lower-casing goes letter by letter: no final form of sigma
-            for piece in pieces(unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()):
+            for piece in pieces(word):
                 symbols = [letters[b] for b in piece.encode("utf-8")]
                 symbols[-1] += self.suffix
                 merged = _merge_short(symbols, ranks) if len(symbols) <= SHORT else _merge_long(symbols, ranks)
@@ -97,11 +103,17 @@ class WordBpe:
 
 
 def _merge_short(s: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    while len(s) > 1:
-        best, at = min((ranks.get(pair, 1 << 30), i) for i, pair in enumerate(zip(s, s[1:], strict=False)))
-        if best == 1 << 30:
-            break
-        s[at : at + 2] = [s[at] + s[at + 1]]
+    """Join the pair of lowest rank, the first of equals, until none is left; ranks of pairs are kept beside the symbols."""
+    never, rank = len(ranks), ranks.get
+    here = [rank(p, never) for p in zip(s, s[1:], strict=False)]
+    while here and (best := min(here)) < never:
+        i = here.index(best)
+        s[i : i + 2] = [s[i] + s[i + 1]]
+        del here[i]
+        if i:
+            here[i - 1] = rank((s[i - 1], s[i]), never)
+        if i < len(here):
+            here[i] = rank((s[i], s[i + 1]), never)
     return s
 
 
@@ -135,29 +147,40 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] =
     split, encoder = bpe.splitter(), bpe.encoder()
     docs = df.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias("_text"))
 
-    def encode_runs(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, ids = None, []
+    def encode_lanes(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lane, table = None, {}
         for b in stream:
             out = []
-            for word in b.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, encoder(word)
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column("batch"), b.column("code"), pa.array(out, pa.list_(pa.int32()))], names=["batch", "code", "ids"])
-
-    # all rows of a word are neighbours in one sorted partition: it is encoded at the first of them
-    words = word_rows(docs, split).select("batch", "code", "word").repartition("word").sortWithinPartitions("word")
-    found = words.mapInArrow(encode_runs, "batch bigint, code int, ids array<int>")
-
-    def gather(rows: pa.Table, codes: np.ndarray, counts: np.ndarray, words: pa.Table) -> pa.Table:
-        lists = words.column("ids").combine_chunks()
-        all_ids = pc.take(lists, pa.array(codes, pa.int32()))
-        starts = np.concatenate([[0], np.cumsum(counts)])
-        offsets = np.asarray(all_ids.offsets)[starts].astype(np.int32) - (all_ids.offsets[0].as_py() if len(all_ids.offsets) else 0)
-        return rows.append_column("ids", pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), all_ids.flatten()))
+            for row in b.to_pylist():
+                if row["lane"] != lane:  # rows of a lane are neighbours: a word is encoded once
+                    lane, table = row["lane"], {}
+                found = []
+                for word in words_of(row["words"]):
+                    ids = table.get(word)
+                    if ids is None:
+                        ids = table[word] = encoder(word)
+                    found.append(ids)
+                flat = np.fromiter(itertools.chain.from_iterable(found), np.int32)
+                out.append({"batch": row["batch"], "lane": lane, "n": len(found), "total": len(flat), "sizes": pack(np.fromiter(map(len, found), np.int32, len(found))), "ids": pack(flat)})
+            yield pa.RecordBatch.from_pylist(out, found_schema)
+
+    found_schema = pa.schema([("batch", pa.int64()), ("lane", pa.int32()), ("n", pa.int32()), ("total", pa.int32()), ("sizes", pa.list_(pa.binary())), ("ids", pa.list_(pa.binary()))])
+    words = lane_rows(docs, split, LANES).repartition("lane").sortWithinPartitions("lane", "batch")
+    found = words.mapInArrow(encode_lanes, "batch bigint, lane int, n int, total int, sizes array<binary>, ids array<binary>")
+
+    def gather(rows: pa.Table, codes: np.ndarray, counts: np.ndarray, found: pa.Table) -> pa.Table:
+        lanes = found.to_pylist()
+        sizes = np.concatenate([np.empty(0, np.int32), *(unpack(x["sizes"], x["n"]) for x in lanes)])
+        if len(codes) and codes.max() >= len(sizes):
+            raise RuntimeError("words of a batch are missing; write or checkpoint the documents first")
+        flat = np.concatenate([np.empty(0, np.int32), *(unpack(x["ids"], x["total"]) for x in lanes)])
+        borders = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        ids = pc.take(pa.ListArray.from_arrays(pa.array(borders), pa.array(flat)), pa.array(codes))
+        ends = np.concatenate([[0], np.cumsum(sizes[codes], dtype=np.int64)])[np.concatenate([[0], np.cumsum(counts)])]
+        return rows.append_column("ids", pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids.flatten()))
 
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return put_back(text_rows(docs, split), found, gather, schema)
+    return put_back(text_rows(docs, split, LANES), found, gather, schema, order="lane")
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -1,10 +1,14 @@
 """Distinct words of batches of documents: looked up once for all, put back by position.
 
 A task cuts its documents into batches of bounded text size, numbers the distinct words of a batch and turns every text into word
-numbers. Two reads come from it: the rows (batch, code, word) for a lookup by word, and one row per batch with the numbers in
+numbers. Two reads come from it: the distinct words of a batch for a lookup by word, and one row per batch with the numbers in
 their order. After the lookup both meet again by batch. So a word crosses the network once per batch, not once per mention,
 and texts do not cross it at all.
 
+Words travel as rows (batch, code, word) or, packed, in lanes: a word belongs to the lane of its checksum, and the words of a batch
+in a lane are one row. A word then has its number by lane and alphabet, which need not be sent. Lanes spread evenly however
+common a word is, since a batch holds each word once.
+
 The documents are read twice and must come in the same order both times: a table or a checkpoint, not a shuffle result. A batch
 is named by a digest of its words, so a changed order raises an error and never gives wrong rows. Texts stand in a column
 ``_text``; the other columns come back with the result.
@@ -13,6 +17,9 @@ is named by a digest of its words, so a changed order raises an error and never
 from __future__ import annotations
 
 import hashlib
+import itertools
+import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,33 +51,51 @@ def _batches(stream: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]
         yield pa.Table.from_batches(held)
 
 
-def _coded(stream: Iterator[pa.RecordBatch], split: Split, limit: int) -> Iterator[tuple[int, pa.Table, dict[str, int], np.ndarray, np.ndarray]]:
-    """(batch id, rows, word -> code, codes of all texts one after the other, words per row)."""
+def _coded(stream: Iterator[pa.RecordBatch], split: Split, limit: int) -> Iterator[tuple[int, pa.Table, list[str], np.ndarray, np.ndarray]]:
+    """(batch id, rows, words by code, codes of all texts one after the other, words per row)."""
     task = TaskContext.get().partitionId()
     for number, table in enumerate(_batches(stream, limit)):
-        code: dict[str, int] = {}
+        code: dict[str, int] = defaultdict(itertools.count().__next__)
         codes, counts = [], np.empty(table.num_rows, np.int64)
         for i, text in enumerate(table.column("_text")):
             found = split(text.as_py() or "")
             counts[i] = len(found)
-            codes.append(np.fromiter([code.setdefault(w, len(code)) for w in found], np.int32, len(found)))
-        name = hashlib.blake2b(f"{task} {number} ".encode(), digest_size=8)
-        for w in code:
-            name.update(w.encode("utf-8", "surrogatepass") + b"\n")
-        yield int.from_bytes(name.digest(), "little", signed=True), table, code, np.concatenate(codes) if codes else np.empty(0, np.int32), counts
+            codes.append(np.fromiter(map(code.__getitem__, found), np.int32, len(found)))
+        words = list(code)
+        name = hashlib.blake2b(f"{task} {number}\n".encode(), digest_size=8)
+        name.update("\n".join(words).encode("utf-8", "surrogatepass"))
+        yield int.from_bytes(name.digest(), "little", signed=True), table, words, np.concatenate(codes) if codes else np.empty(0, np.int32), counts
+
+
+def _by_lane(words: list[str], lanes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the words by lane and alphabet, and the lane of each in that order."""
+    lane = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % lanes for w in words), np.int32, len(words))
+    order = np.array(sorted(range(len(words)), key=lambda i: (lane[i], words[i])), np.int64)
+    return order, lane[order]
+
+
+def pack(values: np.ndarray) -> list[bytes]:
+    """Whole numbers from 0 to 2**31 - 1 by byte planes, compressed."""
+    return [pa.compress((values >> shift).astype(np.uint8).tobytes(), "zstd", asbytes=True) for shift in (0, 8, 16, 24)]
+
+
+def unpack(planes: list[bytes], size: int) -> np.ndarray:
+    values = np.zeros(size, np.int32)
+    for shift, plane in zip((0, 8, 16, 24), planes, strict=True):
+        values |= np.frombuffer(pa.decompress(plane, size, "zstd", asbytes=True), np.uint8).astype(np.int32) << shift
+    return values
 
 
 def word_rows(df: DataFrame, split: Split, limit: int = BATCH_CHARS, counted: str | None = None) -> DataFrame:
     """``batch, code, word, n``: distinct words of each batch; ``n`` counts its mentions in rows whose ``counted`` column holds."""
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, table, code, codes, counts in _coded(stream, split, limit):
+        for batch, table, words, codes, counts in _coded(stream, split, limit):
             if counted is None:
-                n = np.bincount(codes, minlength=len(code))
+                n = np.bincount(codes, minlength=len(words))
             else:
                 held = np.asarray(table.column(counted).to_numpy(zero_copy_only=False), bool)
-                n = np.bincount(codes[np.repeat(held, counts)], minlength=len(code))
-            words = list(code)
+                n = np.bincount(codes[np.repeat(held, counts)], minlength=len(words))
             for at in range(0, len(words), 50_000):
                 part = words[at : at + 50_000]
                 yield pa.RecordBatch.from_arrays(
@@ -81,45 +106,56 @@ def word_rows(df: DataFrame, split: Split, limit: int = BATCH_CHARS, counted: st
     return df.mapInArrow(rows, "batch bigint, code int, word string, n bigint")
 
 
-def text_rows(df: DataFrame, split: Split, limit: int = BATCH_CHARS) -> DataFrame:
-    """``batch, rows, counts, codes``: one packed row per batch; ``unpack`` reads it."""
+def lane_rows(df: DataFrame, split: Split, lanes: int, limit: int = BATCH_CHARS) -> DataFrame:
+    """``lane, batch, words``: the distinct words of a batch that fall into a lane, sorted; no word holds a line feed."""
+
+    def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, _, words, _, _ in _coded(stream, split, limit):
+            order, lane = _by_lane(words, lanes)
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(lane)) + 1, [len(lane)]]) if len(lane) else [0]
+            out = [(int(lane[lo]), batch, pa.compress("\n".join([words[i] for i in order[lo:hi]]).encode("utf-8", "surrogatepass"), "zstd", asbytes=True), int(hi - lo)) for lo, hi in itertools.pairwise(edges)]
+            out = [dict(zip(("lane", "batch", "words", "n"), row, strict=True)) for row in out]
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("lane", pa.int32()), ("batch", pa.int64()), ("words", pa.binary()), ("n", pa.int32())]))
+
+    return df.mapInArrow(rows, "lane int, batch bigint, words binary, n int")
+
+
+def words_of(packed: bytes) -> list[str]:
+    # the frame of a compressed buffer does not tell its size to pyarrow
+    return pa.input_stream(pa.py_buffer(packed), compression="zstd").read().decode("utf-8", "surrogatepass").split("\n")
+
+
+def text_rows(df: DataFrame, split: Split, lanes: int = 0, limit: int = BATCH_CHARS) -> DataFrame:
+    """``batch, rows, counts, codes``: one packed row per batch; codes by lane and alphabet if ``lanes`` is given."""
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, table, _, codes, counts in _coded(stream, split, limit):
+        for batch, table, words, codes, counts in _coded(stream, split, limit):
+            if lanes:
+                order, _ = _by_lane(words, lanes)
+                number = np.empty(len(words), np.int32)
+                number[order] = np.arange(len(words), dtype=np.int32)
+                codes = number[codes]
             kept = table.drop_columns(["_text"])
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, kept.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                 writer.write_table(kept)
-            planes = [(codes >> shift).astype(np.uint8).tobytes() for shift in (0, 8, 16, 24)]
-            packed = [pa.compress(x, "zstd", asbytes=True) for x in planes]
             yield pa.RecordBatch.from_pylist(
-                [{"batch": batch, "rows": sink.getvalue().to_pybytes(), "counts": counts.tobytes(), "codes": packed}],
+                [{"batch": batch, "rows": sink.getvalue().to_pybytes(), "counts": counts.tobytes(), "codes": pack(codes)}],
                 schema=pa.schema([("batch", pa.int64()), ("rows", pa.binary()), ("counts", pa.binary()), ("codes", pa.list_(pa.binary()))]),
             )
 
     return df.mapInArrow(rows, "batch bigint, rows binary, counts binary, codes array<binary>")
 
 
-def unpack(row: dict) -> tuple[pa.Table, np.ndarray, np.ndarray]:
-    """Rows without their text, word codes, words per row."""
-    counts = np.frombuffer(row["counts"], np.int64)
-    total = int(counts.sum())
-    codes = np.zeros(total, np.int32)
-    for shift, plane in zip((0, 8, 16, 24), row["codes"], strict=True):
-        codes |= np.frombuffer(pa.decompress(plane, total, "zstd", asbytes=True), np.uint8).astype(np.int32) << shift
-    return pa.ipc.open_stream(row["rows"]).read_all(), codes, counts
-
-
-def put_back(texts: DataFrame, found: DataFrame, body: Callable, schema: T.StructType | str) -> DataFrame:
-    """``body(rows, codes, counts, found)`` per batch; ``found`` holds one row per distinct word, ordered by code."""
+def put_back(texts: DataFrame, found: DataFrame, body: Callable, schema: T.StructType | str, order: str = "code") -> DataFrame:
+    """``body(rows, codes, counts, found)`` per batch: its rows without text, the codes of all texts, words per row, and
+    what was found for the words, sorted by ``order``."""
 
     def meet(packed: pa.Table, words: pa.Table) -> pa.Table:
         if packed.num_rows != 1:
             raise RuntimeError("the documents came in another order on the second read; write or checkpoint them first")
-        rows, codes, counts = unpack(packed.to_pylist()[0])
-        words = words.sort_by("code")
-        if len(codes) and words.num_rows <= codes.max():
-            raise RuntimeError("words of a batch are missing; write or checkpoint the documents first")
-        return body(rows, codes, counts, words)
+        row = packed.to_pylist()[0]
+        counts = np.frombuffer(row["counts"], np.int64)
+        return body(pa.ipc.open_stream(row["rows"]).read_all(), unpack(row["codes"], int(counts.sum())), counts, words.sort_by(order))
 
     return texts.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(meet, schema)
