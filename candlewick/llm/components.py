@@ -1,4 +1,4 @@
-"""Connected components of a table of links (DataFrame functions only).
+"""Connected components of a table of links, and links of nodes that meet under keys (DataFrame functions only).
 
 Links are rewritten until every node points at the smallest node of its component: large-star hangs the larger neighbours of a
 node under the smallest node of its neighbourhood, small-star the smaller ones. Both keep components and need a number of
@@ -8,7 +8,9 @@ rounds that grows with the logarithm of the size. Each step is written to the sh
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import store
@@ -33,7 +35,39 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def with_component(nodes: DataFrame, links: DataFrame, node: str, out: str = "component_id") -> DataFrame:
-    """``nodes`` with the smallest node each can reach; one without links is its own component."""
-    found = components(links).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    return nodes.join(found, F.col(node) == F.col("_node"), "left").withColumn(out, F.coalesce("_root", node)).drop("_node", "_root")
+def settle(met: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int) -> DataFrame:
+    """All links needed to tell the groups of nodes that meet under a key, without all pairs of a key.
+
+    ``met``: ``key, node``; ``links``: ``a, b`` known before; ``verify`` keeps the pairs ``a < b`` that really link. In each of
+    ``rounds`` rounds the nodes of a key are compared with one of them, and keys whose nodes are all in one group by then are
+    done. At last the nodes of a key that are still in different groups are compared with each other, so no link between
+    groups is missed.
+    """
+    tried = None
+    for r in range(rounds + 1):
+        if r:
+            roots = store(components(links), "roots").select(F.col("node").alias("_n"), "root")
+            met = met.select("key", "node").join(roots, F.col("node") == F.col("_n"), "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+            split = met.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select(F.col("key").alias("_k"))
+            met = store(met.join(split, F.col("key") == F.col("_k")).select("key", "node", "root"), "met")
+        if r < rounds:  # everyone with one of the key
+            centre = F.min("node") if not r else F.min_by("node", F.xxhash64(F.lit(r), "node"))
+            centres = met.groupBy("key").agg(centre.alias("c")).select(F.col("key").alias("_k"), "c")
+            pairs = met.join(centres, F.col("key") == F.col("_k")).where("node <> c").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
+        else:  # who is still apart, pair by pair
+            other = met.select(F.col("key").alias("_k"), F.col("node").alias("b"), F.col("root").alias("_r"))
+            pairs = met.join(other, (F.col("key") == F.col("_k")) & (F.col("node") < F.col("b")) & (F.col("root") != F.col("_r"))).select(F.col("node").alias("a"), "b")
+        pairs = pairs.distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = store(pairs, "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = store(links.unionByName(verify(pairs)), "linked")
+    return links
+
+
+def meetings(rows: DataFrame) -> DataFrame:
+    """The rows ``key, node`` whose key has more than one node."""
+    by_key = Window.partitionBy("key")
+    met = rows.withColumn("_low", F.min("node").over(by_key)).withColumn("_high", F.max("node").over(by_key))
+    return store(met.where("_low < _high").select("key", "node"), "met")

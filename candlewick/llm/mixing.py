@@ -140,9 +140,9 @@ def _permuted(x: Column, n: Column, *key: Column) -> Column:
 
 def mix(
     df: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, block: int = 1024, shards: int = 16, seed: int = 7,
-    doc: str = "doc_id", text: str = "text", source: str = "source",
+    doc: str = "doc_id", text: str = "text", source: str = "source", keep_hash: bool = False,
 ) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, pieces``.
+    """One row per document: ``doc_id, source, size, source_size, target, pieces``, and ``text_hash`` (xxhash64) if asked for.
 
     ``pieces`` lists what the mix takes of the document: shard, pass (0, 1, ...), start word, number of words and the order
     inside the shard. A piece is the part of a drawn block that falls into the document. ``most`` is a whole number of passes
@@ -150,10 +150,10 @@ def mix(
     pieces; null sources are a source of their own, last; rows that repeat are documents of their own; ids may be null. An
     empty table gives an empty result. All choices are hashes of ``seed``, ids and positions, so reruns agree.
 
-    Word positions need running sums per source: documents fall into hash slices, the slices of a source (some ten thousand
+    Word positions need running sums per source: documents fall into hash slices, the slices of a source (some two thousand
     documents each) are summed over one row per slice, and a window runs inside a slice only.
     """
-    docs = df.select(F.col(doc).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), F.xxhash64(F.lit(seed), F.col(doc), F.col(text)).alias("_h"))
+    docs = df.select(F.col(doc).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), F.xxhash64(F.lit(seed), F.col(doc), F.col(text)).alias("_h"), F.xxhash64(F.col(text)).alias("text_hash"))
     docs = store(docs, "sizes")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs"))
     plan = targets(sizes.select("source", "source_size"), weights, share, most)
@@ -166,7 +166,7 @@ def mix(
     cuts = cuts.groupBy("source_no").agg(F.array_sort(F.collect_list(F.struct("shard", "begin", "end"))).alias("cuts"))
     plan = store(plan.join(cuts, "source_no"), "cuts")
 
-    slices = max(1, docs.count() // 10_000)
+    slices = max(1, docs.count() // 2_000)
     placed = docs.withColumn("_slice", F.pmod(F.xxhash64("_h"), F.lit(slices)))
     sums = placed.groupBy("source", "_slice").agg(F.sum("size").alias("_sum"))
     sums = sums.withColumn("_base", F.sum("_sum").over(Window.partitionBy("source").orderBy("_slice")) - F.col("_sum"))
@@ -209,4 +209,4 @@ def mix(
     found = F.transform(drawn, piece)
     none = F.array().cast("array<struct<shard:int,pass:int,start:bigint,words:bigint,order:bigint>>")
     pieces = F.when(F.col("size") > 0, F.filter(found, lambda p: p["words"] > 0)).otherwise(none)
-    return placed.select("doc_id", "source", "size", "source_size", "target", pieces.alias("pieces"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", pieces.alias("pieces"), *["text_hash"] * keep_hash)

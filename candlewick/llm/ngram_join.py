@@ -11,8 +11,7 @@ neighbouring bands can link, with slots for the largest sizes of the band:
   the budget and gives larger, rarer segments for more index rows. How many slots of a band are paired is decided by cost, with
   the overlap of random pairs of documents estimated on a sample of fixed size. It changes the work, never the result.
 
-Sets that share an index key are candidates and are compared exactly. To find groups without all pairs of a key, the sets of a key are first
-compared with one of them; then only sets of a key that are still in different groups are compared, each pair once.
+Sets that share an index key are candidates and are compared exactly. ``components.settle`` finds the groups without all pairs of a key.
 """
 
 from __future__ import annotations
@@ -21,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import sized_join, store
-from candlewick.llm.components import components
+from candlewick.llm.components import components, meetings, settle
 
 SLICE = 2_000_000  # bytes of text handled at once; a longer text is handled by itself
 _U = np.uint64
@@ -298,30 +297,8 @@ def ngram_join(df: DataFrame, width: int = 4, percent: int = 85, rounds: int = 2
     same = first.join(firsts.drop("_top"), ["n_shingles", "d1", "d2"]).select(F.col("doc_id").alias("a"), "b").where("a <> b")
     links = store(same, "copies")
 
-    by_key = Window.partitionBy("key")
-    met = _index_rows(docs, width, index).repartition("key").withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key))
-    met = store(met.where("low < high").select("key", "node"), "met")
-    tried = None
-    for r in range(rounds + 1):
-        if r:
-            roots = store(components(links), "roots").select(F.col("node").alias("_n"), "root")
-            met = met.select("key", "node").join(roots, F.col("node") == F.col("_n"), "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-            split = met.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select(F.col("key").alias("_k"))
-            met = store(met.join(split, F.col("key") == F.col("_k")).select("key", "node", "root"), "met")
-        if r < rounds:  # everyone with one of the key
-            centre = F.min("node") if not r else F.min_by("node", F.xxhash64(F.lit(r), "node"))
-            centres = met.groupBy("key").agg(centre.alias("c")).select(F.col("key").alias("_k"), "c")
-            pairs = met.join(centres, F.col("key") == F.col("_k")).where("node <> c").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
-        else:  # who is still apart, pair by pair
-            other = met.select(F.col("key").alias("_k"), F.col("node").alias("b"), F.col("root").alias("_r"))
-            pairs = met.join(other, (F.col("key") == F.col("_k")) & (F.col("node") < F.col("b")) & (F.col("root") != F.col("_r"))).select(F.col("node").alias("a"), "b")
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = store(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = links.unionByName(_verified(docs, pairs, width, percent))
-        links = store(links, "linked")
+    met = meetings(_index_rows(docs, width, index))
+    links = settle(met, links, lambda pairs: _verified(docs, pairs, width, percent), rounds)
     roots = components(links).select(F.col("node").alias("_n"), "root")
     return stats.join(roots, F.col("doc_id") == F.col("_n"), "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 

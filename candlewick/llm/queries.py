@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, chat_format, language_id, mixing, ngram_join, pii, pivot_dedup, ppm, threshold_topk
+from candlewick.llm import bpe, chat_format, language_id, line_dedup, mixing, ngram_join, pii, pivot_dedup, ppm, threshold_topk
 from candlewick.llm.common import bucket_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,13 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the lines that are fuzzy copies of earlier ones."""
+    done = line_dedup.dedup_lines(table(spark, sf, "documents"))
+    return done.select("doc_id", "text", "n_lines", F.size("removed").alias("n_removed"))
+
+
 @query
 def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Spans of personal data per document."""
