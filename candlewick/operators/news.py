@@ -63,17 +63,17 @@ def entity_mentions(
     titled = [
         F.regexp_extract_all(
             text,
-            F.lit(rf"\b(?:{'|'.join(re.escape(t.strip()).replace(chr(92) + ' ', ' ') for t in titles.split(','))})\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)"),
+            F.lit(rf"\b(?:{'|'.join(re.escape(t).replace(chr(92) + ' ', ' ') for t in titles)})\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)"),
             F.lit(1),
         )
         for titles in voc.TITLES
     ]
     base = base.withColumns({
-        "countries": _found(F.col("_low"), F.col("_words"), countries or voc.entries(voc.COUNTRIES)),
-        "organisations": _found(F.col("_low"), None, organisations or voc.entries(voc.ORGANISATIONS)),
-        "_known": _found(F.col("_low"), None, persons or voc.entries(voc.PERSONS)),
+        "countries": _found(F.col("_low"), F.col("_words"), countries or list(voc.COUNTRIES.items())),
+        "organisations": _found(F.col("_low"), None, organisations or list(voc.ORGANISATIONS.items())),
+        "_known": _found(F.col("_low"), None, persons or list(voc.PERSONS.items())),
         "_titled": F.filter(F.array_distinct(F.concat(*titled)), lambda p: F.length(p) > 3),
-        "tickers": F.filter(words(F.col(text)), lambda w: w.rlike("^[A-Z]{2,5}$") & ~w.isin(voc.NO_TICKERS)),
+        "tickers": F.filter(words(F.col(text)), lambda w: w.rlike("^[A-Z]{2,5}$") & ~w.isin(list(voc.NO_TICKERS))),
     })
     return base.withColumn("people", F.concat("_known", F.array_except("_titled", "_known"))).drop("_low", "_words", "_known", "_titled")
 
@@ -110,8 +110,8 @@ def sentiment(
         return _once(low, lambda t: F.aggregate(hits(t), F.lit(0), lambda s, p: s + p["weight"]))
 
     df = df.withColumns({
-        "positive_signals": weigh(positive or voc.entries(voc.POSITIVE)),
-        "negative_signals": weigh(negative or voc.entries(voc.NEGATIVE)),
+        "positive_signals": weigh(positive or list(voc.POSITIVE.items())),
+        "negative_signals": weigh(negative or list(voc.NEGATIVE.items())),
     })
     total, net = F.col("positive_signals") + F.col("negative_signals"), F.col("positive_signals") - F.col("negative_signals")
     clear = F.abs(net) >= 2
@@ -132,7 +132,7 @@ def sentiment_summary(scored: DataFrame) -> DataFrame:
 
 def tokenise(text: Column, synonyms: Sequence[tuple[str, str]] | None = None, stop: Sequence[str] | None = None) -> Column:
     """Lower-case words of at least three letters without stop words, variants replaced by one form."""
-    pairs = synonyms or voc.entries(voc.SYNONYMS)
+    pairs = synonyms or list(voc.SYNONYMS.items())
     same = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
     found = F.regexp_extract_all(F.lower(text), F.lit("[a-z]{3,}"), F.lit(0))
     kept = F.filter(found, lambda w: ~w.isin(list(stop or voc.STOP_WORDS)))
@@ -321,7 +321,7 @@ def story_summary(articles: DataFrame, now: Column) -> DataFrame:
 
 def threat_counts(df: DataFrame, headline: str, threats: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """Number of headlines with each threat word, one pass: ``keyword, category, mentions``."""
-    phrases = threats or voc.entries(voc.THREATS)
+    phrases = threats or [(w, c) for c, ws in voc.THREATS.items() for w in ws]
     low = F.lower(headline)
     counts = df.agg(*[F.count(F.when(low.contains(p), 1)).alias(f"k{i}") for i, (p, _) in enumerate(phrases)])
     rows = [F.struct(F.lit(p).alias("keyword"), F.lit(c).alias("category"), F.col(f"k{i}").alias("mentions")) for i, (p, c) in enumerate(phrases)]
@@ -371,7 +371,7 @@ def keyword_signals(counts: DataFrame, top: int = 10) -> DataFrame:
         F.lit("keyword_spike").alias("type"), F.col("keyword").alias("subject"), "category",
         F.when(F.col("mentions") >= 10, "high").otherwise("medium").alias("severity"), F.col("mentions").cast("double").alias("value"),
     )
-    conflict = [p for p, c in voc.entries(voc.THREATS) if c == "conflict"]
+    conflict = [p for p, c in [(w, c) for c, ws in voc.THREATS.items() for w in ws] if c == "conflict"]
     totals = merged.agg(
         F.sum(F.when(F.col("keyword").isin(conflict), F.col("mentions"))).cast("double").alias("c"),
         F.sum(F.when(F.col("keyword").isin(list(voc.MILITARY)), F.col("mentions"))).cast("double").alias("m"),
@@ -419,7 +419,7 @@ def instability(signals: DataFrame, country: str) -> DataFrame:
     )).alias("s")).select(country, F.col("s.kind").alias("kind"), F.least(F.element_at(cap, F.col("s.kind")).cast("double"), F.col("s.score")).alias("score"), F.element_at(cap, F.col("s.kind")).alias("cap"))
     kept = scored.withColumn("score", F.when(F.col("cap").isNotNull(), F.greatest(F.col("score"), F.lit(0.0))))
     best = kept.groupBy(country, "kind").agg(F.max("score").alias("score"), F.count("*").alias("_n"))
-    baseline = F.when(F.col(country).isin(voc.STABLE_COUNTRIES), 10).otherwise(25)
+    baseline = F.when(F.col(country).isin(list(voc.STABLE_COUNTRIES)), 10).otherwise(25)
     total = best.groupBy(country).agg(F.coalesce(F.sum("score"), F.lit(0.0)).alias("_score"), (F.sum("_n") / 2).cast("long").alias("total_signals"))
     cii = F.greatest(F.least(F.floor(baseline + F.col("_score")), F.lit(100)), F.lit(0)).cast("int")
     out = total.select(country, baseline.alias("baseline"), "total_signals", cii.alias("cii_score"))
@@ -494,7 +494,7 @@ def search_like(df: DataFrame, text: str, query: str, order: str, n: int) -> Dat
 def geocode(df: DataFrame, text: str, most: int = 5, cities=None, countries=None) -> DataFrame:
     """Places named in the text (cities first) with coordinates; articles without one are left out."""
     low = F.lower(text)
-    cities, countries = cities or voc.places(voc.CITIES), countries or voc.places(voc.CENTRES)
+    cities, countries = cities or [(n, *at) for n, at in voc.CITIES.items()], countries or [(n, *at) for n, at in voc.CENTRES.items()]
     known = {name for name, _, _ in cities}
     rows = [(p[0], *p, "city") for p in cities] + [(p[0], *p, "country") for p in countries if p[0] not in known]
     table = _table([(phrase, name.title(), lat, lon, kind) for phrase, name, lat, lon, kind in rows], ("phrase", "name", "lat", "lon", "kind"))
@@ -512,7 +512,7 @@ def geocode(df: DataFrame, text: str, most: int = 5, cities=None, countries=None
 
 def filing_score(text: Column, form: Column) -> Column:
     """Confidence 0–1 that a filing announces a merger or acquisition."""
-    words_ = _strings([w.strip() for w in voc.DEAL_WORDS.split(",")])
+    words_ = _strings(voc.DEAL_WORDS)
     patterns = "|".join(f"(?:{p})" for p in voc.DEAL_PATTERNS)
 
     def by_text(low: Column) -> Column:

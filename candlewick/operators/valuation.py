@@ -99,7 +99,7 @@ def standardise_accounts(df: DataFrame, keys: Sequence[str], account: str, value
     """
     clean = F.regexp_replace(F.lower(account), "[ -]", "_")
     table: dict[str, list] = {}
-    for n, standard, rank in names or acc.synonyms():
+    for n, standard, rank in names or [(n, standard, i) for standard, own in acc.ACCOUNTS.items() for i, n in enumerate(own)]:
         table.setdefault(n, []).append((standard, rank))
     rows = lambda v: F.array(*[F.struct(F.lit(s).alias("account"), F.lit(k).alias("rank")) for s, k in v])
     lookup = F.create_map(*[x for n, v in table.items() for x in (F.lit(n), rows(v))])

@@ -70,8 +70,8 @@ NOT_TICKERS = ", ".join(f"'{w}'" for w in voc.NO_TICKERS)
 
 def tagged(src: str) -> str:
     return f"""base AS (SELECT id, text, lower(text) AS low, regexp_extract_all(lower(text), '{W}') AS words FROM {src}),
-known AS (SELECT id, text, {_found(voc.entries(voc.COUNTRIES), True)} AS countries, {_found(voc.entries(voc.ORGANISATIONS), False)} AS organisations,
-  {_found(voc.entries(voc.PERSONS), False)} AS known, list_concat(list_concat(regexp_extract_all(text, '{T1}', 1), regexp_extract_all(text, '{T2}', 1)), regexp_extract_all(text, '{T3}', 1)) AS titled,
+known AS (SELECT id, text, {_found(list(voc.COUNTRIES.items()), True)} AS countries, {_found(list(voc.ORGANISATIONS.items()), False)} AS organisations,
+  {_found(list(voc.PERSONS.items()), False)} AS known, list_concat(list_concat(regexp_extract_all(text, '{T1}', 1), regexp_extract_all(text, '{T2}', 1)), regexp_extract_all(text, '{T3}', 1)) AS titled,
   list_filter(regexp_extract_all(text, '{W}'), lambda w: regexp_full_match(w, '[A-Z]{{2,5}}') AND w NOT IN ({NOT_TICKERS})) AS tickers FROM base),
 tags AS (SELECT id, countries, organisations, list_concat(known, list_filter(titled, lambda p: length(p) > 3 AND NOT list_contains(known, p))) AS people, tickers FROM known)"""
 
@@ -109,7 +109,7 @@ def news_top_entities(spark, sf):
 
 
 def _weights(text: str) -> str:
-    return " + ".join(f"CASE WHEN contains(low, '{p}') THEN {w} ELSE 0 END" for p, w in voc.entries(text))
+    return " + ".join(f"CASE WHEN contains(low, '{p}') THEN {w} ELSE 0 END" for p, w in text.items())
 
 
 SCORED = f"""w AS (SELECT id, {_weights(voc.POSITIVE)} AS pos, {_weights(voc.NEGATIVE)} AS neg FROM (SELECT id, lower(text) AS low FROM SRC)),
@@ -138,7 +138,7 @@ def news_sentiment_summary(spark, sf):
     return ops.sentiment_summary(ops.sentiment(headlines(spark, sf), "text"))
 
 
-SAME = "CASE w " + " ".join(f"WHEN '{p}' THEN '{v}'" for p, v in voc.entries(voc.SYNONYMS)) + " ELSE w END"
+SAME = "CASE w " + " ".join(f"WHEN '{p}' THEN '{v}'" for p, v in list(voc.SYNONYMS.items())) + " ELSE w END"
 STOP = ", ".join(f"'{w}'" for w in voc.STOP_WORDS)
 
 
@@ -182,7 +182,7 @@ def story_summary(spark, sf):
 
 
 NOW_SQL = "TIMESTAMP '2024-01-01 06:00:00'"
-_TH = voc.entries(voc.THREATS)
+_TH = [(w, c) for c, ws in voc.THREATS.items() for w in ws]
 _SIGNALS = f"""counts AS ({' UNION ALL '.join(f"SELECT '{p}' AS keyword, '{c}' AS category, count(*) FILTER (contains(lower(text), '{p}')) AS mentions FROM SRC" for p, c in _TH)}),
 vel AS (SELECT category, count(*) FILTER (epoch(NOW) - epoch(ts) <= 3600) AS recent, greatest(count(*) FILTER (epoch(NOW) - epoch(ts) > 3600), 1) AS older FROM SRC WHERE epoch(NOW) - epoch(ts) <= 7200 GROUP BY category),
 tri AS (SELECT substring(lower(text), 1, 50) AS subject, count(DISTINCT source) AS value FROM SRC GROUP BY 1 HAVING count(DISTINCT source) >= 3),
@@ -302,8 +302,8 @@ def news_search_like(spark, sf):
 
 
 def _places(src: str) -> str:
-    cities, known = voc.places(voc.CITIES), {p[0] for p in voc.places(voc.CITIES)}
-    rows = [(*p, "city") for p in cities] + [(*p, "country") for p in voc.places(voc.CENTRES) if p[0] not in known]
+    cities, known = [(n, *at) for n, at in voc.CITIES.items()], {p[0] for p in [(n, *at) for n, at in voc.CITIES.items()]}
+    rows = [(*p, "city") for p in cities] + [(*p, "country") for p in [(n, *at) for n, at in voc.CENTRES.items()] if p[0] not in known]
     title = lambda s: " ".join(w.capitalize() for w in s.split(" "))
     cases = ", ".join(f"CASE WHEN contains(low, '{n}') THEN {{'name': '{title(n)}', 'lat': {lat}::DOUBLE, 'lon': {lon}::DOUBLE}} END" for n, lat, lon, _ in rows)
     return f"found AS (SELECT id, list_filter([{cases}], lambda x: x IS NOT NULL) AS l FROM (SELECT id, lower(text) AS low FROM {src}))"
@@ -341,7 +341,7 @@ def _count(tests) -> str:
 
 
 _SCORE = f"""least(CASE WHEN form IN {tuple(voc.SURE_FORMS)} THEN 0.45 WHEN form IN {tuple(voc.LIKELY_FORMS)} THEN 0.15 ELSE 0 END
-  + least({_count(f"contains(low, '{w.strip()}')" for w in voc.DEAL_WORDS.split(","))} * 0.07, 0.35) + {_count(f"regexp_matches(low, '{p}')" for p in voc.DEAL_PATTERNS)} * 0.10
+  + least({_count(f"contains(low, '{w}')" for w in voc.DEAL_WORDS)} * 0.07, 0.35) + {_count(f"regexp_matches(low, '{p}')" for p in voc.DEAL_PATTERNS)} * 0.10
   + CASE WHEN form = '8-K' AND list_has_any(regexp_extract_all(text, 'Item\\s+(\\d+\\.\\d+)', 1), ['1.01', '2.01', '8.01']) THEN 0.20 ELSE 0 END, 1.0)::DOUBLE"""
 
 

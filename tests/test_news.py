@@ -25,7 +25,7 @@ def greedy(items, similar):
 
 
 def tokens(text):
-    same = dict(voc.entries(voc.SYNONYMS))
+    same = voc.SYNONYMS
     return [same.get(w, w) for w in re.findall("[a-z]{3,}", text.lower()) if w not in voc.STOP_WORDS]
 
 
