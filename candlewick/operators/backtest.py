@@ -21,6 +21,7 @@ from candlewick.operators.indicators import compute
 from candlewick.operators.series import HOURLY, POS, Axis, fold, number, over_blocks, prefix
 from candlewick.operators.signals import clean_signals, evaluate_groups, strategy
 from candlewick.operators.windows import pct_change, positive
+from candlewick.session import checkpoint_folder
 
 # Bars skipped before the first entry of a rule backtest.
 WARMUP = 50
@@ -203,12 +204,31 @@ def with_parameters(df: DataFrame, combos: Sequence[dict]) -> DataFrame:
     return df.withColumns(out)
 
 
-def sweep(bars: DataFrame, name: str, ranges: Mapping[str, Sequence], axis: Axis = HOURLY, limit: int = 500, method: str = "grid") -> DataFrame:
-    """Metrics of every (series, combination) with the parameter values."""
+BATCH = 64  # combinations computed side by side in one row
+
+
+def sweep_metrics(bars: DataFrame, name: str, combos: Sequence[dict], axis: Axis) -> DataFrame:
+    """Metrics of every (series, combination).
+
+    A row holds the indicators of ``BATCH`` combinations, so that plans stay small however large the grid is; the metrics
+    of a batch are a few numbers per series and are checkpointed when others follow.
+    """
+    found = None
+    for at in range(0, len(combos), BATCH):
+        runs, wide = sweep_runs(bars, name, combos[at : at + BATCH], axis)
+        part = hold_metrics(runs, list(wide.key)).withColumn("combo", F.col("combo") + at)
+        if len(combos) > BATCH:
+            checkpoint_folder(bars.sparkSession)
+            part = part.checkpoint()
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def sweep(bars: DataFrame, name: str, ranges: Mapping[str, Sequence], axis: Axis = HOURLY, draws: int = 500, method: str = "grid") -> DataFrame:
+    """Metrics of every (series, combination) with the parameter values: the whole grid, or ``draws`` random combinations."""
     combos = grid(ranges)
-    combos = sample_grid(combos, limit) if method == "random" else combos[:limit]
-    runs, wide = sweep_runs(bars, name, combos, axis)
-    return with_parameters(hold_metrics(runs, list(wide.key)), combos)
+    combos = sample_grid(combos, draws) if method == "random" else combos
+    return with_parameters(sweep_metrics(bars, name, combos, axis), combos)
 
 
 def best_of(results: DataFrame, keys: Sequence[str], objective: str = "sharpe") -> DataFrame:
@@ -225,14 +245,14 @@ def sensitivity(results: DataFrame, keys: Sequence[str], params: Sequence[str],
 
 def walk_forward(
     bars: DataFrame, name: str, ranges: Mapping[str, Sequence], axis: Axis = HOURLY, splits: int = 5, train_ratio: float = 0.7,
-    objective: str = "sharpe", limit: int = 200,
+    objective: str = "sharpe",
 ) -> DataFrame:
     """Best combination on the first part of each window, measured on the rest.
 
     Windows are consecutive n / splits bars; indicators start anew in each train and test part.  Windows below 50 bars
     or with fewer than 30 train / 10 test bars are left out.
     """
-    combos = grid(ranges)[:limit]
+    combos = grid(ranges)
     rows = number(bars, axis, length="_n")
     size = F.floor(F.col("_n") / splits)
     at = F.col(POS) - 1
@@ -241,8 +261,7 @@ def walk_forward(
     rows = rows.withColumn("set", F.when(F.col("_at") < F.col("_cut"), "train").otherwise("test"))
     rows = rows.drop("_n", "_at", "_cut", "_size", POS)
     part = axis.by(key=(*axis.key, "window_no", "set"))
-    runs, wide = sweep_runs(rows, name, combos, part)
-    metrics = hold_metrics(runs, list(wide.key))
+    metrics = sweep_metrics(rows, name, combos, part)
     keys = [*axis.key, "window_no"]
     best = best_of(metrics.filter("set = 'train'"), keys, objective)
     best = best.select(*keys, "combo", F.col("total_return").alias("train_return"), F.col(objective).alias(f"train_{objective}"))

@@ -119,26 +119,26 @@ def _lag_vectors(y: DataFrame, axis: Axis, lags: int) -> DataFrame:
     return over_blocks(y, axis, cols, back=lags, keep_pos=True)
 
 
-SLABS = 1024  # most slabs an entity is cut into
-
-
 def _slabs(known: DataFrame, key: list[str], block: int) -> tuple[DataFrame, DataFrame]:
     """Rows with their slab (a range of the projection ``_p``) and block, and the slabs of each entity as one array.
 
-    Slab borders are approximate quantiles, rows equal to a border are spread over the slabs that meet there, and a
-    slab of more than ``block`` rows is cut by hash: no block grows with a common value.
+    Slab borders are approximate quantiles, as many as the largest entity needs for slabs of ``block`` rows; rows equal to
+    a border are spread over the slabs that meet there, and a slab of more than ``block`` rows is cut by hash: no block grows
+    with a common value.
     """
+    largest = known.groupBy(*key).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    slabs = 2 ** max(1, math.ceil(math.log2(max(largest / block, 2))))
     edges = known.groupBy(*key).agg(
-        F.percentile_approx("_p", [i / SLABS for i in range(1, SLABS)], 10 * SLABS).alias("_e"), F.count(F.lit(1)).alias("_n")
+        F.percentile_approx("_p", [i / slabs for i in range(1, slabs)], 10 * slabs).alias("_e"), F.count(F.lit(1)).alias("_n")
     )
-    parts = F.least(F.lit(float(SLABS)), F.pow(2.0, F.floor(F.log2(F.greatest(F.col("_n") / block, F.lit(1.0))))))
-    edges = edges.withColumn("_step", (SLABS / parts).cast("int"))
+    parts = F.least(F.lit(float(slabs)), F.pow(2.0, F.floor(F.log2(F.greatest(F.col("_n") / block, F.lit(1.0))))))
+    edges = edges.withColumn("_step", (slabs / parts).cast("int"))
     edges = edges.select(*key, F.filter("_e", lambda e, i: (i + 1) % F.col("_step") == 0).alias("_cuts"))
     low, high = F.size(F.filter("_cuts", lambda c: c < F.col("_p"))), F.size(F.filter("_cuts", lambda c: c <= F.col("_p")))
     rows = known.join(edges, key).withColumn("_s", (low + F.pmod(F.xxhash64(POS, F.lit(1)), high - low + 1)).cast("int")).drop("_cuts")
     found = rows.groupBy(*key, "_s").agg(F.min("_p").alias("lo"), F.max("_p").alias("hi"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
     rows = rows.join(found.select(*key, "_s", "parts"), [*key, "_s"]).withColumn("_b", F.pmod(F.xxhash64(POS), F.col("parts")).cast("int")).drop("parts")
-    return rows, found.groupBy(*key).agg(F.collect_list(F.struct("_s", "lo", "hi", "parts")).alias("_all"))  # at most SLABS entries
+    return rows, found.groupBy(*key).agg(F.collect_list(F.struct("_s", "lo", "hi", "parts")).alias("_all"))  # an entry for each ``block`` rows
 
 
 def nearest_rows(known: DataFrame, key: list[str], neighbours: int, block: int) -> DataFrame:
@@ -215,20 +215,24 @@ def local_outliers(y: DataFrame, neighbours: int = 20, contamination: float = 0.
 def isolation_outliers(y: DataFrame, contamination: float = 0.05, trees: int = 50, lags: int = 5, axis: Axis = PANEL, sample: int = 256, seed: int = 42) -> DataFrame:
     """Isolation-forest score on lag vectors: 2^(−mean path / expected path); the highest ``contamination`` share is marked.
 
-    Each tree grows from a hash-drawn sample of at most ``sample`` rows in its own task; blocks of rows are scored
-    against the small forest of their entity.
+    Each tree grows from a hash-drawn sample of at most ``sample`` rows in its own task (that is the algorithm; all rows
+    are scored); blocks of rows are scored against the small forest of their entity. Paths are measured against the expected
+    path of trees of the size the drawn rows really have. Entities of at most ``lags`` values are scored on the values.
     """
     key = list(axis.key)
-    rows = shared(_lag_vectors(y, axis, lags), *key, POS)
+    rows = _lag_vectors(y, axis, lags)
+    short = rows.groupBy(*key).agg((F.max(POS) <= lags).alias("_short"))
+    rows = rows.join(short, key).withColumn("_x", F.when(F.col("_short"), F.array(F.col("value").cast("double"))).otherwise(F.col("_x"))).drop("_short")
+    rows = shared(rows, *key, POS)
     known = rows.filter(F.col("_x").isNotNull()).select(*key, POS, "_x")
     keys = [F.col(k) for k in key]
-    sizes = known.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = known.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_first"))
     draws = sizes.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(sample - 1))))
-    draws = draws.withColumn(POS, F.floor(uniform(F.lit(seed), *keys, F.col("_t"), F.col("_i")) * F.col("_n")) + 1 + lags)
+    draws = draws.withColumn(POS, F.floor(uniform(F.lit(seed), *keys, F.col("_t"), F.col("_i")) * F.col("_n")) + F.col("_first"))
     picked = draws.select(*key, "_t", POS).distinct().join(known, [*key, POS])
     node = T.StructType([T.StructField("f", T.IntegerType()), T.StructField("v", T.DoubleType()), T.StructField("l", T.IntegerType()), T.StructField("r", T.IntegerType()), T.StructField("d", T.DoubleType())])
     fields = [y.schema[k] for k in key]
-    grown = T.StructType([*fields, T.StructField("_t", T.IntegerType()), T.StructField("nodes", T.ArrayType(node))])
+    grown = T.StructType([*fields, T.StructField("_t", T.IntegerType()), T.StructField("expected", T.DoubleType()), T.StructField("nodes", T.ArrayType(node))])
 
     def expected(n: float) -> float:
         return 0.0 if n < 2 else 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n if n > 2 else 1.0
@@ -256,7 +260,7 @@ def isolation_outliers(y: DataFrame, contamination: float = 0.05, trees: int = 5
 
         split(np.arange(len(x)), 0)
         head = {k: part[k].iloc[0] for k in key}
-        return pd.DataFrame([{**head, "_t": t, "nodes": nodes}])
+        return pd.DataFrame([{**head, "_t": t, "expected": expected(len(x)), "nodes": nodes}])
 
     forest = picked.groupBy(*key, "_t").applyInPandas(grow, grown)
     cut = known.withColumn("_b", F.floor((F.col(POS) - 1) / 8192))
@@ -280,7 +284,7 @@ def isolation_outliers(y: DataFrame, contamination: float = 0.05, trees: int = 5
                 left = x[idx, f] < v
                 todo += [(l, idx[left]), (r, idx[~left])]
         out = part[[*key, POS]].copy()
-        out["anomaly_score"] = np.exp2(-total / max(len(trees_), 1) / max(expected(sample), 1e-9))
+        out["anomaly_score"] = np.exp2(-total / max(trees_["expected"].sum(), 1e-9))
         return out
 
     placed = forest.join(where, key)
@@ -322,29 +326,25 @@ def seasonal_period_acf(y: DataFrame, max_period: int = 48, axis: Axis = PANEL,
     return a.groupBy(*axis.key).agg(F.min(F.when(peak, F.col("lag"))).alias("period"), F.min_by("acf", F.when(peak, F.col("lag"))).alias("strength"))
 
 
-def seasonal_period_spectrum(y: DataFrame, max_period: int = 48, axis: Axis = PANEL, segment: int = 65536) -> DataFrame:
-    """Period of the strongest frequency of the detrended values.
+def periodogram(y: DataFrame, max_period: int = 48, axis: Axis = PANEL) -> DataFrame:
+    """Amplitude of the detrended values at the periods 2 … max_period (at most half the series), in long form.
 
-    Series longer than ``segment`` rows average the spectra of their segments, so a task holds one segment.
+    Sums of the values times cosine and sine over the whole series: partial sums per task, nothing is cut or sorted.
     """
-    rows = detrended(y, axis).withColumn("_s", F.floor((F.col(POS) - 1) / segment))
-    key = list(axis.key)
-    schema = T.StructType([*[y.schema[k] for k in key], T.StructField("freq", T.DoubleType()), T.StructField("size", T.DoubleType())])
-
-    def spectrum(part: pd.DataFrame) -> pd.DataFrame:
-        x = part.sort_values(POS)["detrended"].to_numpy()
-        n = len(x)
-        size, freq = np.abs(np.fft.fft(x))[1 : n // 2], np.fft.fftfreq(n)[1 : n // 2]
-        ok = (1 / np.abs(freq)) <= max_period if len(freq) else np.zeros(0, bool)
-        out = pd.DataFrame({"freq": freq[ok], "size": size[ok]})
-        for k in key:
-            out[k] = part[k].iloc[0]
-        return out[schema.names]
-
-    power = rows.groupBy(*key, "_s").applyInPandas(spectrum, schema)
-    power = power.groupBy(*key, "freq").agg(F.avg("size").alias("size"))
-    out = power.groupBy(*key).agg(F.max_by("freq", F.struct("size", -F.col("freq"))).alias("_f"), F.max("size").alias("_x"), F.avg("size").alias("_m"))
-    return out.select(*key, F.round(1 / F.col("_f")).cast("int").alias("period"), F.least(F.col("_x") / positive(F.col("_m")) / 10, F.lit(1.0)).alias("strength"))
+    turn = lambda p: F.col(POS) * F.lit(2 * math.pi / p)
+    d, periods = F.col("detrended"), range(2, max_period + 1)
+    wide = detrended(y, axis).groupBy(*axis.key).agg(F.max("_n").alias("_n"), F.array(*[F.hypot(F.sum(d * F.cos(turn(p))), F.sum(d * F.sin(turn(p)))) for p in periods]).alias("_a"))
+    out = wide.select(*axis.key, "_n", F.posexplode("_a").alias("_i", "amplitude")).withColumn("period", F.col("_i") + 2)
+    return out.filter(F.col("period") <= F.floor(F.col("_n") / 2)).select(*axis.key, "period", "amplitude")
+
+
+def seasonal_period_spectrum(y: DataFrame, max_period: int = 48, axis: Axis = PANEL) -> DataFrame:
+    """Period of the largest amplitude of the detrended values (the shorter one on ties), and its strength: a tenth of how
+    often it exceeds the mean amplitude, at most 1."""
+    out = periodogram(y, max_period, axis).groupBy(*axis.key).agg(
+        F.max_by("period", F.struct("amplitude", -F.col("period"))).alias("period"), F.max("amplitude").alias("_x"), F.avg("amplitude").alias("_m")
+    )
+    return out.select(*axis.key, "period", F.least(F.col("_x") / positive(F.col("_m")) / 10, F.lit(1.0)).alias("strength"))
 
 
 def decompose(y: DataFrame, period: int, model: str = "additive", axis: Axis = PANEL) -> DataFrame:

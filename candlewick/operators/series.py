@@ -372,16 +372,54 @@ def linear_scan(df: DataFrame, axis: Axis, out: str, a: Column, b: Column) -> Da
 
 # --- state machines -----------------------------------------------------------------------------------------
 
+
+def _walk(rows: DataFrame, states: DataFrame, stale: DataFrame, axis: Axis, end_state, schema: T.StructType) -> DataFrame:
+    """States of all buckets, those of unsettled series from one walk along their sorted rows from the first stale bucket on."""
+    key, keys = list(axis.key), [*axis.key, BUCKET]
+    first = stale.groupBy(*key).agg(F.min(BUCKET).alias("_from"))
+    given = stale.select(*keys, F.col("start").alias("_given"))
+    todo = rows.join(first, key).filter(F.col(BUCKET) >= F.col("_from")).join(given, keys, "left")
+    todo = todo.withColumn("_given", F.when(F.col(BUCKET) == F.col("_from"), F.col("_given"))).drop("_from")
+
+    def walk(parts):
+        held, at, state = [], None, None
+
+        def close():
+            nonlocal state
+            part = pd.concat(held, ignore_index=True)
+            start = part["_given"].iloc[0]
+            start = state[1] if start is None else [float(v) for v in start]
+            out = end_state(part.drop(columns="_given"), start)
+            state = (at[:-1], out["end"].iloc[0])
+            return out[schema.names]
+
+        for batch in parts:
+            for name, part in batch.groupby(keys, sort=False, dropna=False):
+                name = tuple(name)
+                if name != at and held:
+                    yield close()
+                    held = []
+                at = name
+                held.append(part)
+        if held:
+            yield close()
+
+    walked = todo.repartition(*key).sortWithinPartitions(*keys, *axis.order).mapInPandas(walk, schema)
+    kept = states.join(first, key, "left").filter(F.col("_from").isNull() | (F.col(BUCKET) < F.col("_from"))).drop("_from")
+    return kept.unionByName(walked)
+
 Step = Callable[[pd.DataFrame, "list[float] | None"], "tuple[pd.DataFrame, list[float]]"]
 
 
-def fold(df: DataFrame, axis: Axis, step: Step, schema: T.StructType | str, rounds: int | None = None) -> DataFrame:
+def fold(df: DataFrame, axis: Axis, step: Step, schema: T.StructType | str, rounds: int = 2) -> DataFrame:
     """Run ``step(rows, state) -> (result rows, state)`` along each series, bucket by bucket in parallel.
 
     ``state`` is ``None`` at the start of a series, else a list of doubles.  Every bucket is first run from
     ``None``; a bucket whose predecessor ended in another state than assumed is run again from that state.
-    The loop ends when every hand-over agrees, so the result is the one of a sequential run.  State machines
-    that forget (a stop is hit, a bar closes) need two or three rounds; the worst case is one per bucket.
+    State machines that forget (a stop is hit, a bar closes) agree after ``rounds`` repetitions; the series of
+    machines that remember (cash, a level) are then walked once in order, their sorted rows streaming through
+    a task that holds one bucket at a time. So the number of passes does not depend on the number of buckets,
+    the result is the one of a sequential run, and the input is computed once.
     """
     keys = [*axis.key, BUCKET]
     spark = df.sparkSession
@@ -398,6 +436,7 @@ def fold(df: DataFrame, axis: Axis, step: Step, schema: T.StructType | str, roun
         return rows.groupBy(*keys).applyInPandas(fresh, schema)
 
     checkpoint_folder(spark)
+    rows = rows.checkpoint()
     key_fields = [rows.schema[k] for k in keys]
     arr = T.ArrayType(T.DoubleType())
     state_schema = T.StructType([*key_fields, T.StructField("start", arr), T.StructField("end", arr)])
@@ -411,14 +450,15 @@ def fold(df: DataFrame, axis: Axis, step: Step, schema: T.StructType | str, roun
 
     states = rows.groupBy(*keys).applyInPandas(lambda part: end_state(part, None), state_schema).checkpoint()
     chain = Window.partitionBy(*axis.key).orderBy(BUCKET)
-    done = 0
-    while rounds is None or done < rounds:
-        done += 1
+    for done in range(rounds + 1):
         wanted = states.withColumn("want", F.lag("end").over(chain))
         stale = wanted.filter(~F.col("want").eqNullSafe(F.col("start"))).select(*keys, F.col("want").alias("start"))
         stale = stale.checkpoint()
         if stale.isEmpty():
             break
+        if done == rounds:
+            states = _walk(rows, states, stale, axis, end_state, state_schema).checkpoint()
+            break
 
         def again(part: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
             if part.empty or given.empty:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from candlewick import fixtures as fx
 from candlewick.operators import quality as ops
 from candlewick.operators.series import HOURLY
-from candlewick.plans.registry import near, query, r, rs
+from candlewick.plans.registry import log_scale, log_sql, near, query, r, rs
 from candlewick.plans.sql import HOURLY as HOURLY_SQL
 from candlewick.plans.sql import DAILY as DAILY_SQL
 from candlewick.plans.sql import MINUTE, with_
@@ -250,16 +250,16 @@ def threshold_and_dates(spark, sf):
     with_(
         HOURLY_SQL,
         "x AS (SELECT symbol, ts, close, volume, CASE WHEN open = close THEN CASE WHEN volume % 2 = 0 THEN 'inf'::DOUBLE ELSE '-inf'::DOUBLE END ELSE close / (close - open) END AS v FROM bars)",
-        f"SELECT symbol, ts, CASE WHEN isinf(v) THEN NULL ELSE {r('CASE WHEN isinf(v) THEN 0 ELSE v END')} END AS nulled, {r('greatest(least(v, 1000), -1000)')} AS capped FROM x WHERE isinf(v) OR abs(v) < 1000",
+        f"SELECT symbol, ts, CASE WHEN isinf(v) THEN NULL ELSE {r(log_sql('CASE WHEN isinf(v) THEN 0 ELSE v END'))} END AS nulled, {r(log_sql('CASE WHEN isinf(v) THEN sign(v) * 1000 ELSE v END'))} AS capped FROM x",
     ),
 )
 def replace_infinite(spark, sf):
     b = fx.hourly(spark, sf)
     inf = F.when(F.col("volume") % 2 == 0, float("inf")).otherwise(float("-inf"))
     v = F.when(F.col("open") == F.col("close"), inf).otherwise(F.try_divide("close", F.col("close") - F.col("open")))
-    x = b.withColumn("v", v).filter((F.abs("v") < 1000) | (F.abs("v") == float("inf")))
-    x = x.withColumns({"nulled": F.col("v"), "capped": F.col("v")})
+    x = b.withColumns({"nulled": v, "capped": v})
     x = ops.replace_infinite(ops.replace_infinite(x, ["nulled"]), ["capped"], 1000.0)
+    x = x.withColumns({c: log_scale(c) for c in ("nulled", "capped")})
     return near(x, "nulled", "capped").select("symbol", "ts", "nulled", "capped")
 
 

@@ -37,6 +37,15 @@ def near(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({n: F.floor(F.col(n) * scale + 0.4973) / scale for n in names})
 
 
+def log_scale(name: str):
+    """Sign and size of amounts of any magnitude, so that rounding keeps the same share of each."""
+    return F.signum(name) * F.log10(1 + F.abs(name))
+
+
+def log_sql(x: str) -> str:
+    return f"sign({x}) * log10(1 + abs({x}))"
+
+
 def r(x: str, digits: int = 6) -> str:
     """The same rounding as SQL text."""
     scale = 10**digits

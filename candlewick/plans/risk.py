@@ -12,7 +12,7 @@ from candlewick.operators.series import DAILY, HOURLY
 from candlewick.plans.indicators import _recursive, recursive
 from candlewick.plans.joins import HOLDINGS_SQL, BENCH, benchmark, holdings
 from candlewick.plans.quality import COMPANIES_SQL, companies
-from candlewick.plans.registry import near, query, r, rs
+from candlewick.plans.registry import log_scale, log_sql, near, query, r, rs
 from candlewick.plans.signals import _u
 from candlewick.plans.sql import DAILY as DAILY_SQL
 from candlewick.plans.sql import HOURLY as HOURLY_SQL
@@ -401,14 +401,15 @@ FEES = _recursive(
     recursive(
         DAILY_SQL, RETURNS, "mo AS (SELECT symbol, date_trunc('month', ts) AS ts, avg(ret) AS ret FROM rets WHERE ret IS NOT NULL GROUP BY symbol, date_trunc('month', ts))",
         FEES.replace("0.02 / 12 AS mf", "0.02::DOUBLE / 12 AS mf"),
-        f"SELECT symbol, ts, {r('nav / prev - 1')} AS net_return, {r('mf')} AS management_fee, {r('pf')} AS performance_fee, {r('nav', 5)} AS nav FROM rec WHERE nav < 1e6",
+        f"SELECT symbol, ts, {r('nav / prev - 1')} AS net_return, {r(log_sql('mf'))} AS management_fee, {r(log_sql('pf'))} AS performance_fee, {r(log_sql('nav'))} AS nav FROM rec",
     ),
 )
 def fee_impact(spark, sf):
-    """Mean monthly returns under 2 % management and 20 % performance fee above a 6 % hurdle."""
+    """Mean monthly returns under 2 % management and 20 % performance fee above a 6 % hurdle; amounts on a log scale."""
     mo = returns(spark, sf, daily=True).filter("ret IS NOT NULL").groupBy("symbol", F.date_trunc("month", "ts").alias("ts")).agg(F.avg("ret").alias("ret"))
-    out = ops.fee_impact(mo, DAILY, 0.02, 0.2, 0.06).filter("nav < 1e6")
-    return near(near(out, "net_return", "management_fee", "performance_fee"), "nav", digits=5)
+    out = ops.fee_impact(mo, DAILY, 0.02, 0.2, 0.06)
+    out = out.withColumns({c: log_scale(c) for c in ("management_fee", "performance_fee", "nav")})
+    return near(out, "net_return", "management_fee", "performance_fee", "nav")
 
 
 COV_SQL = "cv AS (SELECT a.symbol AS a, b.symbol AS b, covar_samp(a.ret, b.ret) * 252 AS cov, corr(a.ret, b.ret) AS corr, count(*) AS n FROM rf a JOIN rf b ON a.ts = b.ts GROUP BY ALL)"
@@ -525,12 +526,12 @@ def topk_dropout(spark, sf):
         DAILY_SQL, RETURNS, RF,
         "m AS (SELECT symbol, avg(ret) AS m, stddev_samp(ret) AS s, stddev_pop(ret) AS sp, kurtosis_pop(ret) AS k, count(*) AS n FROM rf GROUP BY symbol), g AS (SELECT m.symbol, any_value(m / s) AS sr, any_value(k) AS k, any_value(n) AS n, avg(power((ret - m) / sp, 3)) AS g FROM m JOIN rf ON m.symbol = rf.symbol GROUP BY m.symbol)",
         "z AS (SELECT symbol, n, sr * sqrt(252) AS sharpe, sr / sqrt((1 - g * sr + (k + 2) / 4 * sr * sr) / (n - 1)) AS z FROM g)",
-        f"SELECT symbol, n, {rs('sharpe')}, {r(normal_cdf_sql('z'), 5)} AS probabilistic_sharpe FROM z WHERE abs(z) < 7",
+        f"SELECT symbol, n, {rs('sharpe')}, {r('CASE WHEN z >= 7 THEN 1 WHEN z <= -7 THEN 0 ELSE ' + normal_cdf_sql('z') + ' END', 5)} AS probabilistic_sharpe FROM z",
     ),
 )
 def sharpe_significance(spark, sf):
     rows = returns(spark, sf, daily=True).filter("ret IS NOT NULL")
-    out = ops.sharpe_significance(rows, ["symbol"], trials=20).filter("probabilistic_sharpe > 1.28e-12 AND probabilistic_sharpe < 1 - 1.28e-12")
+    out = ops.sharpe_significance(rows, ["symbol"], trials=20)
     return near(near(out, "sharpe"), "probabilistic_sharpe", digits=5).drop("deflated_sharpe")
 
 
