@@ -1,5 +1,6 @@
 """The block kernels against plain pandas loops; tiny blocks force many borders."""
 
+import datetime as dt
 import math
 
 import numpy as np
@@ -149,3 +150,33 @@ def test_memory():
     assert (1 - 0.1) ** series.memory(0.1) < 1e-20
     assert series.memory(1.0) == 1
     assert math.isclose(series.span_alpha(9), 0.2)
+
+
+@pytest.mark.parametrize("buckets", [3, 10, 100])
+def test_fold_of_a_state_that_remembers(spark, buckets, monkeypatch):
+    """A running balance never agrees with the assumed start; passes must not grow with the buckets."""
+    from candlewick.operators.series import Axis, fold
+
+    axis = Axis(key=("symbol",), order=("ts",), span=3600)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(s, start + dt.timedelta(minutes=20 * i), float(i % 7 - 2)) for s in ("a", "b") for i in range(3 * buckets)] + [("c", start, 1.0)]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp, x double")
+
+    def step(part, state):
+        total = 0.0 if state is None else state[0]
+        out = []
+        for v in part["x"]:
+            total = total * 0.99 + v
+            out.append(total)
+        return part[["symbol", "ts", "x"]].assign(total=out), [total]
+
+    calls = []
+    frame = type(df)
+    keep = frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *a, **b: calls.append(1) or keep(self, *a, **b))
+    got = {(r.symbol, r.ts): r.total for r in fold(df, axis, step, "symbol string, ts timestamp, x double, total double").collect()}
+    total = {}
+    for s, ts, x in rows:
+        total[s] = total.get(s, 0.0) * 0.99 + x
+        assert got[s, ts] == pytest.approx(total[s], rel=1e-12)
+    assert len(got) == len(rows) and len(calls) <= 9
