@@ -1,8 +1,9 @@
 """Exact ranks and quantiles of groups of any size.
 
-Values are counted first (equal values collapse before the shuffle), then each group is cut into value bins of
-about one percent relative width.  Ranks are running counts inside a bin plus the count of all lower bins, so a
-group is never sorted or held by one task.
+Values are counted first (equal values collapse before the shuffle), then each group is cut into value bins: about one
+percent of the value, a 1024th of the range of the group and one percent of the distance from its smallest value, whichever
+is finest, so that values close together (an index level, a time) spread as well.  Ranks are running counts inside a bin plus
+the count of all lower bins, so a group is never sorted or held by one task.
 """
 
 from __future__ import annotations
@@ -15,9 +16,14 @@ from pyspark.sql import functions as F
 BELOW, SAME, SIZE = "_below", "_same", "_size"
 
 
-def _bin(v: Column) -> Column:
+def _bin(v: Column, low: Column, high: Column) -> Column:
+    """Number of a value's bin; each part grows with the value, and so does the whole."""
     size = F.floor(F.log2(F.abs(v)) * 64) + 80000
-    return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("long")
+    relative = F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("long")
+    share = F.when((high - low > 0) & (high - low < float("inf")), (v - low) / (high - low)).otherwise(0.0)
+    linear = F.floor(share * 1023).cast("long")
+    near = F.when(share > 0, F.greatest(F.floor(F.log2(share) * 64) + 8000, F.lit(0))).otherwise(0).cast("long")
+    return (relative * 1024 + linear) * 8192 + near
 
 
 def value_positions(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
@@ -27,8 +33,17 @@ def value_positions(df: DataFrame, group: Sequence[str], value: str) -> DataFram
         df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias(SAME))
-        .withColumn("_bin", _bin(F.col(value).cast("double")))
     )
+    v = F.col(value).cast("double")
+    ends = counts.groupBy(*[F.col(k).alias(f"_e_{k}") for k in keys]).agg(F.min(v).alias("_low"), F.max(v).alias("_high"))
+    if keys:
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_e_{k}"))
+        counts = counts.join(ends, same)
+    else:
+        counts = counts.crossJoin(F.broadcast(ends))  # one row
+    counts = counts.withColumn("_bin", _bin(v, F.col("_low"), F.col("_high"))).drop("_low", "_high", *[f"_e_{k}" for k in keys])
     bins = counts.groupBy(*keys, "_bin").agg(F.sum(SAME).alias("_n"))
     lower = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*keys)
