@@ -20,7 +20,7 @@ def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     A table of many files is already spread and is read as it is.
     """
     df = table(spark, sf_dir, name)
-    single = os.path.isfile(os.path.join(sf_dir, f"{name}.parquet"))
+    single = len(df.inputFiles()) == 1
     return df.repartition(spark.sparkContext.defaultParallelism) if single else df
 
 
@@ -56,8 +56,12 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def minute_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars of the silver schema with prices as decimals: one bar per tick."""
+    return minute_of(table(spark, sf_dir, "events"))
+
+
+def minute_of(e: DataFrame) -> DataFrame:
+    """The same from a batch or a stream of events."""
     d = lambda c: c.cast("decimal(18,2)")
-    e = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("long")
     v = F.col("value")
     return e.select(

@@ -626,7 +626,7 @@ def rebalance_cost(weights: DataFrame, axis: Axis, cost: float = 0.001) -> DataF
     return rows.groupBy(date).agg(F.sum(F.abs(F.col("weight") - F.coalesce("_prev", F.lit(0.0)))).alias("turnover")).withColumn("cost", F.col("turnover") * cost)
 
 
-def topk_dropout(scores: DataFrame, topk: int, drop: int, ts: str = "ts", score: str = "score", span: int = 86400 * 366) -> DataFrame:
+def topk_dropout(scores: DataFrame, topk: int, drop: int, ts: str = "ts", score: str = "score", span: int = 86400 * 31) -> DataFrame:
     """Hold ``topk`` names; each date sell those among the ``drop`` worst of holdings plus best newcomers, buy as many.
 
     Only names that were ever among the best ``topk + drop`` can be held, so the others are left out before the dates

@@ -1,4 +1,5 @@
-"""Batch results of the streaming operators; the tests run the same operators on streams and compare."""
+"""Streaming operators. ``*_stream`` queries run the stream over files of the table until nothing is left and return what it
+wrote; the others are the batch results, with which the tests compare streams in many small batches."""
 
 from pyspark.sql import functions as F
 
@@ -7,8 +8,11 @@ from candlewick.operators import indicators
 from candlewick.operators.series import HOURLY, TICK
 from candlewick.plans.indicators import _recursive, recursive, roll
 from candlewick.plans.registry import near, query, r, rs
+from candlewick.plans.sources import _BAR, _folder, BAR as SILVER, doubles
 from candlewick.plans.sql import HOURLY as HOURLY_SQL
+from candlewick.plans.sql import MINUTE as MINUTE_SQL
 from candlewick.plans.sql import TICKS, with_
+from candlewick.sources import files
 from candlewick.streaming import consolidators as con
 from candlewick.streaming import jobs
 
@@ -161,3 +165,109 @@ def sliding_velocity(spark, sf):
 )
 def latest_per_topic(spark, sf):
     return jobs.latest_per_topic(events(spark, sf).withColumnRenamed("category", "topic"), "topic", "ts", "value", "5 minutes")
+
+
+# --- streams over the files of a table --------------------------------------------------------------------------------
+
+
+def table_stream(spark, sf, name):
+    """The files of a table as a stream, whether the table is one file or a folder of files."""
+    return spark.readStream.schema(fx.table(spark, sf, name).schema).parquet(f"{sf.rstrip('/')}/{name}.parquet*")
+
+
+def in_batches(df, ts, parts, folder):
+    """The rows cut by time into ``parts`` writes, so that a stream of one file per batch gets them in order."""
+    span = df.agg(F.min(ts).cast("long").alias("lo"), (F.max(ts).cast("long") + 1).alias("hi")).first()
+    at = F.floor((F.col(ts).cast("long") - span.lo) * parts / (span.hi - span.lo))
+    for i in range(parts):
+        df.filter(at == i).coalesce(1).write.mode("append").parquet(folder)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query("ingest_stream", "T1", with_(MINUTE_SQL, f"SELECT {_BAR} FROM minute"))
+def ingest_stream(spark, sf):
+    """Rows of the table as topic records, parsed and appended by the ingest job; records without a key are rejected."""
+    bars = fx.minute_of(table_stream(spark, sf, "events")).select(*SILVER)
+    broken = table_stream(spark, sf, "nation").select(F.lit("not json").alias("value"))
+    target = _folder(spark, "ingest")
+    jobs.ingest(files.to_messages(bars).unionByName(broken), f"{target}/rows", f"{target}/rejects", f"{target}/state", once=True).awaitTermination()
+    return doubles(spark.read.parquet(f"{target}/rows").select(*SILVER))
+
+
+@query("rejects_stream", "T1", "SELECT 'not json' AS value, n_nationkey AS key FROM nation")
+def rejects_stream(spark, sf):
+    """What the ingest job rejects: here records that are no JSON at all."""
+    broken = table_stream(spark, sf, "nation").select(F.concat(F.lit("not json "), F.col("n_nationkey")).alias("value"))
+    target = _folder(spark, "rejects")
+    jobs.ingest(broken, f"{target}/rows", f"{target}/rejects", f"{target}/state", once=True).awaitTermination()
+    found = spark.read.parquet(f"{target}/rejects").select(F.split("value", " ").alias("v"))
+    return found.select(F.concat_ws(" ", F.slice("v", 1, 2)).alias("value"), F.col("v")[2].cast("bigint").alias("key"))
+
+
+@query(
+    "upsert_stream", "T2",
+    "SELECT user_id, event_type, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id, event_type",
+)
+def upsert_stream(spark, sf):
+    rows = table_stream(spark, sf, "events").select("user_id", "event_type", "event_id", "value")
+    folder, keys = _folder(spark, "upsert"), ["user_id", "event_type"]
+    jobs.upsert_stream(rows, f"{folder}/rows", f"{folder}/state", keys, ["event_id"], once=True).awaitTermination()
+    jobs.compact(spark, f"{folder}/rows", f"{folder}/compact", keys, ["event_id"])
+    return jobs.current(spark, f"{folder}/compact", keys, ["event_id"])
+
+
+STREAMED = {
+    **LIVE, "ema": ("ema", {"period": 4}), "rsi": ("rsi", {"period": 5}), "macd": ("macd", {"fast": 3, "slow": 6, "signal": 3}), "bands": ("bollinger", {"period": 5}),
+    "atr": ("atr", {"period": 4}), "stoch": ("stochastic", {}), "williams": ("williams_r", {}), "cci": ("cci", {}), "adx": ("adx", {"period": 4}),
+}
+
+
+def _streamed(spark, sf):
+    folder = _folder(spark, "indicators")
+    stream = in_batches(bars(spark, sf), "ts", 3, f"{folder}/in")
+    jobs.indicator_stream(stream, STREAMED, f"{folder}/rows", f"{folder}/tail", f"{folder}/state", keep=400, once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").drop("batch")
+
+
+@query(
+    "indicator_stream",
+    "T9",
+    with_(
+        HOURLY_SQL,
+        f"i AS (SELECT symbol, ts, {roll('avg', 'close', 20)} AS sma, (close / lag(close, 10) OVER w - 1) * 100 AS momentum, (close / lag(close, 12) OVER w - 1) * 100 AS roc FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY ts))",
+        f"SELECT symbol, ts, {rs('sma', 'momentum', 'roc')} FROM i",
+    ),
+)
+def indicator_stream(spark, sf):
+    """Twelve indicators in three micro-batches; those with a short twin are shown."""
+    return near(_streamed(spark, sf).select("symbol", "ts", "sma", "momentum", "roc"), "sma", "momentum", "roc")
+
+
+@query("indicator_stream_gaps", "T9", "SELECT 0::BIGINT AS rows_that_differ")
+def indicator_stream_gaps(spark, sf):
+    """Rows of the stream on which any of the twelve indicators differs from its batch value."""
+    batch = indicators.compute(bars(spark, sf), STREAMED)
+    names = [c for c in batch.columns if c not in ("symbol", "ts", *BAR, "_pos")]
+    other = _streamed(spark, sf).select("symbol", "ts", *[F.col(c).alias(f"_{c}") for c in names])
+    same = F.lit(True)
+    for c in names:
+        a, b = F.col(c).cast("double"), F.col(f"_{c}").cast("double")
+        same = same & (a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= 1e-9 * (1 + F.abs(a)), F.lit(False)))
+    joined = batch.select("symbol", "ts", F.lit(True).alias("_in"), *names).join(other, ["symbol", "ts"], "full")
+    return joined.agg(F.count_if(~F.coalesce(same & F.col("_in").isNotNull(), F.lit(False))).alias("rows_that_differ"))
+
+
+@query(
+    "alert_stream",
+    "T10",
+    with_(
+        HOURLY_SQL,
+        f"i AS (SELECT *, {roll('avg', 'close', 20)} AS sma FROM bars), m AS (SELECT *, coalesce(close > sma, false) AND (high + low) / 2 >= 5 AS met FROM i)",
+        "SELECT symbol, ts, close FROM (SELECT *, lag(met, 1, false) OVER (PARTITION BY symbol ORDER BY ts) AS was FROM m) WHERE met AND NOT was",
+    ),
+)
+def alert_stream(spark, sf):
+    folder = _folder(spark, "alerts")
+    stream = in_batches(bars(spark, sf), "ts", 3, f"{folder}/in")
+    jobs.alert_stream(stream, ALERT, f"{folder}/rows", f"{folder}/tail", f"{folder}/state", keep=60, once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").select("symbol", "ts", "close")

@@ -58,6 +58,16 @@ def current(spark: SparkSession, table: str, keys: Sequence[str], order: Sequenc
     return tables.keep_last(spark.read.parquet(table), keys, [*order, "batch"]).drop("batch")
 
 
+def compact(spark: SparkSession, table: str, target: str, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Write the newest row per key of all batches so far as one batch of another table, under the number of the last one.
+
+    Readers switch to ``target`` and the stream goes on there; the old folder can then be dropped.
+    """
+    last = spark.read.parquet(table).agg(F.max("batch")).first()[0]
+    if last is not None:
+        current(spark, table, keys, order).write.mode("overwrite").parquet(os.path.join(target, f"batch={last}"))
+
+
 def first_seen(rows: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
     """Keep the first of equal keys within the allowed delay; state older than the delay is dropped."""
     return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
