@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,7 +27,18 @@ def build_session(app: str = "candlewick", master: str | None = None, **conf: st
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local["):
+        ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python workers need not have it installed."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="candlewick-ship-")  # read by the driver, which serves it to the executors
+    archive = shutil.make_archive(os.path.join(folder, "candlewick"), "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
