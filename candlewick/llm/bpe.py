@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.llm.words import lane_rows, pack, put_back, text_rows, unpack, words_of
+from candlewick.llm.words import Split, lane_rows, pack, put_back, text_rows, unpack, words_of
 
 #: White space as the tokenizer's patterns know it (fixed values: code points).
 SPACES = (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
-SPECIAL = " "  # before a special string, so that it is no ordinary word
+MARK = "\u00a0"  # before a special string; white space, so in no ordinary word
 LANES = 2048  # of distinct words
 SHORT = 48  # symbols up to which scanning for the best pair beats a heap
 
@@ -59,24 +59,24 @@ class WordBpe:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         return WordBpe(model["vocab"], {m: i for i, m in enumerate(merges)}, model["end_of_word_suffix"], special, pattern)
 
-    def splitter(self):
-        """Function from a text to its words: special strings, and what stands between white space, composed and in lower case."""
-        find = regex.compile(f"[^{''.join(map(chr, SPACES))}]+").findall
+    def splitter(self) -> Split:
+        """Words are what stands between white space, composed and in lower case, and special strings behind a ``MARK``."""
+        others = "".join(chr(c) for c in SPACES if c > 127)
+        blank = str.maketrans(dict.fromkeys(others, " "))
         starts = {s[0] for s in self.special}
         cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
 
-        def words(text: str) -> list[str]:
+        def plain(text: str) -> str:
             # lower-casing goes letter by letter: no final form of sigma
             text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
-            # str.split also cuts at these four
-            return find(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+            return text.translate(blank) if any(c in text for c in others) else text
 
-        def split(text: str) -> list[str]:
+        def ready(text: str) -> str:
             if not any(s in text for s in starts) or not cut.search(text):
-                return words(text)
-            return [w for i, part in enumerate(cut.split(text)) for w in ([SPECIAL + part] if i % 2 else words(part))]
+                return plain(text)
+            return " ".join(MARK + part if i % 2 else plain(part) for i, part in enumerate(cut.split(text)))
 
-        return split
+        return Split(ready)
 
     def encoder(self):
         """Function from a word to its ids."""
@@ -84,7 +84,7 @@ class WordBpe:
         letters = self.letters
 
         def encode(word: str) -> list[int]:
-            if word[0] == SPECIAL:
+            if word[0] == MARK:
                 return [special[word[1:]]]
             ids: list[int] = []
             for piece in pieces(word):

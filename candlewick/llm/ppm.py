@@ -13,7 +13,6 @@ bits a symbol. The probability of a symbol depends on its context alone, so it i
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,17 +22,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.llm.common import lower_ascii, store
-from candlewick.llm.words import put_back, text_rows, word_rows
+from candlewick.llm.words import Split, put_back, text_rows, word_rows
 
 END = 256  # symbol after a token; also stands for what lies before its first byte
 BITS = 9
 ALPHABET = 257
 
-split = re.compile(r"[^ \t-\r]+[ \t-\r]*|[ \t-\r]+").findall
+SPLIT = Split(spaced=True)
 
 
 def grams(tokens: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Packed (context, symbol) of every symbol of every token, and the number of symbols of each token."""
+    if not tokens:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     raw = [t.encode("utf-8", "replace") for t in tokens]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
     symbols = np.full(int(sizes.sum()) + order * len(raw), END, np.int64)
@@ -131,7 +132,7 @@ def score_texts(df: DataFrame, train: Column, order: int = 4, doc: str = "doc_id
     """
     docs = df.select(F.col(doc).alias("doc_id"), F.coalesce(train, F.lit(False)).alias("trained"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     ends = docs.where("trained").count()
-    pairs = store(word_rows(docs, split, counted="trained"), "pairs")
+    pairs = store(word_rows(docs, SPLIT, counted="trained"), "pairs")
     word = lower_ascii(F.rtrim(F.col("word"), F.lit(" \t\n\x0b\x0c\r")))
     counts = store(pairs.groupBy(word.alias("lower")).agg(F.sum("n").alias("c")), "counts")
     words, kinds = counts.where("lower <> ''").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
@@ -176,4 +177,4 @@ def score_texts(df: DataFrame, train: Column, order: int = 4, doc: str = "doc_id
 
     new = [T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")] + [T.StructField(n, T.DoubleType()) for n in ("base_score", "score")]
     schema = T.StructType([docs.schema["doc_id"], docs.schema["trained"], *new])
-    return put_back(text_rows(docs, split), of_words.unionByName(of_grams), add_up, schema)
+    return put_back(text_rows(docs, SPLIT), of_words.unionByName(of_grams), add_up, schema)

@@ -6,7 +6,7 @@ their order. After the lookup both meet again by batch. So a word crosses the ne
 and texts do not cross it at all.
 
 Words travel as rows (batch, code, word) or, packed, in lanes: a word belongs to the lane of its checksum, and the words of a batch
-in a lane are one row. A word then has its number by lane and alphabet, which need not be sent. Lanes spread evenly however
+in a lane are one row. A word then has its number by lane and first mention, which need not be sent. Lanes spread evenly however
 common a word is, since a batch holds each word once.
 
 The documents are read twice and must come in the same order both times: a table or a checkpoint, not a shuffle result. A batch
@@ -19,8 +19,8 @@ from __future__ import annotations
 import hashlib
 import itertools
 import zlib
-from collections import defaultdict
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Characters of text in a batch; one longer document is a batch of its own.
-BATCH_CHARS = 24_000_000
-
-Split = Callable[[str], list[str]]
+BATCH_CHARS = 20_000_000
+
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
+@dataclass(frozen=True)
+class Split:
+    """Words are what stands between ASCII white space of ``ready(text)``; with ``spaced`` each takes the white space after it
+    along, and what a text begins with is a word too."""
+
+    ready: Callable[[str], str] | None = None
+    spaced: bool = False
+
+    def __call__(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Words of all texts one after the other, words per text."""
+        if self.ready:
+            texts = pa.array([self.ready(t) if t else "" for t in texts.to_pylist()], pa.large_string())
+        raw = texts.cast(pa.large_binary()).fill_null(b"")
+        borders = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+        data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[borders[0] : borders[-1]]
+        borders = borders - borders[0]
+        word = ~_SPACE[data]
+        first = np.empty(len(data), bool)
+        first[:1], first[1:] = word[:1], word[1:] & ~word[:-1]
+        starts = borders[:-1][np.diff(borders) > 0]
+        first[starts] = True if self.spaced else word[starts]
+        begin = np.flatnonzero(first)
+        if self.spaced:
+            ends = np.append(begin, len(data))
+        else:
+            data = data[word]
+            ends = np.append(np.cumsum(word)[begin] - 1, len(data))
+        values = pa.StringArray.from_buffers(len(begin), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data.tobytes()))
+        return values, np.diff(np.searchsorted(begin, borders))
 
 
 def _batches(stream: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
@@ -51,26 +82,23 @@ def _batches(stream: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]
         yield pa.Table.from_batches(held)
 
 
-def _coded(stream: Iterator[pa.RecordBatch], split: Split, limit: int) -> Iterator[tuple[int, pa.Table, list[str], np.ndarray, np.ndarray]]:
+def _coded(stream: Iterator[pa.RecordBatch], split: Split, limit: int) -> Iterator[tuple[int, pa.Table, pa.Array, np.ndarray, np.ndarray]]:
     """(batch id, rows, words by code, codes of all texts one after the other, words per row)."""
     task = TaskContext.get().partitionId()
     for number, table in enumerate(_batches(stream, limit)):
-        code: dict[str, int] = defaultdict(itertools.count().__next__)
-        codes, counts = [], np.empty(table.num_rows, np.int64)
-        for i, text in enumerate(table.column("_text")):
-            found = split(text.as_py() or "")
-            counts[i] = len(found)
-            codes.append(np.fromiter(map(code.__getitem__, found), np.int32, len(found)))
-        words = list(code)
-        name = hashlib.blake2b(f"{task} {number}\n".encode(), digest_size=8)
-        name.update("\n".join(words).encode("utf-8", "surrogatepass"))
-        yield int.from_bytes(name.digest(), "little", signed=True), table, words, np.concatenate(codes) if codes else np.empty(0, np.int32), counts
-
-
-def _by_lane(words: list[str], lanes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the words by lane and alphabet, and the lane of each in that order."""
-    lane = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % lanes for w in words), np.int32, len(words))
-    order = np.array(sorted(range(len(words)), key=lambda i: (lane[i], words[i])), np.int64)
+        values, counts = split(table.column("_text").cast(pa.large_string()).combine_chunks())
+        coded = values.dictionary_encode()
+        words = coded.dictionary
+        name = hashlib.blake2b(f"{task} {number} ".encode(), digest_size=8)
+        for buffer in words.buffers()[1:]:
+            name.update(buffer or b"")
+        yield int.from_bytes(name.digest(), "little", signed=True), table, words, np.asarray(coded.indices), counts
+
+
+def _by_lane(words: pa.Array, lanes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the words by lane and code, and the lane of each in that order."""
+    lane = np.fromiter((zlib.crc32(w) % lanes for w in words.cast(pa.binary()).to_pylist()), np.int32, len(words))
+    order = np.argsort(lane, kind="stable")
     return order, lane[order]
 
 
@@ -97,9 +125,9 @@ def word_rows(df: DataFrame, split: Split, limit: int = BATCH_CHARS, counted: st
                 held = np.asarray(table.column(counted).to_numpy(zero_copy_only=False), bool)
                 n = np.bincount(codes[np.repeat(held, counts)], minlength=len(words))
             for at in range(0, len(words), 50_000):
-                part = words[at : at + 50_000]
+                part = words.slice(at, 50_000)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), batch)), pa.array(np.arange(at, at + len(part), dtype=np.int32)), pa.array(part, pa.string()), pa.array(n[at : at + len(part)].astype(np.int64))],
+                    [pa.array(np.full(len(part), batch)), pa.array(np.arange(at, at + len(part), dtype=np.int32)), part, pa.array(n[at : at + len(part)].astype(np.int64))],
                     names=["batch", "code", "word", "n"],
                 )
 
@@ -107,13 +135,14 @@ def word_rows(df: DataFrame, split: Split, limit: int = BATCH_CHARS, counted: st
 
 
 def lane_rows(df: DataFrame, split: Split, lanes: int, limit: int = BATCH_CHARS) -> DataFrame:
-    """``lane, batch, words``: the distinct words of a batch that fall into a lane, sorted; no word holds a line feed."""
+    """``lane, batch, words, n``: the distinct words of a batch that fall into a lane; no word may hold a line feed."""
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, words, _, _ in _coded(stream, split, limit):
             order, lane = _by_lane(words, lanes)
+            sorted_words = words.take(pa.array(order)).cast(pa.binary()).to_pylist()
             edges = np.concatenate([[0], np.flatnonzero(np.diff(lane)) + 1, [len(lane)]]) if len(lane) else [0]
-            out = [(int(lane[lo]), batch, pa.compress("\n".join([words[i] for i in order[lo:hi]]).encode("utf-8", "surrogatepass"), "zstd", asbytes=True), int(hi - lo)) for lo, hi in itertools.pairwise(edges)]
+            out = [(int(lane[lo]), batch, pa.compress(b"\n".join(sorted_words[lo:hi]), "zstd", asbytes=True), int(hi - lo)) for lo, hi in itertools.pairwise(edges)]
             out = [dict(zip(("lane", "batch", "words", "n"), row, strict=True)) for row in out]
             yield pa.RecordBatch.from_pylist(out, pa.schema([("lane", pa.int32()), ("batch", pa.int64()), ("words", pa.binary()), ("n", pa.int32())]))
 
@@ -122,11 +151,11 @@ def lane_rows(df: DataFrame, split: Split, lanes: int, limit: int = BATCH_CHARS)
 
 def words_of(packed: bytes) -> list[str]:
     # the frame of a compressed buffer does not tell its size to pyarrow
-    return pa.input_stream(pa.py_buffer(packed), compression="zstd").read().decode("utf-8", "surrogatepass").split("\n")
+    return pa.input_stream(pa.py_buffer(packed), compression="zstd").read().decode().split("\n")
 
 
 def text_rows(df: DataFrame, split: Split, lanes: int = 0, limit: int = BATCH_CHARS) -> DataFrame:
-    """``batch, rows, counts, codes``: one packed row per batch; codes by lane and alphabet if ``lanes`` is given."""
+    """``batch, rows, counts, codes``: one packed row per batch; codes by lane and first mention if ``lanes`` is given."""
 
     def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, table, words, codes, counts in _coded(stream, split, limit):
