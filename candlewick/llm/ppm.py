@@ -27,6 +27,7 @@ from candlewick.llm.words import Split, put_back, text_rows, word_rows
 END = 256  # symbol after a token; also stands for what lies before its first byte
 BITS = 9
 ALPHABET = 257
+CHUNK = 50_000  # tokens whose grams are held at once
 
 SPLIT = Split(spaced=True)
 
@@ -154,10 +155,11 @@ def score_texts(df: DataFrame, train: Column, order: int = 4, doc: str = "doc_id
         by_gram = found.filter(pa.compute.is_valid(found.column("gram"))).sort_by("gram")
         found = found.filter(pa.compute.is_valid(found.column("code")))  # sorted by code
         tokens = found.column("word").to_pylist()
-        packed, sizes = grams(tokens, order)
-        known = np.asarray(by_gram.column("gram"))
-        logp = np.asarray(by_gram.column("logp"))[np.searchsorted(known, packed)] if len(packed) else np.empty(0)
-        model = np.add.reduceat(logp, np.concatenate([[0], np.cumsum(sizes)[:-1]])) if len(tokens) else np.empty(0)
+        known, chance = np.asarray(by_gram.column("gram")), np.asarray(by_gram.column("logp"))
+        model = np.empty(len(tokens))
+        for at in range(0, len(tokens), CHUNK):  # grams of some tokens at a time
+            packed, sizes = grams(tokens[at : at + CHUNK], order)
+            model[at : at + CHUNK] = np.add.reduceat(chance[np.searchsorted(known, packed)], np.cumsum(sizes) - sizes)
         c = np.asarray(found.column("c"), np.float64)
         is_word = np.fromiter((not t[0] in " \t\n\x0b\x0c\r" for t in tokens), bool, len(tokens))
         scale = total + 0.1 * (distinct + 1)
