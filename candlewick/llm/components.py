@@ -16,54 +16,56 @@ from pyspark.sql import functions as F
 from candlewick.llm.common import store
 
 
+ROWS = 100_000  # of a step that a task writes
+
+
 def components(links: DataFrame) -> DataFrame:
     """``a, b`` (any order, repeats allowed) -> ``node, root`` for every node that has a link; ``root`` is the smallest node."""
     hi, lo = F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")
     edges = store(links.where(F.col("a") != F.col("b")).select(hi, lo).distinct(), "links")
-    before = None
-    while True:
+    parts = max(1, edges.count() // ROWS)  # the steps never hold more than twice these rows
+    keep = lambda df, name: store(df.coalesce(parts), name)
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-        least = store(both.groupBy(F.col("hi").alias("_n")).agg(F.min("lo").alias("_m")).select("_n", F.least("_n", "_m").alias("_m")), "least")
+        least = keep(both.groupBy(F.col("hi").alias("_n")).agg(F.min("lo").alias("_m")).select("_n", F.least("_n", "_m").alias("_m")), "least")
         hung = both.where(F.col("lo") > F.col("hi")).join(least, F.col("hi") == F.col("_n")).select(F.col("lo").alias("hi"), F.col("_m").alias("lo"))
-        edges = store(hung.distinct(), "large")
-        least = store(edges.groupBy(F.col("hi").alias("_n")).agg(F.min("lo").alias("_m")), "least")
+        edges = keep(hung.distinct(), "large")
+        least = keep(edges.groupBy(F.col("hi").alias("_n")).agg(F.min("lo").alias("_m")), "least")
         small = edges.join(least, F.col("hi") == F.col("_n")).where(F.col("lo") != F.col("_m")).select(F.col("lo").alias("hi"), F.col("_m").alias("lo"))
-        edges = store(small.unionByName(least.select(F.col("_n").alias("hi"), F.col("_m").alias("lo"))).distinct(), "small")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
-        if now == before or not now[0]:
-            return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(edges.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
-        before = now
+        edges = keep(small.unionByName(least.select(F.col("_n").alias("hi"), F.col("_m").alias("lo"))).distinct(), "small")
+    return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(edges.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Every node hangs under one other that hangs under none: the links are the stars of their components."""
+    ends = edges.select(F.col("hi").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("lo").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.agg(F.count_if(F.expr("up > 1 OR up = 1 AND down = 1"))).first()[0]
 
 
-def settle(met: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int) -> DataFrame:
-    """All links needed to tell the groups of nodes that meet under a key, without all pairs of a key.
+def settle(met: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``node, root`` of every node with a link, without a row for every pair of a key.
 
-    ``met``: ``key, node``; ``links``: ``a, b`` known before; ``verify`` keeps the pairs ``a < b`` that really link. In each of
-    ``rounds`` rounds the nodes of a key are compared with one of them, and keys whose nodes are all in one group by then are
-    done. At last the nodes of a key that are still in different groups are compared with each other, so no link between
-    groups is missed.
+    ``met``: ``key, node``; ``links``: ``a, b`` known before; ``verify`` keeps the pairs ``a < b`` that really link. First the nodes
+    of a key are compared with the smallest one; keys whose nodes are all in one group by then are done. ``finish`` gets ``key,
+    node, root`` of the others and finds the links between nodes of a key that are still in different groups; these links
+    then join the groups found before.
     """
-    tried = None
-    for r in range(rounds + 1):
-        if r:
-            roots = store(components(links), "roots").select(F.col("node").alias("_n"), "root")
-            met = met.select("key", "node").join(roots, F.col("node") == F.col("_n"), "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-            split = met.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select(F.col("key").alias("_k"))
-            met = store(met.join(split, F.col("key") == F.col("_k")).select("key", "node", "root"), "met")
-        if r < rounds:  # everyone with one of the key
-            centre = F.min("node") if not r else F.min_by("node", F.xxhash64(F.lit(r), "node"))
-            centres = met.groupBy("key").agg(centre.alias("c")).select(F.col("key").alias("_k"), "c")
-            pairs = met.join(centres, F.col("key") == F.col("_k")).where("node <> c").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
-        else:  # who is still apart, pair by pair
-            other = met.select(F.col("key").alias("_k"), F.col("node").alias("b"), F.col("root").alias("_r"))
-            pairs = met.join(other, (F.col("key") == F.col("_k")) & (F.col("node") < F.col("b")) & (F.col("root") != F.col("_r"))).select(F.col("node").alias("a"), "b")
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = store(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = store(links.unionByName(verify(pairs)), "linked")
-    return links
+    centres = met.groupBy("key").agg(F.min("node").alias("a")).select(F.col("key").alias("_k"), "a")
+    pairs = met.join(centres, F.col("key") == F.col("_k")).where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    roots = store(components(links.unionByName(verify(store(pairs, "pairs")))), "roots")
+    of = roots.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
+    met = store(met.join(of, F.col("node") == F.col("_n"), "left").select("key", "node", F.coalesce("_r", "node").alias("root")), "met")
+    split = met.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select(F.col("key").alias("_k"))
+    left = store(met.join(split, F.col("key") == F.col("_k")).select("key", "node", "root"), "left")
+    found = store(finish(left), "found")
+    ends = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
+    ends = store(ends.join(of, F.col("node") == F.col("_n"), "left").select("node", F.coalesce("_r", "node").alias("root")), "ends")
+    first, second = (ends.select(F.col("node").alias(f"_{c}"), F.col("root").alias(f"root_{c}")) for c in "ab")
+    joins = found.join(first, F.col("a") == F.col("_a")).join(second, F.col("b") == F.col("_b")).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    tops = store(components(joins), "tops").select(F.col("node").alias("_t"), F.col("root").alias("_top"))
+    every = roots.unionByName(ends.join(of, F.col("node") == F.col("_n"), "left_anti").select("node", "root"))
+    return every.join(tops, F.col("root") == F.col("_t"), "left").select("node", F.coalesce("_top", "root").alias("root"))
 
 
 def meetings(rows: DataFrame) -> DataFrame:

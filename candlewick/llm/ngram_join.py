@@ -11,11 +11,13 @@ neighbouring bands can link, with slots for the largest sizes of the band:
   the budget and gives larger, rarer segments for more index rows. How many slots of a band are paired is decided by cost, with
   the overlap of random pairs of documents estimated on a sample of fixed size. It changes the work, never the result.
 
-Sets that share an index key are candidates and are compared exactly. ``components.settle`` finds the groups without all pairs of a key.
+Sets that share an index key are candidates and are compared exactly. ``components.settle`` finds the groups without a row per pair: the
+sets of a key are compared with one of them, and what is still apart then is compared block by block, as products of matrices.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import sized_join, store
-from candlewick.llm.components import components, meetings, settle
+from candlewick.llm.common import runs, sized_join, store
+from candlewick.llm.components import meetings, settle
 
-SLICE = 2_000_000  # bytes of text handled at once; a longer text is handled by itself
+SLICE = 300_000  # bytes of text handled at once; a longer text is handled by itself
 _U = np.uint64
 
 
@@ -281,13 +283,13 @@ def _plan(docs: DataFrame, stats: DataFrame, width: int, percent: int, sample: i
     return Index(percent, starts, paired)
 
 
-def ngram_join(df: DataFrame, width: int = 4, percent: int = 85, rounds: int = 2, sample: int = 2000, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def ngram_join(df: DataFrame, width: int = 4, percent: int = 85, sample: int = 2000, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id``: documents link when 100 * intersection >= ``percent`` * union of their shingle sets.
 
     A shingle is ``width`` neighbouring words (A-Z lower-cased, cut at ASCII white space); a text with fewer words is one shingle.
     Null, empty and blank texts have an empty set and link with nothing. ``component_id`` is the smallest id reachable by links. Rows that repeat an id
     are one document with all links of its texts; a row without an id links with nothing and has no component. An empty
-    table gives an empty result. ``rounds`` and ``sample`` change the work, not the result.
+    table gives an empty result. ``sample`` changes the work, not the result.
     """
     docs = df.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     stats = store(_describe(docs, width), "stats")
@@ -298,11 +300,91 @@ def ngram_join(df: DataFrame, width: int = 4, percent: int = 85, rounds: int = 2
     links = store(same, "copies")
 
     met = meetings(_index_rows(docs, width, index))
-    links = settle(met, links, lambda pairs: _verified(docs, pairs, width, percent), rounds)
-    roots = components(links).select(F.col("node").alias("_n"), "root")
+    roots = settle(met, links, lambda pairs: _verified(docs, pairs, width, percent), lambda left: _between(docs, left, width, percent))
+    roots = roots.select(F.col("node").alias("_n"), "root")
     return stats.join(roots, F.col("doc_id") == F.col("_n"), "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
 
+VOLUME = 400_000  # shingles in a block of sets
+COLUMNS = 4096  # shingles whose matrix columns are held at once
+
+
+def _overlaps(x: pa.Table, y: pa.Table | None, percent: int) -> list[tuple[int, int]]:
+    """Links (node, node) between sets of different roots within a block, or between two blocks."""
+    both = x if y is None else pa.concat_tables([x, y])
+    lists = both.column("shingles").combine_chunks()
+    size = np.diff(np.asarray(lists.offsets))
+    node, root = np.asarray(both.column("node")), np.asarray(both.column("root"))
+    if (root == root[0]).all():
+        return []
+    flat, row = np.asarray(lists.flatten()), np.repeat(np.arange(len(size)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    fresh = np.ones(len(flat), bool)
+    fresh[1:] = flat[1:] != flat[:-1]
+    column = np.cumsum(fresh) - 1
+    shared = np.bincount(column) > 1  # a shingle of one set adds to no overlap
+    keep = shared[column]
+    row, column = row[keep], (np.cumsum(shared) - 1)[column[keep]]
+    n = x.num_rows
+    left, right = np.arange(n), np.arange(n) if y is None else np.arange(n, len(size))
+    common = np.zeros((len(left), len(right)), np.int64)
+    edges = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 + COLUMNS, COLUMNS)) if len(column) else [0]
+    for i, (lo, hi) in enumerate(itertools.pairwise(edges)):
+        held = np.zeros((len(size), COLUMNS), np.float32)
+        held[row[lo:hi], column[lo:hi] - i * COLUMNS] = 1
+        common += (held[left] @ held[right].T).astype(np.int64)
+    union = size[left][:, None] + size[right][None, :] - common
+    match = (common * 100 >= union * percent) & (root[left][:, None] != root[right][None, :])
+    a, b = np.nonzero(match)
+    return list(zip(node[left[a]].tolist(), node[right[b]].tolist(), strict=True))
+
+
+def _between(docs: DataFrame, left: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between sets that share a key and are still in different groups.
+
+    Keys with the same smallest node make a family; the sets of a family are cut into blocks of bounded volume, and a task
+    compares two blocks. Of the links found by a task only those that join groups are kept.
+    """
+    first = left.groupBy("key").agg(F.min("node").alias("family")).select(F.col("key").alias("_k"), "family")
+    members = store(left.join(first, F.col("key") == F.col("_k")).select("family", "node", "root").distinct(), "members")
+    used = store(members.select(F.col("node").alias("doc_id")).distinct(), "used")
+    sets = store(_sets(sized_join(docs, used, "doc_id", "left_semi", used.count()), width).dropDuplicates(["node"]), "sets")
+    sized = members.join(sets.select(F.col("node").alias("_n"), F.size("shingles").alias("n")), F.col("node") == F.col("_n"))
+    parts = sized.groupBy("family").agg(F.ceil(F.sum("n") / VOLUME).cast("int").alias("parts")).select(F.col("family").alias("_f"), "parts")
+    entry = members.join(parts, F.col("family") == F.col("_f")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    entry = entry.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    entry = entry.select("family", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"), "own", "node", "root")
+    entry = entry.join(sets.select(F.col("node").alias("_n"), "shingles"), F.col("node") == F.col("_n")).drop("_n")
+    ready = entry.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi")
+
+    def compare(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs(stream, ["family", "lo", "hi"]):
+            lo, hi = t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
+            own = np.asarray(t.column("own"))
+            x, y = t.filter(pa.array(own == lo)), None if lo == hi else t.filter(pa.array(own == hi))
+            if x.num_rows and (y is None or y.num_rows):
+                up: dict[int, int] = {}
+                kept = [(a, b) for a, b in _overlaps(x, y, percent) if _joins(up, a, b)]
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.int64())], names=["a", "b"])
+
+    return ready.mapInArrow(compare, "a bigint, b bigint")
+
+
+def _joins(up: dict[int, int], a: int, b: int) -> bool:
+    """Whether a link joins two groups, which are one from then on."""
+
+    def top(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    a, b = top(a), top(b)
+    up[max(a, b)] = min(a, b)
+    return a != b
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose sets really overlap enough."""
     used = store(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "used")

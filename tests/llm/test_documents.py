@@ -55,7 +55,9 @@ def plain_groups(rows, width, percent):
 
 @pytest.mark.parametrize("pairs", [None, 1])
 def test_ngram_join_equals_all_pairs(spark, pairs, monkeypatch):
-    if pairs:  # as many slot pairs with one-deletion neighbourhoods as there can be
+    if pairs:  # as many slot pairs with one-deletion neighbourhoods as there can be, and small blocks
+        monkeypatch.setattr(ngram_join, "VOLUME", 300)
+        monkeypatch.setattr(ngram_join, "COLUMNS", 64)
         monkeypatch.setattr(ngram_join, "allocate", lambda differ, *_: (differ + 1) // 2)
     rows = near_copies()
     got = ngram_join.ngram_join(spark.createDataFrame(rows, SCHEMA), width=3, percent=80)
@@ -107,11 +109,14 @@ def test_lines(spark):
 
 
 def test_line_hash_is_the_majority(spark):
-    text = "the quick brown fox jumps over the lazy dog the end"
+    text = "The quick brown fox jumps over seven sleeping dogs, seven times a night"
     row = line_dedup.line_table(spark.createDataFrame([(1, text)], "doc_id long, text string"), 4).first()
-    hashes = [r.h for r in spark.createDataFrame([(w,) for w in text.split()], "w string").select(F.xxhash64("w").alias("h")).collect()]
+    voters = [w for w in re.findall("[a-z]+", text.lower()) if len(w) >= line_dedup.LONG]
+    hashes = [r.h for r in spark.createDataFrame([(w,) for w in voters], "w string").select(F.xxhash64("w").alias("h")).collect()]
     want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-    assert row.sim & (2**64 - 1) == want
+    assert row.sim & (2**64 - 1) == want and len(hashes) == 8
+    short = line_dedup.line_table(spark.createDataFrame([(1, "to be or not to be")], "doc_id long, text string"), 4).first()
+    assert short.sim == short.k1
 
 
 def plain_targets(sizes, weights, share, most):
