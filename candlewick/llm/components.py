@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import store
@@ -43,16 +43,17 @@ def _settled(edges: DataFrame) -> bool:
     return not nodes.agg(F.count_if(F.expr("up > 1 OR up = 1 AND down = 1"))).first()[0]
 
 
-def settle(met: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def settle(met: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], finish: Callable[[DataFrame], DataFrame], close: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """``node, root`` of every node with a link, without a row for every pair of a key.
 
     ``met``: ``key, node``; ``links``: ``a, b`` known before; ``verify`` keeps the pairs ``a < b`` that really link. First the nodes
     of a key are compared with the smallest one; keys whose nodes are all in one group by then are done. ``finish`` gets ``key,
     node, root`` of the others and finds the links between nodes of a key that are still in different groups; these links
-    then join the groups found before.
+    then join the groups found before. ``close`` tells from two nodes alone which pairs are worth a look.
     """
     centres = met.groupBy("key").agg(F.min("node").alias("a")).select(F.col("key").alias("_k"), "a")
-    pairs = met.join(centres, F.col("key") == F.col("_k")).where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    pairs = met.join(centres, F.col("key") == F.col("_k")).where("node <> a").select("a", F.col("node").alias("b"))
+    pairs = pairs.distinct() if close is None else pairs.where(close(F.col("a"), F.col("b"))).distinct()
     roots = store(components(links.unionByName(verify(store(pairs, "pairs")))), "roots")
     of = roots.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
     met = store(met.join(of, F.col("node") == F.col("_n"), "left").select("key", "node", F.coalesce("_r", "node").alias("root")), "met")

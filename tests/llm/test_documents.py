@@ -119,6 +119,44 @@ def test_line_hash_is_the_majority(spark):
     assert short.sim == short.k1
 
 
+def edit_distance(x, y):
+    row = list(range(len(y) + 1))
+    for i, c in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, d in enumerate(y, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+    return row[-1]
+
+
+def line_pairs(sizes, each, seed=11):
+    """Lines and copies with a tenth of the words replaced (one letter if that is under one word): similarity 0.9 and more."""
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.choice([2, 3, 4, 5, 6, 7, 9]))) for _ in range(3000)]
+    pairs = []
+    while len(pairs) < len(sizes) * each:
+        n = sizes[len(pairs) // each]
+        base = [rng.choice(words) for _ in range(n)]
+        own = list(base)
+        for at in rng.sample(range(n), max(1, n // 10)):
+            own[at] = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in own[at]) if n >= 10 else own[at][:-1] + "0"
+        x, y = " ".join(base), " ".join(own)
+        if 0 < 10 * edit_distance(x, y) <= max(len(x), len(y)):
+            pairs.append((n, x, y))
+    return pairs
+
+
+def removed_share(spark, pairs):
+    rows = [(2 * i + k, (x, y)[k], "s", "", "") for i, (_, x, y) in enumerate(pairs) for k in (0, 1)]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[2 * i].removed == [] for i in range(len(pairs)))
+    return sum(got[2 * i + 1].removed == [0] for i in range(len(pairs))) / len(pairs)
+
+
+def test_lines_with_a_tenth_of_the_words_replaced_meet(spark):
+    pairs = line_pairs((11, 15, 25, 35, 59), 20)
+    assert removed_share(spark, pairs) >= 0.95
+
+
 def plain_targets(sizes, weights, share, most):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
