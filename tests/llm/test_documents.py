@@ -157,6 +157,27 @@ def test_lines_with_a_tenth_of_the_words_replaced_meet(spark):
     assert removed_share(spark, pairs) >= 0.95
 
 
+def test_lines_at_the_bound_and_short_lines_meet(spark):
+    assert removed_share(spark, line_pairs((5, 7, 10, 20, 30, 40, 60), 20)) >= 0.95
+
+
+def test_a_very_long_line_meets_its_copy(spark):
+    rng = random.Random(8)
+    words = [f"word{rng.randrange(900)}" for _ in range(4000)]  # more characters than a whole number of 32 bits holds millionths
+    rows = [(1, " ".join(words), "s", "", ""), (2, " ".join([*words[:-3], "end"]), "s", "", "")]
+    assert {r.doc_id: r.removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()} == {1: [], 2: [0]}
+
+
+def test_lines_without_blanks(spark):
+    rng = random.Random(3)
+    line = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(40))
+    near = line[:20] + "\u4e00\u4e01" + line[22:]
+    far = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(40))
+    rows = [(i, t, "s", "", "") for i, t in enumerate((line, line, near, far, "two words", "two words"))]
+    got = {r.doc_id: r.removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {0: [], 1: [0], 2: [0], 3: [], 4: [], 5: []}
+
+
 def plain_targets(sizes, weights, share, most):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
