@@ -252,6 +252,17 @@ def test_permutation_is_a_bijection(spark):
         assert sorted(r.p for r in got) == list(range(n))
 
 
+def test_pipeline_joins_at_four_fifths_of_five_words(spark):
+    import corpus_pipeline as P
+
+    rows = []
+    for i, n in enumerate((13, 12)):  # 9 and 8 shingles of five words, of which the last one differs: 8 of 10 and 7 of 9
+        words = [f"w{i}x{j}" for j in range(n)]
+        rows += [(2 * i, " ".join(words), "en", "s", 1), (2 * i + 1, " ".join([*words[:-1], "other"]), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in P.join_ngrams(spark, docs, "").collect()) == [0, 2, 3]
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as P
 
