@@ -19,10 +19,30 @@ from candlewick.llm.common import let, runs, store
 from candlewick.llm.components import components
 
 
-def choose_pivots(vectors: DataFrame, count: int) -> np.ndarray:
-    """``count`` vectors of smallest hash: a sample of fixed size, whatever the table."""
-    rows = vectors.orderBy(F.xxhash64(F.lit(11), "node"), "node").limit(count).select("vec").toArrow()
-    return np.array(rows.column("vec").to_pylist(), np.float64).reshape(rows.num_rows, -1)
+SAMPLE = 8  # vectors looked at for each pivot
+NEAREST = 4  # pivots are at least so many times as far apart (one minus the cosine) as links may be
+
+
+def choose_pivots(vectors: DataFrame, count: int, nearest: float) -> np.ndarray:
+    """At most ``count`` vectors, of a sample of fixed size, each as far as can be from those before.
+
+    Once all others have a cosine above ``nearest`` with a pivot no more are taken: pivots within a group of near copies would be told
+    apart by noise only.
+    """
+    ids = vectors.select("node").orderBy(F.xxhash64(F.lit(11), "node"), "node").limit(SAMPLE * count).distinct()
+    rows = vectors.join(F.broadcast(ids), "node", "left_semi").orderBy("node", "label").limit(SAMPLE * count).select("vec").toArrow()
+    if not rows.num_rows:
+        return np.empty((0, 0))
+    sample = _matrix(rows.column("vec"))
+    taken, close = [0], sample @ sample[0]
+    while len(taken) < count:
+        far = int(close.argmin())
+        if close[far] > nearest:
+            break
+        taken.append(far)
+        close = np.maximum(close, sample @ sample[far])
+        close[far] = 1.0 if nearest < 1 else np.inf
+    return sample[taken]
 
 
 def _unit(v: Column) -> Column:
@@ -95,7 +115,7 @@ def pivot_dedup(
     component. Equal vectors of a label are one node of the index and linked with each other. Ids are whole numbers; rows that repeat an id are
     vectors of their own with a common component; a row without an id takes no part and has no component. Vectors of another length than the pivots form a
     group of their own length. An empty table gives an empty result. The index is approximate: a pair is found if it shares ``shared``
-    of the ``prefix`` nearest of ``pivots`` reference points; the reference points are a sample of fixed size, every row is indexed.
+    of the ``prefix`` nearest of ``pivots`` reference points; the reference points come from a sample of fixed size and stand apart from each other, every row is indexed.
     """
     wide = F.col(vec).cast("array<double>")
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), wide.alias("raw"), (F.col(label).cast("string") if label else F.lit("")).alias("label"))
@@ -125,7 +145,8 @@ def pivot_dedup(
 
 def _search(nodes: DataFrame, threshold: float, pivots: int, prefix: int, shared: int, block: int, schema: str) -> DataFrame:
     """Links found in the inverted lists: per list and node, the vectors linked and the smallest node it hangs together with."""
-    points = choose_pivots(nodes, pivots)
+    points = choose_pivots(nodes, pivots, 1 - NEAREST * (1 - threshold))
+    shared = min(shared, len(points))
     held = store(describe(nodes.select("label", "node", "weight", "vec"), points, prefix), "described")
     lists = held.select("label", F.explode("pivots").alias("pivot")).groupBy("label", "pivot").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     entry = held.select("label", "node", "weight", "vec", "pivots", F.explode("pivots").alias("pivot")).join(lists, ["label", "pivot"])

@@ -57,6 +57,19 @@ def test_pivot_index_finds_all_groups(spark, block):
     assert (alone.n_links, alone.component_id, alone.kept) == (0, None, True)
 
 
+@pytest.mark.parametrize("d", [16, 128])
+def test_a_third_of_all_vectors_in_one_group(spark, d):
+    rng = np.random.default_rng(7)
+    base, n = rng.normal(size=d), 1500
+    rows = [(i, [float(x) for x in (base + 0.14 * rng.normal(size=d) if i % 3 == 0 else rng.normal(size=d))], 1, "", "") for i in range(n)]
+    got = {r.vec_id: r.n_links for r in pivot_dedup.pivot_dedup(spark.createDataFrame(rows, SCHEMA), pivots=512).collect()}
+    x = np.array([np.float32(r[1]) for r in rows], np.float64)
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    want = (x @ x.T >= 0.98).sum(1) - 1
+    have = np.array([got[i] for i in range(n)])
+    assert want.sum() > 5_000 and (have <= want).all() and have.sum() >= 0.9 * want.sum()
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert pivot_dedup.pivot_dedup(empty).collect() == []
