@@ -20,18 +20,18 @@ cloudpickle.register_pickle_by_value(sys.modules[__package__])
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, **options: int | str) -> DataFrame:
     """Write ``df`` to the shared folder named by ``spark.checkpoint.dir`` and read it back.
 
-    Cuts lineage like ``checkpoint()``: a lost executor costs a re-read, not a recomputation.
+    Cuts lineage like ``checkpoint()``: a lost executor costs a re-read, not a recomputation. ``options`` go to the writer, ``__`` for dots.
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark).rstrip('/')}/candlewick-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.options(**{k.replace("__", "."): v for k, v in options.items()}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sized_join(big: DataFrame, small: DataFrame, on: str, how: str, rows: int, limit: int = 1_000_000) -> DataFrame:
+def sized_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str, rows: int, limit: int = 1_000_000) -> DataFrame:
     """Join that spares ``big`` its shuffle while ``small`` has at most ``limit`` narrow rows; a shuffled join beyond it."""
     return big.join(F.broadcast(small) if rows <= limit else small, on, how)
 
