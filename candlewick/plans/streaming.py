@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 from candlewick import fixtures as fx
 from candlewick.operators import indicators
 from candlewick.operators.series import HOURLY, TICK
-from candlewick.plans.indicators import _recursive, recursive, roll
+from candlewick.plans.indicators import BASE, E, W, _recursive, avg, hi, lo, recursive, roll, wn
 from candlewick.plans.registry import near, query, r, rs
 from candlewick.plans.sources import _BAR, _folder, BAR as SILVER, doubles
 from candlewick.plans.sql import HOURLY as HOURLY_SQL
 from candlewick.plans.sql import MINUTE as MINUTE_SQL
-from candlewick.plans.sql import TICKS, with_
+from candlewick.plans.sql import NUMBERED, TICKS, with_
 from candlewick.sources import files
 from candlewick.streaming import consolidators as con
-from candlewick.streaming import jobs
+from candlewick.streaming import jobs, live
 
 BAR = ("open", "high", "low", "close", "volume")
 
@@ -224,37 +224,52 @@ STREAMED = {
 
 def _streamed(spark, sf):
     folder = _folder(spark, "indicators")
+    live.rocksdb(spark)
     stream = in_batches(bars(spark, sf), "ts", 3, f"{folder}/in")
-    jobs.indicator_stream(stream, STREAMED, f"{folder}/rows", f"{folder}/tail", f"{folder}/state", keep=400, once=True).awaitTermination()
-    return spark.read.parquet(f"{folder}/rows").drop("batch")
-
-
-@query(
-    "indicator_stream",
-    "T9",
-    with_(
-        HOURLY_SQL,
-        f"i AS (SELECT symbol, ts, {roll('avg', 'close', 20)} AS sma, (close / lag(close, 10) OVER w - 1) * 100 AS momentum, (close / lag(close, 12) OVER w - 1) * 100 AS roc FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY ts))",
-        f"SELECT symbol, ts, {rs('sma', 'momentum', 'roc')} FROM i",
-    ),
-)
+    live.write_stream(live.live_indicators(stream, STREAMED), f"{folder}/rows", f"{folder}/state", once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows")
+
+
+_SHOWN = {
+    "sma": avg("close", 20), "momentum": f"(close / lag(close, 10) OVER ({W}) - 1) * 100", "roc": f"(close / lag(close, 12) OVER ({W}) - 1) * 100", "ema": E("close", 4),
+    "rsi": f"100 - 100 / (1 + ({avg('up', 5)}) / nullif({avg('dn', 5)}, 0))", "macd_line": "line", "macd_signal": "sig", "macd_histogram": "line - sig",
+    "bands_upper": "bm + 2 * bs", "bands_middle": "bm", "bands_lower": "bm - 2 * bs", "bands_bandwidth": "4 * bs / nullif(bm, 0) * 100", "bands_percent_b": "(close - bm + 2 * bs) / nullif(4 * bs, 0)",
+    "atr": avg("tr", 4), "stoch_k": "k", "stoch_d": avg("k", 3), "williams": "-100 * (h14 - close) / nullif(h14 - l14, 0)", "cci": "CASE WHEN rn >= 20 THEN (tp - tm) / (0.015 * nullif(mad, 0)) END",
+    "adx_adx": E("dx", 4), "adx_plus_di": "pd", "adx_minus_di": "md",
+}
+_STREAM_SQL = [
+    HOURLY_SQL, NUMBERED, BASE,
+    "s0 AS (SELECT *, greatest(coalesce(d, 0), 0) AS up, greatest(-coalesce(d, 0), 0) AS dn, high - ph AS u, pl - low AS v FROM b)",
+    f"""s1 AS (SELECT *, {E('close', 3)} - {E('close', 6)} AS line, {avg('close', 5)} AS bm, {roll('stddev_samp', 'close', 5)} AS bs, {lo('low', 14)} AS l14, {hi('high', 14)} AS h14,
+       CASE WHEN u > v AND u > 0 THEN u ELSE 0 END AS p, CASE WHEN v > u AND v > 0 THEN v ELSE 0 END AS m, list(tp) OVER {wn(20)} AS tps, {avg('tp', 20)} AS tm FROM s0)""",
+    f"s2 AS (SELECT *, {E('line', 3)} AS sig, (close - l14) / nullif(h14 - l14, 0) * 100 AS k, {E('tr', 4)} AS a_t, {E('p', 4)} AS ap, {E('m', 4)} AS am, list_avg(list_transform(tps, lambda x: abs(x - list_avg(tps)))) AS mad FROM s1)",
+    "s3 AS (SELECT *, 100 * ap / nullif(a_t, 0) AS pd, 100 * am / nullif(a_t, 0) AS md FROM s2)",
+    "s4 AS (SELECT *, abs(pd - md) / nullif(pd + md, 0) * 100 AS dx FROM s3)",
+    f"i AS (SELECT symbol, ts, {', '.join(f'{e} AS {n}' for n, e in _SHOWN.items())} FROM s4)",
+    f"o AS (SELECT *, {' AND '.join(f'{n} IS NOT NULL' for n in _SHOWN)} AS ready FROM i)",
+]
+
+
+@query("indicator_stream", "T9", with_(*_STREAM_SQL, f"SELECT symbol, ts, {rs(*_SHOWN)}, ready FROM o"))
 def indicator_stream(spark, sf):
-    """Twelve indicators in three micro-batches; those with a short twin are shown."""
-    return near(_streamed(spark, sf).select("symbol", "ts", "sma", "momentum", "roc"), "sma", "momentum", "roc")
+    """Twelve indicators of a stream in three micro-batches, from the state of each symbol."""
+    return near(_streamed(spark, sf).select("symbol", "ts", *_SHOWN, "ready"), *_SHOWN)
 
 
-@query("indicator_stream_gaps", "T9", "SELECT 0::BIGINT AS rows_that_differ")
+@query("indicator_stream_gaps", "T9", with_(*_STREAM_SQL, "SELECT symbol, count(*) AS bars, count(*) FILTER (ready) AS ready_bars, 0::BIGINT AS rows_that_differ FROM o GROUP BY symbol"))
 def indicator_stream_gaps(spark, sf):
-    """Rows of the stream on which any of the twelve indicators differs from its batch value."""
+    """Bars of each symbol that the stream wrote, and those on which any of the twelve indicators differs from its batch value."""
     batch = indicators.compute(bars(spark, sf), STREAMED)
     names = [c for c in batch.columns if c not in ("symbol", "ts", *BAR, "_pos")]
-    other = _streamed(spark, sf).select("symbol", "ts", *[F.col(c).alias(f"_{c}") for c in names])
+    other = _streamed(spark, sf).select("symbol", "ts", "ready", *[F.col(c).alias(f"_{c}") for c in names])
     same = F.lit(True)
     for c in names:
         a, b = F.col(c).cast("double"), F.col(f"_{c}").cast("double")
         same = same & (a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= 1e-9 * (1 + F.abs(a)), F.lit(False)))
     joined = batch.select("symbol", "ts", F.lit(True).alias("_in"), *names).join(other, ["symbol", "ts"], "full")
-    return joined.agg(F.count_if(~F.coalesce(same & F.col("_in").isNotNull(), F.lit(False))).alias("rows_that_differ"))
+    return joined.groupBy("symbol").agg(
+        F.count("ready").alias("bars"), F.count_if("ready").alias("ready_bars"), F.count_if(~F.coalesce(same & F.col("_in").isNotNull(), F.lit(False))).alias("rows_that_differ"),
+    )
 
 
 @query(
@@ -268,6 +283,35 @@ def indicator_stream_gaps(spark, sf):
 )
 def alert_stream(spark, sf):
     folder = _folder(spark, "alerts")
+    live.rocksdb(spark)
     stream = in_batches(bars(spark, sf), "ts", 3, f"{folder}/in")
-    jobs.alert_stream(stream, ALERT, f"{folder}/rows", f"{folder}/tail", f"{folder}/state", keep=60, once=True).awaitTermination()
+    live.write_stream(live.live_alerts(stream, ALERT), f"{folder}/rows", f"{folder}/state", once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").select("symbol", "ts", "close")
+
+
+CROSS = [
+    {"indicator": "ema", "params": {"period": 4}, "operator": "crosses_above", "compare_indicator": "sma", "compare_params": {"period": 10}}, "OR",
+    {"indicator": "rsi", "params": {"period": 5}, "operator": "crossed_below_within", "value": 30, "lookback": 3}, "OR",
+    {"indicator": "price_close", "operator": "rising", "lookback": 4},
+]
+
+
+@query(
+    "cross_alert_stream",
+    "T10,G2",
+    with_(
+        HOURLY_SQL, NUMBERED, BASE,
+        f"i AS (SELECT *, {E('close', 4)} AS e, {avg('close', 10)} AS s, greatest(coalesce(d, 0), 0) AS up, greatest(-coalesce(d, 0), 0) AS dn FROM b)",
+        f"j AS (SELECT *, 100 - 100 / (1 + ({avg('up', 5)}) / nullif({avg('dn', 5)}, 0)) AS rsi FROM i)",
+        f"k AS (SELECT *, coalesce(lag(e) OVER ({W}) <= lag(s) OVER ({W}) AND e > s, false) AS c1, coalesce(lag(rsi) OVER ({W}) >= 30 AND rsi < 30, false) AS fell, coalesce(d > 0, false) AS rose FROM j)",
+        f"m AS (SELECT *, c1 OR bool_or(fell) OVER {wn(3)} OR (rn >= 2 AND bool_and(CASE WHEN rn > 1 THEN rose END) OVER {wn(3)}) AS met FROM k)",
+        f"SELECT symbol, ts, close FROM (SELECT *, lag(met, 1, false) OVER ({W}) AS was FROM m) WHERE met AND NOT was",
+    ),
+)
+def cross_alert_stream(spark, sf):
+    """Crossings, a crossing within three bars and rising prices, joined by OR, over four micro-batches."""
+    folder = _folder(spark, "crosses")
+    live.rocksdb(spark)
+    stream = in_batches(bars(spark, sf), "ts", 4, f"{folder}/in")
+    live.write_stream(live.live_alerts(stream, CROSS), f"{folder}/rows", f"{folder}/state", once=True).awaitTermination()
     return spark.read.parquet(f"{folder}/rows").select("symbol", "ts", "close")
