@@ -1,15 +1,15 @@
 """Backtests, sweeps, walk-forward runs, trade logs, baskets.
 
 Two kinds of run: :func:`hold_backtest` compounds the returns of the bars a strategy is invested in and is plain
-window work; :func:`rule_backtest` buys whole shares with all cash, so its state is the cash and it runs as a state
-machine per (series, parameter set), in parallel over those.
+window work; :func:`rule_backtest` buys whole shares with all cash: when it holds a position follows from composed summaries of the
+time buckets, and its cash passes along the closed trades only.
 """
 
 from __future__ import annotations
 
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from itertools import product
 
 import pandas as pd
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.operators.indicators import compute
-from candlewick.operators.series import HOURLY, POS, Axis, fold, number, over_blocks, prefix
+from candlewick.operators.machines import Positions
+from candlewick.operators.series import HOURLY, POS, Axis, fold, number, over_blocks, prefix, spans_buckets
 from candlewick.operators.signals import clean_signals, evaluate_groups, strategy
 from candlewick.operators.windows import pct_change, positive
 from candlewick.session import checkpoint_folder
@@ -97,10 +98,87 @@ def invest(
         head = part[[*axis.key, ts, POS]].reset_index(drop=True)
         return pd.concat([head, res], axis=1), [cash, shares, price, since]
 
-    out = fold(rows.select(*axis.key, ts, POS, "close", enter, leave, "_n"), axis, run, schema)
+    rows = rows.select(*axis.key, ts, POS, "close", enter, leave, "_n")
+    if spans_buckets(rows, axis):
+        out = _invest_in_pieces(rows, axis, enter, leave, stop, profit, capital, lambda part: fold(part, axis, run, schema, split=True))
+    else:
+        out = fold(rows, axis, run, schema, split=False)
     return out.withColumns({c: F.when(F.col("reason").isNotNull(), F.col(c)) for c in ("entry_price", "exit_price", "pnl", "pnl_pct")})
 
 
+def _invest_in_pieces(rows: DataFrame, axis: Axis, enter: str, leave: str, stop: float, profit: float, capital: float, in_order: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The state machine of :func:`invest` without a walk along the rows.
+
+    As long as the cash buys at least one share, it does not decide when a position opens or closes: positions come from composed summaries of the
+    time buckets, and only the closed trades of a series, in order, pass its cash on (a task holds one batch of them). Series whose cash falls below a price are
+    run by ``in_order``.
+    """
+    checkpoint_folder(rows.sparkSession)
+    key, ts = list(axis.key), axis.order[0]
+    rows = rows.checkpoint()
+    lists = lambda part: tuple(part[c].eq(True).tolist() for c in (enter, leave))
+
+    def columns(part: pd.DataFrame) -> tuple:
+        e, x = lists(part)
+        return part["close"].astype(float).tolist(), e, x, (part[POS] == part["_n"]).tolist(), part[POS].astype(float).tolist()
+
+    machine = Positions(columns, stop, profit)
+    head = [rows.schema[c] for c in (*key, *axis.order, POS, "close")]
+    timed_schema = T.StructType([*head, T.StructField("price", T.DoubleType()), T.StructField("since", T.LongType()), T.StructField("opened", T.IntegerType()), T.StructField("reason", T.StringType())])
+
+    def run(part: pd.DataFrame, state):
+        price, since = state if state else [math.nan, math.nan]
+        holds, out = bool(state), []
+        for c, e, x, last, at in zip(*columns(part)):
+            opened, why = False, None
+            if not holds and e and c > 0:
+                price, since, holds, opened = c, at, True, True
+            if holds and not opened:
+                why = machine.reason(price, c) or ("exit_signal" if x else None)
+            if holds and why is None and last:
+                why = "end_of_data"
+            out.append((price if holds else None, int(since) if holds else None, int(opened), why))
+            holds = holds and why is None
+        res = part[[f.name for f in head]].reset_index(drop=True)
+        found = pd.DataFrame(out, columns=["price", "since", "opened", "reason"], dtype="object")
+        res["price"], res["since"], res["opened"], res["reason"] = found["price"].astype("float64"), found["since"].astype("Int64"), found["opened"].astype("int32"), found["reason"]
+        return res, ([price, since] if holds else [])
+
+    timed = prefix(fold(rows, axis, run, timed_schema, machine=machine, split=True), axis, {"_k": ("sum", "opened")}).checkpoint()
+    trades = timed.filter(F.col("reason").isNotNull()).select(*key, "_k", POS, "price", "close")
+    chain_schema = T.StructType([*[rows.schema[k] for k in key], trades.schema["_k"], *[T.StructField(n, T.DoubleType()) for n in ("_left", "_shares", "_after")], T.StructField("_short", T.BooleanType())])
+
+    def chain(parts):
+        name, cash, short = None, capital, False
+        for part in parts:
+            out = []
+            for own, k, price, close in zip(part[key].itertuples(index=False, name=None), part["_k"], part["price"], part["close"]):
+                if own != name:
+                    name, cash, short = own, capital, False
+                short = short or cash < price
+                shares = 0.0 if short else float(math.floor(cash / price))
+                left = cash - shares * price
+                cash = left + shares * close
+                out.append((*own, k, left, shares, cash, short))
+            yield pd.DataFrame(out, columns=chain_schema.names)
+
+    cash = trades.repartition(*key).sortWithinPartitions(*key, "_k").mapInPandas(chain, chain_schema).checkpoint()
+    broke = cash.filter("_short").select(*key).distinct()
+    whole = timed.join(cash, [*key, "_k"], "left").withColumn("_closed", F.col("reason").isNotNull())
+    at_exit = lambda c: F.when(F.col("_closed"), c)
+    gain = F.col("close") - F.col("price")
+    out = whole.select(
+        *key, ts, POS, F.when(F.col("price").isNotNull(), F.col("_left") + F.col("_shares") * F.col("close")).otherwise(F.coalesce("_after", F.lit(float(capital)))).alias("equity"),
+        at_exit(F.col("since") - 1).alias("entry_bar"), at_exit(F.col(POS) - 1).cast("long").alias("exit_bar"), at_exit(F.col("price")).alias("entry_price"),
+        at_exit(F.col("close").cast("double")).alias("exit_price"), at_exit(F.col("_shares").cast("long")).alias("shares"), at_exit(gain * F.col("_shares")).alias("pnl"), at_exit(gain / F.col("price") * 100).alias("pnl_pct"),
+        "reason", at_exit(F.col(POS) - F.col("since")).cast("long").alias("bars_held"),
+    )
+    if broke.isEmpty():
+        return out
+    again = in_order(rows.join(broke, key, "left_semi"))
+    return out.join(broke, key, "left_anti").unionByName(again.select(*out.columns))
+
+
 def trades_of(run: DataFrame) -> DataFrame:
     return run.filter(F.col("reason").isNotNull()).drop("equity", POS)
 

@@ -1050,7 +1050,8 @@ def mcginley(bars: DataFrame, axis: Axis = HOURLY, period: int = 14, k: float =
         part[out] = values
         return part, [y]
 
-    return fold(bars, axis, run, _plus(bars, (out, "double")))
+    # each step pulls towards the price, so two starts meet after some hundred rows, but not always in the last bit
+    return fold(bars, axis, run, _plus(bars, (out, "double")), near=1e-13)
 
 
 def zigzag(bars: DataFrame, axis: Axis = HOURLY, change: float = 5.0, value: str = "close") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from candlewick.functions.stats import chi2_p_value, t_p_value, t_ppf
 from candlewick.operators import ranking
 from candlewick.operators.aggregates import ols
+from candlewick.operators.machines import Affine
 from candlewick.operators.series import (
     POS, Axis, fold, full, number, over_blocks, prefix, shared, smoothed, trailing, whole, whole_by,
 )
@@ -527,25 +528,33 @@ def forecast_holt(y: DataFrame, fh: int, alpha: float = 0.3, beta: float = 0.1,
     key, ts = list(axis.key), axis.order[0]
     schema = T.StructType([*[y.schema[k] for k in key], y.schema[ts], T.StructField("level", T.DoubleType()), T.StructField("trend", T.DoubleType())])
 
+    def maps(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """level' = alpha x + (1 - alpha)(level + trend); trend' = beta (level' - level) + (1 - beta) trend, as a matrix and an offset."""
+        x, at = part["value"].astype(float).to_numpy(), part[POS].to_numpy()
+        m = np.tile([[1 - alpha, 1 - alpha], [-alpha * beta, 1 - alpha * beta]], (len(x), 1, 1))
+        c = np.stack([alpha * x, alpha * beta * x], axis=1)
+        m[at == 1], c[at == 1] = 0.0, np.stack([x, np.zeros(len(x))], axis=1)[at == 1]
+        m[at == 2], c[at == 2] = [[0.0, 0.0], [-1.0, 0.0]], np.stack([x, x], axis=1)[at == 2]
+        return m, c
+
     def run(part: pd.DataFrame, state):
-        level, trend, seen = state if state else [0.0, 0.0, 0.0]
+        level, trend = state if state else [0.0, 0.0]
         out = []
-        for x in part["value"].to_numpy():
-            if seen == 0:
+        for x, at in zip(part["value"].to_numpy(), part[POS].to_numpy()):
+            if at == 1:
                 level, trend = x, 0.0
-            elif seen == 1:
+            elif at == 2:
                 level, trend = x, x - level
             else:
                 before = level
                 level = alpha * x + (1 - alpha) * (level + trend)
                 trend = beta * (level - before) + (1 - beta) * trend
-            seen = min(seen + 1, 2.0)
             out.append((level, trend))
         res = part[[*key, ts]].reset_index(drop=True)
         res[["level", "trend"]] = pd.DataFrame(out)
-        return res, [level, trend, seen]
+        return res, [level, trend]
 
-    state = fold(y.select(*key, ts, "value"), axis, run, schema)
+    state = fold(number(y.select(*key, ts, "value"), axis), axis, run, schema, machine=Affine(2, maps))
     last = state.groupBy(*key).agg(F.max_by(F.struct("level", "trend"), ts).alias("_s"))
     rows = _last_values(y, axis, 2).join(last, key)
     return _future(rows, axis, F.transform(F.sequence(F.lit(1), F.lit(fh)), lambda h: F.col("_s.level") + h * F.col("_s.trend")))

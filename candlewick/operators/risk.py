@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from candlewick.functions.stats import normal_cdf_once, normal_ppf
 from candlewick.operators import ranking
 from candlewick.operators.joins import pair_statistics, pair_sums
+from candlewick.operators.machines import HighWater
 from candlewick.operators.series import DAILY, Axis, fold, number, over_blocks, prefix
 from candlewick.operators.signals import uniform
 from candlewick.operators.windows import drawdowns, positive
@@ -423,7 +424,16 @@ def fee_impact(rows: DataFrame, axis: Axis, management: float, performance: floa
         res = pd.DataFrame(out, columns=["net_return", "management_fee", "performance_fee", "nav"])
         return pd.concat([part[[*axis.key, ts]].reset_index(drop=True), res], axis=1), [nav, mark]
 
-    return fold(rows.select(*axis.key, ts, ret), axis, run, schema)
+    def factors(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        r = part[ret].astype(float).to_numpy()
+        plain = 1 + r - management / periods
+        paid = plain - np.maximum(0.0, r - hurdle / periods) * performance
+        never = np.full(len(r), -np.inf)
+        if not high_water:
+            return never, paid, paid
+        return (1 + r if performance > 0 else never), plain, paid
+
+    return fold(rows.select(*axis.key, ts, ret), axis, run, schema, machine=HighWater(factors, 100.0))
 
 
 # --- attribution -----------------------------------------------------------------------------------------------------

@@ -10,12 +10,14 @@ share of the table, so nothing here groups by the key alone except tables of one
 * :func:`smooth` runs exponential averages on blocks; the copied rows are chosen long enough for the
   weight of anything older to vanish below double precision.
 * :func:`linear_scan` solves y[t] = a[t] * y[t-1] + b[t] exactly by composing one (a, b) pair per bucket.
-* :func:`fold` runs a state machine per bucket and repeats the buckets whose start state turned out
+* :func:`fold` runs a state machine per bucket; a machine with composable summaries (``machines``) gets the first state of each bucket
+  from a parallel prefix over them, any other repeats the buckets whose start state turned out
   to differ from the end state of the bucket before, until every hand-over agrees.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewick.operators.machines import Machine
 from candlewick.session import checkpoint_folder
 
 POS, BLK, CORE, BUCKET = "_pos", "_blk", "_core", "_bucket"
@@ -411,7 +414,60 @@ def _walk(rows: DataFrame, states: DataFrame, stale: DataFrame, axis: Axis, end_
 Step = Callable[[pd.DataFrame, "list[float] | None"], "tuple[pd.DataFrame, list[float]]"]
 
 
-def fold(df: DataFrame, axis: Axis, step: Step, schema: T.StructType | str, rounds: int = 2) -> DataFrame:
+def _hand_over(summaries: DataFrame, axis: Axis, machine: Machine, fan: int) -> DataFrame:
+    """First state of every bucket from the summaries of all buckets, composed in levels of at most ``fan`` neighbours.
+
+    A task holds ``fan`` summaries; the number of levels is the logarithm of the number of buckets.
+    """
+    key, keys = list(axis.key), [*axis.key, BUCKET]
+    parts = T._parse_datatype_string("array<array<double>>")
+    state = T.ArrayType(T.DoubleType())
+    key_fields = [summaries.schema[k] for k in keys]
+    wide = lambda s: [[float(v) for v in part] for part in s]
+
+    def merged(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("_at")
+        whole = functools.reduce(machine.compose, map(wide, part["_sum"]))
+        head = part.iloc[:1][keys].reset_index(drop=True)
+        head["_sum"] = [whole]
+        return head
+
+    def started(part: pd.DataFrame, given: list[float] | None) -> pd.DataFrame:
+        part = part.sort_values(BUCKET)
+        starts = []
+        for s in part["_sum"]:
+            starts.append(given)
+            given = machine.advance(wide(s), given)
+        out = part[keys].reset_index(drop=True)
+        out["start"] = pd.Series(starts, dtype="object")
+        return out
+
+    def down(part: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+        if part.empty or above.empty:
+            return pd.DataFrame({f.name: [] for f in starts_schema.fields})
+        given = above["start"].iloc[0]
+        return started(part, None if given is None else [float(v) for v in given])
+
+    starts_schema = T.StructType([*key_fields, T.StructField("start", state)])
+    levels = [summaries]
+    while levels[-1].groupBy(*key).count().agg(F.max("count")).first()[0] > fan:
+        up = levels[-1].withColumns({"_at": F.col(BUCKET), BUCKET: F.floor(F.col(BUCKET) / fan)})
+        levels.append(up.groupBy(*keys).applyInPandas(merged, T.StructType([*key_fields, T.StructField("_sum", parts)])).checkpoint())
+    starts = levels.pop().groupBy(*key).applyInPandas(lambda part: started(part, None), starts_schema)
+    while levels:
+        level = levels.pop()
+        group = level.withColumn("_up", F.floor(F.col(BUCKET) / fan)).groupBy(*key, "_up")
+        starts = group.cogroup(starts.withColumnRenamed(BUCKET, "_up").groupBy(*key, "_up")).applyInPandas(down, starts_schema)
+    return starts
+
+
+def spans_buckets(df: DataFrame, axis: Axis) -> bool:
+    """Whether any series has rows in several time buckets."""
+    ends = axis.bucketed(df).groupBy(*axis.key).agg(F.min(BUCKET).alias("lo"), F.max(BUCKET).alias("hi"))
+    return not ends.filter("hi > lo").isEmpty()
+
+
+def fold(df: DataFrame, axis: Axis, step: Step, schema: T.StructType | str, rounds: int = 2, machine: Machine | None = None, near: float = 0.0, fan: int = 1024, split: bool | None = None) -> DataFrame:
     """Run ``step(rows, state) -> (result rows, state)`` along each series, bucket by bucket in parallel.
 
     ``state`` is ``None`` at the start of a series, else a list of doubles.  Every bucket is first run from
@@ -420,19 +476,22 @@ def fold(df: DataFrame, axis: Axis, step: Step, schema: T.StructType | str, roun
     machines that remember (cash, a level) are then walked once in order, their sorted rows streaming through
     a task that holds one bucket at a time. So the number of passes does not depend on the number of buckets,
     the result is the one of a sequential run, and the input is computed once.
+
+    With a ``machine`` that can summarise a stretch, nothing is repeated or walked: the summaries of all buckets give every first state.
+    ``split`` tells whether any series spans several buckets, if the caller knows; otherwise it is looked up.
+    ``near`` lets hand-overs agree that differ by that share of their value, for machines that forget without ever reaching equal bits.
     """
     keys = [*axis.key, BUCKET]
     spark = df.sparkSession
     rows = axis.bucketed(df)
     order = list(axis.order)
-    many = rows.groupBy(*axis.key).agg(F.min(BUCKET).alias("lo"), F.max(BUCKET).alias("hi")).filter("hi > lo")
     if not isinstance(schema, T.StructType):
         schema = T._parse_datatype_string(schema)
 
     def fresh(part: pd.DataFrame) -> pd.DataFrame:
         return step(part.sort_values(order).reset_index(drop=True), None)[0]
 
-    if many.isEmpty():
+    if not (spans_buckets(df, axis) if split is None else split):
         return rows.groupBy(*keys).applyInPandas(fresh, schema)
 
     checkpoint_folder(spark)
@@ -448,11 +507,34 @@ def fold(df: DataFrame, axis: Axis, step: Step, schema: T.StructType | str, roun
         head["end"] = [[float(v) for v in end]]
         return head
 
+    def final(part: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        start = given["start"].iloc[0]
+        start = None if start is None else [float(v) for v in start]
+        return step(part.sort_values(order).reset_index(drop=True), start)[0]
+
+    if machine is not None:
+
+        def summary(part: pd.DataFrame) -> pd.DataFrame:
+            head = part.iloc[:1][keys].reset_index(drop=True)
+            head["_sum"] = [machine.summarize(part.sort_values(order).reset_index(drop=True))]
+            return head
+
+        kind = T._parse_datatype_string("array<array<double>>")
+        sums = rows.groupBy(*keys).applyInPandas(summary, T.StructType([*key_fields, T.StructField("_sum", kind)])).checkpoint()
+        states = _hand_over(sums, axis, machine, fan)
+        return rows.groupBy(*keys).cogroup(states.groupBy(*keys)).applyInPandas(final, schema)
+
+    def agrees() -> Column:
+        if not near:
+            return F.col("want").eqNullSafe(F.col("start"))
+        close = F.forall(F.arrays_zip("want", "start"), lambda z: F.abs(z["want"] - z["start"]) <= near * F.greatest(F.abs(z["want"]), F.abs(z["start"])))
+        return F.col("want").eqNullSafe(F.col("start")) | F.coalesce(close & (F.size("want") == F.size("start")), F.lit(False))
+
     states = rows.groupBy(*keys).applyInPandas(lambda part: end_state(part, None), state_schema).checkpoint()
     chain = Window.partitionBy(*axis.key).orderBy(BUCKET)
     for done in range(rounds + 1):
         wanted = states.withColumn("want", F.lag("end").over(chain))
-        stale = wanted.filter(~F.col("want").eqNullSafe(F.col("start"))).select(*keys, F.col("want").alias("start"))
+        stale = wanted.filter(~agrees()).select(*keys, F.col("want").alias("start"))
         stale = stale.checkpoint()
         if stale.isEmpty():
             break
@@ -469,9 +551,4 @@ def fold(df: DataFrame, axis: Axis, step: Step, schema: T.StructType | str, roun
         redone = todo.groupBy(*keys).cogroup(stale.groupBy(*keys)).applyInPandas(again, state_schema)
         states = states.join(stale.select(*keys), keys, "left_anti").unionByName(redone).checkpoint()
 
-    def final(part: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
-        start = given["start"].iloc[0]
-        start = None if start is None else [float(v) for v in start]
-        return step(part.sort_values(order).reset_index(drop=True), start)[0]
-
     return rows.groupBy(*keys).cogroup(states.select(*keys, "start").groupBy(*keys)).applyInPandas(final, schema)

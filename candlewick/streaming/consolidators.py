@@ -1,19 +1,21 @@
 """Bars that close by time, count, range or brick. One small step function per kind serves batch and stream.
 
 A step takes the rows of one series in time order and the state left by earlier rows (``None`` at the start) and
-returns the closed bars and the new state. In batch ``fold`` runs it over time buckets in parallel; on a stream the
-state is kept per key.
+returns the closed bars and the new state. In batch ``fold`` runs it over time buckets in parallel, with the summaries of
+``machines`` that a step may carry as ``machine``; on a stream the state is kept per key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewick.operators.machines import Bars, Clamp, Machine
 from candlewick.operators.series import POS, Axis, fold, number
 
 BARS = "start timestamp, end timestamp, open double, high double, low double, close double, volume double"
@@ -33,7 +35,7 @@ def _bars(keys: pd.DataFrame, closed: list) -> pd.DataFrame:
     return out
 
 
-def merging(keys: list[str], closes: Callable[[list[float]], bool], quote: bool = False) -> Step:
+def merging(keys: list[str], closes: Callable[[list[float]], bool], quote: bool = False, machine: Machine | None = None) -> Step:
     """Step that merges rows ``ts, open, high, low, close, volume`` into a working bar until ``closes(bar)``.
 
     A working bar is [start, end, open, high, low, close, volume, rows]. A quote bar keeps the range of its first quote.
@@ -53,12 +55,13 @@ def merging(keys: list[str], closes: Callable[[list[float]], bool], quote: bool
                 bar = []
         return _bars(rows[keys], closed), bar
 
+    step.machine = machine
     return step
 
 
 def time_step(keys: list[str], seconds: float) -> Step:
     """Bar opens at its first row and closes at the first row at least ``seconds`` later, that row included."""
-    return merging(keys, lambda b: b[1] - b[0] >= seconds)
+    return merging(keys, lambda b: b[1] - b[0] >= seconds, machine=Bars(seconds=seconds))
 
 
 def count_step(keys: list[str], n: int) -> Step:
@@ -67,11 +70,11 @@ def count_step(keys: list[str], n: int) -> Step:
 
 def range_step(keys: list[str], size: float) -> Step:
     """Bar of prices that closes once its range reaches ``size``; the first row only opens it."""
-    return merging(keys, lambda b: b[7] > 1 and b[3] - b[4] >= size)
+    return merging(keys, lambda b: b[7] > 1 and b[3] - b[4] >= size, machine=Bars(size=size))
 
 
 def quote_step(keys: list[str], seconds: float) -> Step:
-    return merging(keys, lambda b: b[1] - b[0] >= seconds, quote=True)
+    return merging(keys, lambda b: b[1] - b[0] >= seconds, quote=True, machine=Bars(seconds=seconds, quote=True))
 
 
 def brick_step(keys: list[str]) -> Step:
@@ -88,6 +91,11 @@ def brick_step(keys: list[str]) -> Step:
                 edge += side
         return _bars(rows[keys], out), ([] if edge is None else [edge])
 
+    def bounds(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        x = rows["brick"].astype(float).to_numpy()
+        return np.floor(x + 1e-9), np.ceil(x - 1e-9)
+
+    step.machine = Clamp(bounds, lambda rows: float(int(rows["brick"].iloc[0])))
     return step
 
 
@@ -103,7 +111,8 @@ def prices(df: DataFrame, price: str, volume: Column | str) -> DataFrame:
 def consolidate(df: DataFrame, axis: Axis, step: Callable[[list[str]], Step]) -> DataFrame:
     """Closed bars of a table of rows; ``step`` is called with the key columns."""
     keys = list(axis.key)
-    return fold(df, axis, step(keys), _schema(df, keys))
+    run = step(keys)
+    return fold(df, axis, run, _schema(df, keys), machine=getattr(run, "machine", None))
 
 
 def count_bars(df: DataFrame, axis: Axis, n: int) -> DataFrame:
@@ -126,7 +135,8 @@ def renko(df: DataFrame, axis: Axis, price: str, size: float) -> DataFrame:
     keys = list(axis.key)
     first = df.groupBy(*keys).agg(F.min_by(price, F.struct(*axis.order)).cast("double").alias("_first"))
     rows = df.join(first, keys).withColumn("brick", (F.col(price) - F.col("_first")) / size)
-    bricks = fold(rows, axis, brick_step(keys), _schema(df, keys))
+    run = brick_step(keys)
+    bricks = fold(rows, axis, run, _schema(df, keys), machine=run.machine)
     level = lambda c: (F.col("_first") + F.col(c) * size).alias(c)
     return bricks.join(first, keys).select(*keys, "start", "end", *[level(c) for c in ("open", "high", "low", "close")], "volume")
 
