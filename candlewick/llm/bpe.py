@@ -28,6 +28,7 @@ from candlewick.llm.words import Split, lane_rows, pack, put_back, text_rows, un
 SPACES = (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
 MARK = "\u00a0"  # before a special string; white space, so in no ordinary word
 LANES = 2048  # of distinct words
+CHARS = 8_000_000  # of the texts of a batch
 SHORT = 48  # symbols up to which scanning for the best pair beats a heap
 
 
@@ -165,7 +166,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] =
             yield pa.RecordBatch.from_pylist(out, found_schema)
 
     found_schema = pa.schema([("batch", pa.int64()), ("lane", pa.int32()), ("n", pa.int32()), ("total", pa.int32()), ("sizes", pa.list_(pa.binary())), ("ids", pa.list_(pa.binary()))])
-    words = lane_rows(docs, split, LANES).repartition("lane").sortWithinPartitions("lane", "batch")
+    words = lane_rows(docs, split, LANES, CHARS).repartition("lane").sortWithinPartitions("lane", "batch")
     found = words.mapInArrow(encode_lanes, "batch bigint, lane int, n int, total int, sizes array<binary>, ids array<binary>")
 
     def gather(rows: pa.Table, codes: np.ndarray, counts: np.ndarray, found: pa.Table) -> pa.Table:
@@ -180,7 +181,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] =
         return rows.append_column("ids", pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids.flatten()))
 
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return put_back(text_rows(docs, split, LANES), found, gather, schema, order="lane")
+    return put_back(text_rows(docs, split, LANES, CHARS), found, gather, schema, order="lane")
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 #: Characters of text in a batch; one longer document is a batch of its own.
 BATCH_CHARS = 20_000_000
+READY = 500  # texts that are Python strings at a time
 
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
@@ -45,7 +46,8 @@ class Split:
     def __call__(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """Words of all texts one after the other, words per text."""
         if self.ready:
-            texts = pa.array([self.ready(t) if t else "" for t in texts.to_pylist()], pa.large_string())
+            made = (pa.array([self.ready(t) if t else "" for t in texts.slice(at, READY).to_pylist()], pa.large_string()) for at in range(0, len(texts), READY))
+            texts = pa.concat_arrays([*made, pa.array([], pa.large_string())])
         raw = texts.cast(pa.large_binary()).fill_null(b"")
         borders = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
         data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[borders[0] : borders[-1]]
@@ -59,8 +61,9 @@ class Split:
         if self.spaced:
             ends = np.append(begin, len(data))
         else:
+            between = np.flatnonzero(~word)
             data = data[word]
-            ends = np.append(np.cumsum(word)[begin] - 1, len(data))
+            ends = np.append(begin - np.searchsorted(between, begin), len(data))
         values = pa.StringArray.from_buffers(len(begin), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data.tobytes()))
         return values, np.diff(np.searchsorted(begin, borders))
 
