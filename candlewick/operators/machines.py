@@ -287,6 +287,69 @@ class Bars(FirstClose):
         return u - totals[0] >= self.seconds if self.seconds is not None else u - w >= self.size
 
 
+class Covers(Machine):
+    """[time of the last leader]: a row leads if it comes more than ``window`` after the last leader. ``ts(rows)`` gives the times in order.
+
+    Summary: times of the rows that can be the first leader with the last leader at the end if they are, first row and flag "one of them leads in any case", last leader if none came before.
+    """
+
+    def __init__(self, window: float, ts: Callable[[pd.DataFrame], list[float]]):
+        self.window, self.ts = window, ts
+
+    def _next(self, t: list[float], at: int) -> int:
+        return bisect_right(t, t[at] + self.window, at)
+
+    def summarize(self, rows: pd.DataFrame) -> Summary:
+        t = [float(x) for x in self.ts(rows)]
+        last: dict[int, int] = {}
+
+        def end(at: int) -> float:
+            path = []
+            while at not in last:
+                path.append(at)
+                after = self._next(t, at)
+                if after == len(t):
+                    last[at] = at
+                else:
+                    at = after
+            for p in path:
+                last[p] = last[at]
+            return t[last[at]]
+
+        pieces, sure = [], 0.0
+        for i, x in enumerate(t):
+            if i + 1 < len(t) and t[i + 1] == x:
+                continue  # the first of equal times leads for all of them
+            first = bisect_left(t, x)
+            pieces.append((x, end(first)))
+            if x > t[0] + self.window:
+                sure = 1.0
+                break
+        return self._packed(pieces, t[0], sure, end(0))
+
+    @staticmethod
+    def _packed(pieces: list[tuple[float, float]], first: float, sure: float, fresh: float) -> Summary:
+        kept = [p for p, after in zip(pieces, [*pieces[1:], None]) if after is None or after[1] != p[1]]
+        return [[x for p in kept for x in p], [first, sure], [fresh]]
+
+    def compose(self, a: Summary, b: Summary) -> Summary:
+        pieces = [(a[0][i], self.advance(b, [a[0][i + 1]])[0]) for i in range(0, len(a[0]), 2)]
+        sure = a[1][1]
+        if not sure:
+            for i in range(0, len(b[0]), 2):
+                pieces.append((b[0][i], b[0][i + 1]))
+                if b[0][i] > a[1][0] + self.window:
+                    sure = 1.0
+                    break
+        return self._packed(pieces, a[1][0], sure, self.advance(b, a[2])[0])
+
+    def advance(self, s: Summary, state: State) -> list[float]:
+        if not state:
+            return list(s[2])
+        at = bisect_right(s[0][::2], state[0] + self.window)
+        return [s[0][2 * at + 1]] if 2 * at < len(s[0]) else list(state)
+
+
 # --- positions ------------------------------------------------------------------------------------------------------
 
 

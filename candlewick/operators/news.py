@@ -5,6 +5,7 @@ Word lists are literals in the plan (a few hundred phrases at most), so tagging
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Mapping, Sequence
 
@@ -12,8 +13,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick.functions import vocabulary as voc
+from candlewick.operators.graph import components
+from candlewick.operators.machines import Covers
+from candlewick.operators.series import Axis, fold, prefix
 from candlewick.session import checkpoint_folder
 
 WORD = r"[\p{L}\p{N}_]+"
@@ -214,19 +219,91 @@ def similar_kinds(vectors: DataFrame, threshold: float, measure: str, days: Data
     return scored
 
 
+SMALL = 20_000  # articles and similar pairs of a component up to which one task settles it in order
+
+
 def _lead(articles: DataFrame, pairs: DataFrame, window: int | None) -> DataFrame:
     """First-come clusters: an article joins its earliest similar leader, else it leads a cluster itself.
 
-    An article is known to lead once no earlier similar article is open; copies of one kind are represented by their
-    first and last open article per day, so a mass of copies costs one row per day. All kinds are settled side by side.
+    Kinds without a similar one lead by time alone: composed summaries of time buckets (``machines.Covers``). Small components of similar kinds are
+    settled in order, one task each; the others in rounds. A round settles every article without an earlier open similar one, so their number is the
+    longest chain of articles that wait for each other (none of the known parallel methods is better for every order of arrival).
     """
     spark = articles.sparkSession
     checkpoint_folder(spark)
+    articles, pairs = articles.checkpoint(), pairs.checkpoint()
     near = pairs.unionByName(articles.select(F.col("kind").alias("a"), F.col("kind").alias("b")).distinct()).checkpoint()
+    roots = components(pairs).select(F.col("node").alias("kind"), "root").checkpoint()
+    held = articles.groupBy("kind").count().join(roots, "kind").groupBy("root").agg(F.sum("count").alias("n"))
+    links = pairs.join(roots, F.col("a") == F.col("kind")).groupBy("root").agg(F.count("*").alias("m"))
+    small = held.join(links, "root").filter(F.greatest("n", "m") <= SMALL).select("root").checkpoint()
+    alone = articles.join(roots, "kind", "left_anti")
+    of_small = roots.join(small, "root").checkpoint()
+    large = articles.join(roots.join(small, "root", "left_anti"), "kind", "left_semi").checkpoint()
+    leaders = _lead_alone(alone, window).unionByName(_lead_in_order(articles.join(of_small, "kind"), pairs.join(of_small, F.col("a") == F.col("kind")), window))
+    if not large.isEmpty():
+        leaders = leaders.unionByName(_lead_in_rounds(large, near, window))
+    leaders = leaders.checkpoint()
+    reach = leaders.withColumnRenamed("kind", "b").join(near, "b")
+    first = F.struct("ts", "id")
+    if window is None:
+        choice = reach.groupBy(F.col("a").alias("kind")).agg(F.min(first).alias("_l"))
+        return articles.join(choice, "kind").withColumn("leader", F.col("_l.id")).drop("_l")
+    # a leader answers for the times up to its window's end that no earlier leader answers for: the next such end decides
+    ends = reach.select(F.col("a").alias("kind"), (F.col("ts") + window).alias("ts"), F.lit(1).alias("_end"), "id", F.struct("ts", "id").alias("_l"))
+    rows = articles.select("kind", "ts", F.lit(0).alias("_end"), "id", F.lit(None).cast(ends.schema["_l"].dataType).alias("_l"), "day")
+    axis = Axis(key=("kind",), order=("ts", "_end", "id"), span=max(1, window // 24))
+    found = prefix(rows.unionByName(ends, allowMissingColumns=True), axis, {"_next": ("last", "_l")}, backward=True).filter("_end = 0")
+    return found.select("kind", "ts", "id", "day", F.col("_next.id").alias("leader"))
+
+
+def _lead_alone(articles: DataFrame, window: int | None) -> DataFrame:
+    """Leaders of kinds that no other kind resembles."""
+    first = F.struct("ts", "id")
+    if window is None:
+        return articles.groupBy("kind").agg(F.min(first).alias("f")).select("kind", "f.ts", "f.id")
+    schema = T.StructType([articles.schema[c] for c in ("kind", "ts", "id")])
+
+    def run(part: pd.DataFrame, state):
+        last, lead = (state[0] if state else -math.inf), []
+        for i, t in enumerate(part["ts"].tolist()):
+            if t > last + window:
+                last = float(t)
+                lead.append(i)
+        return part.iloc[lead][schema.names], [last]
+
+    return fold(articles.select(*schema.names), Axis(key=("kind",), order=("ts", "id"), span=window), run, schema, machine=Covers(window, lambda part: part["ts"].tolist()))
+
+
+def _lead_in_order(articles: DataFrame, pairs: DataFrame, window: int | None) -> DataFrame:
+    """Leaders of small components (``root``), each walked once in order."""
+    schema = T.StructType([articles.schema[c] for c in ("kind", "ts", "id")])
+
+    def walk(part: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["ts", "id"])
+        near: dict[int, list[int]] = {k: [k] for k in part["kind"].unique().tolist()}
+        for a, b in zip(links["a"].tolist(), links["b"].tolist()):
+            near[a].append(b)
+        latest: dict[int, float] = {}
+        lead = []
+        for i, (k, t) in enumerate(zip(part["kind"].tolist(), part["ts"].tolist())):
+            if all(x not in latest or (window is not None and latest[x] < t - window) for x in near[k]):
+                latest[k] = t
+                lead.append(i)
+        return part.iloc[lead][schema.names]
+
+    return articles.groupBy("root").cogroup(pairs.select(F.col("root").alias("_root"), "a", "b").groupBy("_root")).applyInPandas(walk, schema)
+
+
+def _lead_in_rounds(articles: DataFrame, near: DataFrame, window: int | None) -> DataFrame:
+    """Leaders of any components: an article is known to lead once no earlier similar article is open.
+
+    Copies of one kind are represented by their first and last open article per day, so a mass of copies costs one row per day.
+    """
     first = F.struct("ts", "id")
     reach = F.lit(1) if window is not None else F.lit(0)
     spans = lambda df: df.select("*", F.explode(F.when(reach == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("ahead"))
-    open_ = articles.select("kind", "day", "ts", "id").checkpoint()
+    open_ = articles.select("kind", "day", "ts", "id")
     leaders = None
     while not open_.isEmpty():
         runs = open_.groupBy("kind", "day").agg(F.min(first).alias("head"), F.max("ts").alias("last"))
@@ -251,17 +328,9 @@ def _lead(articles: DataFrame, pairs: DataFrame, window: int | None) -> DataFram
         )
         covered = F.coalesce(first >= F.col("since"), F.lit(False)) | F.coalesce(F.col("ts") <= F.col("until") + F.lit(window or 0), F.lit(False))
         open_ = open_.join(reached, ["kind", "day"], "left").filter(~covered).select("kind", "day", "ts", "id").checkpoint()
+        new = new.select("kind", "ts", "id")
         leaders = new if leaders is None else leaders.unionByName(new)
-    if leaders is None:
-        return articles.withColumn("leader", F.col("id"))
-    choices = (
-        spans(leaders).select(F.col("kind").alias("b"), (F.col("day") + F.col("ahead")).alias("day"), first.alias("at"))
-        .join(near, "b")
-        .groupBy(F.col("a").alias("kind"), "day")
-        .agg(F.array_sort(F.collect_list("at")).alias("_leaders"))
-    )
-    inside = lambda x: (x <= first) & (x["ts"] >= F.col("ts") - F.lit(window)) if window is not None else x <= first
-    return articles.join(choices, ["kind", "day"], "left").withColumn("leader", F.get(F.filter("_leaders", inside), F.lit(0))["id"]).drop("_leaders")
+    return leaders
 
 
 def cluster_semantic(df: DataFrame, key: str, text: str, order: str, threshold: float = 0.25) -> DataFrame:

@@ -773,9 +773,7 @@ def shape_features(v: Column) -> Column:
 
 
 def _dtw(a: np.ndarray, b: np.ndarray, band: int) -> np.ndarray:
-    """Banded DTW distance of each row of two equally long batches, scaled to [0, 1] per window."""
-    scale = lambda x: (x - x.min(1, keepdims=True)) / (x.max(1, keepdims=True) - x.min(1, keepdims=True) + 1e-8)
-    a, b = scale(a), scale(b)
+    """Banded DTW distance of each row of two equally long batches of scaled windows."""
     n, m = a.shape[1], b.shape[1]
     prev = np.full((len(a), m + 1), np.inf)
     prev[:, 0] = 0
@@ -788,34 +786,163 @@ def _dtw(a: np.ndarray, b: np.ndarray, band: int) -> np.ndarray:
     return prev[:, m] / max(n, m)
 
 
-def similar_patterns(bars: DataFrame, axis: Axis, length: int = 20, ahead: int = 5, k: int = 10, band: int = 5, reach: float = 0.6) -> DataFrame:
-    """For the newest window of each symbol the ``k`` most similar earlier windows of any symbol.
-
-    Windows of the same direction whose high and low lie in the same thirds are compared (an equi-join on that
-    shape class), first by feature distance (at most ``reach``), then by banded DTW.
+SEGMENTS, LEVELS = 4, 8  # of a scaled window: segment means by level make its cell, at most LEVELS ** SEGMENTS of them
+SEEDS = 32  # windows of a cell that give queries their first bound
+BLOCK = 32_768  # windows of a cell compared by one task
+
+
+def _scaled(v: np.ndarray) -> np.ndarray:
+    low, high = v.min(1, keepdims=True), v.max(1, keepdims=True)
+    return (v - low) / (high - low + 1e-8)
+
+
+def _borders(n: int) -> list[int]:
+    return [i * n // SEGMENTS for i in range(SEGMENTS + 1)]
+
+
+def _cell(v: Column, n: int) -> Column:
+    """Number of the cell of a window: level of the mean of each segment of the scaled window."""
+    low, high = F.array_min(v), F.array_max(v)
+    cell = F.lit(0)
+    edges = _borders(n)
+    for lo, hi in zip(edges, edges[1:]):
+        mean = F.aggregate(F.slice(v, lo + 1, hi - lo), F.lit(0.0), lambda s, x: s + x) / (hi - lo)
+        level = F.floor((mean - low) / (high - low + 1e-8) * LEVELS).cast("int")
+        cell = cell * LEVELS + F.greatest(F.least(level, F.lit(LEVELS - 1)), F.lit(0))
+    return cell
+
+
+class _Envelope:
+    """Scaled query windows with their highest and lowest values within the band; bounds of DTW from below."""
+
+    def __init__(self, v: np.ndarray, band: int):
+        self.band, self.q = band, _scaled(v)
+        n = v.shape[1]
+        wide = np.pad(self.q, ((0, 0), (band, band)), mode="edge")
+        frames = np.lib.stride_tricks.sliding_window_view(wide, 2 * band + 1, axis=1)
+        self.high, self.low, self.n = frames.max(2), frames.min(2), n
+
+    def of_cells(self, cells: np.ndarray) -> np.ndarray:
+        """Bound for each query and cell: every segment mean lies in its level, each value pays its distance to the envelope."""
+        edges = _borders(self.n)
+        total = np.zeros((len(self.q), len(cells)))
+        for s, (lo, hi) in enumerate(zip(edges, edges[1:])):
+            level = cells // LEVELS ** (SEGMENTS - 1 - s) % LEVELS
+            above = level[None, :] / LEVELS - self.high[:, lo:hi].mean(1)[:, None]
+            below = self.low[:, lo:hi].mean(1)[:, None] - (level[None, :] + 1) / LEVELS
+            total += (hi - lo) * np.maximum(0, np.maximum(above, below))
+        return total / self.n
+
+    def of_windows(self, i: int, c: np.ndarray) -> np.ndarray:
+        """Bound for query ``i`` and each scaled window."""
+        return np.maximum(0, np.maximum(c - self.high[i], self.low[i] - c)).sum(1) / self.n
+
+
+def _nearest(e: _Envelope, i: int, c: np.ndarray, order: np.ndarray, k: int, bound: float, step: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and distances of the ``k`` windows nearest to query ``i``, equal distances by ``order``; none beyond ``bound``."""
+    least = e.of_windows(i, c)
+    todo = np.argsort(least, kind="stable")
+    best, far = np.empty(0, np.int64), np.empty(0)
+    for at in range(0, len(todo), step):
+        part = todo[at : at + step]
+        part = part[least[part] <= bound + 1e-9]
+        if not len(part):
+            break
+        found = _dtw(c[part], np.broadcast_to(e.q[i], (len(part), e.n)), e.band)
+        best, far = np.concatenate([best, part]), np.concatenate([far, found])
+        keep = np.lexsort((order[best], far))[:k]
+        best, far = best[keep], far[keep]
+        if len(best) == k:
+            bound = min(bound, far[-1])
+    inside = far <= bound + 1e-9
+    return best[inside], far[inside]
+
+
+def similar_patterns(bars: DataFrame, axis: Axis, length: int = 20, ahead: int = 5, k: int = 10, band: int = 5, reach: float | None = None) -> DataFrame:
+    """For the newest window of each symbol the ``k`` earlier windows of any symbol with the smallest banded DTW distance, equal ones by symbol and time.
+
+    Windows lie in cells by the means of their segments. A few windows of the nearest cells give each query a bound for its k-th distance; cells whose lower
+    bound (envelope of the query against segment levels) is beyond it cannot hold a match, all others are searched whole, in blocks, with the bound of each window before its DTW.
+    So nothing is lost, and a query meets only cells that may matter. ``reach`` keeps matches up to that feature distance (of the eight shape numbers) only, after the search.
     """
+    checkpoint_folder(bars.sparkSession)
     key, ts = axis.key[0], axis.order[0]
 
     def cols(w):
         v = F.collect_list("close").over(trailing(w, length))
         return {"_v": full(v, "close", w, length), "_fwd": F.lead("close", ahead).over(w) / F.col("close") - 1}
 
-    rows = over_blocks(bars.select(key, ts, "close"), axis, cols, back=length - 1, ahead=ahead).filter(F.col("_v").isNotNull())
-    rows = rows.withColumn("_f", shape_features(F.col("_v")))
-    third = lambda x: F.least(F.floor(x * 3), F.lit(2))
-    rows = shared(rows.withColumn("_class", F.concat_ws(":", F.get("_f", 0), third(F.get("_f", 3)), third(F.get("_f", 4)))), key, ts)
-    newest = rows.groupBy(key).agg(F.max_by(F.struct(ts, "_v", "_f", "_class"), ts).alias("_q"))
-    queries = newest.select(F.col(key).alias("query"), F.col(f"_q.{ts}").alias("query_ts"), F.col("_q._v").alias("_qv"), F.col("_q._f").alias("_qf"), F.col("_q._class").alias("_class"))
-    pairs = rows.filter(F.col("_fwd").isNotNull()).join(queries, "_class")
-    gap = F.sqrt(F.aggregate(F.zip_with("_f", "_qf", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
-    pairs = pairs.withColumn("feature_distance", gap).filter(F.col("feature_distance") <= reach)
-
-    @F.pandas_udf(T.DoubleType())
-    def distance(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(_dtw(np.stack(a.to_numpy()), np.stack(b.to_numpy()), band)) if len(a) else pd.Series([], dtype="float64")
-
-    scored = pairs.withColumn("dtw", distance("_v", "_qv")).select("query", "query_ts", key, ts, "feature_distance", "dtw", F.col("_fwd").alias("forward_return"))
-    return ranking.top_n(scored, ["query"], [F.asc("dtw"), F.asc(key), F.asc(ts)], k)
+    rows = over_blocks(bars.select(key, ts, F.col("close").cast("double").alias("close")), axis, cols, back=length - 1, ahead=ahead).filter(F.col("_v").isNotNull())
+    rows = rows.select(key, ts, "_v", "_fwd", _cell(F.col("_v"), length).alias("_cell")).checkpoint()
+    queries = rows.groupBy(key).agg(F.max_by(F.struct(ts, "_v"), ts).alias("_q")).select(F.col(key).alias("query"), F.col(f"_q.{ts}").alias("query_ts"), F.col("_q._v").alias("_qv")).checkpoint()
+    windows = rows.filter(F.col("_fwd").isNotNull())
+    counts = sorted((r["_cell"], r["count"]) for r in windows.groupBy("_cell").count().collect())  # at most LEVELS ** SEGMENTS
+    cells, sizes = (np.array([c[j] for c in counts], dtype=np.int64) for j in (0, 1))
+
+    def stacked(column: pd.Series) -> np.ndarray:
+        return np.stack(column.to_numpy()).astype(float)
+
+    def nearest_cells(parts):
+        """The cells nearest to each query that hold four times as many seeds as it needs."""
+        for part in parts:
+            if len(part) and len(cells):
+                bounds = _Envelope(stacked(part["_qv"]), band).of_cells(cells)
+                order = np.argsort(bounds, axis=1, kind="stable")
+                enough = (np.cumsum(np.minimum(sizes, SEEDS)[order], axis=1) < 4 * k).sum(1) + 1
+                for i, n in enumerate(enough):
+                    out = part.iloc[[i] * min(int(n), len(cells))].copy()
+                    out["_cell"] = cells[order[i, : len(out)]]
+                    yield out
+
+    first = T.StructType([*queries.schema.fields, T.StructField("_cell", T.IntegerType())])
+    seeds = ranking.top_n(windows, ["_cell"], [F.xxhash64(key, ts), F.col(key), F.col(ts)], SEEDS).select("_cell", "_v")
+    met = queries.mapInPandas(nearest_cells, first).join(seeds, "_cell")
+
+    def distances(parts):
+        for part in parts:
+            if len(part):
+                yield pd.DataFrame({"query": part["query"], "_d": _dtw(_scaled(stacked(part["_v"])), _scaled(stacked(part["_qv"])), band)})
+
+    found = met.select("query", "_qv", "_v").mapInPandas(distances, T.StructType([queries.schema["query"], T.StructField("_d", T.DoubleType())]))
+    bound = ranking.top_n(found, ["query"], [F.asc("_d")], k).groupBy("query").agg(F.when(F.count("*") == k, F.max("_d")).alias("_bound"))
+    bounded = queries.join(bound, "query", "left").withColumn("_bound", F.coalesce("_bound", F.lit(float("inf")))).checkpoint()
+    blocks = np.maximum(1, -(-sizes // BLOCK))
+
+    def possible(parts):
+        """Blocks of the cells that can hold a match."""
+        for part in parts:
+            if len(part) and len(cells):
+                can = _Envelope(stacked(part["_qv"]), band).of_cells(cells) <= part["_bound"].to_numpy()[:, None] + 1e-9
+                for i in range(len(part)):
+                    hit = np.flatnonzero(can[i])
+                    out = part.iloc[[i] * int(blocks[hit].sum())].copy()
+                    out["_cell"] = np.repeat(cells[hit], blocks[hit])
+                    out["_block"] = np.concatenate([np.arange(b) for b in blocks[hit]]) if len(hit) else []
+                    yield out
+
+    second = T.StructType([*bounded.schema.fields, T.StructField("_cell", T.IntegerType()), T.StructField("_block", T.IntegerType())])
+    asked = bounded.mapInPandas(possible, second)
+    several = [F.when(F.col("_cell") == int(c), int(b)) for c, b in zip(cells, blocks) if b > 1]
+    held = windows.withColumn("_block", F.pmod(F.xxhash64(key, ts), F.coalesce(*several, F.lit(1))).cast("int") if several else F.lit(0))
+    schema = T.StructType([queries.schema["query"], queries.schema["query_ts"], bounded.schema["_qv"], rows.schema[key], rows.schema[ts], rows.schema["_v"], rows.schema["_fwd"], T.StructField("dtw", T.DoubleType())])
+
+    def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(asked) and len(held):
+            held = held.sort_values([key, ts]).reset_index(drop=True)
+            e, c, order = _Envelope(stacked(asked["_qv"]), band), _scaled(stacked(held["_v"])), np.arange(len(held))
+            for i, most in enumerate(asked["_bound"]):
+                hit, far = _nearest(e, i, c, order, k, most)
+                part = held.iloc[hit][[key, ts, "_v", "_fwd"]].reset_index(drop=True)
+                own = asked.iloc[[i] * len(part)][["query", "query_ts", "_qv"]].reset_index(drop=True)
+                out.append(pd.concat([own, part], axis=1).assign(dtw=far))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({f.name: [] for f in schema.fields})
+
+    scored = asked.groupBy("_cell", "_block").cogroup(held.groupBy("_cell", "_block")).applyInPandas(search, schema)
+    best = ranking.top_n(scored, ["query"], [F.asc("dtw"), F.asc(key), F.asc(ts)], k)
+    gap = F.sqrt(F.aggregate(F.zip_with(shape_features(F.col("_v")), shape_features(F.col("_qv")), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    best = best.withColumn("feature_distance", gap).select("query", "query_ts", key, ts, "feature_distance", "dtw", F.col("_fwd").alias("forward_return"), "rank")
+    return best if reach is None else best.filter(F.col("feature_distance") <= reach)
 
 
 def pattern_win_rate(matches: DataFrame) -> DataFrame:

@@ -4,11 +4,15 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from candlewick.functions import vocabulary as voc
 from candlewick.operators import news
+from candlewick.operators.graph import components
+from candlewick.operators.machines import Covers
 from candlewick.plans.news import articles, headlines
 
 
@@ -29,7 +33,9 @@ def tokens(text):
     return [same.get(w, w) for w in re.findall("[a-z]{3,}", text.lower()) if w not in voc.STOP_WORDS]
 
 
-def test_semantic_clusters_match_brute_force(spark, sf):
+@pytest.mark.parametrize("small", [20_000, 0])
+def test_semantic_clusters_match_brute_force(spark, sf, small, monkeypatch):
+    monkeypatch.setattr(news, "SMALL", small)
     docs = articles(spark, sf).select("id", "text", "ts").filter("id < 60")
     more = docs.filter("id % 7 = 0").select((F.col("id") + 1000).alias("id"), "text", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
     docs = docs.unionByName(more)
@@ -47,7 +53,9 @@ def test_semantic_clusters_match_brute_force(spark, sf):
         assert got == greedy([{"id": r.id} for r in rows], similar)
 
 
-def test_story_clusters_match_brute_force(spark, sf):
+@pytest.mark.parametrize("small", [20_000, 0])
+def test_story_clusters_match_brute_force(spark, sf, small, monkeypatch):
+    monkeypatch.setattr(news, "SMALL", small)
     h = headlines(spark, sf).filter("id < 500").withColumn("ts", F.expr("TIMESTAMP '2024-01-01' + make_dt_interval(0, 0, cast(id * 37 as int))"))
     rows = sorted(h.collect(), key=lambda r: (r.ts, r.id))
     bag = {r.id: {w for w in re.findall(r"\w+", r.text.lower()) if len(w) > 2} for r in rows}
@@ -70,6 +78,50 @@ def test_a_mass_of_copies_is_one_story_per_day(spark):
     assert [(r.leader, r["count"]) for r in got] == [(0, 1441), (1441, 1441), (2882, 1441), (4323, 677)]
 
 
+def test_years_of_copies_take_no_round_a_day(spark, monkeypatch):
+    monkeypatch.setattr(news, "_lead_in_rounds", None)
+    days = spark.range(600).select("id", F.lit("Daily fixing report").alias("text"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 50_000).alias("ts"), F.lit("ECO").alias("category"))
+    got = {r.id: r.leader for r in news.cluster_stories(days, "id", "text", "ts", "category").collect()}
+    assert got == {i: i // 2 * 2 for i in range(600)}
+
+
+def test_covers_in_pieces():
+    rng = np.random.default_rng(2)
+    for window in (3, 40, 1000):
+        t = np.sort(rng.integers(0, 2000, 300)).tolist()
+        machine = Covers(window, lambda p: p["ts"].tolist())
+        last, want = -1e9, []
+        for x in t:
+            last = x if x > last + window else last
+            want.append(last)
+        cuts = [0, 1, 2, 40, 41, 130, 131, 260, 300]
+        sums = [machine.summarize(pd.DataFrame({"ts": t[a:b]})) for a, b in zip(cuts, cuts[1:])]
+        state = None
+        for s, end in zip(sums, cuts[1:]):
+            state = machine.advance(s, state)
+            assert state == [want[end - 1]]
+        whole = machine.compose(machine.compose(sums[1], sums[2]), machine.compose(sums[3], machine.compose(sums[4], sums[5])))
+        assert machine.advance(whole, [want[0]]) == [want[130]]
+
+
+def test_components(spark):
+    rng = np.random.default_rng(1)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5)]
+    root = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            root[top(a)] = top(b)
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    groups = lambda of: sorted(sorted(n for n in of if of[n] == r) for r in set(of.values()))
+    assert groups(got) == groups({n: top(n) for n in root})
+
+
 def one(spark, text):
     return spark.range(1).select(F.lit(text).alias("text"))
 
