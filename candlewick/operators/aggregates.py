@@ -310,8 +310,8 @@ def rank_deals(deals: DataFrame, criterion: str, keys: Sequence[str] = ()) -> Da
     rows = deals.withColumn("metric_value", F.coalesce(F.col(criterion).cast("double"), F.lit(0.0)))
     rows = ranking.with_positions(rows, keys, "metric_value")
     lower = F.col(ranking.SIZE) - F.col(ranking.BELOW) - F.col(ranking.SAME)
-    tie = Window.partitionBy(*keys, "metric_value").orderBy("deal_id")
-    return rows.withColumn("rank", lower + F.row_number().over(tie)).drop(ranking.BELOW, ranking.SAME, ranking.SIZE)
+    rows = ranking.ordinals(rows, keys, "metric_value", ["deal_id"], "_place")
+    return rows.withColumn("rank", lower + F.col("_place")).drop("_place", ranking.BELOW, ranking.SAME, ranking.SIZE)
 
 
 def payment_structure(deals: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

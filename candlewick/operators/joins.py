@@ -280,14 +280,61 @@ def within_radius(centres: DataFrame, points: DataFrame, km: float) -> DataFrame
 PAIR_SCHEMA = "a string, b string, n double, sx double, sy double, sxx double, syy double, sxy double"
 
 
-def pair_sums(df: DataFrame, time: str, symbol: str, value: str, blocks: int = 1, times: int = 64) -> DataFrame:
-    """n, Σx, Σy, Σx², Σy², Σxy over common times for every pair of symbols a ≤ b.
+BLOCK_SYMBOLS = 512  # of one side of a piece: the sums of its pairs take 50 MB
+CHUNK_TIMES = 2048  # of a piece: its dense values take 64 MB
+SPARSE = 0.05  # share of filled cells below which a piece lists the pairs of each time instead of multiplying matrices
+PAIRS = 2_000_000  # listed at once
+
+
+def plan_pieces(df: DataFrame, time: str, symbol: str) -> tuple[int, int]:
+    """Symbol blocks and time chunks from (approximate) counts, so that a piece has a bounded size whatever the universe and the history are.
+
+    There are at least as many pieces as tasks that run at once, as far as there are times.
+    """
+    n = df.agg(F.approx_count_distinct(symbol).alias("s"), F.approx_count_distinct(time).alias("t")).first()
+    blocks = max(1, math.ceil(n["s"] / BLOCK_SYMBOLS))
+    wanted = math.ceil(df.sparkSession.sparkContext.defaultParallelism / (blocks * (blocks + 1) / 2))
+    return blocks, max(1, math.ceil(n["t"] / CHUNK_TIMES), min(wanted, math.ceil(n["t"] / 32)))
+
+
+def _dense(t: np.ndarray, s: np.ndarray, x: np.ndarray, n: int) -> list[np.ndarray]:
+    """n, Σx, Σy, Σx², Σy², Σxy of each pair of symbols by matrix products over the times."""
+    values, known = np.zeros((t.max() + 1, n)), np.zeros((t.max() + 1, n))
+    values[t, s], known[t, s] = x, 1.0
+    squares = values * values
+    return [known.T @ known, values.T @ known, known.T @ values, squares.T @ known, known.T @ squares, values.T @ values]
+
+
+def _listed(t: np.ndarray, s: np.ndarray, x: np.ndarray, n: int) -> list[np.ndarray]:
+    """The same for a first symbol not after the second, from the pairs present at each time."""
+    order = np.lexsort((s, t))
+    t, s, x = t[order], s[order], x[order]
+    many = np.searchsorted(t, t, side="right") - np.arange(len(t))  # partners of each row: itself and those after it
+    out = [np.zeros(n * n) for _ in range(6)]
+    ends = np.cumsum(many)
+    at = 0
+    while at < len(t):
+        until = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
+        left = np.repeat(np.arange(at, until), many[at:until])
+        right = left + np.arange(len(left)) - np.repeat(ends[at:until] - many[at:until] - (ends[at - 1] if at else 0), many[at:until])
+        code, a, b = s[left] * n + s[right], x[left], x[right]
+        for total, w in zip(out, (None, a, b, a * a, b * b, a * b)):
+            total += np.bincount(code, w, n * n)
+        at = until
+    return [total.reshape(n, n) for total in out]
+
+
+def pair_sums(df: DataFrame, time: str, symbol: str, value: str, blocks: int | None = None, times: int | None = None) -> DataFrame:
+    """n, Σx, Σy, Σx², Σy², Σxy over common times for every pair of symbols a ≤ b; of rows equal in time and symbol one counts.
 
     A matrix product in pieces: each piece holds two symbol blocks over one chunk of times and emits one row per
-    symbol pair (not per pair and time); pieces are summed map-side.  ``blocks`` grows with the number of symbols
-    so that a piece of 2/blocks of the symbols times ``times`` rows fits a task.
+    symbol pair (not per pair and time); pieces are summed map-side.  Their number comes from :func:`plan_pieces` unless given; pieces with few filled
+    cells list the pairs of each time instead.
     """
-    stamp = F.unix_seconds(F.col(time).cast("timestamp"))
+    if blocks is None or times is None:
+        planned = plan_pieces(df, time, symbol)
+        blocks, times = blocks or planned[0], times or planned[1]
+    stamp = F.unix_micros(F.col(time).cast("timestamp"))
     rows = df.filter(F.col(value).isNotNull()).select(
         F.col(symbol).cast("string").alias("s"),
         stamp.alias("t"),
@@ -299,20 +346,16 @@ def pair_sums(df: DataFrame, time: str, symbol: str, value: str, blocks: int = 1
     rows = rows.withColumn("_o", other).withColumns({"_i": F.least("_own", "_o"), "_j": F.greatest("_own", "_o")}).drop("_o")
 
     def products(part: pd.DataFrame) -> pd.DataFrame:
-        rows, _ = pd.factorize(part["t"])
+        part = part.drop_duplicates(["t", "s"], keep="last")
+        rows, distinct = pd.factorize(part["t"])
         cols, names = pd.factorize(part["s"], sort=True)
+        names = np.asarray(names, dtype=object)
         owner = np.zeros(len(names), dtype=int)
         owner[cols] = part["_own"].to_numpy()
         i, j = int(part["_i"].iloc[0]), int(part["_j"].iloc[0])
-        x = np.zeros((rows.max() + 1, len(names)))
-        m = np.zeros_like(x)
-        x[rows, cols] = part["x"].to_numpy()
-        m[rows, cols] = 1.0
-        x2 = x * x
-        names = np.asarray(names, dtype=object)
-        n, sx, sy = m.T @ m, x.T @ m, m.T @ x
-        sxx, syy, sxy = x2.T @ m, m.T @ x2, x.T @ x
-        ok = (n > 0) & (names[:, None] <= names[None, :])
+        sparse = len(part) < SPARSE * len(distinct) * len(names)
+        n, sx, sy, sxx, syy, sxy = (_listed if sparse else _dense)(rows, cols, part["x"].to_numpy(), len(names))
+        ok = (n > 0) & (np.arange(len(names))[:, None] <= np.arange(len(names))[None, :])  # names are sorted
         low = np.minimum(owner[:, None], owner[None, :])
         high = np.maximum(owner[:, None], owner[None, :])
         r, c = np.nonzero(ok & (low == i) & (high == j))
@@ -336,7 +379,7 @@ def pair_statistics(sums: DataFrame) -> DataFrame:
 
 
 def correlation_pairs(
-    df: DataFrame, time: str, symbol: str, value: str, blocks: int = 1, times: int = 64
+    df: DataFrame, time: str, symbol: str, value: str, blocks: int | None = None, times: int | None = None
 ) -> DataFrame:
     return pair_statistics(pair_sums(df, time, symbol, value, blocks, times))
 

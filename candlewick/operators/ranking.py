@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.operators.series import shared
+
 BELOW, SAME, SIZE = "_below", "_same", "_size"
 
 
@@ -141,3 +143,30 @@ def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, s
     whole = Window.partitionBy(*(keys or ["_all"])).orderBy(*order)
     out = first.withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= n)
     return out if keys else out.drop("_all")
+
+
+COMMON = 100_000  # rows of one value beyond which it is numbered in pieces
+
+
+def ordinals(df: DataFrame, group: Sequence[str], value: str, tie: Sequence[str], out: str, common: int = COMMON) -> DataFrame:
+    """Number (from 1) of each row among those of its group with the same value, in the order of ``tie``; null values get none.
+
+    A value of more than ``common`` rows is not numbered by one window: rows are dealt by ranges of (group, value, tie), numbered inside each range, and the
+    counts of the ranges before are added.
+    """
+    keys = [*group, value]
+    known = F.col(value).isNotNull()
+    if df.filter(known).groupBy(*keys).count().filter(F.col("count") > common).isEmpty():
+        apart = F.when(~known, F.pmod(F.xxhash64(*tie), F.lit(1024)))  # nulls are not numbered and need not meet
+        return df.withColumn(out, F.when(known, F.row_number().over(Window.partitionBy(*keys, apart).orderBy(*tie))))
+    ranged = df.repartitionByRange(*keys, *tie).withColumn("_piece", F.spark_partition_id())
+    rows = shared(ranged, *keys, "_piece")
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(*keys, "_piece").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    starts = starts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_piece").alias("_k"), "_before")
+    on = F.col("_piece") == F.col("_k")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(*tie))
+    numbered = rows.withColumn(out, inside).join(starts, on).withColumn(out, F.when(known, F.col("_before") + F.col(out)))
+    return numbered.drop("_piece", "_before", "_k", *[f"_k{i}" for i in range(len(keys))])

@@ -18,6 +18,7 @@ from candlewick.operators.machines import HighWater
 from candlewick.operators.series import DAILY, Axis, fold, number, over_blocks, prefix
 from candlewick.operators.signals import uniform
 from candlewick.operators.windows import drawdowns, positive
+from candlewick.session import checkpoint_folder
 
 YEAR = 252
 ROOT = math.sqrt(YEAR)
@@ -476,7 +477,7 @@ def persistence(rows: DataFrame, period: str, entity: str = "symbol", ret: str =
 # --- covariance and weights -------------------------------------------------------------------------------------------
 
 
-def covariance(rows: DataFrame, ts: str = "ts", symbol: str = "symbol", ret: str = "ret", annualise: int = 1, blocks: int = 1, times: int = 64) -> DataFrame:
+def covariance(rows: DataFrame, ts: str = "ts", symbol: str = "symbol", ret: str = "ret", annualise: int = 1, blocks: int | None = None, times: int | None = None) -> DataFrame:
     """Covariance of every ordered pair (both triangles) and correlation."""
     half = pair_statistics(pair_sums(rows, ts, symbol, ret, blocks, times)).withColumn("cov", F.col("cov") * annualise)
     other = half.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "n", "cov", "corr")
@@ -591,14 +592,42 @@ def optimal_weights(members: DataFrame, cov: DataFrame, means: DataFrame, method
     return entries.groupBy("portfolio").applyInPandas(solve, schema)
 
 
-def random_frontier(cov: DataFrame, means: DataFrame, n: int = 1000, seed: int = 0, rf: float = 0.02, buckets: int = 20) -> DataFrame:
+def _spread_variance(drawn: DataFrame, cov: DataFrame, n: int, block: int) -> DataFrame:
+    """``set, v``: Σ x_a x_b cov over all pairs of symbols for each of ``n`` sets of amounts (array ``_e`` of each symbol).
+
+    Pairs lie in tiles of two symbol blocks; a tile multiplies its amounts and covariances as matrices and emits one row a set, not one a pair and set.
+    """
+    tiles = max(1, math.ceil(drawn.count() / block))
+    own = lambda c: F.pmod(F.xxhash64(c), F.lit(tiles)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(tiles - 1))
+    mine = F.array_union(F.transform(every, lambda j: F.struct(F.col("_s").alias("i"), j.alias("j"))), F.transform(every, lambda i: F.struct(i.alias("i"), F.col("_s").alias("j"))))
+    amounts = drawn.withColumn("_s", own("symbol")).select("symbol", "_e", F.inline(mine)).withColumnsRenamed({"i": "_wi", "j": "_wj"})
+    pairs = cov.select("a", "b", "cov", own("a").alias("_i"), own("b").alias("_j"))
+
+    def multiply(pairs: pd.DataFrame, amounts: pd.DataFrame) -> pd.DataFrame:
+        place = {s: i for i, s in enumerate(amounts["symbol"])}
+        known = pairs[pairs["a"].isin(place) & pairs["b"].isin(place) & pairs["cov"].notna()]
+        if not len(known):
+            return pd.DataFrame({"set": pd.Series(dtype="int32"), "v": pd.Series(dtype="float64")})
+        x = np.stack(amounts["_e"].to_numpy())
+        left, a = np.unique(known["a"].map(place).to_numpy(), return_inverse=True)
+        right, b = np.unique(known["b"].map(place).to_numpy(), return_inverse=True)
+        matrix = np.zeros((len(left), len(right)))
+        matrix[a, b] = known["cov"].to_numpy()
+        return pd.DataFrame({"set": np.arange(n, dtype="int32"), "v": ((matrix.T @ x[left]) * x[right]).sum(axis=0)})
+
+    parts = pairs.groupBy("_i", "_j").cogroup(amounts.groupBy("_wi", "_wj")).applyInPandas(multiply, "set int, v double")
+    return parts.groupBy("set").agg(F.sum("v").alias("v"))
+
+
+def random_frontier(cov: DataFrame, means: DataFrame, n: int = 1000, seed: int = 0, rf: float = 0.02, buckets: int = 20, block: int = 512) -> DataFrame:
     """Random long-only weight sets over the symbols of ``means``; per risk bucket the one with the highest return."""
-    draws = means.select("symbol", "mean").withColumn("set", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    draws = draws.withColumn("_e", -F.log(F.greatest(uniform(F.lit(seed), F.col("set"), F.col("symbol")), F.lit(1e-12))))
-    total = draws.groupBy("set").agg(F.sum("_e").alias("_t"))
-    sets = draws.join(total, "set").select("set", "symbol", "mean", (F.col("_e") / F.col("_t")).alias("weight"))
-    ret = sets.groupBy("set").agg(F.sum(F.col("weight") * F.col("mean")).alias("return"))
-    points = portfolio_variance(sets.select("set", "symbol", "weight"), cov, ["set"]).select("set", "volatility").join(ret, "set")
+    checkpoint_folder(means.sparkSession)
+    amount = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda s: -F.log(F.greatest(uniform(F.lit(seed), s, F.col("symbol")), F.lit(1e-12))))
+    drawn = means.select("symbol", "mean", amount.alias("_e")).checkpoint()
+    sums = drawn.select("mean", F.posexplode("_e").alias("set", "x")).groupBy("set").agg(F.sum("x").alias("_t"), F.sum(F.col("x") * F.col("mean")).alias("_r"))
+    points = sums.join(_spread_variance(drawn.select("symbol", "_e"), cov, n, block), "set")
+    points = points.select("set", (F.sqrt("v") / F.col("_t")).alias("volatility"), (F.col("_r") / F.col("_t")).alias("return"))
     points = points.withColumn("sharpe", (F.col("return") - rf) / positive(F.col("volatility")))
     ends = points.agg(F.min("volatility").alias("_lo"), F.max("volatility").alias("_hi"))
     points = points.crossJoin(F.broadcast(ends))  # one row

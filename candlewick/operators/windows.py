@@ -387,12 +387,12 @@ def cross_rank(
     rows = df.withColumn("_x", masked(value, mask))
     rows = ranking.with_positions(rows, list(by), "_x")
     if method == "ordinal":
-        w = Window.partitionBy(*by, "_x").orderBy(tie)
+        rows = ranking.ordinals(rows, list(by), "_x", [tie], "_place")
         lower = F.col(ranking.BELOW) if ascending else F.col(ranking.SIZE) - F.col(ranking.BELOW) - F.col(ranking.SAME)
-        rank = F.when(F.col("_x").isNotNull(), lower + F.row_number().over(w))
+        rank = lower + F.col("_place")
     else:
         rank = ranking.rank_column(method, ascending)
-    return rows.withColumn(out, rank).drop("_x", ranking.BELOW, ranking.SAME, ranking.SIZE)
+    return rows.withColumn(out, rank).drop("_x", "_place", ranking.BELOW, ranking.SAME, ranking.SIZE)
 
 
 def cross_top(df: DataFrame, value: str, n: int, by: Sequence[str] = ("ts",), bottom: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from candlewick.plans.registry import near, query, r
 from candlewick.plans.risk import _gauss_sql
 from candlewick.plans.signals import _u
 from candlewick.plans.sql import MINUTE, with_
-from candlewick.sources import files, synthetic, tables
+from candlewick.sources import files, replay, synthetic, tables
 
 _BAR = "symbol, \"timestamp\", open::DOUBLE AS open, high::DOUBLE AS high, low::DOUBLE AS low, close::DOUBLE AS close, volume, adjusted_close::DOUBLE AS adjusted_close"
 BAR = ("symbol", "timestamp", "open", "high", "low", "close", "volume", "adjusted_close")
@@ -165,6 +165,54 @@ def normalised_records(spark, sf):
     return out.withColumn("errors", F.array_join("errors", ","))
 
 
+_S = ("OHLCV", "QUOTE", "TICK", "ORDER", "POSITION", "PORTFOLIO", "INSTRUMENT", "NONE")
+_T = lambda target, path, transform="", default="": {"target": target, "expression": path, "transform": transform, "default": default}
+_NAMED = [_T("symbol", "$.s", "upper"), _T("timestamp", "$.t")]
+ALL_MAPPINGS = {
+    "OHLCV": [*_NAMED, *[_T(n, f"$.b.{n}", "number") for n in ("open", "high", "low", "close", "volume")]],
+    "QUOTE": [*_NAMED, _T("price", "$.q.p", "number")],
+    "TICK": [*_NAMED, _T("price", "$.q.p", "number"), _T("quantity", "$.n", "number")],
+    "ORDER": [_T("orderId", "$.id"), _T("symbol", "$.s", "upper"), _T("side", "$.side", "upper"), _T("type", "$.kind", "upper", "market"), _T("quantity", "$.n", "number"), _T("status", "$.st")],
+    "POSITION": [_T("symbol", "$.s", "upper"), _T("quantity", "$.n", "number"), _T("averagePrice", "$.q.p", "number")],
+    "PORTFOLIO": [_T("timestamp", "$.t"), _T("totalValue", "$.q.p", "number")],
+    "INSTRUMENT": [_T("symbol", "$.s", "upper"), _T("name", "$.s"), _T("exchange", "$.x", "upper", "xnys")],
+}
+TRANSFORMS = {"upper": F.upper, "number": lambda c: c.try_cast("double")}
+_MIXED = f"""r AS (SELECT event_id AS id, {list(_S)!r}[event_id % 8 + 1] AS schema, event_type AS s, CASE WHEN event_id % 6 > 0 THEN CAST(epoch(ts)::BIGINT AS VARCHAR) END AS t,
+  CASE WHEN event_id % 7 > 0 THEN value END AS p, CASE WHEN event_id % 5 > 0 THEN event_id % 9 END AS n, CASE WHEN event_id % 3 > 0 THEN 'buy' END AS side FROM (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM events)),
+c AS (SELECT id, schema, CASE WHEN schema NOT IN ('PORTFOLIO', 'NONE') THEN upper(s) END AS symbol, CASE WHEN schema IN ('OHLCV', 'QUOTE', 'TICK', 'PORTFOLIO') THEN t END AS "timestamp",
+  CASE WHEN schema = 'OHLCV' THEN p END AS open, CASE WHEN schema = 'OHLCV' THEN p + 1 END AS high, CASE WHEN schema = 'OHLCV' THEN p - 1 END AS low, CASE WHEN schema = 'OHLCV' THEN p END AS close,
+  CASE WHEN schema = 'OHLCV' THEN n::DOUBLE END AS volume, CASE WHEN schema IN ('QUOTE', 'TICK') THEN p END AS price, CASE WHEN schema IN ('TICK', 'ORDER', 'POSITION') THEN n::DOUBLE END AS quantity,
+  CASE WHEN schema = 'ORDER' THEN CAST(id AS VARCHAR) END AS "orderId", CASE WHEN schema = 'ORDER' THEN upper(side) END AS side, CASE WHEN schema = 'ORDER' THEN 'MARKET' END AS type,
+  CASE WHEN schema = 'ORDER' THEN 'open' END AS status, CASE WHEN schema = 'POSITION' THEN p END AS "averagePrice", CASE WHEN schema = 'PORTFOLIO' THEN p END AS "totalValue",
+  CASE WHEN schema = 'INSTRUMENT' THEN s END AS name, CASE WHEN schema = 'INSTRUMENT' THEN 'XNYS' END AS exchange FROM r)"""
+_ERRORS = "e AS (" + " UNION ALL ".join(f"SELECT id, schema, 'missing {f}' AS error FROM c WHERE schema = '{k}' AND \"{f}\" IS NULL" for k, fs in tables.REQUIRED.items() for f in fs) + " UNION ALL SELECT id, schema, 'unknown schema' FROM c WHERE schema = 'NONE')"
+
+
+def mixed_records(spark, sf):
+    e, k = fx.table(spark, sf, "events"), F.col("event_id")
+    price = F.when(k % 7 > 0, F.col("value"))
+    size = F.when(k % 5 > 0, k % 9)
+    raw = F.to_json(F.struct(
+        k.cast("string").alias("id"), F.col("event_type").alias("s"), F.when(k % 6 > 0, F.unix_timestamp("ts").cast("string")).alias("t"), size.alias("n"), F.struct(price.alias("p")).alias("q"),
+        F.struct(price.alias("open"), (price + 1).alias("high"), (price - 1).alias("low"), price.alias("close"), size.alias("volume")).alias("b"),
+        F.when(k % 3 > 0, "buy").alias("side"), F.lit("open").alias("st"),
+    ))
+    rows = e.select(k.alias("id"), F.element_at(F.array(*[F.lit(x) for x in _S]), (k % 8 + 1).cast("int")).alias("schema"), raw.alias("value"))
+    return tables.normalise_stream(rows, "value", "schema", ALL_MAPPINGS, TRANSFORMS)
+
+
+@query("normalised_schemas", "S17", with_(_MIXED, _ERRORS, "SELECT c.*, coalesce(x.errors, 0) AS errors FROM c LEFT JOIN (SELECT id, count(*) AS errors FROM e GROUP BY id) x USING (id)"))
+def normalised_schemas(spark, sf):
+    """Records of all seven schemas and an unknown one, in one table."""
+    return mixed_records(spark, sf).withColumn("errors", F.size("errors").cast("long"))
+
+
+@query("record_errors", "S17", with_(_MIXED, _ERRORS, "SELECT * FROM e"))
+def record_errors(spark, sf):
+    return tables.error_rows(mixed_records(spark, sf), ["id"], "schema")
+
+
 @query(
     "delimited_text",
     "S18",
@@ -209,6 +257,57 @@ def _folder(spark, name):
 _DAILY = """d AS (SELECT symbol, "timestamp"::DATE AS date, arg_min(open, {'a': "timestamp", 'b': seq})::DOUBLE AS open, max(high)::DOUBLE AS high, min(low)::DOUBLE AS low, arg_max(close, {'a': "timestamp", 'b': seq})::DOUBLE AS close, sum(volume)::BIGINT AS volume FROM minute GROUP BY 1, 2)"""
 
 
+def _silver(spark, sf):
+    """The minute bars stored as a silver table of this session."""
+    import uuid
+
+    name = f"silver_{uuid.uuid4().hex}"
+    tables.write_silver(fx.minute_like(spark, sf).select(*BAR, "seq"), name, _folder(spark, name), buckets=8)
+    return name
+
+
+_RANGE = "minute AS (SELECT * FROM m0 WHERE \"timestamp\" >= TIMESTAMP '2024-01-05' AND \"timestamp\" < TIMESTAMP '2024-01-25')"
+
+
+@query(
+    "silver_cleaning", "S3,F2",
+    with_(MINUTE.replace("minute AS", "m0 AS", 1), _RANGE, f"SELECT {_BAR} FROM minute WHERE open > 0 AND high > 0 AND low > 0 AND close > 0 AND high >= low AND high >= open AND high >= close AND low <= open AND low <= close"),
+)
+def silver_cleaning(spark, sf):
+    """Valid bars of a date range of the stored silver table."""
+    from candlewick.operators import quality
+
+    return doubles(quality.valid_ohlc(tables.silver_range(spark, _silver(spark, sf), "2024-01-05", "2024-01-25")).select(*BAR))
+
+
+@query(
+    "silver_daily", "S3,A3",
+    with_(MINUTE, """d AS (SELECT symbol, "timestamp"::DATE AS day, arg_min(open, {'a': "timestamp", 'b': seq})::DOUBLE AS open, max(high)::DOUBLE AS high, min(low)::DOUBLE AS low, arg_max(close, {'a': "timestamp", 'b': seq})::DOUBLE AS close, sum(volume)::BIGINT AS volume, count(*) AS bars FROM minute GROUP BY 1, 2)""",
+          'SELECT m.symbol, m."timestamp", m.seq, m.close::DOUBLE AS close, d.high AS day_high, d.low AS day_low, d.volume AS day_volume, d.bars AS day_bars FROM minute m JOIN d ON m.symbol = d.symbol AND m."timestamp"::DATE = d.day'),
+)
+def silver_daily(spark, sf):
+    """Each stored bar beside its day: aggregate and join by symbol and day, both on the layout of the table."""
+    return silver_days(spark.table(_silver(spark, sf)))
+
+
+def silver_days(bars):
+    days = bars.groupBy("symbol", "day").agg(F.max("high").alias("h"), F.min("low").alias("l"), F.sum("volume").alias("day_volume"), F.count("*").alias("day_bars"))
+    rows = bars.join(days, ["symbol", "day"])
+    return rows.select("symbol", "timestamp", "seq", F.col("close").cast("double").alias("close"), F.col("h").cast("double").alias("day_high"), F.col("l").cast("double").alias("day_low"), "day_volume", "day_bars")
+
+
+@query("paced_replay", "S9", with_(MINUTE, f"SELECT {_BAR} FROM minute"))
+def paced_replay(spark, sf):
+    """One pass of the minute bars as messages, a fifth of them a trigger, read back from where the sink put them."""
+    rows = fx.minute_like(spark, sf).select(*BAR)
+    folder = _folder(spark, "replay")
+    total = replay.number_messages(rows, ["timestamp", "symbol"], f"{folder}/rows")
+    rate = -(-total // 5) * 2
+    query = replay.paced(spark, f"{folder}/rows", total, rate, lambda m, i: m.write.mode("overwrite").parquet(f"{folder}/out/batch={i}"), f"{folder}/state", every_s=0.5)
+    replay.finish(query, total, rate, every_s=0.5)
+    return doubles(files.from_messages(spark.read.parquet(f"{folder}/out")))
+
+
 @query("silver_parquet", "S5", with_(MINUTE, f"SELECT {_BAR} FROM minute"))
 def silver_parquet(spark, sf):
     path = _folder(spark, "silver")

@@ -86,7 +86,15 @@ def backfill(spark: SparkSession, units: DataFrame, process: Callable[[DataFrame
 # ------------------------------------------------------------------------------------------------ mappings
 
 # Fields each record schema requires.
-REQUIRED = {"OHLCV": ("symbol", "timestamp", "open", "high", "low", "close", "volume"), "QUOTE": ("symbol", "timestamp", "price")}
+REQUIRED = {
+    "OHLCV": ("symbol", "timestamp", "open", "high", "low", "close", "volume"),
+    "QUOTE": ("symbol", "timestamp", "price"),
+    "TICK": ("symbol", "timestamp", "price", "quantity"),
+    "ORDER": ("orderId", "symbol", "side", "type", "quantity", "status"),
+    "POSITION": ("symbol", "quantity", "averagePrice"),
+    "PORTFOLIO": ("totalValue", "timestamp"),
+    "INSTRUMENT": ("symbol", "name", "exchange"),
+}
 
 
 def normalise_records(
@@ -109,6 +117,60 @@ def normalise_records(
     return raw.select(*[c for c in raw.columns if c != value], *[c.alias(n) for n, c in out.items()], errors.alias("errors"))
 
 
+def normalise_stream(
+    raw: DataFrame, value: str, schema: str, mappings: Mapping[str, Sequence[Mapping[str, str]]], transforms: Mapping[str, Callable[[Column], Column]]
+) -> DataFrame:
+    """Canonical records of a table that mixes record schemas (column ``schema``), in one pass over its JSON.
+
+    ``mappings`` holds the mapping rows of each schema. The result has a column per target of any schema, null where the record's schema does not have it, and
+    ``errors`` as in :func:`normalise_records`; a schema without mapping rows gives the single error ``unknown schema``. Values of targets that several schemas
+    share must have one type.
+    """
+    known = F.col(schema)
+    targets: dict[str, Column] = {}
+    errors = F.when(known.isNull() | ~known.isin(*mappings), F.array(F.lit("unknown schema")))
+    for name, rows in mappings.items():
+        own: dict[str, Column] = {}
+        for m in rows:
+            if m.get("target"):
+                v = F.get_json_object(value, m["expression"]) if m.get("expression") else F.lit(None).cast("string")
+                v = F.coalesce(v, F.lit(m["default"])) if m.get("default") else v
+                own[m["target"]] = transforms[m["transform"]](v) if m.get("transform") else v
+        for target, c in own.items():
+            mine = F.when(known == name, c)
+            targets[target] = F.coalesce(targets[target], mine) if target in targets else mine
+        missing = [F.when(own[f].isNull() if f in own else F.lit(True), F.lit(f"missing {f}")) for f in REQUIRED.get(name, ())]
+        errors = errors.when(known == name, F.array_compact(F.array(*missing)) if missing else F.array().cast("array<string>"))
+    kept = [c for c in raw.columns if c != value]
+    return raw.select(*kept, *[c.alias(t) for t, c in targets.items()], errors.alias("errors"))
+
+
+def error_rows(records: DataFrame, keys: Sequence[str], schema: str) -> DataFrame:
+    """One row per validation error of normalised records."""
+    return records.select(*keys, schema, F.explode("errors").alias("error"))
+
+
+# ------------------------------------------------------------------------------------------------ silver
+
+
+def write_silver(df: DataFrame, name: str, path: str, buckets: int = 64, ts: str = "timestamp") -> DataFrame:
+    """Store bars as table ``name``: a folder per month, and in it files by (symbol, day).
+
+    Scans with a time range read its months only; aggregates and joins by symbol and day find their rows together and need no shuffle. A symbol with a large share
+    of the rows spreads over the buckets by its days.
+    """
+    day, month = F.to_date(ts).alias("day"), F.date_format(ts, "yyyy-MM").alias("month")
+    rows = df.select(*df.columns, day, month).repartition(buckets, "symbol", "day")
+    rows.write.mode("overwrite").format("parquet").option("path", path).partitionBy("month").bucketBy(buckets, "symbol", "day").sortBy("symbol", ts).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def silver_range(spark: SparkSession, name: str, start: str, end: str, ts: str = "timestamp") -> DataFrame:
+    """Bars of a stored silver table from ``start`` up to, but not including, ``end`` (dates); only the months between are read."""
+    rows = spark.table(name)
+    return rows.filter(F.col("month").between(start[:7], end[:7]) & (F.col(ts) >= F.lit(start).cast("timestamp")) & (F.col(ts) < F.lit(end).cast("timestamp")))
+
+
 # ------------------------------------------------------------------------------------------------ jobs
 
 
