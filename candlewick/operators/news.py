@@ -333,18 +333,92 @@ def _lead_in_rounds(articles: DataFrame, near: DataFrame, window: int | None) ->
     return leaders
 
 
+HEAD = 2048  # earliest open kinds that one task settles among themselves in a round
+HEAD_TERMS = 2_000_000  # and their terms together: 32 MB
+BATCH = 1024  # vectors compared with the new leaders at a time
+
+
+def _first_cover(leaders: Sequence[tuple[np.ndarray, np.ndarray, float]], batch: Sequence[tuple[np.ndarray, np.ndarray, float]], threshold: float, among: bool) -> np.ndarray:
+    """Number of the first leader with cosine >= threshold for each vector, -1 where there is none.
+
+    Terms of the batch are kept as lists of the vectors that hold them, so a leader meets only vectors that share a term. ``among``: the batch is ``leaders`` itself in order, and
+    only vectors that no earlier one covers lead.
+    """
+    n = len(batch)
+    owner = np.repeat(np.arange(n), [len(t) for t, _, _ in batch])
+    terms = np.concatenate([t for t, _, _ in batch]) if n else np.empty(0, np.int64)
+    order = np.argsort(terms, kind="stable")
+    terms, owner, weights = terms[order], owner[order], np.concatenate([w for _, w, _ in batch])[order] if n else np.empty(0)
+    norms = np.array([x for _, _, x in batch])
+    first = np.full(n, -1)
+    for i, (t, w, norm) in enumerate(leaders):
+        if among and first[i] >= 0:
+            continue
+        lo, hi = np.searchsorted(terms, t, "left"), np.searchsorted(terms, t, "right")
+        many = hi - lo
+        at = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        score = np.bincount(owner[at], weights[at] * np.repeat(w, many), n)
+        hit = (score >= threshold * norms * norm) & (first < 0)
+        if among:
+            hit[:i] = False
+            first[i] = i
+        first[hit] = i
+    return first
+
+
+def _lead_vectors(vectors: DataFrame, threshold: float) -> DataFrame:
+    """``kind, leader`` for vectors in the order of ``first`` (time and id of the kind's first article).
+
+    A round takes the earliest open kinds, as many as one task holds, settles them among themselves, and shows the new leaders to all other open kinds: a kind
+    goes to the first leader similar to it. No table of similar pairs is made. The number of rounds is the number of kinds that no leader of the rounds before covers, divided by the size of a head.
+    """
+    spark = vectors.sparkSession
+    checkpoint_folder(spark)
+    open_ = vectors.select("kind", "first", F.transform("v", lambda x: x["t"]).alias("t"), F.transform("v", lambda x: x["weight"]).alias("w"), "norm").checkpoint()
+    settled = None
+    schema = T.StructType([open_.schema["kind"], T.StructField("leader", vectors.schema["first"].dataType["id"].dataType)])
+    rest_schema = T.StructType([*open_.schema.fields, schema["leader"]])
+    triples = lambda part: [(np.asarray(t, np.int64), np.asarray(w, float), float(x)) for t, w, x in zip(part["t"], part["w"], part["norm"])]
+
+    def settle(parts):
+        held = pd.concat(list(parts), ignore_index=True)  # at most HEAD rows
+        held["_ts"], held["_id"] = [f["ts"] for f in held["first"]], [f["id"] for f in held["first"]]
+        held = held.sort_values(["_ts", "_id"], ignore_index=True)
+        held = held[np.cumsum([len(t) for t in held["t"]]) - [len(t) for t in held["t"]] < HEAD_TERMS]
+        found = _first_cover(triples(held), triples(held), threshold, True)
+        yield held[["kind", "first", "t", "w", "norm"]].assign(leader=held["_id"].to_numpy()[found])
+
+    while not open_.isEmpty():
+        head = open_.orderBy("first").limit(HEAD).coalesce(1).mapInPandas(settle, rest_schema).checkpoint()
+        settled_now = head.select("kind", "leader")
+        new = sorted(((r["first"]["ts"], r["first"]["id"], r["t"], r["w"], r["norm"]) for r in head.filter(F.col("leader") == F.col("first.id")).collect()), key=lambda x: x[:2])
+        shown = spark.sparkContext.broadcast([(x[1], (np.asarray(x[2], np.int64), np.asarray(x[3], float), float(x[4]))) for x in new])  # at most HEAD vectors
+
+        def compare(parts, shown=shown):
+            ids = [i for i, _ in shown.value]
+            for part in parts:
+                for at in range(0, len(part), BATCH):
+                    own = part.iloc[at : at + BATCH]
+                    found = _first_cover([v for _, v in shown.value], triples(own), threshold, False)
+                    yield own.assign(leader=pd.Series([ids[i] if i >= 0 else None for i in found], index=own.index, dtype="object"))
+
+        told = open_.join(settled_now.select("kind"), "kind", "left_anti").mapInPandas(compare, rest_schema).checkpoint()
+        now = settled_now.unionByName(told.filter("leader IS NOT NULL").select("kind", "leader"))
+        settled = now if settled is None else settled.unionByName(now)
+        open_ = told.filter("leader IS NULL").drop("leader")
+    return spark.createDataFrame([], schema) if settled is None else settled
+
+
 def cluster_semantic(df: DataFrame, key: str, text: str, order: str, threshold: float = 0.25) -> DataFrame:
-    """``key, leader``: first-come clusters by TF-IDF cosine. Articles with equal term vectors are compared once."""
+    """``key, leader``: first-come clusters by TF-IDF cosine. Articles with equal term vectors are compared once; those without a term lead themselves."""
     docs = df.select(F.col(key).alias("id"), F.unix_micros(F.col(order).cast("timestamp")).alias("ts"), tokenise(F.col(text)).alias("tokens"))
     docs = docs.withColumn("kind", F.when(F.size("tokens") > 0, F.xxhash64(F.array_sort("tokens"))).otherwise(F.xxhash64(F.lit("empty"), "id")))
     idf = tf_idf(docs, "id", "tokens")
-    first = docs.groupBy("kind").agg(F.min("id").alias("id"))
-    weighed = idf.join(first, "id").select("kind", "term", "weight", "df")
-    vectors = _vectors(first.select("kind", F.lit("").alias("category")), weighed)
-    pairs = similar_kinds(vectors, threshold, "cosine").filter(F.col("similarity") >= threshold).select("a", "b")
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    led = _lead(docs.select("id", "ts", "kind", F.lit(0).alias("day")), both, None)
-    return led.select(F.col("id").alias(key), "leader")
+    first = docs.groupBy("kind").agg(F.min("id").alias("id"), F.min(F.struct("ts", "id")).alias("first"))
+    weighed = idf.join(first.select("kind", "id"), "id").select("kind", "term", "weight", "df")
+    vectors = _vectors(first.select("kind", "first"), weighed)
+    led = _lead_vectors(vectors, threshold)
+    return docs.select("id", "kind").join(led, "kind", "left").select(F.col("id").alias(key), F.coalesce("leader", "id").alias("leader"))
 
 
 def cluster_stories(

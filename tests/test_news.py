@@ -33,9 +33,9 @@ def tokens(text):
     return [same.get(w, w) for w in re.findall("[a-z]{3,}", text.lower()) if w not in voc.STOP_WORDS]
 
 
-@pytest.mark.parametrize("small", [20_000, 0])
-def test_semantic_clusters_match_brute_force(spark, sf, small, monkeypatch):
-    monkeypatch.setattr(news, "SMALL", small)
+@pytest.mark.parametrize("head", [2048, 5])
+def test_semantic_clusters_match_brute_force(spark, sf, head, monkeypatch):
+    monkeypatch.setattr(news, "HEAD", head)
     docs = articles(spark, sf).select("id", "text", "ts").filter("id < 60")
     more = docs.filter("id % 7 = 0").select((F.col("id") + 1000).alias("id"), "text", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
     docs = docs.unionByName(more)
