@@ -1,6 +1,7 @@
 """BPE, personal data, language and language-model scores against plain computations."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -114,8 +115,7 @@ def plain_scores(rows, order):
     words = lambda t: [lower(w) for w in re.findall(r"[^ \t-\r]+", t or "")]
 
     def symbols(text):
-        for token in [*re.findall(r"[^ \t-\r]+[ \t-\r]*|[ \t-\r]+", text or ""), ""]:
-            yield [256] * order + list(token.encode()) + [256]
+        yield [256] * order + list((text or "").encode()) + [256]
 
     trie, counts, ends = [defaultdict(Counter) for _ in range(order + 1)], Counter(), 0
     for _, text, trained in rows:
@@ -159,8 +159,24 @@ def test_matching_model_equals_plain_trie(docs, order):
         assert h[4:] == pytest.approx(w[4:], rel=1e-9)
 
 
+def test_contexts_run_across_words(spark, monkeypatch):
+    monkeypatch.setattr(ppm, "CHARS", 300)  # several batches
+    rng = random.Random(5)
+    words = ["of", "a", "the", "house", "river", "in", "stone", "I", "bridge", "under"]
+    follows = {w: rng.sample(words, 2) for w in words}
+    texts = []
+    for _ in range(60):
+        text = [rng.choice(words)]
+        while len(text) < 30:
+            text.append(rng.choice(follows[text[-1]]))
+        texts.append(text)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(100 + i, " ".join(rng.sample(t, len(t)))) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.score for r in ppm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(2).checkpoint(), F.col("doc_id") < 50).collect()}
+    assert all(got[i] > got[100 + i] + 3 for i in range(50, 60))
+
+
 def test_matching_model_edges(spark):
     rows = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
     got = {r.doc_id: r for r in ppm.score_texts(rows, F.lit(False)).collect()}
-    assert got[2].n_tokens == 1 and got[2].n_known == 0 and got[1].score == pytest.approx(-math.log10(257) * 13)
+    assert got[2].n_tokens == 1 and got[2].n_known == 0 and got[1].score == pytest.approx(-math.log10(257) * 11)
     assert ppm.score_texts(rows.limit(0), F.lit(True)).collect() == []
