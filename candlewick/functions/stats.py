@@ -177,3 +177,22 @@ def t_ppf(p: float, df: float) -> float:
     return (lo + hi) / 2
 
 
+
+
+# --- the same p-values as SQL text, for whole degrees of freedom: finite sums instead of continued fractions
+
+
+def t_p_sql(t: str, df: str) -> str:
+    """Two-sided p-value of Student's t (``df`` >= 1, whole)."""
+    cos2 = f"(({df}) / (({df}) + power({t}, 2)))"
+    sin = f"(abs({t}) / sqrt(({df}) + power({t}, 2)))"
+    even = f"{sin} * list_sum(list_transform(range(CAST(({df}) // 2 AS BIGINT)), lambda k: exp(lgamma(k + 0.5) - lgamma(k + 1.0) - 0.5 * ln(pi()) + k * ln({cos2}))))"
+    odd = f"coalesce(list_sum(list_transform(range(CAST((({df}) - 1) // 2 AS BIGINT)), lambda k: exp(lgamma(k + 1.0) - lgamma(k + 1.5) + 0.5 * ln(pi()) + k * ln({cos2}) - ln(2)))), 0)"
+    odd = f"2 / pi() * (atan(abs({t}) / sqrt({df})) + {sin} * sqrt({cos2}) * {odd})"
+    return f"(1 - CASE WHEN ({df}) % 2 = 0 THEN {even} ELSE {odd} END)"
+
+
+def chi2_p_sql(x: str, k: int) -> str:
+    """Upper tail of chi-square with an even number of degrees of freedom."""
+    terms = " + ".join(f"power(({x}) / 2, {i}) / {math.factorial(i)}" for i in range(k // 2))
+    return f"(exp(-({x}) / 2) * ({terms}))"

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from candlewick import fixtures as fx
+from candlewick.functions.stats import t_p_sql
 from candlewick.operators import aggregates as ops
 from candlewick.operators import factors
 from candlewick.operators import windows as win
@@ -143,10 +144,21 @@ def january_effect(spark, sf):
     return near(ops.january_effect(returns(spark, sf, daily=True), "ts", "ret"), "mean_first", "mean_second", "difference", "t_stat")
 
 
-@query("january_significance", "A14")
+_T = "(m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2))"
+
+
+@query(
+    "january_significance",
+    "A14",
+    with_(
+        DAILY_SQL, RETURNS, "g AS (SELECT " + _TWO.format(a="month(ts) = 1", b="month(ts) <> 1") + " FROM rets)", f"h AS (SELECT *, {_T} AS t FROM g)",
+        f"SELECT {_TWO_OUT}, {r(t_p_sql('t', 'n1 + n2 - 2'))} AS p_value FROM h",
+    ),
+)
 def january_significance(spark, sf):
     out = ops.january_effect(returns(spark, sf, daily=True), "ts", "ret")
-    return near(ops.with_p_value(out, "t_stat", F.col("n_first") + F.col("n_second") - 2), "difference", "t_stat", "p_value")
+    out = ops.with_p_value(out, "t_stat", F.col("n_first") + F.col("n_second") - 2)
+    return near(out, "mean_first", "mean_second", "difference", "t_stat", "p_value")
 
 
 def _decile_sql(by, ret, src, floor):
@@ -462,7 +474,14 @@ def ic_summary(spark, sf):
     return near(out, "ic_mean", "ic_std", "icir", "hit_rate", "ic_max", "ic_min", "ic_kurtosis", "t_stat")
 
 
-@query("ic_significance", "A24")
+@query(
+    "ic_significance",
+    "A24",
+    with_(
+        DAILY_SQL, PANEL_SQL, IC_SQL, "s AS (SELECT avg(ic) / (stddev_samp(ic) / sqrt(count(ic))) AS t, count(ic) AS dates FROM ic)",
+        f"SELECT {r('t')} AS t_stat, CASE WHEN dates < 10 THEN 1.0 ELSE {r(t_p_sql('t', 'dates - 1'))} END AS p_value, dates FROM s",
+    ),
+)
 def ic_significance(spark, sf):
     out = factors.ic_summary(factors.information_coefficients(factor_panel(spark, sf), "factor", "fwd"))
     return near(factors.ic_significance(out), "t_stat", "p_value").select("t_stat", "p_value", "dates")

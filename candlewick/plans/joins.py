@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick import fixtures as fx
+from candlewick.functions.stats import t_p_sql
 from candlewick.operators import joins as ops
 from candlewick.operators.series import DAILY, HOURLY, TICK
 from candlewick.plans.quality import DEALS_SQL, deals
@@ -163,6 +164,10 @@ EVENTS_SQL = """ri AS (SELECT symbol, ts, ret, row_number() OVER (PARTITION BY s
 ev AS (SELECT DISTINCT ON (symbol) symbol, ts FROM bars ORDER BY symbol, volume DESC, ts DESC), e AS (SELECT ri.symbol, ri.ts AS event_ts, i AS e FROM ri JOIN ev ON ri.symbol = ev.symbol AND ri.ts = ev.ts)"""
 
 
+STUDY_SQL = """s AS (SELECT e.symbol, event_ts, avg(ret) FILTER (i < e - 10) AS expected, stddev_samp(ret) FILTER (i < e - 10) AS sd, count(*) FILTER (i < e - 10) AS n_estimation,
+  count(*) FILTER (i >= e - 10) AS n_event, sum(ret) FILTER (i >= e - 10) AS total FROM e JOIN ri ON e.symbol = ri.symbol AND i BETWEEN e - 260 AND e + 10 WHERE e > 11 GROUP BY e.symbol, event_ts)"""
+
+
 @query(
     "event_study",
     "J10",
@@ -170,8 +175,7 @@ ev AS (SELECT DISTINCT ON (symbol) symbol, ts FROM bars ORDER BY symbol, volume
         DAILY_SQL,
         RETURNS,
         EVENTS_SQL,
-        """s AS (SELECT e.symbol, event_ts, avg(ret) FILTER (i < e - 10) AS expected, stddev_samp(ret) FILTER (i < e - 10) AS sd, count(*) FILTER (i < e - 10) AS n_estimation,
-  count(*) FILTER (i >= e - 10) AS n_event, sum(ret) FILTER (i >= e - 10) AS total FROM e JOIN ri ON e.symbol = ri.symbol AND i BETWEEN e - 260 AND e + 10 WHERE e > 11 GROUP BY e.symbol, event_ts)""",
+        STUDY_SQL,
         f"""SELECT symbol, event_ts, {r('expected')} AS expected, n_estimation, n_event, {r('total - n_event * expected')} AS car, {r('total / n_event - expected')} AS avg_abnormal,
   {r('(total / n_event - expected) / (sd / sqrt(n_event))')} AS t_stat FROM s""",
     ),
@@ -181,7 +185,14 @@ def event_study(spark, sf):
     return near(out, "expected", "car", "avg_abnormal", "t_stat")
 
 
-@query("event_significance", "J10")
+@query(
+    "event_significance",
+    "J10",
+    with_(
+        DAILY_SQL, RETURNS, EVENTS_SQL, STUDY_SQL, "t AS (SELECT *, (total / n_event - expected) / (sd / sqrt(n_event)) AS t FROM s)",
+        f"SELECT symbol, event_ts, {r('t')} AS t_stat, {r(t_p_sql('t', 'n_estimation - 1'))} AS p_value, {t_p_sql('t', 'n_estimation - 1')} < 0.05 AS significant FROM t",
+    ),
+)
 def event_significance(spark, sf):
     study = ops.event_study(returns(spark, sf, daily=True), busiest(spark, sf), DAILY)
     return near(ops.event_significance(study), "t_stat", "p_value").select("symbol", "event_ts", "t_stat", "p_value", "significant")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick import fixtures as fx
-from candlewick.functions.stats import normal_cdf_sql
+from candlewick.functions.stats import chi2_p_sql, normal_cdf_sql, t_p_sql
 from candlewick.operators import joins
 from candlewick.operators import panel as ops
 from candlewick.operators.series import HOURLY
@@ -272,7 +272,17 @@ def forecast_smoothing(spark, sf):
     return near(ops.forecast_smoothing(panel(spark, sf), 3), "value")
 
 
-@query("forecast_holt", "P10")
+@query(
+    "forecast_holt", "P10",
+    "WITH RECURSIVE " + with_(
+        HOURLY_SQL, PANEL_SQL, LAST,
+        """h AS (SELECT entity_id, rn, value AS level, 0.0::DOUBLE AS trend FROM p WHERE rn = 1 UNION ALL
+  SELECT n.entity_id, n.rn, CASE WHEN n.rn = 2 THEN n.value ELSE 0.3 * n.value + 0.7 * (h.level + h.trend) END,
+    CASE WHEN n.rn = 2 THEN n.value - h.level ELSE 0.1 * (0.3 * n.value + 0.7 * (h.level + h.trend) - h.level) + 0.9 * h.trend END FROM h JOIN p n ON n.entity_id = h.entity_id AND n.rn = h.rn + 1)""",
+        "e AS (SELECT h.* FROM h JOIN p ON h.entity_id = p.entity_id AND h.rn = p.rn WHERE p.rn = p.n)",
+        f"SELECT e.entity_id, CAST(k AS INTEGER) AS horizon, t + k * step AS time, {r('level + k * trend')} AS value FROM e JOIN ls ON e.entity_id = ls.entity_id, (SELECT unnest(range(1, 4)) AS k)",
+    ).removeprefix("WITH "),
+)
 def forecast_holt(spark, sf):
     return near(ops.forecast_holt(panel(spark, sf), 3), "value")
 
@@ -361,7 +371,15 @@ def ljung_box(spark, sf):
     return near(ops.ljung_box(panel(spark, sf)), "q").drop("p_value")
 
 
-@query("ljung_box_significance", "P14")
+@query(
+    "ljung_box_significance", "P14",
+    with_(
+        HOURLY_SQL, PANEL_SQL, "c AS (SELECT entity_id, rn, n, value - avg(value) OVER (PARTITION BY entity_id) AS c FROM p), v AS (SELECT entity_id, sum(c * c) AS v FROM c GROUP BY entity_id)",
+        "g AS (SELECT x.entity_id, k, sum(x.c * y.c) AS s, any_value(x.n) AS n FROM c x, (SELECT unnest(generate_series(1, 10)) AS k), c y WHERE x.entity_id = y.entity_id AND y.rn = x.rn - k GROUP BY ALL)",
+        "h AS (SELECT g.entity_id, any_value(n) * (any_value(n) + 2) * sum(power(s / v, 2) / (n - k)) AS q, any_value(n) AS n FROM g JOIN v ON g.entity_id = v.entity_id GROUP BY g.entity_id)",
+        f"SELECT entity_id, {r('q')} AS q, n, {r(chi2_p_sql('q', 10))} AS p_value FROM h",
+    ),
+)
 def ljung_box_significance(spark, sf):
     return near(ops.ljung_box(panel(spark, sf)), "q", "p_value")
 
@@ -380,7 +398,13 @@ def normality_durbin_watson(spark, sf):
     return near(near(out, "skewness", "kurtosis", "p_value", "durbin_watson"), "jarque_bera", digits=4)
 
 
-@query("t_test", "P14")
+@query(
+    "t_test", "P14",
+    with_(
+        HOURLY_SQL, PANEL_SQL, "s AS (SELECT entity_id, (avg(value) - 50.0) / (stddev_samp(value) / sqrt(count(value))) AS t, count(value) AS n FROM p GROUP BY entity_id)",
+        f"SELECT entity_id, {r('t')} AS t, n, {r(t_p_sql('t', 'n - 1'))} AS p_value FROM s",
+    ),
+)
 def t_test(spark, sf):
     return near(ops.t_test(panel(spark, sf), 50.0), "t", "p_value")
 
