@@ -32,7 +32,7 @@ from candlewick.llm.words import Split, _by_lane, _coded, pack, unpack, words_of
 END = 256  # symbol after a text; also stands for what lies before its first byte
 BITS = 9
 ALPHABET = 257
-CHARS = 12_000_000  # of the texts of a batch
+CHARS = 6_000_000  # of the texts of a batch
 MOST_LANES = 65_521
 BLANK = " \t\n\x0b\x0c\r"
 
