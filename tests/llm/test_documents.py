@@ -161,6 +161,23 @@ def test_lines_at_the_bound_and_short_lines_meet(spark):
     assert removed_share(spark, line_pairs((5, 7, 10, 20, 30, 40, 60), 20)) >= 0.95
 
 
+def test_lines_of_one_template_meet_their_copies(spark):
+    """160 pairs share 17 long words; each has 22 short ones of its own, of which up to 7 are replaced in the copy."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    template = [word(rng.randrange(8, 13)) for _ in range(17)]
+    pairs = []
+    while len(pairs) < 160:
+        own = [word(rng.randrange(2, 5)) for _ in range(22)]
+        copy = list(own)
+        for at in rng.sample(range(22), 7):
+            copy[at] = word(len(own[at]))
+        x, y = (" ".join(w for pair in zip([*template, *[""] * 5], words, strict=True) for w in pair if w) for words in (own, copy))
+        if 10 * edit_distance(x, y) <= max(len(x), len(y)):
+            pairs.append((39, x, y))
+    assert removed_share(spark, pairs) >= 0.9
+
+
 def test_a_very_long_line_meets_its_copy(spark):
     rng = random.Random(8)
     words = [f"word{rng.randrange(900)}" for _ in range(4000)]  # more characters than a whole number of 32 bits holds millionths
