@@ -128,3 +128,16 @@ def test_frontier_in_tiles(spark):
     cov = risk.covariance(rows)
     one, many = (frame(risk.random_frontier(cov, means, 60, seed=3, buckets=5, block=b), "bucket") for b in (512, 3))
     pd.testing.assert_frame_equal(one, many, rtol=1e-9)
+
+
+def test_pieces_of_one_chunk_are_not_summed_again(spark, monkeypatch):
+    """Blocks follow from the number of symbols, a symbol travels as one row, and rows without a time or symbol meet nothing."""
+    monkeypatch.setattr(joins, "BLOCK_SYMBOLS", 3)
+    rows = panel_rows(0.9, symbols=17)
+    odd = pd.DataFrame({"symbol": [None, "s03"], "ret": [5.0, 7.0], "ts": [rows["ts"].iloc[0], pd.NaT]})
+    df = spark.createDataFrame(pd.concat([rows, odd], ignore_index=True))
+    out = joins.pair_sums(df, "ts", "symbol", "ret", times=1)
+    assert plan(out).count("hashpartitioning(a") == 0
+    got, want = frame(out, "a", "b"), frame(joins.pair_sums(spark.createDataFrame(rows), "ts", "symbol", "ret", blocks=1, times=4), "a", "b")
+    pd.testing.assert_frame_equal(got, want)
+    assert len(got) == 17 * 18 / 2 and got.equals(got[got["a"] <= got["b"]])
