@@ -247,34 +247,61 @@ def match_symbols(wanted: DataFrame, known: DataFrame) -> DataFrame:
 EARTH_KM = 6371.0
 
 
-def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column, cos1: Column | None = None, cos2: Column | None = None) -> Column:
+    """Distance on the sphere; the cosines of the latitudes may be given."""
     dlat, dlon = F.radians(lat2 - lat1), F.radians(lon2 - lon1)
-    a = F.pow(F.sin(dlat / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlon / 2), 2)
+    cos1, cos2 = F.cos(F.radians(lat1)) if cos1 is None else cos1, F.cos(F.radians(lat2)) if cos2 is None else cos2
+    a = F.pow(F.sin(dlat / 2), 2) + cos1 * cos2 * F.pow(F.sin(dlon / 2), 2)
     return EARTH_KM * 2 * F.atan2(F.sqrt(a), F.sqrt(F.greatest(1 - a, F.lit(0.0))))
 
 
+REACHED = 2_000_000  # pairs compared by one piece of a cube
+
+
 def within_radius(centres: DataFrame, points: DataFrame, km: float) -> DataFrame:
     """Points within ``km`` of each centre (columns lat, lon; other names must differ).
 
-    Positions on the sphere are put into cubes of edge ``km``; a point in reach lies in one of 27 cubes
-    around the centre, which also holds at the poles and the date line.
+    Positions on the sphere are put into cubes of edge ``km / 2``; a point in reach lies in a cube whose nearest corner is,
+    which also holds at the poles and the date line. Points of a cube that meets many centres are dealt to pieces, as many as its pairs need.
+    A pair is settled by the chord between its two positions; only next to the border the distance itself decides.
     """
+    edge = km / 2
 
-    def cube(lat: str, lon: str) -> list[Column]:
+    def placed(df: DataFrame, lat: str, lon: str, side: str) -> DataFrame:
         phi, lam = F.radians(lat), F.radians(lon)
         xyz = (F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi))
-        return [F.floor(c * EARTH_KM / km) for c in xyz]
-
-    around = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    left = centres.withColumnsRenamed({"lat": "c_lat", "lon": "c_lon"})
-    x, y, z = cube("c_lat", "c_lon")
-    left = left.withColumns({"_x": x, "_y": y, "_z": z})
-    for axis in ("_x", "_y", "_z"):
-        left = left.withColumn("_d", F.explode(around)).withColumn(axis, F.col(axis) + F.col("_d")).drop("_d")
-    x, y, z = cube("lat", "lon")
-    right = points.withColumns({"_x": x, "_y": y, "_z": z})
-    km_apart = haversine(F.col("c_lat"), F.col("c_lon"), F.col("lat"), F.col("lon"))
-    return left.join(right, ["_x", "_y", "_z"]).drop("_x", "_y", "_z").withColumn("distance_km", km_apart).filter(F.col("distance_km") <= km)
+        df = df.withColumns({f"_{side}{i}": c * EARTH_KM for i, c in zip("xyz", xyz)}).withColumn(f"_{side}c", F.cos(phi))
+        return df.withColumns({f"_{i}": F.floor(F.col(f"_{side}{i}") / edge) for i in "xyz"})
+
+    cube = ["_x", "_y", "_z"]
+    reach = F.array(*[F.lit(i) for i in range(-2, 3)])
+    left = placed(centres.withColumnsRenamed({"lat": "c_lat", "lon": "c_lon"}), "c_lat", "c_lon", "l")
+    away = F.lit(0.0)
+    for i in "xyz":
+        left = left.withColumn("_d", F.explode(reach)).withColumn(f"_{i}", F.col(f"_{i}") + F.col("_d")).drop("_d")
+        gap = F.greatest(F.col(f"_{i}") * edge - F.col(f"_l{i}"), F.col(f"_l{i}") - (F.col(f"_{i}") + 1) * edge, F.lit(0.0))
+        away = away + gap * gap
+    left = left.filter(away <= km * km * (1 + 1e-9) + 1e-6)
+    right = placed(points, "lat", "lon", "r")
+    right = right.filter(" AND ".join(f"{c} IS NOT NULL" for c in cube))
+    met = right.groupBy(*cube).agg(F.count("*").alias("_n")).hint("merge").join(left.groupBy(*cube).agg(F.count("*").alias("_m")), cube)
+    met = met.select(*cube, (F.col("_n") * F.col("_m")).alias("_met"))
+    pieces = F.ceil(F.col("_met") / REACHED)
+    total = met.agg(F.sum("_met")).first()[0] or 0
+    tasks = max(1, min(4096, math.ceil(total / (4 * REACHED))))
+    cut = met.select(*cube, pieces.alias("_pieces"))
+    left = left.hint("merge").join(cut, cube).withColumn("_piece", F.explode(F.sequence(F.lit(1).cast("long"), "_pieces"))).drop("_pieces")
+    right = right.hint("merge").join(cut, cube).withColumn("_piece", F.pmod(F.xxhash64(*points.columns), F.col("_pieces")) + 1).drop("_pieces")
+    on = [*cube, "_piece"]
+    if tasks > 1:  # small inputs may give many pairs, so their size in bytes does not tell the number of tasks
+        left, right = left.repartition(tasks, *on), right.repartition(tasks, *on)
+    x, y, z = (F.col(f"_l{i}") - F.col(f"_r{i}") for i in "xyz")
+    chord = x * x + y * y + z * z
+    border = (2 * EARTH_KM * math.sin(min(km / (2 * EARTH_KM), math.pi / 2))) ** 2
+    km_apart = haversine(F.col("c_lat"), F.col("c_lon"), F.col("lat"), F.col("lon"), F.col("_lc"), F.col("_rc"))
+    near = (chord <= border * (1 - 1e-9) - 1e-6) | ((chord <= border * (1 + 1e-9) + 1e-6) & (km_apart <= km))
+    found = left.hint("merge").join(right, on).filter(near).withColumn("distance_km", km_apart)
+    return found.drop(*on, *[f"_{s}{i}" for s in "lr" for i in "xyzc"])
 
 
 PAIR_SCHEMA = "a string, b string, n double, sx double, sy double, sxx double, syy double, sxy double"

@@ -141,3 +141,24 @@ def test_pieces_of_one_chunk_are_not_summed_again(spark, monkeypatch):
     got, want = frame(out, "a", "b"), frame(joins.pair_sums(spark.createDataFrame(rows), "ts", "symbol", "ret", blocks=1, times=4), "a", "b")
     pd.testing.assert_frame_equal(got, want)
     assert len(got) == 17 * 18 / 2 and got.equals(got[got["a"] <= got["b"]])
+
+
+def test_radius_in_pieces_of_cubes(spark, monkeypatch):
+    """Crowded cubes are dealt to pieces, no side is sent whole to every task, and poles and the date line hold."""
+    monkeypatch.setattr(joins, "REACHED", 40)
+    rng = np.random.default_rng(5)
+    lat = np.concatenate([rng.uniform(-90, 90, 150), rng.uniform(88, 90, 40), rng.uniform(50, 51, 200), [np.nan]])
+    lon = np.concatenate([rng.uniform(-180, 180, 150), rng.uniform(-180, 180, 40), np.where(rng.random(200) < 0.5, 179.9, -179.9), [0.0]])
+    places = pd.DataFrame({"lat": lat, "lon": lon}).reset_index(names="point")
+    points = spark.createDataFrame(places).replace(float("nan"), None)
+    centres = points.filter("point % 3 = 0").withColumnRenamed("point", "centre")
+    out = joins.within_radius(centres, points, 300.0)
+    text = plan(out)
+    assert "_piece" in text and "BroadcastHashJoin [_x" not in text
+    got = {(r.centre, r.point): r.distance_km for r in out.collect()}
+    p = np.radians(places[["lat", "lon"]].to_numpy()[:-1])
+    d = p[:, None] - p[None]
+    a = np.sin(d[..., 0] / 2) ** 2 + np.cos(p[:, None, 0]) * np.cos(p[None, :, 0]) * np.sin(d[..., 1] / 2) ** 2
+    km = 2 * 6371 * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
+    want = {(i, j): km[i, j] for i in range(0, len(p), 3) for j in range(len(p)) if km[i, j] <= 300}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
