@@ -154,3 +154,26 @@ def test_monitors_match_whole_words(spark):
     df = spark.sql("SELECT * FROM VALUES (1, 'Oil price up'), (2, 'Turmoil grows'), (3, 'C++ (and more)') AS t(id, text)")
     got = {(r.id, r.monitor) for r in news.scan_monitors(df, "text", {"energy": ["oil"], "code": ["(and"], "off": []}).collect()}
     assert got == {(1, "energy")}
+
+
+@pytest.mark.parametrize("piece, shared", [(70, 4_000_000), (31, 50)])
+def test_stories_in_pieces_of_time(spark, sf, monkeypatch, piece, shared):
+    """Pieces walked at once are right as soon as the leaders before them are; no pairs are listed, and articles without a time lead themselves."""
+    monkeypatch.setattr(news, "SMALL", 0)
+    monkeypatch.setattr(news, "PIECE", piece)
+    monkeypatch.setattr(news, "BATCH", 7)
+    monkeypatch.setattr(news, "SHARED", shared)
+    h = headlines(spark, sf).filter("id < 300").withColumn("ts", F.expr("TIMESTAMP '2024-01-01' + make_dt_interval(cast(id / 40 as int), 0, cast(id % 3 * 40000 as int))"))
+    none = h.orderBy("id").limit(2).select((F.col("id") + 10_000).alias("id"), F.lit(None).cast("string").alias("text"), "source", F.lit(None).cast("string").alias("category"), F.lit(None).cast("timestamp").alias("ts"), "region")
+    rows = sorted(h.collect(), key=lambda r: (r.ts, r.id))
+    bag = {r.id: {w for w in re.findall(r"\w+", r.text.lower()) if len(w) > 2} for r in rows}
+    at = {r.id: r for r in rows}
+
+    def similar(a, b):
+        a, b = a["id"], b["id"]
+        if abs((at[a].ts - at[b].ts).total_seconds()) > 86400:
+            return False
+        return len(bag[a] & bag[b]) / len(bag[a] | bag[b]) >= (0.2 if at[a].category == at[b].category else 0.25)
+
+    got = {r.id: r.leader for r in news.cluster_stories(h.unionByName(none), "id", "text", "ts", "category").collect()}
+    assert got == greedy([{"id": r.id} for r in rows], similar) | {r.id: r.id for r in none.collect()}
