@@ -396,8 +396,9 @@ def cross_rank(
 
 
 def cross_top(df: DataFrame, value: str, n: int, by: Sequence[str] = ("ts",), bottom: bool = False) -> DataFrame:
-    """The ``n`` largest (smallest) rows of each cross-section."""
-    return cross_rank(df, value, by, ascending=bottom).filter(F.col("rank") <= n)
+    """The ``n`` largest (smallest) rows of each cross-section with their rank, ties by symbol; the others are not ranked."""
+    known = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    return ranking.top_n(known, by, [F.col(value) if bottom else F.desc(value), F.col("symbol")], n)
 
 
 def cross_band(df: DataFrame, value: str, low: float, high: float, by: Sequence[str] = ("ts",)) -> DataFrame:

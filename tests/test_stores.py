@@ -162,3 +162,17 @@ def test_radius_in_pieces_of_cubes(spark, monkeypatch):
     km = 2 * 6371 * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
     want = {(i, j): km[i, j] for i in range(0, len(p), 3) for j in range(len(p)) if km[i, j] <= 300}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
+
+
+def test_top_rows_rank_no_others(spark):
+    """The first rows of a cross-section need neither a join nor counts of all its values; nulls and NaN are not ranked, ties go by symbol."""
+    rng = np.random.default_rng(6)
+    rows = pd.DataFrame({"ts": rng.integers(0, 4, 300), "symbol": [f"s{i:03d}" for i in rng.permutation(300)], "close": rng.integers(0, 8, 300).astype(float)})
+    df = spark.createDataFrame(rows).withColumn("close", F.when(F.col("close") == 7, F.lit(None)).when(F.col("close") == 6, F.lit(float("nan"))).otherwise(F.col("close")))
+    known = rows[rows["close"] < 6]
+    for bottom in (False, True):
+        out = windows.cross_top(df, "close", 5, bottom=bottom)
+        assert "Join" not in plan(out)
+        want = known.sort_values(["close", "symbol"], ascending=[bottom, True]).groupby("ts").head(5)
+        want = want.assign(rank=want.groupby("ts").cumcount() + 1).sort_values(["ts", "rank"]).reset_index(drop=True)
+        pd.testing.assert_frame_equal(frame(out, "ts", "rank")[want.columns], want, check_dtype=False)
