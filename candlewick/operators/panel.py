@@ -726,16 +726,78 @@ def principal_components(pairs: DataFrame, components: int = 3, standardize: boo
     return pairs.select("a", "b", F.col(what), F.lit(0).alias("_all")).groupBy("_all").applyInPandas(solve, schema)
 
 
+def _reweighted(rows: DataFrame, y: str, xs: Sequence[str], family: str, steps: int = 50, tol: float = 1e-10) -> tuple[np.ndarray, float] | None:
+    """Coefficients (constant first) and deviance by iteratively reweighted least squares; None where the normal equations are singular.
+
+    Each step is one pass over the columns, which returns the sums of the normal equations.
+    """
+    t, x = F.col(y).cast("double"), [F.lit(1.0), *[F.col(c).cast("double") for c in xs]]
+    p = len(x)
+
+    def model(eta: Column) -> tuple[Column, Column]:
+        """Mean and weight."""
+        if family == "poisson":
+            return F.exp(eta), F.exp(eta)
+        if family == "binomial":
+            mu = F.greatest(F.least(1 / (1 + F.exp(-eta)), F.lit(1 - 1e-16)), F.lit(1e-16))
+            return mu, mu * (1 - mu)
+        return eta, F.lit(1.0)
+
+    start = {"poisson": F.log(F.greatest(t, F.lit(0.1))), "binomial": F.log((t + 0.5) / (1.5 - t)), "gaussian": t}[family]
+    linear = lambda b: sum((F.lit(float(v)) * c for v, c in zip(b, x)), F.lit(0.0))
+    beta, eta = None, start
+    for _ in range(1 if family == "gaussian" else steps):
+        mu, w = model(F.col("_eta"))
+        data = rows.select(t.alias("_y"), *[c.alias(f"_{i}") for i, c in enumerate(x)], eta.alias("_eta")).select("*", mu.alias("_mu"), w.alias("_w"))
+        data = data.select("*", (F.col("_eta") + (F.col("_y") - F.col("_mu")) / F.col("_w")).alias("_z"))
+        cells = [(i, j) for i in range(p) for j in range(i, p)]
+        sums = data.agg(
+            *[F.sum(F.col("_w") * F.col(f"_{i}") * F.col(f"_{j}")) for i, j in cells], *[F.sum(F.col("_w") * F.col(f"_{i}") * F.col("_z")) for i in range(p)]
+        ).first()
+        if any(v is None or not math.isfinite(v) for v in sums):
+            return None
+        a = np.zeros((p, p))
+        for (i, j), v in zip(cells, sums):
+            a[i, j] = a[j, i] = v
+        size = np.sqrt(np.diag(a))
+        if (size == 0).any() or np.linalg.cond(a / np.outer(size, size)) > 1e12:
+            return None
+        new = np.linalg.solve(a / np.outer(size, size), np.array(sums[len(cells) :]) / size) / size
+        done = beta is not None and np.abs(new - beta).max() <= tol * max(1.0, np.abs(new).max())
+        beta, eta = new, linear(new)
+        if done:
+            break
+    else:
+        if family != "gaussian":
+            return None
+    mu = model(F.col("_eta"))[0]
+    part = lambda u, m: F.when(u > 0, u * F.log(u / m)).otherwise(0.0)
+    u, m = F.col("_y"), F.col("_mu")
+    loss = {"poisson": 2 * (part(u, m) - (u - m)), "binomial": 2 * (part(u, m) + part(1 - u, 1 - m)), "gaussian": (u - m) * (u - m)}[family]
+    deviance = rows.select(t.alias("_y"), eta.alias("_eta")).select("_y", mu.alias("_mu")).agg(F.sum(loss)).first()[0]
+    return beta, float(deviance)
+
+
 def glm(rows: DataFrame, y: str, xs: Sequence[str], family: str = "gaussian", link: str | None = None) -> DataFrame:
-    """Generalised linear model fitted by MLlib: coefficient per term and the deviance."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GeneralizedLinearRegression
-
-    data = VectorAssembler(inputCols=list(xs), outputCol="_x").transform(rows.dropna(subset=[y, *xs]))
-    model = GeneralizedLinearRegression(family=family, featuresCol="_x", labelCol=y, maxIter=50, tol=1e-10, **({"link": link} if link else {})).fit(data)
-    values = [("const", float(model.intercept)), *[(n, float(c)) for n, c in zip(xs, model.coefficients)]]
-    table = ", ".join(f"('{n}', {v!r}D)" for n, v in values)
-    deviance = float(model.summary.deviance)
+    """Generalised linear model: coefficient per term and the deviance.
+
+    Gaussian, binomial and Poisson models with their own link are fitted by column sums; other ones, labels out of range and singular cases by MLlib.
+    """
+    known = rows.dropna(subset=[y, *xs])
+    fitted = None
+    if family in ("gaussian", "binomial", "poisson") and not link:
+        low, high = known.agg(F.min(F.col(y).cast("double")), F.max(F.col(y).cast("double"))).first()
+        if low is not None and (family == "gaussian" or low >= 0) and (family != "binomial" or high <= 1):
+            fitted = _reweighted(known, y, xs, family)
+    if fitted is None:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.regression import GeneralizedLinearRegression
+
+        data = VectorAssembler(inputCols=list(xs), outputCol="_x").transform(known)
+        model = GeneralizedLinearRegression(family=family, featuresCol="_x", labelCol=y, maxIter=50, tol=1e-10, **({"link": link} if link else {})).fit(data)
+        fitted = np.array([model.intercept, *model.coefficients]), float(model.summary.deviance)
+    beta, deviance = fitted
+    table = ", ".join(f"('{n}', {float(v)!r}D)" for n, v in zip(["const", *xs], beta))
     return rows.sparkSession.sql(f"SELECT term, coef, {deviance!r}D AS deviance FROM VALUES {table} AS t(term, coef)")
 
 

@@ -120,3 +120,27 @@ def test_principal_components(spark):
     for c, v in values.items():
         load = np.array([r.loading for r in sorted(got, key=lambda r: r.symbol) if r.component == c])
         assert corr @ load == pytest.approx(v * load, abs=1e-9)
+
+
+def test_glm_takes_one_pass_of_sums_a_step(spark, monkeypatch):
+    """Own links need no row objects; labels out of range and singular columns still go to MLlib."""
+    import pandas as pd
+    from pyspark.ml import regression
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 2))
+    rows = pd.DataFrame({"a": x[:, 0], "b": 50 * x[:, 1] + 7, "one": 1.0, "n": rng.poisson(np.exp(0.4 + 0.3 * x[:, 0] - 0.2 * x[:, 1])).astype(float)})
+    rows["hit"] = (rng.random(400) < 1 / (1 + np.exp(-x[:, 0]))).astype(float)
+    df = spark.createDataFrame(rows)
+    fits = {f: panel.glm(df, y, ["a", "b"], f, link).collect() for f, y, link in (("poisson", "n", "log"), ("binomial", "hit", "logit"), ("gaussian", "n", "identity"))}
+    panel.glm(df, "n", ["a", "one"], "poisson").collect()  # singular
+
+    def no_rows(*args, **kwargs):
+        raise AssertionError("rows fitted one by one")
+
+    monkeypatch.setattr(regression, "GeneralizedLinearRegression", no_rows)
+    for family, y in (("poisson", "n"), ("binomial", "hit"), ("gaussian", "n")):
+        got = panel.glm(df, y, ["a", "b"], family).collect()
+        assert [r.term for r in got] == ["const", "a", "b"]
+        for r, w in zip(got, fits[family]):
+            assert r.coef == pytest.approx(w.coef, rel=1e-7, abs=1e-9) and r.deviance == pytest.approx(w.deviance, rel=1e-9)
