@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from candlewick.functions.scalars import clamp
 from candlewick.functions.stats import t_p_value
 from candlewick.operators import ranking
-from candlewick.operators.series import Axis, full, over_blocks, whole_by
+from candlewick.operators.series import POS, Axis, added, full, over_blocks, stretch, trailing, whole_by
 from candlewick.operators.windows import adjusted_kurtosis, adjusted_skew
 
 
@@ -155,16 +155,22 @@ def decile_performance(df: DataFrame, by: str, ret: str, bins: int = 10, at_leas
 def momentum_panel(df: DataFrame, axis: Axis, ret: str = "ret", lookback: int = 252, skip: int = 21) -> DataFrame:
     """Past return without the last ``skip`` bars, and the return of the next ``skip`` bars."""
 
+    parts, rest = divmod(lookback - skip, skip)
+
+    def sums(w):
+        return {"_s": F.sum("_l").over(trailing(w, skip)), "_c": F.count("_l").over(trailing(w, skip))}
+
     def cols(w):
-        past = w.rowsBetween(-(lookback - 1), -skip)
-        ahead = w.rowsBetween(1, skip)
+        past = stretch("_s", w, skip, parts, skip)
+        if rest:
+            past.append(F.sum("_l").over(w.rowsBetween(-(lookback - 1), -(lookback - rest))))
         return {
-            "momentum": full(F.exp(F.sum("_l").over(past)) - 1, ret, w, lookback),
-            "future_return": F.when(F.count("_l").over(ahead) == skip, F.exp(F.sum("_l").over(ahead)) - 1),
+            "momentum": F.when(F.col(POS) >= lookback, F.exp(added(past)) - 1),  # every row has a return
+            "future_return": F.when(F.lead("_c", skip).over(w) == skip, F.exp(F.lead("_s", skip).over(w)) - 1),
         }
 
     rows = df.filter(F.col(ret).isNotNull()).withColumn("_l", F.log1p(ret))
-    out = over_blocks(rows, axis, cols, back=lookback - 1, ahead=skip).drop("_l")
+    out = over_blocks(rows, axis, [sums, cols], back=lookback - 1, ahead=skip).drop("_l", "_s", "_c")
     return out.dropna(subset=["momentum", "future_return"])
 
 

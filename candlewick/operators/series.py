@@ -162,6 +162,20 @@ def full(value: Column, x: Column | str, w: WindowSpec, n: int) -> Column:
     return F.when(F.count(x).over(trailing(w, n)) == n, value)
 
 
+def stretch(name: str, w: WindowSpec, step: int, parts: int, skip: int = 0) -> list[Column]:
+    """Values of ``name``, which covers the last ``step`` rows, that together cover a long frame ending ``skip`` rows back.
+
+    A frame of n rows costs n steps per row; the same in two levels costs ``step + parts``.
+    """
+    return [F.lag(name, skip + i * step).over(w) if skip + i else F.col(name) for i in range(parts)]
+
+
+def added(parts: Sequence[Column]) -> Column:
+    """Sum of the non-null parts, null without any."""
+    total = functools.reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0)) for p in parts])
+    return F.when(F.coalesce(*parts).isNotNull(), total)
+
+
 def over_time(
     df: DataFrame, axis: Axis, seconds: int, steps: Callable[[WindowSpec], Mapping[str, Column]]
 ) -> DataFrame:

@@ -18,10 +18,11 @@ def wn(n):
     return f"({W} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
 
-def returns(spark, sf, daily=False):
-    """Bars with their simple return; the first bar of a symbol has none."""
+def returns(spark, sf, daily=False, closes=False, keep_pos=False):
+    """Bars (``closes``: their closes alone) with their simple return; the first bar of a symbol has none."""
     bars = fx.daily(spark, sf) if daily else fx.hourly(spark, sf)
-    return over_blocks(bars, DAILY if daily else HOURLY, lambda w: {"ret": ops.pct_change(w)}, back=1)
+    bars = bars.select("symbol", "ts", "close") if closes else bars
+    return over_blocks(bars, DAILY if daily else HOURLY, lambda w: {"ret": ops.pct_change(w)}, back=1, keep_pos=keep_pos)
 
 
 FEAT = ["returns", "log_returns", "sma_20", "sma_50", "sma_200", "bb_middle", "bb_std", "bb_upper", "bb_lower",
