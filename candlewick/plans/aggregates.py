@@ -8,7 +8,7 @@ from candlewick.operators import aggregates as ops
 from candlewick.operators import factors
 from candlewick.operators import windows as win
 from candlewick.operators.joins import value_holdings
-from candlewick.operators.series import DAILY, HOURLY, over_blocks
+from candlewick.operators.series import DAILY, HOURLY, over_blocks, shared
 from candlewick.plans.joins import BENCH, HOLDINGS_SQL, MULT_SQL, benchmark, holdings, multiples, quotes
 from candlewick.plans.quality import DEALS_SQL, deals
 from candlewick.plans.registry import near, query, r, rs
@@ -181,9 +181,14 @@ mo AS (SELECT symbol, ts, CASE WHEN k >= 252 THEN exp(sum(ln(1 + ret)) OVER (PAR
   CASE WHEN count(*) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND 21 FOLLOWING) = 21 THEN exp(sum(ln(1 + ret)) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND 21 FOLLOWING)) - 1 END AS future_return FROM rn)"""
 
 
+def momentum(spark, sf):
+    """Past and next returns, computed once for the quantiles and for the rows."""
+    return shared(ops.momentum_panel(returns(spark, sf, daily=True, closes=True), DAILY).select("symbol", "ts", "momentum", "future_return"), "symbol", "ts")
+
+
 @query("momentum_deciles", "A15", with_(DAILY_SQL, RETURNS, MOMENTUM_SQL, *_decile_sql("momentum", "future_return", "mo", 5)))
 def momentum_deciles(spark, sf):
-    rows = ops.momentum_panel(returns(spark, sf, daily=True), DAILY)
+    rows = momentum(spark, sf)
     return near(ops.decile_performance(rows, "momentum", "future_return", at_least=5), "mean_return", "volatility", "sharpe")
 
 
@@ -200,7 +205,7 @@ def momentum_deciles(spark, sf):
     ),
 )
 def winner_minus_loser(spark, sf):
-    rows = ops.momentum_panel(returns(spark, sf, daily=True), DAILY)
+    rows = momentum(spark, sf)
     rows = win.cross_quantile(rows, "momentum", 10, by=())
     out = ops.two_groups(rows, "future_return", F.col("bucket") == 9, F.col("bucket") == 0)
     return near(out, "mean_first", "mean_second", "difference", "t_stat")
@@ -439,7 +444,7 @@ def multiple_statistics(spark, sf):
 def factor_panel(spark, sf):
     """Daily bars: factor = 5-bar return, second factor = volume, target = next bar's return."""
     rows = over_blocks(
-        fx.daily(spark, sf), DAILY,
+        fx.daily(spark, sf).select("symbol", "ts", "close", "volume"), DAILY,
         lambda w: {"factor": win.pct_change(w, "close", 5), "fwd": F.lead("close").over(w) / F.col("close") - 1}, back=5, ahead=1,
     )
     return rows.select("symbol", "ts", "factor", F.col("volume").cast("double").alias("vol"), "fwd", "close")

@@ -42,3 +42,13 @@ def test_momentum_takes_short_frames_and_equals_plain_sums(spark):
         assert set(got) == set(want) and want
         for i, pair in want.items():
             assert got[i] == pytest.approx(pair, rel=1e-9, abs=1e-9)
+
+
+def test_momentum_queries_compute_their_panel_once_from_closes(spark, sf):
+    from candlewick.plans import load_all
+    from candlewick.plans.registry import QUERIES
+
+    load_all()
+    for name in ("momentum_deciles", "winner_minus_loser"):
+        text = plan(QUERIES[name](spark, sf)).split("== Optimized Logical Plan ==")[1]
+        assert "min_by" not in text and "CollectMetrics" in text, name
