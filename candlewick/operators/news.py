@@ -646,16 +646,36 @@ def scan_filings(df: DataFrame, text: str, form: str, least: float = 0.75) -> Da
     return df.withColumn("confidence", filing_score(F.col(text), F.col(form))).filter(F.round("confidence", 9) >= least)
 
 
-def deal_value(text: Column) -> Column:
+def required_words(pattern: str) -> list[str]:
+    """Words of a lower-case pattern that every match holds: letters outside groups, classes and repetitions."""
+    bare = re.sub(r"\[[^\]]*\]", " ", re.sub(r"\\.", " ", pattern))
+    while "(" in bare:
+        bare = re.sub(r"\([^()]*\)", " ", bare)
+    return [] if "|" in bare else re.findall(r"[a-z]{2,}", re.sub(r".(?:[?*]|\{)", " ", bare))
+
+
+def _search(text: Column, pattern: str, group: int, low: Column) -> Column:
+    """Match of a pattern in any case, searched for only in texts (``low``: in lower case) that hold its required words."""
+    found = F.regexp_extract(text, "(?i)" + pattern, group)
+    needed = [low.contains(w) for w in required_words(pattern)]
+    return F.when(functools.reduce(lambda a, b: a & b, needed), found) if needed else found
+
+
+def _read(text: Column, pattern: str, low: Column, value: Callable[[Column, Column], Column]) -> Column:
+    """``value`` of the match in lower case and of its number, null without a match; the number is looked up in the match alone."""
+    return _once(_search(text, pattern, 0, low), lambda m: F.when(m != "", value(F.lower(m), F.regexp_extract(m, "(?i)" + pattern, 1))))
+
+
+def deal_value(text: Column, low: Column | None = None) -> Column:
     """First stated value, in currency units; bare numbers are read as millions or billions by their size."""
-    found = []
-    for p in voc.DEAL_VALUES:
-        whole, number = F.lower(F.regexp_extract(text, "(?i)" + p, 0)), F.regexp_extract(text, "(?i)" + p, 1)
+    low = F.lower(text) if low is None else low
+
+    def scaled(whole: Column, number: Column) -> Column:
         value = F.regexp_replace(number, ",", "").try_cast("double")
         plain = F.when(value > 1e6, value).when(value > 1e3, value * 1e6).otherwise(value * 1e9)
-        scaled = F.when(whole.contains("billion") | whole.contains("bn"), value * 1e9).when(whole.contains("million"), value * 1e6).otherwise(plain)
-        found.append(F.when(whole != "", scaled))
-    return F.coalesce(*found)
+        return F.when(whole.contains("billion") | whole.contains("bn"), value * 1e9).when(whole.contains("million"), value * 1e6).otherwise(plain)
+
+    return F.coalesce(*[_read(text, p, low, scaled) for p in voc.DEAL_VALUES])
 
 
 def announcement_date(text: Column, filed: Column) -> Column:
@@ -669,33 +689,31 @@ def announcement_date(text: Column, filed: Column) -> Column:
     )
 
 
-def payment_method(text: Column) -> Column:
-    low = F.lower(text)
-    count = lambda terms: sum((F.regexp_count(low, F.lit(re.escape(t))) for t in terms), F.lit(0))
-    cash, stock, both = count(voc.PAID_IN_CASH), count(voc.PAID_IN_STOCK), count(voc.PAID_IN_BOTH)
-    return F.when((both > 0) | ((cash > 0) & (stock > 0)), "Mixed").when(cash > stock, "Cash").when(stock > 0, "Stock").otherwise("Cash")
+def payment_method(text: Column, low: Column | None = None) -> Column:
+    low = F.lower(text) if low is None else low
+    has = lambda terms: functools.reduce(lambda a, b: a | b, [low.contains(t) for t in terms])
+    cash, stock = has(voc.PAID_IN_CASH), has(voc.PAID_IN_STOCK)
+    return F.when(has(voc.PAID_IN_BOTH) | (cash & stock), "Mixed").when(cash, "Cash").when(stock, "Stock").otherwise("Cash")
 
 
-def _first_number(text: Column, patterns: Sequence[str], keep) -> Column:
-    found = [F.regexp_extract(text, "(?i)" + p, 1).try_cast("double") for p in patterns]
-    return F.coalesce(*[F.when(keep(v), v) for v in found])
+def _first_number(text: Column, patterns: Sequence[str], keep, low: Column) -> Column:
+    found = [_search(text, p, 1, low).try_cast("double") for p in patterns]
+    return F.coalesce(*[_once(v, lambda x: F.when(keep(x), x)) for v in found])
 
 
-def premium(text: Column, patterns: Sequence[str] = voc.PREMIUM_1DAY) -> Column:
+def premium(text: Column, patterns: Sequence[str] = voc.PREMIUM_1DAY, low: Column | None = None) -> Column:
     """First premium in percent that is sane (0–200)."""
-    return _first_number(text, patterns, lambda v: (v > 0) & (v < 200))
+    return _first_number(text, patterns, lambda v: (v > 0) & (v < 200), F.lower(text) if low is None else low)
 
 
-def synergies(text: Column) -> Column:
-    found = []
-    for p in voc.SYNERGIES:
-        whole, value = F.lower(F.regexp_extract(text, "(?i)" + p, 0)), F.regexp_extract(text, "(?i)" + p, 1).try_cast("double")
-        found.append(F.when(whole != "", value * F.when(whole.contains("billion"), 1e9).otherwise(1e6)))
-    return F.coalesce(*found)
+def synergies(text: Column, low: Column | None = None) -> Column:
+    low = F.lower(text) if low is None else low
+    scaled = lambda whole, number: number.try_cast("double") * F.when(whole.contains("billion"), 1e9).otherwise(1e6)
+    return F.coalesce(*[_read(text, p, low, scaled) for p in voc.SYNERGIES])
 
 
-def deal_type(text: Column) -> Column:
-    low = F.lower(text)
+def deal_type(text: Column, low: Column | None = None) -> Column:
+    low = F.lower(text) if low is None else low
     has = lambda *p: F.greatest(*[low.contains(x) for x in p]) if len(p) > 1 else low.contains(p[0])
     return (
         F.when(has("merger of equals", "merger agreement"), "Merger").when(has("tender offer"), "Takeover")
@@ -703,8 +721,8 @@ def deal_type(text: Column) -> Column:
     )
 
 
-def deal_status(text: Column, form: Column) -> Column:
-    low = F.lower(text)
+def deal_status(text: Column, form: Column, low: Column | None = None) -> Column:
+    low = F.lower(text) if low is None else low
     has = lambda *p: F.greatest(*[low.contains(x) for x in p])
     return (
         F.when(form.isin("DEFM14A", "PREM14A"), "Pending").when(has("closed", "completed", "consummated"), "Completed")
@@ -713,15 +731,15 @@ def deal_status(text: Column, form: Column) -> Column:
 
 
 def deal_fields(df: DataFrame, text: str, form: str, filed: str) -> DataFrame:
-    t = F.col(text)
-    return df.withColumns({
-        "deal_value": deal_value(t),
+    t, low = F.col(text), F.col("_low")
+    return df.withColumn("_low", F.lower(t)).withColumns({
+        "deal_value": deal_value(t, low),
         "announced": announcement_date(t, F.col(filed)),
-        "payment": payment_method(t),
-        "deal_type": deal_type(t),
-        "status": deal_status(t, F.col(form)),
-        "premium_1day": premium(t),
-        "premium_1week": premium(t, voc.PREMIUM_1WEEK),
-        "premium_4week": premium(t, voc.PREMIUM_4WEEK),
-        "synergies": synergies(t),
-    })
+        "payment": payment_method(t, low),
+        "deal_type": deal_type(t, low),
+        "status": deal_status(t, F.col(form), low),
+        "premium_1day": premium(t, low=low),
+        "premium_1week": premium(t, voc.PREMIUM_1WEEK, low),
+        "premium_4week": premium(t, voc.PREMIUM_4WEEK, low),
+        "synergies": synergies(t, low),
+    }).drop("_low")

@@ -52,3 +52,31 @@ def test_momentum_queries_compute_their_panel_once_from_closes(spark, sf):
     for name in ("momentum_deciles", "winner_minus_loser"):
         text = plan(QUERIES[name](spark, sf)).split("== Optimized Logical Plan ==")[1]
         assert "min_by" not in text and "CollectMetrics" in text, name
+
+
+def test_filings_are_searched_only_where_required_words_stand(spark):
+    from candlewick.functions import vocabulary as voc
+    from candlewick.operators import news
+
+    assert news.required_words(voc.PREMIUM_1WEEK[1]) == ["premium", "day"]
+    assert news.required_words(voc.SYNERGIES[0]) == ["synergie", "of"]
+    assert news.required_words("a{2,3}bc|de") == []
+    texts = [
+        "A 12.5% PREMIUM over the previous WEEK, all cash; consideration of $ 1,250 in full", "Premium of approximately 250%, represents a 30% premium", "cost saving of $7 million in shares",
+        "for $3.5 billion; Synergy of $4 billion, synergies of $9 Billion", "40.25% premium to the closing share price", "mixed consideration of $12 mm", "", "nothing", "$5 bn", None,
+    ]
+    df = spark.createDataFrame([(i, t, "8-K") for i, t in enumerate(texts)], "id int, text string, form string").withColumn("filed", F.lit("2020-01-02").cast("date"))
+    got = {r.id: r for r in news.deal_fields(df, "text", "form", "filed").collect()}
+    assert "_low" not in got[0]
+
+    def first(text, patterns):
+        for p in patterns:
+            m = re.search("(?i)" + p, text or "")
+            if m and 0 < float(m[1]) < 200:
+                return float(m[1])
+
+    for i, t in enumerate(texts):
+        assert got[i].premium_1day == first(t, voc.PREMIUM_1DAY) and got[i].premium_1week == first(t, voc.PREMIUM_1WEEK) and got[i].premium_4week == first(t, voc.PREMIUM_4WEEK)
+    assert [got[i].deal_value for i in range(10)] == [1250e6, None, 7e6, 3.5e9, None, 12e9, None, None, 5e9, None]
+    assert [got[i].synergies for i in range(10)] == [None, None, 7e6, 9e9] + [None] * 6
+    assert [got[i].payment for i in range(10)] == ["Cash", "Cash", "Stock", "Cash", "Cash", "Mixed", "Cash", "Cash", "Cash", "Cash"]
