@@ -13,7 +13,8 @@ from candlewick.operators.signals import uniform
 def minute_bars(assets: DataFrame, start: str, end: str, seed: int = 0, sigma: float = 0.001, mean_volume: float = 100_000.0) -> DataFrame:
     """Minute bars on weekdays 09:30–16:00 for each ``symbol, base_price`` row: a random walk with exponential volume."""
     days = assets.select("symbol", "base_price", F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias("day"))
-    days = days.filter(F.weekday("day") < 5)
+    spread = 4 * assets.sparkSession.sparkContext.defaultParallelism  # each row becomes 391: one file of assets must not be one task
+    days = days.filter(F.weekday("day") < 5).repartition(spread, "symbol", "day")
     minutes = days.withColumn("_m", F.explode(F.sequence(F.lit(0), F.lit(390))))
     rows = minutes.select("symbol", "base_price", F.timestamp_seconds(F.unix_date("day").cast("long") * 86400 + 34200 + F.col("_m") * 60).alias("timestamp"))
     at = F.unix_timestamp("timestamp")

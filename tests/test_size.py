@@ -80,3 +80,12 @@ def test_filings_are_searched_only_where_required_words_stand(spark):
     assert [got[i].deal_value for i in range(10)] == [1250e6, None, 7e6, 3.5e9, None, 12e9, None, None, 5e9, None]
     assert [got[i].synergies for i in range(10)] == [None, None, 7e6, 9e9] + [None] * 6
     assert [got[i].payment for i in range(10)] == ["Cash", "Cash", "Stock", "Cash", "Cash", "Mixed", "Cash", "Cash", "Cash", "Cash"]
+
+
+def test_minute_bars_of_one_file_are_drawn_in_many_tasks(spark):
+    from candlewick.sources import synthetic
+
+    assets = spark.createDataFrame([("a", 50.0), ("b", 60.0)], "symbol string, base_price double").coalesce(1)
+    bars = synthetic.minute_bars(assets, "2024-03-01", "2024-03-05")
+    assert "REPARTITION_BY_NUM" in plan(bars)
+    assert bars.count() == 2 * 3 * 391
