@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.stats import t_p_value
 from candlewick.operators import ranking
-from candlewick.operators.series import DAILY, over_blocks
+from candlewick.operators.series import DAILY, over_blocks, shared
 
 
 def information_coefficients(
@@ -20,8 +20,9 @@ def information_coefficients(
     rows = panel.filter(F.col(factor).isNotNull() & F.col(ret).isNotNull())
     x, y = factor, ret
     if method == "spearman":
-        rows = ranking.ranked(rows, [by], factor, "_rx")
-        rows = ranking.ranked(rows, [by], ret, "_ry")
+        rows = shared(rows.select(by, factor, ret), by, factor, ret)  # ranks are joined back to the rows they come from
+        rows = ranking.ranked(rows, [by], factor, "_rx").select(by, ret, "_rx")
+        rows = ranking.ranked(shared(rows, by, ret, "_rx"), [by], ret, "_ry")
         x, y = "_rx", "_ry"
     out = rows.groupBy(by).agg(F.corr(x, y).alias("ic"), F.count(F.lit(1)).alias("names"))
     return out.filter(F.col("names") >= at_least)

@@ -89,3 +89,21 @@ def test_minute_bars_of_one_file_are_drawn_in_many_tasks(spark):
     bars = synthetic.minute_bars(assets, "2024-03-01", "2024-03-05")
     assert "REPARTITION_BY_NUM" in plan(bars)
     assert bars.count() == 2 * 3 * 391
+
+
+def test_rank_correlation_computes_its_panel_once(spark):
+    from candlewick.operators import factors
+
+    rows = [(d, f"s{k}", float((k * 7 + d) % 11), float((k * 5 + d) % 13)) for d in range(3) for k in range(40)]
+    panel = spark.createDataFrame(rows, "ts int, symbol string, factor double, fwd double")
+    out = factors.information_coefficients(panel, "factor", "fwd", method="spearman")
+    assert "CollectMetrics" in plan(out)
+
+    def ranks(v):
+        return [sum(y < x for y in v) + (sum(y == x for y in v) + 1) / 2 for x in v]
+
+    for r in out.collect():
+        x, y = ranks([a[2] for a in rows if a[0] == r.ts]), ranks([a[3] for a in rows if a[0] == r.ts])
+        mx, my = sum(x) / 40, sum(y) / 40
+        cov = sum((a - mx) * (b - my) for a, b in zip(x, y))
+        assert r.ic == pytest.approx(cov / math.sqrt(sum((a - mx) ** 2 for a in x) * sum((b - my) ** 2 for b in y))) and r.names == 40
