@@ -147,7 +147,8 @@ def tokenise(text: Column, synonyms: Sequence[tuple[str, str]] | None = None, st
 def tf_idf(df: DataFrame, key: str, tokens: str) -> DataFrame:
     """One row per article and term: ``term, n, tf, idf, weight`` with idf = ln((N + 1) / (df + 1)) + 1."""
     size = df.agg(F.count("*").alias("_docs"))
-    terms = df.select(key, F.size(tokens).alias("_len"), F.explode(tokens).alias("term")).groupBy(key, "_len", "term").agg(F.count("*").alias("n"))
+    whole = df.select(key, F.size(tokens).alias("_len"), F.col(tokens).alias("_tokens")).repartition(key, "_len")  # token lists are smaller than a row per term
+    terms = whole.select(key, "_len", F.explode("_tokens").alias("term")).groupBy(key, "_len", "term").agg(F.count("*").alias("n"))
     spread = terms.groupBy("term").agg(F.count("*").alias("_df")).join(F.broadcast(size))  # one row
     idf = F.log((F.col("_docs") + 1) / (F.col("_df") + 1)) + 1
     weighed = terms.join(spread.select("term", idf.alias("idf"), "_df"), "term")

@@ -107,3 +107,12 @@ def test_rank_correlation_computes_its_panel_once(spark):
         mx, my = sum(x) / 40, sum(y) / 40
         cov = sum((a - mx) * (b - my) for a, b in zip(x, y))
         assert r.ic == pytest.approx(cov / math.sqrt(sum((a - mx) ** 2 for a in x) * sum((b - my) ** 2 for b in y))) and r.names == 40
+
+
+def test_term_weights_shuffle_token_lists_not_terms_by_document(spark):
+    from candlewick.operators import news
+
+    rows = [(1, ["x", "y", "x"]), (1, ["z", "z", "x"]), (None, ["y"]), (2, None), (3, [])]
+    out = news.tf_idf(spark.createDataFrame(rows, "id int, tokens array<string>"), "id", "tokens")
+    assert not re.search(r"hashpartitioning\(id#\d+, _len#\d+, term", plan(out))
+    assert {(r.id, r.term, r.n, round(r.tf, 6), r.df) for r in out.collect()} == {(1, "x", 3, 1.0, 1), (1, "y", 1, 0.333333, 2), (1, "z", 2, 0.666667, 1), (None, "y", 1, 1.0, 2)}
