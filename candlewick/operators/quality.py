@@ -330,19 +330,27 @@ def screen(
     return df.limit(limit) if limit else df
 
 
+PIECES = 8  # cuts of each side of a band of companies
+
+
 def screen_comparables(peers: DataFrame, targets: DataFrame, max_size_ratio: float = 10.0, min_roe: float = -0.5) -> DataFrame:
     """Peers of each target: same sector, market cap within a ratio, return on equity above a floor.
 
-    Log-size bands make the join an equi-join: caps within the ratio lie in the same or a neighbouring band.
+    Log-size bands make the join an equi-join: caps within the ratio lie in the same or a neighbouring band. A band is
+    cut into PIECES x PIECES pieces, since its pairs grow with the square of its companies.
     """
     import math
 
     band = F.floor(F.log("market_cap") / math.log(max_size_ratio))
     near = F.explode(F.array(band - 1, band, band + 1))
+    piece, every = F.pmod(F.xxhash64("symbol"), F.lit(PIECES)), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PIECES - 1).cast("long")))
     left = targets.select(
-        F.col("symbol").alias("target"), "sector", F.col("market_cap").alias("_cap"), near.alias("_band")
-    )
+        F.col("symbol").alias("target"), "sector", F.col("market_cap").alias("_cap"), near.alias("_band"), piece.alias("_i")
+    ).withColumn("_j", every)
     roe = F.when(F.col("book_value") > 0, F.col("net_income") / F.col("book_value")).otherwise(-1.0)
-    right = peers.withColumns({"_band": band, "roe": roe}).filter(F.col("roe") >= min_roe)
+    right = peers.withColumns({"_band": band, "roe": roe, "_j": piece}).filter(F.col("roe") >= min_roe).withColumn("_i", every)
+    keys = ["sector", "_band", "_i", "_j"]
+    tasks = 4 * peers.sparkSession.sparkContext.defaultParallelism  # a number, since few bytes become many pairs
+    left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     ratio = F.greatest("market_cap", "_cap") / F.least("market_cap", "_cap")
-    return right.join(left, ["sector", "_band"]).filter(ratio <= max_size_ratio).drop("_band", "_cap")
+    return right.join(left, keys).filter(ratio <= max_size_ratio).drop("_band", "_cap", "_i", "_j")

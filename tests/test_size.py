@@ -116,3 +116,16 @@ def test_term_weights_shuffle_token_lists_not_terms_by_document(spark):
     out = news.tf_idf(spark.createDataFrame(rows, "id int, tokens array<string>"), "id", "tokens")
     assert not re.search(r"hashpartitioning\(id#\d+, _len#\d+, term", plan(out))
     assert {(r.id, r.term, r.n, round(r.tf, 6), r.df) for r in out.collect()} == {(1, "x", 3, 1.0, 1), (1, "y", 1, 0.333333, 2), (1, "z", 2, 0.666667, 1), (None, "y", 1, 1.0, 2)}
+
+
+def test_one_band_of_companies_is_joined_in_pieces(spark):
+    from candlewick.operators import quality
+
+    rows = [(i if i % 50 else None, "S" if i % 7 else None, 100.0 + i % 30, 10.0, 1.0 - i % 3) for i in range(200)]
+    c = spark.createDataFrame(rows, "symbol int, sector string, market_cap double, book_value double, net_income double")
+    out = quality.screen_comparables(c, c, 1.2, 0.01)
+    assert out.columns == ["sector", "symbol", "market_cap", "book_value", "net_income", "roe", "target"]
+    assert "_i#" in plan(out)
+    want = [(p[0], t[0]) for p in rows for t in rows if p[1] and p[1] == t[1] and max(p[2], t[2]) / min(p[2], t[2]) <= 1.2 and p[4] / p[3] >= 0.01]
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] is None, x[1] or 0)
+    assert sorted([(r.symbol, r.target) for r in out.collect()], key=key) == sorted(want, key=key)
