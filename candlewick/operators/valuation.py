@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from candlewick.functions import accounts as acc
 from candlewick.functions import stats
 from candlewick.operators import joins, ranking
-from candlewick.operators.series import Axis, over_blocks
+from candlewick.operators.series import Axis, added, over_blocks, stretch, trailing
 
 # ------------------------------------------------------------------------------------------------ statements
 
@@ -230,21 +230,30 @@ def offer_premiums(offers: DataFrame, bars: DataFrame, axis: Axis) -> DataFrame:
     """Premium of each offer (``symbol, ts, offer_price``) over price history strictly before it.
 
     Averages of the last 1, 5, 20, 60 bars, the 30-bar VWAP and the 252-bar range are computed once per bar with
-    bounded frames; an as-of join fetches them. Short histories fall back to the shorter average.
+    bounded frames, the long ones put together from short ones; an as-of join fetches them. Short histories fall back
+    to the shorter average.
     """
+    def short(w):
+        past = lambda n: trailing(w, n)
+        return {
+            "_s": F.sum("close").over(past(5)), "_c": F.count("close").over(past(5)), "_v": F.sum("volume").over(past(5)),
+            "_cv": F.sum(F.col("close") * F.col("volume")).over(past(5)), "_high": F.max("high").over(past(18)), "_low": F.min("low").over(past(18)),
+        }
+
     def history(w):
-        past = lambda n: w.rowsBetween(-(n - 1), 0)
-        mean = lambda n: F.when(F.count("close").over(past(n)) == n, F.avg("close").over(past(n)))
+        parts = lambda c, n: stretch(c, w, 5, n // 5)
+        mean = lambda n: F.when(added(parts("_c", n)) == n, added(parts("_s", n)) / n)
         a5 = F.coalesce(mean(5), F.col("close"))
         a20 = F.coalesce(mean(20), a5)
         return {
             "avg_1": F.col("close"), "avg_5": a5, "avg_20": a20, "avg_60": F.coalesce(mean(60), a20),
-            "vwap_30": F.try_divide(F.sum(F.col("close") * F.col("volume")).over(past(30)), F.sum("volume").over(past(30))),
-            "high_52w": F.max("high").over(past(252)), "low_52w": F.min("low").over(past(252)),
+            "vwap_30": F.try_divide(added(parts("_cv", 30)), added(parts("_v", 30))),
+            "high_52w": F.greatest(*stretch("_high", w, 18, 14)), "low_52w": F.least(*stretch("_low", w, 18, 14)),
         }
 
     names = ["avg_1", "avg_5", "avg_20", "avg_60", "vwap_30", "high_52w", "low_52w"]
-    base = over_blocks(bars, axis, history, back=252).select(*axis.key, *axis.order, *names)
+    bars = bars.select(*axis.key, *axis.order, "high", "low", "close", "volume")
+    base = over_blocks(bars, axis, [short, history], back=252).select(*axis.key, *axis.order, *names)
     found = joins.asof(offers, base, axis, names, strict=True)
     pct = lambda c: F.when(F.col(c) > 0, (F.col("offer_price") - F.col(c)) / F.col(c) * 100).otherwise(F.when(F.col(c).isNotNull(), 0.0))
     out = found.withColumns({f"premium_{c}": pct(c) for c in names})

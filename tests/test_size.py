@@ -129,3 +129,26 @@ def test_one_band_of_companies_is_joined_in_pieces(spark):
     want = [(p[0], t[0]) for p in rows for t in rows if p[1] and p[1] == t[1] and max(p[2], t[2]) / min(p[2], t[2]) <= 1.2 and p[4] / p[3] >= 0.01]
     key = lambda x: (x[0] is None, x[0] or 0, x[1] is None, x[1] or 0)
     assert sorted([(r.symbol, r.target) for r in out.collect()], key=key) == sorted(want, key=key)
+
+
+def test_offer_history_takes_short_frames_and_equals_plain_windows(spark):
+    from candlewick.operators import valuation
+
+    n = 400
+    bars = [(i, 100 + 20 * math.sin(i * i), None if i in (30, 33) else 90 + 10 * math.sin(i), None if i == 200 else 80 + 9 * math.cos(i), i % 5) for i in range(n)]
+    df = spark.createDataFrame(bars, "i int, high double, close double, low double, volume long").selectExpr("'a' AS symbol", f"CAST({DAYS} AS TIMESTAMP) AS ts", "*").drop("i")
+    offers = spark.range(1, n, 3).selectExpr("'a' AS symbol", "CAST(date_add(DATE '2020-01-01', CAST(id AS INT)) AS TIMESTAMP) AS ts", "100.0D AS offer_price", "CAST(id AS INT) AS i")
+    out = valuation.offer_premiums(offers, df, DAILY.by(rows=60))
+    assert longest_frame(plan(out)) < 30
+    for r in out.collect():
+        past = bars[max(0, r.i - 252) : r.i]
+        close = [b[2] for b in past]
+        best = close[-1]
+        for k in (5, 20, 60):
+            if len(close) >= k and None not in close[-k:]:
+                best = sum(close[-k:]) / k
+            assert r[f"avg_{k}"] == (None if best is None else pytest.approx(best))
+        volume = sum(b[4] for b in past[-30:])
+        paid = [b[2] * b[4] for b in past[-30:] if b[2] is not None]
+        assert r.vwap_30 == (pytest.approx(sum(paid) / volume) if volume and paid else None)
+        assert r.high_52w == max(b[1] for b in past) and r.low_52w == min(b[3] for b in past if b[3] is not None)
