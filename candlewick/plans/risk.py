@@ -301,7 +301,7 @@ _EX = ["win_rate", "avg_win", "avg_loss", "payoff_ratio", "profit_factor", "ulce
     ),
 )
 def extended_statistics(spark, sf):
-    rows = win.drawdowns(returns(spark, sf, daily=True), DAILY)
+    rows = win.drawdowns(returns(spark, sf, daily=True, closes=True, keep_pos=True), DAILY)
     return near(ops.extended_statistics(rows, ["symbol"]), *_EX)
 
 

@@ -152,3 +152,12 @@ def test_offer_history_takes_short_frames_and_equals_plain_windows(spark):
         paid = [b[2] * b[4] for b in past[-30:] if b[2] is not None]
         assert r.vwap_30 == (pytest.approx(sum(paid) / volume) if volume and paid else None)
         assert r.high_52w == max(b[1] for b in past) and r.low_52w == min(b[3] for b in past if b[3] is not None)
+
+
+def test_extended_statistics_reads_closes_and_numbers_rows_once(spark, sf):
+    from candlewick.plans import load_all
+    from candlewick.plans.registry import QUERIES
+
+    load_all()
+    text = plan(QUERIES["extended_statistics"](spark, sf)).split("== Optimized Logical Plan ==")[1]
+    assert "min_by" not in text
