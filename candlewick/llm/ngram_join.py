@@ -18,7 +18,7 @@ sets of a key are compared with one of them, and what is still apart then is com
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ from candlewick.llm.common import runs, sized_join, store
 from candlewick.llm.components import meetings, settle
 
 SLICE = 300_000  # bytes of text handled at once; a longer text is handled by itself
+PART = 4  # one shingle in so many decides which sets are compared as a whole
 _U = np.uint64
 
 
@@ -263,6 +264,31 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(rows, "node bigint, shingles array<bigint>")
 
 
+def _parts(docs: DataFrame, width: int) -> DataFrame:
+    """``node, n, part``: size of every set and, of the shingles of one residue class, half of the bits.
+
+    What two sets differ in can only become less by leaving out a part of the universe and by taking different shingles for
+    equal, so parts that differ too much belong to sets that do not link.
+    """
+
+    def rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(width)
+        for b in stream:
+            for at, row, s in shingle(b.column("text")):
+                begin = np.flatnonzero(np.diff(row, prepend=-1))
+                if len(begin):
+                    taken = s % _U(PART) == 0
+                    held, short = row[taken], (s[taken] >> _U(32)).astype(np.uint32).view(np.int32)
+                    fresh = np.ones(len(held), bool)  # sorted by row and shingle, so equal halves are neighbours
+                    fresh[1:] = (held[1:] != held[:-1]) | (short[1:] != short[:-1])
+                    held, short = held[fresh], short[fresh]
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(np.searchsorted(held, row[begin]), len(held)).astype(np.int32)), pa.array(short))
+                    size = np.diff(np.append(begin, len(row)))
+                    yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row[begin] + at)), pa.array(size), lists], names=["node", "n", "part"])
+
+    return docs.mapInArrow(rows, "node bigint, n bigint, part array<int>")
+
+
 def _plan(docs: DataFrame, stats: DataFrame, width: int, percent: int, sample: int) -> Index:
     """Bands up to the largest set, and for each the cheapest allocation."""
     starts = bands(percent, stats.agg(F.coalesce(F.max("n_shingles"), F.lit(0))).first()[0])
@@ -309,15 +335,13 @@ VOLUME = 400_000  # shingles in a block of sets
 COLUMNS = 4096  # shingles whose matrix columns are held at once
 
 
-def _overlaps(x: pa.Table, y: pa.Table | None, percent: int) -> list[tuple[int, int]]:
-    """Links (node, node) between sets of different roots within a block, or between two blocks."""
-    both = x if y is None else pa.concat_tables([x, y])
-    lists = both.column("shingles").combine_chunks()
+def _common(lists: pa.ListArray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of values that lists have in common, for every pair of ``left`` and ``right``."""
     size = np.diff(np.asarray(lists.offsets))
-    node, root = np.asarray(both.column("node")), np.asarray(both.column("root"))
-    if (root == root[0]).all():
-        return []
+    common = np.zeros((len(left), len(right)), np.int64)
     flat, row = np.asarray(lists.flatten()), np.repeat(np.arange(len(size)), size)
+    if not len(flat):
+        return common
     order = np.argsort(flat, kind="stable")
     flat, row = flat[order], row[order]
     fresh = np.ones(len(flat), bool)
@@ -326,48 +350,96 @@ def _overlaps(x: pa.Table, y: pa.Table | None, percent: int) -> list[tuple[int,
     shared = np.bincount(column) > 1  # a shingle of one set adds to no overlap
     keep = shared[column]
     row, column = row[keep], (np.cumsum(shared) - 1)[column[keep]]
-    n = x.num_rows
-    left, right = np.arange(n), np.arange(n) if y is None else np.arange(n, len(size))
-    common = np.zeros((len(left), len(right)), np.int64)
     edges = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 + COLUMNS, COLUMNS)) if len(column) else [0]
     for i, (lo, hi) in enumerate(itertools.pairwise(edges)):
         held = np.zeros((len(size), COLUMNS), np.float32)
         held[row[lo:hi], column[lo:hi] - i * COLUMNS] = 1
         common += (held[left] @ held[right].T).astype(np.int64)
+    return common
+
+
+def _sides(x: pa.Table, y: pa.Table | None) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """The rows of one or two blocks and the places of both sides of a comparison."""
+    both = x if y is None else pa.concat_tables([x, y])
+    return both, np.arange(x.num_rows), np.arange(x.num_rows) if y is None else np.arange(x.num_rows, both.num_rows)
+
+
+def _overlaps(x: pa.Table, y: pa.Table | None, percent: int) -> list[tuple[int, int]]:
+    """Links (node, node) between sets of different roots within a block, or between two blocks."""
+    both, left, right = _sides(x, y)
+    node, root = np.asarray(both.column("node")), np.asarray(both.column("root"))
+    if (root == root[0]).all():
+        return []
+    lists = both.column("shingles").combine_chunks()
+    size, common = np.diff(np.asarray(lists.offsets)), _common(lists, left, right)
     union = size[left][:, None] + size[right][None, :] - common
     match = (common * 100 >= union * percent) & (root[left][:, None] != root[right][None, :])
     a, b = np.nonzero(match)
     return list(zip(node[left[a]].tolist(), node[right[b]].tolist(), strict=True))
 
 
+def _hopeful(x: pa.Table, y: pa.Table | None, percent: int) -> np.ndarray:
+    """Whether each row of one or two blocks has a partner of another root whose part does not differ too much."""
+    both, left, right = _sides(x, y)
+    root = np.asarray(both.column("root"))
+    hope = np.zeros(both.num_rows, bool)
+    if (root == root[0]).all():
+        return hope
+    lists = both.column("part").combine_chunks()
+    size, n = np.diff(np.asarray(lists.offsets)), np.asarray(both.column("n"))
+    differ = size[left][:, None] + size[right][None, :] - 2 * _common(lists, left, right)
+    near = (differ * (100 + percent) <= (n[left][:, None] + n[right][None, :]) * (100 - percent)) & (root[left][:, None] != root[right][None, :])
+    hope[left[near.any(1)]] = True
+    hope[right[near.any(0)]] = True
+    return hope
+
+
+def _blocks(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, pa.Table | None]]:
+    """The two blocks of each comparison, or one that is compared with itself."""
+    for t in runs(stream, ["family", "lo", "hi"]):
+        lo, hi = t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
+        own = np.asarray(t.column("own"))
+        x, y = t.filter(pa.array(own == lo)), None if lo == hi else t.filter(pa.array(own == hi))
+        if x.num_rows and (y is None or y.num_rows):
+            yield x, y
+
+
 def _between(docs: DataFrame, left: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between sets that share a key and are still in different groups.
 
     Keys with the same smallest node make a family; the sets of a family are cut into blocks of bounded volume, and a task
-    compares two blocks. Of the links found by a task only those that join groups are kept.
+    compares two blocks: first by parts of the sets, then, of what may link, as a whole. Of the links found by a task only those that join groups are kept.
     """
     first = left.groupBy("key").agg(F.min("node").alias("family")).select(F.col("key").alias("_k"), "family")
     members = store(left.join(first, F.col("key") == F.col("_k")).select("family", "node", "root").distinct(), "members")
     used = store(members.select(F.col("node").alias("doc_id")).distinct(), "used")
-    sets = store(_sets(sized_join(docs, used, "doc_id", "left_semi", used.count()), width).dropDuplicates(["node"]), "sets")
-    sized = members.join(sets.select(F.col("node").alias("_n"), F.size("shingles").alias("n")), F.col("node") == F.col("_n"))
+    # rows that share an id may have different texts: all of them are compared
+    sets = store(_parts(sized_join(docs, used, "doc_id", "left_semi", used.count()), width).distinct(), "parts").withColumnRenamed("node", "_n")
+    sized = members.join(sets.select("_n", "n"), F.col("node") == F.col("_n"))
     parts = sized.groupBy("family").agg(F.ceil(F.sum("n") / VOLUME).cast("int").alias("parts")).select(F.col("family").alias("_f"), "parts")
     entry = members.join(parts, F.col("family") == F.col("_f")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     entry = entry.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     entry = entry.select("family", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"), "own", "node", "root")
-    entry = entry.join(sets.select(F.col("node").alias("_n"), "shingles"), F.col("node") == F.col("_n")).drop("_n")
-    ready = entry.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi")
 
-    def compare(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in runs(stream, ["family", "lo", "hi"]):
-            lo, hi = t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
-            own = np.asarray(t.column("own"))
-            x, y = t.filter(pa.array(own == lo)), None if lo == hi else t.filter(pa.array(own == hi))
-            if x.num_rows and (y is None or y.num_rows):
-                up: dict[int, int] = {}
-                kept = [(a, b) for a, b in _overlaps(x, y, percent) if _joins(up, a, b)]
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.int64())], names=["a", "b"])
+    def sift(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, y in _blocks(stream):
+            hope = _hopeful(x, y, percent)
+            if hope.any():
+                both = x if y is None else pa.concat_tables([x, y])
+                yield from both.drop_columns(["n", "part"]).filter(pa.array(hope)).to_batches()
 
+    def compare(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, y in _blocks(stream):
+            up: dict[int, int] = {}
+            kept = [(a, b) for a, b in _overlaps(x, y, percent) if _joins(up, a, b)]
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.int64())], names=["a", "b"])
+
+    block = ["family", "lo", "hi"]
+    ready = entry.join(sets, F.col("node") == F.col("_n")).drop("_n").repartition(*block).sortWithinPartitions(*block)
+    entry = store(ready.mapInArrow(sift, "family bigint, lo int, hi int, own int, node bigint, root bigint").distinct(), "hopeful")
+    used = store(entry.select(F.col("node").alias("doc_id")).distinct(), "used")
+    sets = _sets(sized_join(docs, used, "doc_id", "left_semi", used.count()), width).distinct().withColumnRenamed("node", "_n")
+    ready = entry.join(sets, F.col("node") == F.col("_n")).drop("_n").repartition(*block).sortWithinPartitions(*block)
     return ready.mapInArrow(compare, "a bigint, b bigint")
 
 
@@ -386,10 +458,17 @@ def _joins(up: dict[int, int], a: int, b: int) -> bool:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose sets really overlap enough."""
-    used = store(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "used")
-    sets = store(_sets(sized_join(docs, used, "doc_id", "left_semi", used.count()), width), "sets")
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    common: Column = F.size(F.array_intersect("x", "y"))
-    return both.select("a", "b", common.alias("i"), (F.size("x") + F.size("y")).alias("s")).where(F.col("i") * 100 >= (F.col("s") - F.col("i")) * percent).select("a", "b").distinct()
+    """The pairs whose sets really overlap enough: parts are compared first, whole sets only where these allow it."""
+
+    def met(pairs: DataFrame, describe: Callable[[DataFrame, int], DataFrame], name: str) -> DataFrame:
+        used = store(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "used")
+        sets = store(describe(sized_join(docs, used, "doc_id", "left_semi", used.count()), width), name)
+        side = lambda c: sets.select(F.col("node").alias(c), *[F.col(f).alias(f"{c}_{f}") for f in sets.columns if f != "node"])
+        return pairs.join(side("a"), "a").join(side("b"), "b")
+
+    differ = F.size("a_part") + F.size("b_part") - 2 * F.size(F.array_intersect("a_part", "b_part"))
+    near = met(pairs, _parts, "parts").where(differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent))
+    both = met(store(near.select("a", "b").distinct(), "near"), _sets, "sets")
+    common: Column = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    both = both.select("a", "b", common.alias("i"), (F.size("a_shingles") + F.size("b_shingles")).alias("s"))
+    return both.where(F.col("i") * 100 >= (F.col("s") - F.col("i")) * percent).select("a", "b").distinct()

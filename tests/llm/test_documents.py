@@ -65,6 +65,29 @@ def test_ngram_join_equals_all_pairs(spark, pairs, monkeypatch):
     assert have == plain_groups(rows, 3, 80)
 
 
+def test_sets_that_share_phrases_only_are_not_sent_whole(spark, monkeypatch):
+    rng = random.Random(9)
+    phrases = [" ".join(f"p{i}x{j}" for j in range(8)) for i in range(12)]
+    texts = [" ".join(rng.choice(phrases) if rng.random() < 0.3 else f"u{rng.randrange(10**9)}" for _ in range(120)) for _ in range(60)]
+    texts += [texts[0] + " end", texts[1].replace(" u", " v", 3)]
+    rows = [(i, t, "s", "", "") for i, t in enumerate(texts)]
+    sent, whole = [], ngram_join._sets
+    monkeypatch.setattr(ngram_join, "_sets", lambda docs, width: sent.append(docs) or whole(docs, width))
+    monkeypatch.setattr(ngram_join, "allocate", lambda differ, *_: 0)
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, SCHEMA), width=3, percent=80)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == plain_groups(rows, 3, 80)
+    # the first is the sample of the cost estimate; of 62 texts that share phrases four link
+    assert all(d.count() <= 6 for d in sent[1:])
+
+
+def test_rows_of_one_id_are_compared_with_all_their_texts(spark):
+    one, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(7, one, "s", "", ""), (7, other, "s", "", ""), (8, one + " x", "s", "", ""), (9, other + " x", "s", "", "")]
+    left = spark.createDataFrame([(1, k, k) for k in (7, 8, 9)], "key long, node long, root long")
+    found = ngram_join._between(spark.createDataFrame(rows, SCHEMA).select("doc_id", "text"), left, 3, 80)
+    assert sorted(tuple(sorted(r)) for r in found.collect()) == [(7, 8), (7, 9)]
+
+
 def test_allocation_follows_cost():
     assert ngram_join.allocate(20, 140, 1e6, 0.0) == 0
     assert ngram_join.allocate(20, 140, 1e6, 0.4) > 0
