@@ -131,6 +131,33 @@ def test_lines(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_letters_rule_out_only_lines_beyond_the_bound(spark):
+    rng = random.Random(3)
+    signs = "etaoin shrdlu 0123456789 \u00e9\u6f22"
+    rows = []
+    for i in range(120):
+        x = [rng.choice(signs) for _ in range(rng.choice((5, 40, 300)))] if i else list("e" * 3000)
+        y = list(x)
+        for _ in range(rng.randrange(len(x) // 10 + 3)):
+            at = rng.randrange(len(y))
+            y[at : at + 1] = rng.choice(([], [rng.choice(signs)], [y[at], rng.choice(signs)]))
+        rows += [(i, "".join(x), "".join(y)), (i, "".join(x), "".join(rng.choice(signs) for _ in x))]
+    pairs = spark.createDataFrame(rows, "i int, x string, y string")
+    for c, norm in (("a", "x"), ("b", "y")):
+        pairs = pairs.select("*", F.length(norm).alias(f"{c}_chars"), *[v.alias(f"{c}_letters{k}") for k, v in enumerate(line_dedup._letters(F.col(norm)))])
+    got = pairs.select((F.levenshtein("x", "y") <= F.floor(F.greatest(F.length("x"), F.length("y")) * 0.1 + 1e-9)).alias("link"), line_dedup._letters_allow(0.9).alias("allowed"))
+    counts = {(r.link, r.allowed): r["count"] for r in got.groupBy("link", "allowed").count().collect()}
+    assert not counts.get((True, False)) and counts[(True, True)] >= 60 and counts[(False, False)] >= 80
+
+
+def test_texts_are_normalised_once(spark, monkeypatch):
+    seen, plain = [], line_dedup.normalise
+    monkeypatch.setattr(line_dedup, "normalise", lambda line: seen.append(1) or plain(line))
+    rows = [(i, f"one line of a few words, number {i % 3}\nanother line that is number {i} of all of them", "s", "", "") for i in range(9)]
+    done = line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA))
+    assert sum(len(r.removed) for r in done.collect()) > 6 and len(seen) == 1
+
+
 def test_line_hash_is_the_majority(spark):
     text = "The quick brown fox jumps over seven sleeping dogs, seven times a night"
     row = line_dedup.line_table(spark.createDataFrame([(1, text)], "doc_id long, text string"), 4).first()
