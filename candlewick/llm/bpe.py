@@ -30,6 +30,7 @@ MARK = "\u00a0"  # before a special string; white space, so in no ordinary word
 LANES = 2048  # of distinct words
 CHARS = 8_000_000  # of the texts of a batch
 SHORT = 48  # symbols up to which scanning for the best pair beats a heap
+IDS = 400_000  # decoded at once; a longer list is decoded by itself
 
 
 def byte_letters() -> list[str]:
@@ -184,12 +185,22 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] =
     return put_back(text_rows(docs, split, LANES, CHARS), found, gather, schema, order="lane")
 
 
+def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose lists hold at most ``IDS`` values together, or one longer list."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(batch.column(column)), 0)), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        until = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + IDS, "right")))
+        yield batch.slice(at, until - at)
+        at = until
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds ``out``: the pieces of ``ids`` joined by a blank, special ones included. Unknown ids are left out, null lists stay null."""
     pieces = pa.array(WordBpe.load(path).pieces(), pa.string())
 
     def look_up(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
+        for batch in itertools.chain.from_iterable(_slices(b, ids) for b in stream):
             lists = batch.column(ids)
             flat = lists.flatten()
             known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(pieces)))

@@ -5,7 +5,9 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +50,23 @@ def test_bpe_edges(spark):
     assert [r.decoded for r in bpe.decode(lists, path).collect()] == ["hello</w> <|endoftext|>", "", None]
 
 
+def test_decoding_takes_a_batch_in_bounded_slices(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "IDS", 7)
+    lists = [[3306] * n if n is not None else None for n in (3, 0, 4, None, 1, 20, 2, 5, 0, 6, None)]
+    parts = list(bpe._slices(pa.record_batch([pa.array(lists, pa.list_(pa.int32()))], names=["ids"]), "ids"))
+    assert [x for part in parts for x in part.column("ids").to_pylist()] == lists
+    assert all(part.num_rows == 1 or len(part.column("ids").flatten()) <= 7 for part in parts)
+    takes = []
+    monkeypatch.setattr(bpe.pc, "take", lambda values, at, take=bpe.pc.take: takes.append(len(at)) or take(values, at))
+    look_up = []
+    frame = SimpleNamespace(mapInArrow=lambda body, schema: look_up.append(body), schema=spark.createDataFrame([], "ids array<int>").schema)
+    bpe.decode(frame, public_tokenizers.path("word_bpe_49k.json"))
+    batch = pa.record_batch([pa.array(lists, pa.list_(pa.int32()))], names=["ids"])
+    decoded = [x for part in look_up[0](iter([batch, batch])) for x in part.column("decoded").to_pylist()]
+    assert decoded == 2 * [None if x is None else " ".join(["hello</w>"] * len(x)) for x in lists]
+    assert max(takes) == 20 and sorted(takes)[-3] <= 7  # the longest list by itself, twice
+
+
 def plain_spans(text):
     def luhn(digits):
         total = 0
