@@ -150,6 +150,49 @@ def test_letters_rule_out_only_lines_beyond_the_bound(spark):
     assert not counts.get((True, False)) and counts[(True, True)] >= 60 and counts[(False, False)] >= 80
 
 
+@pytest.mark.parametrize("held", [None, 40])
+def test_beginnings_rule_out_only_lines_beyond_the_bound(spark, held):
+    rng = random.Random(6)
+    signs = "etaoinshrdlu \u00e9\u6f22"
+    edits = {"any": lambda c: rng.choice(([], [rng.choice(signs)], [c, rng.choice(signs)])), "less": lambda c: [], "more": lambda c: [c, rng.choice(signs)]}
+    rows = []
+    for i in range(300):
+        x = [rng.choice(signs) for _ in range(rng.choice((4, 30, 90, 130)))]
+        y, kind, begin = list(x), edits[rng.choice(list(edits))], rng.random() < 0.5  # half of them near the beginning only
+        for _ in range(rng.randrange(len(x) // 10 + 3)):
+            at = rng.randrange(max(1, len(y) // (6 if begin else 1)))
+            y[at : at + 1] = kind(y[at])
+        x, y = (x, y) if rng.random() < 0.5 else (y, x)
+        rows += [("".join(x), "".join(y)), ("".join(x), "".join(rng.choice(signs) for _ in x))]
+    pairs = spark.createDataFrame(rows, "x string, y string").withColumns({"nx": F.length("x"), "ny": F.length("y")})
+    link = F.levenshtein("x", "y") <= F.floor(F.greatest("nx", "ny") * 0.1 + 1e-9)
+    head = lambda c: F.col(c) if held is None else F.left(c, F.lit(held))
+    got = pairs.select(link.alias("link"), line_dedup._heads_allow(head("x"), head("y"), F.col("nx"), F.col("ny"), 0.9, held).alias("allowed"))
+    counts = {(r.link, r.allowed): r["count"] for r in got.groupBy("link", "allowed").count().collect()}
+    assert not counts.get((True, False)) and counts[(True, True)] >= 100 and counts[(False, False)] >= 200
+
+
+def test_beginnings_spare_pairs_of_lines_that_share_common_words(spark, monkeypatch):
+    """Different lines with common words meet under keys; their beginnings spare pairs of them, the same ones however a key is cut, and no copy is lost."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(4, 8)))
+    rows = []
+    for i in range(60):
+        base = rng.sample([w for _ in range(20) for w in (word(), "of the", "and that")], 60)
+        rows += [(2 * i, " ".join(base), "s", "", ""), (2 * i + 1, " ".join([*base[:30], word(), *base[31:]]), "s", "", "")]
+    made, plain = [], line_dedup._compared
+    monkeypatch.setattr(line_dedup, "_compared", lambda texts, pairs, similarity: made.append(pairs.count()) or plain(texts, pairs, similarity))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    done = lambda: sorted((r.doc_id, r.removed) for r in line_dedup.dedup_lines(docs).collect())
+    whole = done()
+    assert [r for _, r in whole] == [[], [0]] * 60
+    for name, value in (("MANY", 3), ("BLOCK", 7)):
+        monkeypatch.setattr(line_dedup, name, value)
+    assert done() == whole and made[3] == made[1]
+    monkeypatch.setattr(line_dedup, "_heads_allow", lambda *rest: F.lit(True))
+    assert done() == whole and made[5] > 1.4 * made[1]
+
+
 def test_texts_are_normalised_once(spark, monkeypatch):
     seen, plain = [], line_dedup.normalise
     monkeypatch.setattr(line_dedup, "normalise", lambda line: seen.append(1) or plain(line))
