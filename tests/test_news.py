@@ -1,6 +1,8 @@
 """News operators against brute force and hand-made texts."""
 
+import glob
 import math
+import os
 import re
 from collections import Counter
 
@@ -177,3 +179,16 @@ def test_stories_in_pieces_of_time(spark, sf, monkeypatch, piece, shared):
 
     got = {r.id: r.leader for r in news.cluster_stories(h.unionByName(none), "id", "text", "ts", "category").collect()}
     assert got == greedy([{"id": r.id} for r in rows], similar) | {r.id: r.id for r in none.collect()}
+
+
+def test_a_past_that_reaches_on_takes_no_round_a_piece(spark, monkeypatch):
+    """Walked without what lies before them, pieces of such a chain never agree with each other: they are walked in a row, and leaders are looked up piece by piece."""
+    monkeypatch.setattr(news, "SMALL", 0)
+    monkeypatch.setattr(news, "PIECE", 5)
+    days = spark.range(75).select("id", F.lit("Daily fixing report").alias("text"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 50_000).alias("ts"), F.lit("ECO").alias("category"))
+    known = set(glob.glob(f"{news.checkpoint_folder(spark)}/candlewick-*"))
+    led = news.cluster_stories(days, "id", "text", "ts", "category")
+    assert {r.id: r.leader for r in led.collect()} == {i: i // 2 * 2 for i in range(75)}
+    written = [p for f in set(glob.glob(f"{news.checkpoint_folder(spark)}/candlewick-*")) - known for p in os.listdir(f.removeprefix("file:")) if p.startswith("ro") and p != "rows"]
+    assert 2 <= len(written) <= 4
+    assert led.rdd.getNumPartitions() >= 15
