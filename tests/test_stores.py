@@ -1,5 +1,6 @@
 """Silver layout, paced replay, record mapping, numbering of common values and pieces of pair sums."""
 
+import re
 import time
 
 import numpy as np
@@ -143,6 +144,19 @@ def test_pieces_of_one_chunk_are_not_summed_again(spark, monkeypatch):
     assert len(got) == 17 * 18 / 2 and got.equals(got[got["a"] <= got["b"]])
 
 
+def test_a_value_travels_once_per_stack_of_blocks(spark, monkeypatch):
+    """Many blocks are no reason to send a symbol's values to as many tasks: the copies shuffled do not grow with the blocks."""
+    monkeypatch.setattr(joins, "BLOCK_SYMBOLS", 1)
+    rows = panel_rows(0.7, symbols=40)
+    df = spark.createDataFrame(rows)
+    blocks, times, stacks = joins.plan_pieces(df, "ts", "symbol")
+    assert blocks > 30 and times == 1 and stacks * stacks <= 16 * spark.sparkContext.defaultParallelism and stacks < blocks
+    out = joins.pair_sums(df, "ts", "symbol", "ret")
+    assert re.search(rf"_own#\d+ % {stacks}\)", out._jdf.queryExecution().optimizedPlan().toString())
+    got, want = frame(out, "a", "b"), frame(joins.pair_sums(df, "ts", "symbol", "ret", blocks=1, times=1), "a", "b")
+    pd.testing.assert_frame_equal(got, want)
+
+
 def test_radius_in_pieces_of_cubes(spark, monkeypatch):
     """Crowded cubes are dealt to pieces, no side is sent whole to every task, and poles and the date line hold."""
     monkeypatch.setattr(joins, "REACHED", 40)
