@@ -192,3 +192,19 @@ def test_a_past_that_reaches_on_takes_no_round_a_piece(spark, monkeypatch):
     written = [p for f in set(glob.glob(f"{news.checkpoint_folder(spark)}/candlewick-*")) - known for p in os.listdir(f.removeprefix("file:")) if p.startswith("ro") and p != "rows"]
     assert 2 <= len(written) <= 4
     assert led.rdd.getNumPartitions() >= 15
+
+
+def test_rounds_of_topics_do_not_write_the_open_vectors(spark, monkeypatch):
+    """Texts that have nothing in common lead one by one: what the rounds write stays in proportion to the vectors."""
+    rare = lambda i: " ".join("".join(chr(97 + (i * 40 + k) // 26**p % 26) for p in range(4)) for k in range(40))
+    docs = spark.createDataFrame([(i, rare(i)) for i in range(240)], "id long, text string").withColumn("ts", F.timestamp_seconds(F.col("id")))
+    size = lambda p: sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(p) for f in files if f.startswith("part-"))
+    folder = news.checkpoint_folder(spark).removeprefix("file:")
+
+    def written(head):
+        monkeypatch.setattr(news, "HEAD", head)
+        before = size(folder)
+        assert {r.id: r.leader for r in news.cluster_semantic(docs, "id", "text", "ts").collect()} == {i: i for i in range(240)}
+        return size(folder) - before
+
+    assert written(16) < 3 * written(240)
